@@ -1,0 +1,17 @@
+"""Join helpers for reference tables supplied by the caller."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows.  A larger table is returned as it
+    is, and Spark joins it by shuffle (with its own skew handling).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
