@@ -3,7 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import activity, concentration, geography, trends
+from ..operators import (
+    activity,
+    betweenness,
+    concentration,
+    geography,
+    identity,
+    network,
+    trends,
+    validation,
+)
 from ..schemas import (
     AMOUNT,
     COUNTY,
@@ -23,7 +32,7 @@ from ..schemas import (
     STATE,
     YEAR,
 )
-from ..sources.star_loans import loans, read_table
+from ..sources.star_loans import loans, read_table, reverse_loans
 
 QUERIES = {}
 
@@ -44,11 +53,32 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def flat(df: DataFrame) -> DataFrame:
+    """Lists and maps as text, so that plain values are compared."""
+
+    def text(name: str, dtype: str):
+        c = F.col(f"`{name}`")
+        if dtype.startswith("array<"):
+            return F.array_join(c.cast("array<string>"), "|").alias(name)
+        if dtype.startswith("map<"):
+            nested = dtype.endswith("array<string>>")
+            entries = F.transform(
+                F.array_sort(F.map_entries(c)),
+                lambda e: F.concat(
+                    e["key"], F.lit("="), F.array_join(e["value"], ",") if nested else e["value"]
+                ),
+            )
+            return F.array_join(entries, ";").alias(name)
+        return c
+
+    return df.select(*[text(c, t) for c, t in df.dtypes])
+
+
 def register(name: str, operator, *columns: str) -> None:
     """Register ``operator`` over the loan view reduced to ``columns``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(operator(loans(spark, sf_dir, *columns)))
+        return flat(rounded(operator(loans(spark, sf_dir, *columns))))
 
     QUERIES[name] = run
 
@@ -144,3 +174,110 @@ for _t, _time in _TIME_COLUMNS.items():
             register(f"hhi_{_t}_{_g}_{_l}", _hhi(_t, _g, _l), *_time, *_place, SPONSOR_NO, ORIG_NO)
 register("hhi_keep_missing", _hhi("year", "state", "originator", False), YEAR, STATE, ORIG_NO)
 register("hhi_cells", concentration.hhi_cells, YEAR, MONTH, STATE, COUNTY, SPONSOR_NO, ORIG_NO)
+
+# --- identity ----------------------------------------------------------------
+_PARTIES = (YEAR, MONTH, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR)
+
+
+def lender_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans as single family files and orders as HECM files."""
+    single_family = loans(spark, sf_dir, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR, DATE)
+    hecm = reverse_loans(spark, sf_dir)
+    return identity.lender_name_crosswalk(
+        single_family, hecm, file_date_col=DATE, skip_single_family=("1998-08-01",)
+    )
+
+
+register("institution_crosswalk", identity.institution_crosswalk, *_PARTIES)
+QUERIES["lender_crosswalk"] = lender_crosswalk
+register("canonical_names", identity.canonical_names, *_PARTIES)
+register("id_spaces", identity.id_spaces, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR)
+register("month_conflicts", identity.month_conflicts, *_PARTIES)
+register("temporary_renames", identity.temporary_renames, *_PARTIES)
+register("mapping_errors", identity.mapping_errors, *_PARTIES)
+register("segments_originator", identity.name_segments, YEAR, MONTH, ORIG_NO, ORIG)
+register(
+    "segments_sponsor",
+    lambda df: identity.name_segments(df, identity.SPONSOR_ROLE),
+    YEAR, MONTH, SPONSOR_NO, SPONSOR,
+)
+register("name_events_originator", identity.name_events, YEAR, MONTH, ORIG_NO, ORIG)
+register(
+    "name_events_sponsor",
+    lambda df: identity.name_events(df, identity.SPONSOR_ROLE),
+    YEAR, MONTH, SPONSOR_NO, SPONSOR,
+)
+register("ownership_events", identity.ownership_events, *_PARTIES)
+register("event_log", identity.event_log, *_PARTIES)
+register("name_transitions", identity.name_transitions, YEAR, MONTH, ORIG_NO, ORIG)
+register(
+    "name_change_summary",
+    lambda df: identity.name_change_summary(identity.name_transitions(df)),
+    YEAR, MONTH, ORIG_NO, ORIG,
+)
+register("timeline", lambda df: identity.timeline(df, 5), YEAR, MONTH, ORIG_NO, ORIG)
+register("oscillations", identity.oscillations, YEAR, MONTH, ORIG_NO, ORIG)
+register(
+    "oscillations_sponsor",
+    lambda df: identity.oscillations(df, identity.SPONSOR_ROLE),
+    YEAR, MONTH, SPONSOR_NO, SPONSOR,
+)
+
+# --- network -----------------------------------------------------------------
+_EDGE_COLUMNS = (YEAR, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR, AMOUNT)
+
+
+def _on_graph(operator):
+    """Apply ``operator(vertices, edges)`` to the network of the loans."""
+    return lambda df: operator(*network.bipartite_graph(network.edges(df)))
+
+
+register("edges", network.edges, *_EDGE_COLUMNS)
+register(
+    "edges_filtered",
+    lambda df: network.edges(df, start_year=1996, end_year=1999, min_loans=3),
+    *_EDGE_COLUMNS,
+)
+register("edge_totals", lambda df: network.edge_totals(network.edges(df)), *_EDGE_COLUMNS)
+register("graph_vertices", _on_graph(lambda v, e: v), *_EDGE_COLUMNS)
+register("graph_edges", _on_graph(lambda v, e: e), *_EDGE_COLUMNS)
+register("degrees", _on_graph(lambda v, e: network.degrees(network.adjacency(e))), *_EDGE_COLUMNS)
+register("degree_centrality", _on_graph(network.degree_centrality), *_EDGE_COLUMNS)
+register(
+    "centrality_originators",
+    _on_graph(lambda v, e: network.centrality(v, e, with_betweenness=False)["originator_centrality"]),
+    *_EDGE_COLUMNS,
+)
+register(
+    "centrality_sponsors",
+    _on_graph(lambda v, e: network.centrality(v, e, with_betweenness=False)["sponsor_centrality"]),
+    *_EDGE_COLUMNS,
+)
+register("betweenness", _on_graph(lambda v, e: betweenness.betweenness(network.adjacency(e))), *_EDGE_COLUMNS)
+register("projection_originators", _on_graph(lambda v, e: network.projection(e, "originator")), *_EDGE_COLUMNS)
+register("projection_sponsors", _on_graph(lambda v, e: network.projection(e, "sponsor")), *_EDGE_COLUMNS)
+register(
+    "top_relationships",
+    lambda df: network.ranked_edges(network.edges(df)).limit(10),
+    *_EDGE_COLUMNS,
+)
+
+# --- validation --------------------------------------------------------------
+_CHECK_COLUMNS = {
+    "check_required_columns": (INDEX, STATE, AMOUNT, *_PARTIES),
+    "check_fha_index_uniqueness": (INDEX,),
+    "check_id_name_consistency_monthly": (YEAR, MONTH, ORIG_NO, ORIG),
+    "check_overlapping_id_spaces": (ORIG_NO, ORIG, SPONSOR_NO, SPONSOR),
+    "check_name_oscillations": (YEAR, MONTH, ORIG_NO, ORIG),
+    "check_originator_sponsor_relationships": (ORIG_NO, ORIG, SPONSOR),
+}
+for _c, _check in validation.CHECKS.items():
+    register(_c, _check, *_CHECK_COLUMNS.get(_c, (*_PARTIES, AMOUNT)))
+register("profile_checks", validation.profile_checks, *_PARTIES, AMOUNT)
+register("run_all_checks", validation.run_checks, INDEX, STATE, AMOUNT, *_PARTIES)
+register("run_critical_checks", validation.run_critical, INDEX, STATE, AMOUNT, *_PARTIES)
+register(
+    "validation_verdict",
+    lambda df: validation.verdict(validation.run_checks(df)),
+    INDEX, STATE, AMOUNT, *_PARTIES,
+)

@@ -1,6 +1,6 @@
 """The named queries in SQL, written independently of the Spark operators."""
 
-from ..sources.star_loans import LOANS_SQL
+from ..sources.star_loans import LOANS_SQL, REVERSE_SQL
 
 SQL = {}
 
@@ -10,7 +10,12 @@ _LOANS = f"WITH loans AS ({LOANS_SQL})"
 def define(name: str, body: str) -> None:
     """``body`` may select from ``loans`` and may start with further CTEs."""
     body = body.strip()
-    SQL[name] = f"{_LOANS}, {body[5:]}" if body.startswith("WITH ") else f"{_LOANS} {body}"
+    if body.startswith("WITH RECURSIVE "):
+        SQL[name] = f"WITH RECURSIVE {_LOANS[5:]}, {body[15:]}"
+    elif body.startswith("WITH "):
+        SQL[name] = f"{_LOANS}, {body[5:]}"
+    else:
+        SQL[name] = f"{_LOANS} {body}"
 
 
 def statements() -> dict[str, str]:
@@ -93,10 +98,8 @@ define(
 define(
     "yearly_hhi",
     """
-    WITH shares AS (
-      SELECT "Year", count(*) / cast(sum(count(*)) OVER (PARTITION BY "Year") AS double) AS share
-      FROM loans GROUP BY "Year", "Originating Mortgagee")
-    SELECT "Year", round(sum(share * share), 10) AS "HHI" FROM shares GROUP BY 1""",
+    WITH counts AS (SELECT "Year", count(*) AS n FROM loans GROUP BY "Year", "Originating Mortgagee")
+    SELECT "Year", round(sum(n * n) / (cast(sum(n) AS double) * sum(n)), 10) AS "HHI" FROM counts GROUP BY 1""",
 )
 define(
     "state_stats",
@@ -289,19 +292,19 @@ def _hhi(time: str, place: str, lender: str, keep_missing: bool = False) -> str:
     cell = {**_TIME[time], **_PLACE[place]}
     select = "".join(f"{e} AS {c}, " for c, e in cell.items())
     names = "".join(f"{c}, " for c in cell)
-    by = f"PARTITION BY {', '.join(cell)}" if cell else ""
     where = " AND ".join(
         [f"{e} IS NOT NULL" for e in cell.values()]
         + [f"{e} <> ''" for c, e in cell.items() if c in ("state", "county")]
         + [f"{_LENDER[lender]} IS NOT NULL"]
     )
+    # Integer sums divided once: sum(share^2) without the noise of many divisions.
+    index = "sum(n * n) / (cast(sum(n) AS double) * sum(n))"
     return f"""
     WITH counts AS (SELECT {select}{_LENDER[lender]} AS lender_id, count(*) AS n
-                    FROM loans {"" if keep_missing else "WHERE " + where} GROUP BY ALL),
-    shares AS (SELECT *, n / cast(sum(n) OVER ({by}) AS double) AS share FROM counts)
-    SELECT {names}round(sum(share * share), 10) AS hhi_normalized, cast(sum(n) AS bigint) AS total_loans,
-           count(*) AS num_lenders, round(sum(share * share) * 10000, 6) AS hhi, '{lender}' AS lender_type
-    FROM shares GROUP BY ALL"""
+                    FROM loans {"" if keep_missing else "WHERE " + where} GROUP BY ALL)
+    SELECT {names}round({index}, 10) AS hhi_normalized, cast(sum(n) AS bigint) AS total_loans,
+           count(*) AS num_lenders, round({index} * 10000, 6) AS hhi, '{lender}' AS lender_type
+    FROM counts GROUP BY ALL"""
 
 
 for _t in _TIME:
@@ -331,3 +334,486 @@ def _all_cells() -> str:
 
 
 define("hhi_cells", _all_cells())
+
+# --- identity ----------------------------------------------------------------
+_O, _ON = '"Originating Mortgagee"', '"Originating Mortgagee Number"'
+_S, _SN = '"Sponsor Name"', '"Sponsor Number"'
+_PERIOD = """cast("Year" AS varchar) || '-' || lpad(cast("Month" AS varchar), 2, '0')"""
+_PAIRS = f"""pairs AS (
+  SELECT DISTINCT * FROM (
+    SELECT trim(cast({_ON} AS varchar)) AS institution_number, trim({_O}) AS institution_name,
+           'Originator' AS type, make_date("Year", "Month", 1) AS d FROM loans
+    UNION ALL SELECT trim(cast({_SN} AS varchar)), trim({_S}), 'Sponsor', make_date("Year", "Month", 1) FROM loans)
+  WHERE institution_number <> '' AND institution_name <> '')"""
+
+define(
+    "institution_crosswalk",
+    f"""
+    WITH {_PAIRS}
+    SELECT institution_number, institution_name, type, min(d) AS first_date, max(d) AS last_date,
+           count(DISTINCT d) AS num_months
+    FROM pairs GROUP BY 1, 2, 3""",
+)
+define(
+    "lender_crosswalk",
+    f"""
+    WITH reverse AS ({REVERSE_SQL}),
+    files AS (SELECT {_ON} AS a, {_O} AS b, {_SN} AS c, {_S} AS e, "Date" AS d FROM loans
+                WHERE "Date" <> DATE '1998-08-01'
+              UNION ALL SELECT {_ON}, {_O}, {_SN}, {_S}, "Date" FROM reverse),
+    seen AS (SELECT a AS n, b AS name, d FROM files UNION SELECT c, e, d FROM files),
+    spans AS (SELECT cast(n AS bigint) AS "Institution_Number", name AS "Institution_Name",
+                     min(d) AS "First_Observed", max(d) AS "Last_Observed"
+              FROM seen WHERE n IS NOT NULL AND name IS NOT NULL AND d IS NOT NULL GROUP BY 1, 2),
+    flags AS (SELECT "Institution_Number" AS k, count(DISTINCT "Institution_Name") AS names FROM spans GROUP BY 1)
+    SELECT spans.*, strftime("First_Observed", '%Y-%m') AS "First_Observed_Period",
+           strftime("Last_Observed", '%Y-%m') AS "Last_Observed_Period",
+           names AS "Distinct_Name_Count", names > 1 AS "Has_Name_Conflict"
+    FROM spans JOIN flags ON k = "Institution_Number" """,
+)
+_CANONICAL = f"""canonical AS (
+  SELECT sponsor, name FROM (
+    SELECT {_SN} AS sponsor, {_S} AS name, row_number() OVER (PARTITION BY {_SN} ORDER BY count(*) DESC, {_S}) AS rk
+    FROM loans WHERE {_SN} IS NOT NULL AND {_S} IS NOT NULL GROUP BY 1, 2) WHERE rk = 1)"""
+define(
+    "canonical_names",
+    f"""WITH {_CANONICAL} SELECT sponsor AS "Sponsor Number", name AS canonical_name FROM canonical""",
+)
+define(
+    "id_spaces",
+    f"""
+    WITH shared_names AS (SELECT {_O} AS x FROM loans INTERSECT SELECT {_S} FROM loans WHERE {_S} IS NOT NULL),
+    shared_ids AS (SELECT {_ON} AS x FROM loans INTERSECT SELECT {_SN} FROM loans WHERE {_SN} IS NOT NULL)
+    SELECT count(DISTINCT {_O}) AS unique_originator_names, count(DISTINCT {_ON}) AS unique_originator_ids,
+      count(DISTINCT {_S}) AS unique_sponsor_names, count(DISTINCT {_SN}) AS unique_sponsor_ids,
+      (SELECT count(*) FROM shared_names) AS overlapping_names, (SELECT count(*) FROM shared_ids) AS overlapping_ids,
+      (SELECT coalesce(string_agg(x, '|' ORDER BY x), '') FROM (SELECT x FROM shared_names ORDER BY x LIMIT 10))
+        AS sample_overlapping_names,
+      (SELECT coalesce(string_agg(cast(x AS varchar), '|' ORDER BY x), '')
+       FROM (SELECT x FROM shared_ids ORDER BY x LIMIT 10)) AS sample_overlapping_ids
+    FROM loans""",
+)
+_CONFLICTS = """
+  SELECT institution_number, strftime(d, '%Y-%m') AS date,
+         string_agg(DISTINCT institution_name, ',' ORDER BY institution_name) AS names,
+         'Multiple names for same number in one month' AS issue
+  FROM pairs GROUP BY institution_number, d HAVING count(DISTINCT institution_name) > 1"""
+_RENAMES = """
+  SELECT institution_number, strftime(d, '%Y-%m') AS date,
+         prev || ' -> ' || institution_name || ' -> ' || prev AS names,
+         'Temporary name change (oscillation)' AS issue
+  FROM (SELECT *, row_number() OVER (PARTITION BY institution_number ORDER BY rn) AS k
+        FROM ordered o
+        WHERE prev <> institution_name AND EXISTS (
+          SELECT 1 FROM ordered l WHERE l.institution_number = o.institution_number
+            AND l.institution_name = o.prev AND l.rn > o.rn))
+  WHERE k = 1"""
+_ORDERED = """ordered AS (
+  SELECT *, row_number() OVER w AS rn, lag(institution_name) OVER w AS prev FROM pairs
+  WINDOW w AS (PARTITION BY institution_number ORDER BY d, institution_name, type))"""
+define("month_conflicts", f"WITH {_PAIRS} {_CONFLICTS}")
+define("temporary_renames", f"WITH {_PAIRS}, {_ORDERED} {_RENAMES}")
+define("mapping_errors", f"WITH {_PAIRS}, {_ORDERED} {_CONFLICTS} UNION ALL {_RENAMES}")
+
+
+def _runs(id_col: str, value_col: str, prefix: str = "") -> str:
+    """CTEs ``{prefix}sets`` (id, period, value list) and ``{prefix}runs`` (one row per run)."""
+    return f"""{prefix}sets AS (
+      SELECT {id_col} AS id, {_PERIOD} AS period,
+             coalesce(list_sort(list(DISTINCT {value_col}) FILTER ({value_col} IS NOT NULL)), []) AS value,
+             count(*) AS records
+      FROM loans WHERE {id_col} IS NOT NULL GROUP BY 1, 2),
+    {prefix}marked AS (
+      SELECT *, CASE WHEN lag(value) OVER (PARTITION BY id ORDER BY period) = value THEN 0 ELSE 1 END AS st
+      FROM {prefix}sets),
+    {prefix}numbered AS (
+      SELECT *, cast(sum(st) OVER (PARTITION BY id ORDER BY period ROWS UNBOUNDED PRECEDING) AS int) AS segment
+      FROM {prefix}marked),
+    {prefix}runs AS (
+      SELECT id, segment, any_value(value) AS value, min(period) AS start_period, max(period) AS end_period,
+             cast(count(*) AS int) AS months, cast(sum(records) AS bigint) AS records,
+             string_agg(period, ',' ORDER BY period) AS periods
+      FROM {prefix}numbered GROUP BY 1, 2),
+    {prefix}paired AS (
+      SELECT *, lag(value) OVER w AS p_value, lag(start_period) OVER w AS p_start, lag(end_period) OVER w AS p_end,
+             lag(months) OVER w AS p_months, lag(records) OVER w AS p_records, lag(periods) OVER w AS p_periods
+      FROM {prefix}runs WINDOW w AS (PARTITION BY id ORDER BY segment))"""
+
+
+for _name, _i, _n in (("originator", _ON, _O), ("sponsor", _SN, _S)):
+    define(
+        f"segments_{_name}",
+        f"""
+        WITH {_runs(_i, _n)}
+        SELECT id, segment, array_to_string(value, '|') AS value, start_period, end_period,
+               months AS duration_months, records AS total_records
+        FROM runs""",
+    )
+
+
+def _name_events(entity: str, prefix: str) -> str:
+    return f"""
+    SELECT '{entity}' AS entity_type, CASE WHEN segment = 1 THEN 'appearance' ELSE 'rename' END AS event_type,
+      cast(id AS varchar) AS institution_number, start_period AS effective_period,
+      coalesce(array_to_string(p_value, '|'), '') AS previous_names, array_to_string(value, '|') AS new_names,
+      p_start AS previous_start_period, p_end AS previous_end_period,
+      start_period AS new_start_period, end_period AS new_end_period,
+      coalesce(p_months, 0) AS previous_duration_months, months AS new_duration_months,
+      coalesce(p_records, 0) AS previous_observation_count, records AS new_observation_count,
+      CASE WHEN segment = 1 THEN 'segment_periods=' || periods
+           ELSE 'new_segment_periods=' || periods || ';previous_segment_periods=' || p_periods END AS metadata
+    FROM {prefix}paired
+    UNION ALL
+    SELECT '{entity}', 'ambiguous_identity', cast(id AS varchar), period, array_to_string(value, '|'),
+      array_to_string(value, '|'), NULL, NULL, period, period, 0, 1, 0, records,
+      'observed_names=' || array_to_string(value, ',')
+    FROM {prefix}sets WHERE len(value) > 1"""
+
+
+def _ownership_events(prefix: str) -> str:
+    def names(value: str, sep: str) -> str:
+        return (
+            f"(SELECT coalesce(string_agg(name, '{sep}' ORDER BY sponsor), '') FROM canonical "
+            f"WHERE list_contains({value}, sponsor))"
+        )
+
+    def numbers(value: str) -> str:
+        return f"array_to_string({value}, ',')"
+
+    return f"""
+    SELECT 'Originator' AS entity_type, 'ownership_transition' AS event_type,
+      cast(id AS varchar) AS institution_number, start_period AS effective_period,
+      {names("p_value", "|")} AS previous_names, {names("value", "|")} AS new_names,
+      p_start AS previous_start_period, p_end AS previous_end_period,
+      start_period AS new_start_period, end_period AS new_end_period,
+      p_months AS previous_duration_months, months AS new_duration_months,
+      p_records AS previous_observation_count, records AS new_observation_count,
+      'new_segment_periods=' || periods || ';new_sponsor_numbers=' || {numbers("value")}
+        || ';previous_segment_periods=' || p_periods || ';previous_sponsor_numbers=' || {numbers("p_value")} AS metadata
+    FROM {prefix}paired WHERE segment > 1
+    UNION ALL
+    SELECT 'Originator', 'multiple_sponsors_in_period', cast(id AS varchar), period, '', {names("value", "|")},
+      NULL, NULL, period, period, 0, 1, 0, records,
+      'observed_sponsor_names=' || {names("value", ",")} || ';sponsor_numbers=' || {numbers("value")}
+    FROM {prefix}sets WHERE len(value) > 1"""
+
+
+define("name_events_originator", f"WITH {_runs(_ON, _O)} {_name_events('Originator', '')}")
+define("name_events_sponsor", f"WITH {_runs(_SN, _S)} {_name_events('Sponsor', '')}")
+define("ownership_events", f"WITH {_CANONICAL}, {_runs(_ON, _SN)} {_ownership_events('')}")
+define(
+    "event_log",
+    f"""WITH {_CANONICAL}, {_runs(_ON, _O, "o_")}, {_runs(_SN, _S, "s_")}, {_runs(_ON, _SN, "w_")}
+    {_name_events("Originator", "o_")} UNION ALL {_name_events("Sponsor", "s_")}
+    UNION ALL {_ownership_events("w_")}""",
+)
+define(
+    "timeline",
+    f"""
+    WITH {_runs(_ON, _O)}
+    SELECT period, array_to_string(value, '|') AS names, records AS loan_count FROM marked WHERE id = 5 AND st = 1""",
+)
+
+
+def _oscillations(i: str, n: str) -> str:
+    return f"""{_runs(i, n)},
+    long_runs AS (SELECT * FROM runs WHERE id IN (SELECT id FROM runs GROUP BY id HAVING max(segment) >= 3)),
+    named AS (SELECT id, segment, start_period, unnest(value) AS name FROM long_runs),
+    repeated AS (SELECT id, name, min(segment) AS fs, list_sort(list(start_period)) AS periods
+                 FROM named GROUP BY 1, 2 HAVING count(*) >= 2),
+    firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY fs, name) AS k FROM repeated)
+               WHERE k = 1),
+    gaps AS (
+      SELECT id, name, min(a) AS a, arg_min(b, a) AS b FROM (
+        SELECT id, name, segment AS a, lead(segment) OVER (PARTITION BY id, name ORDER BY segment) AS b FROM named)
+      WHERE b - a > 1 GROUP BY 1, 2),
+    found AS (
+      SELECT f.id, f.name AS oscillating_name, any_value(periods) AS periods,
+             list_sort(list(DISTINCT m.name)) AS intermediate_names
+      FROM firsts f JOIN gaps g ON g.id = f.id AND g.name = f.name
+      JOIN named m ON m.id = f.id AND m.segment > a AND m.segment < b GROUP BY 1, 2)"""
+
+
+for _name, _i, _n in (("oscillations", _ON, _O), ("oscillations_sponsor", _SN, _S)):
+    define(
+        _name,
+        f"""
+        WITH {_oscillations(_i, _n)}
+        SELECT id, oscillating_name, array_to_string(periods, '|') AS periods,
+               array_to_string(intermediate_names, '|') AS intermediate_names
+        FROM found""",
+    )
+
+# The fold over an ID's months: position k looks at the names recorded so far.
+_TRANSITIONS = f"""sets AS (
+      SELECT {_ON} AS id, {_PERIOD} AS period,
+             coalesce(list_sort(list(DISTINCT {_O}) FILTER ({_O} IS NOT NULL)), []) AS value
+      FROM loans WHERE {_ON} IS NOT NULL GROUP BY 1, 2),
+    steps AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY period) AS k FROM sets),
+    fold AS (
+      SELECT id, k, period, value, len(value) > 1 AS kept, cast([] AS varchar[]) AS seen_before,
+             CASE WHEN len(value) > 1 THEN value ELSE [] END AS seen,
+             CASE WHEN len(value) > 1 THEN value END AS last_value
+      FROM steps WHERE k = 1
+      UNION ALL
+      SELECT s.id, s.k, s.period, s.value, q.keep, f.seen,
+             CASE WHEN q.keep THEN list_concat(f.seen, s.value) ELSE f.seen END,
+             CASE WHEN q.keep THEN s.value ELSE f.last_value END
+      FROM fold f JOIN steps s ON s.id = f.id AND s.k = f.k + 1,
+      LATERAL (SELECT (len(s.value) > 1 OR (f.last_value IS NOT NULL AND len(s.value) > 0
+                       AND NOT list_contains(f.seen, s.value[1])))
+                      AND f.last_value IS DISTINCT FROM s.value AS keep) q),
+    recorded AS (SELECT id, period, value, row_number() OVER (PARTITION BY id ORDER BY k) AS change FROM fold WHERE kept)"""
+define(
+    "name_transitions",
+    f"""WITH RECURSIVE {_TRANSITIONS}
+    SELECT id, cast(change AS int) AS change, period, array_to_string(value, '|') AS names FROM recorded""",
+)
+define(
+    "name_change_summary",
+    f"""WITH RECURSIVE {_TRANSITIONS}
+    SELECT id, count(DISTINCT change) AS changes, string_agg(DISTINCT name, '|' ORDER BY name) AS names
+    FROM (SELECT id, change, unnest(value) AS name FROM recorded) GROUP BY 1""",
+)
+
+# --- network -----------------------------------------------------------------
+
+
+def _edges(where: str = "", having: str = "") -> str:
+    return f"""edges AS (
+      SELECT coalesce(cast({_ON} AS varchar), 'originator:' || {_O}) AS originator_key, {_O}, {_ON},
+             coalesce(cast({_SN} AS varchar), 'sponsor:' || {_S}) AS sponsor_key, {_S}, {_SN},
+             count(*) AS loan_count, cast(sum("Mortgage Amount") AS bigint) AS total_volume,
+             round(avg("Mortgage Amount"), 6) AS avg_loan_amount,
+             round(median("Mortgage Amount"), 6) AS median_loan_amount,
+             min("Year") AS first_year, max("Year") AS last_year
+      FROM loans WHERE {_S} IS NOT NULL AND {_O} IS NOT NULL {where} GROUP BY 1, 2, 3, 4, 5, 6 {having})"""
+
+
+_GRAPH = f"""{_edges()},
+    links AS (SELECT originator_key AS o, sponsor_key AS s, cast(sum(loan_count) AS double) AS w,
+                     sum(loan_count) AS n, sum(total_volume) AS volume, min(first_year) AS fy, max(last_year) AS ly,
+                     arg_max(median_loan_amount, (loan_count, total_volume, {_O}, {_S})) AS med
+              FROM edges GROUP BY 1, 2),
+    ends AS (SELECT 'originator' AS side, originator_key AS key, {_O} AS label, {_ON} AS entity_id, loan_count FROM edges
+             UNION ALL SELECT 'sponsor', sponsor_key, {_S}, {_SN}, loan_count FROM edges),
+    vertices AS (
+      SELECT side, key, label, max(entity_id) OVER (PARTITION BY side, key) AS entity_id, rk FROM (
+        SELECT side, key, label, max(entity_id) AS entity_id,
+               row_number() OVER (PARTITION BY side, key ORDER BY sum(loan_count) DESC, label) AS rk
+        FROM ends GROUP BY 1, 2, 3) QUALIFY rk = 1),
+    degrees AS (SELECT 'originator' AS side, o AS key, count(*) AS degree, sum(w) AS weighted_degree FROM links GROUP BY o
+                UNION ALL SELECT 'sponsor', s, count(*), sum(w) FROM links GROUP BY s),
+    ranked AS (
+      SELECT *, round(degree / cast((SELECT count(*) FROM vertices x WHERE x.side <> v.side) AS double), 10) AS dc
+      FROM vertices v JOIN degrees USING (side, key))"""
+define("edges", f"WITH {_edges()} SELECT * FROM edges")
+define(
+    "edges_filtered",
+    f"""WITH {_edges('AND "Year" BETWEEN 1996 AND 1999', "HAVING count(*) >= 3")} SELECT * FROM edges""",
+)
+define(
+    "top_relationships",
+    f"""WITH {_edges()} SELECT * FROM edges ORDER BY loan_count DESC, total_volume DESC, originator_key, 2, 3,
+    sponsor_key, 5, 6 LIMIT 10""",
+)
+define(
+    "edge_totals",
+    f"""WITH {_GRAPH}, sizes AS (
+      SELECT count(*) FILTER (side = 'originator') AS o, count(*) FILTER (side = 'sponsor') AS s FROM vertices)
+    SELECT (SELECT count(*) FROM edges) AS edge_count, (SELECT count(*) FROM links) AS pair_count,
+      (SELECT cast(sum(loan_count) AS bigint) FROM edges) AS total_loans,
+      (SELECT cast(sum(total_volume) AS bigint) FROM edges) AS total_volume,
+      o AS originator_nodes, s AS sponsor_nodes,
+      round((SELECT count(*) FROM links) * 2 / cast((o + s) * (o + s - 1) AS double), 6) AS density
+    FROM sizes""",
+)
+define("graph_vertices", f"WITH {_GRAPH} SELECT side, key, label, cast(entity_id AS bigint) AS entity_id FROM vertices")
+define(
+    "graph_edges",
+    f"""WITH {_GRAPH}
+    SELECT o AS originator_key, s AS sponsor_key, cast(n AS bigint) AS loan_count, cast(volume AS bigint) AS total_volume,
+           round(volume / cast(n AS double), 6) AS avg_loan_amount, med AS median_loan_amount,
+           fy AS first_year, ly AS last_year, w AS weight FROM links""",
+)
+define(
+    "degrees",
+    f"""WITH {_GRAPH} SELECT side || ':' || key AS node, degree, weighted_degree FROM degrees""",
+)
+define(
+    "degree_centrality",
+    f"""WITH {_GRAPH}
+    SELECT side || ':' || key AS node, side, key, label, cast(entity_id AS bigint) AS entity_id, degree, weighted_degree,
+           round(dc, 6) AS degree_centrality FROM ranked""",
+)
+for _side in ("originator", "sponsor"):
+    define(
+        f"centrality_{_side}s",
+        f"""WITH {_GRAPH}
+        SELECT key AS node, label AS {_side}_name, cast(entity_id AS bigint) AS {_side}_id, degree, weighted_degree,
+               round(dc, 6) AS degree_centrality
+        FROM ranked WHERE side = '{_side}'""",
+    )
+for _name, _u, _hub in (("originators", "o", "s"), ("sponsors", "s", "o")):
+    define(
+        f"projection_{_name}",
+        f"""WITH {_GRAPH}
+        SELECT a.{_u} AS source, b.{_u} AS target, sum((a.w + b.w) / 2) AS weight
+        FROM links a JOIN links b ON a.{_hub} = b.{_hub} AND a.{_u} < b.{_u} GROUP BY 1, 2""",
+    )
+
+# --- validation --------------------------------------------------------------
+
+
+def _check(name: str, passed: str, details: dict[str, str], source: str, warning: bool = False) -> str:
+    """SELECT of one result row; details are written as sorted ``key=value`` text."""
+    text = " || ';' || ".join(
+        f"'{k}=' || coalesce(cast({v} AS varchar), '')" for k, v in sorted(details.items())
+    )
+    return f"""SELECT '{name}' AS check_name,
+      CASE WHEN {passed} THEN 'PASS' ELSE '{"WARNING" if warning else "FAIL"}' END AS status,
+      {str(warning).lower()} AS is_warning, {text} AS details FROM ({source})"""
+
+
+def _pct(part: str) -> str:
+    return f"round(count(*) FILTER ({part}) * 100.0::double / count(*), 2)"
+
+
+def _missing(label: str, column: str) -> str:
+    return _check(
+        label,
+        "p < 5.0",
+        {"missing_count": "m", "total_count": "n", "percent_missing": "p", "threshold_percent": "'5.0'"},
+        f"SELECT count(*) FILTER ({column} IS NULL) AS m, count(*) AS n, {_pct(column + ' IS NULL')} AS p FROM loans",
+        warning=True,
+    )
+
+
+_CONFLICT_SETS = f"""SELECT {_ON} AS id, "Year" AS y, "Month" AS m, list_sort(list(DISTINCT {_O})) AS names FROM loans
+  WHERE {_ON} IS NOT NULL GROUP BY 1, 2, 3
+  HAVING count(DISTINCT {_O}) + max(CASE WHEN {_O} IS NULL THEN 1 ELSE 0 END) > 1"""
+_SEVERAL_IDS = f"""SELECT {_O} AS o, count(DISTINCT {_ON}) + max(CASE WHEN {_ON} IS NULL THEN 1 ELSE 0 END) AS ids,
+    count(DISTINCT {_S}) + max(CASE WHEN {_S} IS NULL THEN 1 ELSE 0 END) AS sponsors, count(*) AS n
+  FROM loans GROUP BY 1 HAVING ids > 1"""
+_CHECKS = {
+    "check_required_columns": _check(
+        "Required Columns Present", "true", {"missing_columns": "''", "total_columns": "9"}, "SELECT 1"
+    ),
+    "check_fha_index_uniqueness": _check(
+        "FHA_Index Uniqueness",
+        "n = u",
+        {"total_rows": "n", "unique_indexes": "u", "duplicates": "n - u"},
+        'SELECT count(*) AS n, count(DISTINCT "FHA_Index") AS u FROM loans',
+    ),
+    "check_missing_originator_ids": _missing("Missing Originator IDs Below Threshold", _ON),
+    "check_missing_originator_names": _missing("Missing Originator Names Below Threshold", _O),
+    "check_orphaned_sponsors": _check(
+        "No Orphaned Sponsors",
+        "m = 0",
+        {"orphaned_count": "m", "percent_of_total": "p"},
+        f"""SELECT count(*) FILTER ({_ON} IS NULL AND {_SN} IS NOT NULL) AS m,
+            {_pct(f"{_ON} IS NULL AND {_SN} IS NOT NULL")} AS p FROM loans""",
+        warning=True,
+    ),
+    "check_sponsor_coverage": _check(
+        "Sponsor Coverage (Informational)",
+        "true",
+        {"loans_with_sponsor": "m", "total_loans": "n", "percent_with_sponsor": "p"},
+        f"SELECT count({_S}) AS m, count(*) AS n, {_pct(_S + ' IS NOT NULL')} AS p FROM loans",
+    ),
+    "check_id_name_consistency_monthly": _check(
+        "ID-Name Consistency Within Months",
+        "n = 0",
+        {"inconsistent_periods": "n", "sample": "'[' || s || ']'"},
+        f"""SELECT (SELECT count(*) FROM ({_CONFLICT_SETS})) AS n,
+          (SELECT coalesce(string_agg(y || '-' || lpad(m::varchar, 2, '0') || ' ' || id || ': '
+             || array_to_string(names, ', '), '; ' ORDER BY y, m, id), '')
+           FROM (SELECT * FROM ({_CONFLICT_SETS}) ORDER BY y, m, id LIMIT 3)) AS s""",
+    ),
+    "check_overlapping_id_spaces": _check(
+        "Non-overlapping ID Spaces",
+        "b = 0",
+        {"unique_originator_ids": "o", "unique_sponsor_ids": "s", "overlapping_ids": "b", "sample_overlapping_ids": "t"},
+        f"""SELECT (SELECT count(DISTINCT {_ON}) FROM loans) AS o, (SELECT count(DISTINCT {_SN}) FROM loans) AS s,
+          count(*) AS b, (SELECT string_agg(x::varchar, ', ' ORDER BY x) FROM (
+            SELECT {_ON} AS x FROM loans INTERSECT SELECT {_SN} FROM loans WHERE {_SN} IS NOT NULL ORDER BY x LIMIT 10)) AS t
+        FROM (SELECT {_ON} AS x FROM loans INTERSECT SELECT {_SN} FROM loans WHERE {_SN} IS NOT NULL)""",
+        warning=True,
+    ),
+    "check_name_oscillations": _check(
+        "Name Stability (No Oscillations)",
+        "n = 0",
+        {"oscillating_ids_count": "n", "min_changes_threshold": "3", "sample": "'[' || s || ']'"},
+        """SELECT (SELECT count(*) FROM found) AS n,
+          (SELECT coalesce(string_agg(id || ': ' || oscillating_name || ' / '
+             || array_to_string(intermediate_names, ', '), '; ' ORDER BY id), '')
+           FROM (SELECT * FROM found ORDER BY id LIMIT 5)) AS s""",
+        warning=True,
+    ),
+    "check_originator_sponsor_relationships": _check(
+        "Consistent Originator-ID Mappings",
+        "n = 0",
+        {"originators_with_multiple_ids": "n", "sample": "'[' || s || ']'"},
+        f"""SELECT (SELECT count(*) FROM ({_SEVERAL_IDS})) AS n,
+          (SELECT coalesce(string_agg(o || ': ' || ids || ' ids, ' || sponsors || ' sponsors, ' || n || ' loans', '; '
+             ORDER BY n DESC, o), '')
+           FROM (SELECT * FROM ({_SEVERAL_IDS}) ORDER BY n DESC, o LIMIT 5)) AS s""",
+        warning=True,
+    ),
+    "check_date_coverage": _check(
+        "Date Coverage (Informational)",
+        "true",
+        {
+            "min_year": "a",
+            "max_year": "b",
+            "year_span": "b - a + 1",
+            "unique_year_month_periods": "p",
+            "expected_periods_if_complete": "(b - a + 1) * 12",
+        },
+        'SELECT min("Year")::int AS a, max("Year")::int AS b, count(DISTINCT ("Year", "Month")) AS p FROM loans',
+    ),
+    "check_mortgage_amounts": _check(
+        "Reasonable Mortgage Amounts",
+        "z = 0 AND x = 0",
+        {
+            "min_amount": "a::decimal(38, 2)",
+            "max_amount": "b::decimal(38, 2)",
+            "mean_amount": "c::decimal(38, 2)",
+            "non_positive_count": "z",
+            "extremely_high_count": "x",
+            "total": "n",
+        },
+        """SELECT min("Mortgage Amount") AS a, max("Mortgage Amount") AS b, avg("Mortgage Amount") AS c,
+          count(*) FILTER ("Mortgage Amount" <= 0) AS z, count(*) FILTER ("Mortgage Amount" > 10000000) AS x,
+          count(*) AS n FROM loans""",
+        warning=True,
+    ),
+}
+_FOUND = _oscillations(_ON, _O)
+for _name, _select in _CHECKS.items():
+    define(_name, f"WITH {_FOUND} {_select}" if _name == "check_name_oscillations" else _select)
+_COUNTING = (
+    "check_missing_originator_ids",
+    "check_missing_originator_names",
+    "check_orphaned_sponsors",
+    "check_sponsor_coverage",
+    "check_date_coverage",
+    "check_mortgage_amounts",
+)
+define("profile_checks", " UNION ALL ".join(_CHECKS[c] for c in _COUNTING))
+define("run_all_checks", f"WITH {_FOUND} " + " UNION ALL ".join(_CHECKS.values()))
+define(
+    "run_critical_checks",
+    " UNION ALL ".join(
+        _CHECKS[c]
+        for c in ("check_required_columns", "check_fha_index_uniqueness", "check_id_name_consistency_monthly")
+    ),
+)
+define(
+    "validation_verdict",
+    f"""WITH {_FOUND}, results AS ({" UNION ALL ".join(_CHECKS.values())})
+    SELECT count(*) FILTER (NOT is_warning AND status = 'PASS') AS critical_passed,
+           count(*) FILTER (NOT is_warning AND status <> 'PASS') AS critical_failed,
+           count(*) FILTER (is_warning AND status <> 'PASS') AS warnings,
+           count(*) FILTER (NOT is_warning AND status <> 'PASS') = 0 AS passed FROM results""",
+)

@@ -130,6 +130,28 @@ def loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*[expressions[c]().alias(c) for c in LOAN_COLUMNS if c in wanted])
 
 
+def reverse_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the shape of the second program: parties and month of every loan."""
+    number = (F.col("o_custkey") % 40).cast("int")
+    sponsor = (F.col("o_orderkey") % 25).cast("int")
+    return read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 11 != 0, number).alias(ORIG_NO),
+        F.concat(F.lit("Reverse#"), number.cast("string")).alias(ORIG),
+        F.when(F.col("o_orderstatus") != "P", sponsor).alias(SPONSOR_NO),
+        F.concat(F.lit("Sponsor#"), sponsor.cast("string")).alias(SPONSOR),
+        F.trunc("o_orderdate", "month").alias(DATE),
+    )
+
+
+REVERSE_SQL = """
+SELECT CASE WHEN o_orderkey % 11 <> 0 THEN cast(o_custkey % 40 AS int) END AS "Originating Mortgagee Number",
+  'Reverse#' || cast(o_custkey % 40 AS varchar) AS "Originating Mortgagee",
+  CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderkey % 25 AS int) END AS "Sponsor Number",
+  'Sponsor#' || cast(o_orderkey % 25 AS varchar) AS "Sponsor Name",
+  cast(date_trunc('month', o_orderdate) AS date) AS "Date"
+FROM orders
+"""
+
 # The same view in portable SQL, for independent checks.
 LOANS_SQL = """
 SELECT
