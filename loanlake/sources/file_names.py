@@ -11,6 +11,7 @@ YEAR_MONTH = r"(20\d{2})(0[1-9]|1[0-2])"
 YEAR_MONTH_DAY = r"(\d{4})(\d{2})(\d{2})"
 FOUR_DIGIT_YEAR = r"(20\d{2})"
 MONTH_THEN_YEAR = r"(0[1-9]|1[0-2])(\d{2})"
+MONTH_FOLDERS = r"year=(\d{4})/(?:[a-z_]*)month=(\d{1,2})$"
 KIND_ALIASES = {"sf": "single_family", "single_family": "single_family", "hecm": "hecm"}
 KIND_PREFIXES = {"sf": "fha_sf_snapshot_", "hecm": "fha_hecm_snapshot_"}
 MONTH_NAMES = {
@@ -42,6 +43,11 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+def unit_path(path: Column) -> Column:
+    """The snapshot a stored file belongs to: the folder of a ``part-`` file, else the file."""
+    return F.regexp_replace(path, r"/part-[^/]*$", "")
+
+
 def extension(name: Column) -> Column:
     """The last ``.xyz`` of a name, empty if there is none."""
     return F.regexp_extract(name, r"(?<=[^.])(\.[^.]+)$", 1)
@@ -54,18 +60,23 @@ def _part(c: Column, pattern: str, group: int) -> Column:
 def snapshot_period(path: Column, expected_kind: str | None = None) -> Column:
     """Struct ``kind, year, month, problem`` of a snapshot file.
 
-    The canonical name wins; any other name needs ``expected_kind`` and a ``YYYYMM``.
-    ``problem`` says why a file cannot be used.
+    The canonical name wins; any other name needs ``expected_kind`` and a ``YYYYMM`` or
+    ``year=``/``month=`` folders.  ``problem`` says why a file cannot be used.
     """
     kind = None if expected_kind is None else normalize_kind(expected_kind)
-    name = F.lower(base_name(path))
+    unit = F.lower(unit_path(path))
+    name = base_name(unit)
     tag = _part(name, CANONICAL, 1)
     date = _part(name, CANONICAL, 2)
     found_kind = F.coalesce(
         F.when(tag == "sf", "single_family").when(tag == "hecm", "hecm"), F.lit(kind).cast("string")
     )
-    year = F.coalesce(F.substring(date, 1, 4), _part(name, YEAR_MONTH, 1)).cast("int")
-    month = F.coalesce(F.substring(date, 5, 2), _part(name, YEAR_MONTH, 2)).cast("int")
+    year = F.coalesce(
+        F.substring(date, 1, 4), _part(unit, MONTH_FOLDERS, 1), _part(name, YEAR_MONTH, 1)
+    ).cast("int")
+    month = F.coalesce(
+        F.substring(date, 5, 2), _part(unit, MONTH_FOLDERS, 2), _part(name, YEAR_MONTH, 2)
+    ).cast("int")
     problem = (
         F.when(found_kind.isNull(), "no snapshot kind in the name")
         .when(year.isNull(), "no year and month in the name")
@@ -80,7 +91,7 @@ def snapshot_period(path: Column, expected_kind: str | None = None) -> Column:
 
 def bronze_period(path: Column) -> Column:
     """Struct ``year, month`` from the first eight digits of a bronze file name."""
-    name = base_name(path)
+    name = base_name(unit_path(path))
     return F.struct(
         _part(name, YEAR_MONTH_DAY, 1).cast("int").alias("year"),
         _part(name, YEAR_MONTH_DAY, 2).cast("int").alias("month"),

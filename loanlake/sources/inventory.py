@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from .file_names import base_name
 from .sinks import write_tabular
-from .snapshots import list_files
+from .snapshots import list_files, with_empty_files
 
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 
@@ -76,7 +76,7 @@ def inventory(
 ) -> DataFrame:
     """Every file below ``data_dir``; times are those of the session's time zone."""
     return describe_files(
-        list_files(spark, data_dir),
+        with_empty_files(list_files(spark, data_dir)),
         project_dir=project_dir,
         data_dir=data_dir,
         raw_dir=raw_dir,

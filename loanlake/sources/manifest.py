@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .file_names import normalize_kind, snapshot_period
+from .file_names import normalize_kind, snapshot_period, unit_path
 
 COMPONENT = T.StructType(
     [
@@ -33,10 +33,11 @@ def manifest_key(kind: Column, year: Column, month: Column) -> Column:
 def fingerprint(
     spark: SparkSession, path: str | list[str], side: str, expected_kind: str | None = None, glob: str | None = None
 ) -> DataFrame:
-    """Manifest rows of the files below ``path``, checksummed on the executors.
+    """Manifest rows of the snapshots below ``path``, checksummed on the executors.
 
-    Files whose name gives no usable period are left out; see
-    :func:`unusable_files`.  A file is one value here, so it must stay below 2 GB.
+    A snapshot in several part files gets the checksum of their checksums.  Files
+    whose name gives no usable period are left out; see :func:`unusable_files`.  A
+    file is one value here, so it must stay below 2 GB.
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}")
@@ -44,14 +45,19 @@ def fingerprint(
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     info = snapshot_period(F.col("path"), expected_kind)
+    sums = F.array_sort(F.collect_list(F.struct("path", "checksum")))
+    whole = F.sha2(F.array_join(F.transform("sums", lambda x: x["checksum"]), ""), 256)
     component = F.struct(
         F.col("path"),
-        F.sha2("content", 256).alias("checksum"),
+        F.when(F.size("sums") == 1, F.col("sums")[0]["checksum"]).otherwise(whole).alias("checksum"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
     )
     empty = F.lit(None).cast(COMPONENT)
     return (
         reader.load(path)
+        .select("path", F.sha2("content", 256).alias("checksum"))
+        .groupBy(unit_path(F.col("path")).alias("path"))
+        .agg(sums.alias("sums"))
         .withColumn("p", info)
         .filter(F.col("p.problem").isNull())
         .select(

@@ -1,6 +1,7 @@
 """Raw, bronze and silver tables of the monthly snapshots."""
 
 import os
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import HECM_KIND, MONTH, SINGLE_FAMILY_KIND, YEAR, silver_schema
-from .file_names import bronze_period, snapshot_period
+from .file_names import bronze_period, snapshot_period, unit_path
 
 # Words that mark a data sheet, per program.
 SHEET_WORDS = {
@@ -37,6 +38,19 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
+def with_empty_files(files: DataFrame) -> DataFrame:
+    """Add the files of no length, which Spark lists but does not read; their time is null."""
+    names = [(unquote(name),) for name in files.inputFiles()]
+    listed = files.sparkSession.createDataFrame(names, "listed string")
+    # Listed names may write the scheme as file:/// where read ones have file:/.
+    same = F.regexp_replace("listed", ":/+", ":/") == F.regexp_replace("path", ":/+", ":/")
+    empty = listed.join(files.select("path"), same, "left_anti")
+    return files.unionByName(
+        empty.select(F.col("listed").alias("path"), F.lit(0).cast("bigint").alias("length")),
+        allowMissingColumns=True,
+    )
+
+
 # --- silver -----------------------------------------------------------------------------
 
 
@@ -93,7 +107,7 @@ def read_bronze(
     """
     files = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(path)
     if "snapshot_year" not in files.columns:
-        period = bronze_period(F.col("_metadata.file_name"))
+        period = bronze_period(F.col("_metadata.file_path"))
         files = files.withColumns({"snapshot_year": period["year"], "snapshot_month": period["month"]})
     return files.filter(F.col("snapshot_year").between(min_year, max_year))
 
@@ -102,11 +116,12 @@ def bronze_months(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ``year, month`` of a bronze folder, from its listing."""
     folders = partition_months(spark, path, "snapshot_year", "snapshot_month")
     try:
-        names = list_files(spark, path, "*_snapshot_*.parquet")
+        names = list_files(spark, path, "*.parquet")
     except AnalysisException:
         return folders
     period = bronze_period(F.col("path"))
-    return folders.unionByName(names.select(period["year"].alias("year"), period["month"].alias("month"))).dropna().distinct()
+    named = names.select(period["year"].alias("year"), period["month"].alias("month"))
+    return folders.unionByName(named).dropna().distinct()
 
 
 # --- raw sheets -------------------------------------------------------------------------
@@ -120,12 +135,14 @@ def is_data_sheet(kind: str, sheet: str = "sheet_name") -> Column:
 def pending_files(
     files: DataFrame, kind: str, processed: DataFrame | None = None, *, overwrite: bool = False
 ) -> DataFrame:
-    """First file of every month, without the months that are processed already.
+    """First snapshot of every month, without the months that are processed already.
 
-    ``files`` has ``path``; ``processed`` has ``year, month``.
+    ``files`` has ``path``; ``processed`` has ``year, month``.  A snapshot is a file, or
+    the folder of its part files.
     """
+    units = files.select(unit_path(F.col("path")).alias("path")).distinct()
     info = snapshot_period(F.col("path"))
-    named = files.select("path", info.alias("p")).filter(
+    named = units.select("path", info.alias("p")).filter(
         F.col("p.problem").isNull()
         & (F.col("p.kind") == kind)
         & F.col("p.year").between(FIRST_YEAR, LAST_YEAR)
@@ -152,7 +169,7 @@ def read_raw_rows(
         reader = reader.option("header", True)
     elif file_format == "parquet":
         reader = reader.option("mergeSchema", True)
-    info = snapshot_period(F.col("_metadata.file_name"))
+    info = snapshot_period(F.col("_metadata.file_path"))
     rows = reader.load(paths).withColumn("_p", info)
     usable = F.col("_p.problem").isNull() & (F.col("_p.kind") == kind) & is_data_sheet(kind)
     place = {f"snapshot_{part}": F.col(f"_p.{part}") for part in ("kind", "year", "month")}

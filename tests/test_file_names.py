@@ -14,6 +14,8 @@ def value(spark, name, expr):
         ("/a/FHA_SF_Snapshot_20240101.xlsx", None, ("single_family", 2024, 1, None)),
         ("fha_hecm_snapshot_20231201.parquet", "hecm", ("hecm", 2023, 12, None)),
         ("loans_202403.csv", "sf", ("single_family", 2024, 3, None)),
+        ("a/fha_sf_snapshot_20240101.parquet/part-0001-20200101.parquet", None, ("single_family", 2024, 1, None)),
+        ("a/snapshot_year=2023/snapshot_month=4/part-0.parquet", "hecm", ("hecm", 2023, 4, None)),
     ],
 )
 def test_snapshot_period(spark, name, kind, expected):
