@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from ..operators import (
     activity,
     betweenness,
+    cleaning,
     concentration,
+    counties,
     geography,
     identity,
     network,
@@ -32,7 +34,9 @@ from ..schemas import (
     STATE,
     YEAR,
 )
+from ..sources import file_names, snapshots, star_raw
 from ..sources.star_loans import loans, read_table, reverse_loans
+from . import import_snapshots, reports
 
 QUERIES = {}
 
@@ -281,3 +285,143 @@ register(
     lambda df: validation.verdict(validation.run_checks(df)),
     INDEX, STATE, AMOUNT, *_PARTIES,
 )
+
+# --- names that change within a month ------------------------------------------
+_NAMED = (YEAR, MONTH, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR)
+
+
+def mixed_names(df: DataFrame) -> DataFrame:
+    """Loans in which some originators trade under a second name with some sponsors."""
+    second = (F.col(ORIG_NO) % 4 == 1) & (F.col(MONTH) % 3 == F.col(SPONSOR_NO) % 3) & (F.col(YEAR) > 1996)
+    return df.withColumn(ORIG, F.when(second, F.concat(ORIG, F.lit(" II"))).otherwise(F.col(ORIG)))
+
+
+def register_mixed(name: str, operator) -> None:
+    register(f"{name}_mixed", lambda df: operator(mixed_names(df)), *_NAMED)
+
+
+register_mixed("month_conflicts", identity.month_conflicts)
+register_mixed("temporary_renames", identity.temporary_renames)
+register_mixed("segments_originator", identity.name_segments)
+register_mixed("name_events_originator", identity.name_events)
+register_mixed("name_transitions", identity.name_transitions)
+register_mixed("name_change_summary", lambda df: identity.name_change_summary(identity.name_transitions(df)))
+register_mixed("timeline", lambda df: identity.timeline(df, 5))
+register_mixed("oscillations", identity.oscillations)
+register_mixed("check_id_name_consistency_monthly", validation.check_id_name_consistency_monthly)
+register_mixed("check_name_oscillations", validation.check_name_oscillations)
+register_mixed("institution_summary", reports.institution_summary)
+
+# --- cleaning, counties and import ------------------------------------------------
+
+
+def register_raw(name: str, operator, source=star_raw.raw_sheets) -> None:
+    """Register ``operator(spark, raw rows)`` over the untidy sheets."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(operator(spark, source(spark, sf_dir)))
+
+    QUERIES[name] = run
+
+
+def _data_rows(raw: DataFrame, kind: str = "single_family") -> DataFrame:
+    return raw.filter(snapshots.is_data_sheet(kind))
+
+
+def _without_place(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in cleaning.PLACE_COLUMNS if c != "row_ord"])
+
+
+def _bronze(raw: DataFrame, kind: str = "single_family") -> DataFrame:
+    return import_snapshots.bronze_rows(_data_rows(raw, kind), kind)
+
+
+def _silver(spark: SparkSession, raw: DataFrame, **options) -> DataFrame:
+    reference = star_raw.county_reference(spark)
+    return import_snapshots.silver_rows(_bronze(raw), county_reference=reference, **options)
+
+
+def _pairs(raw: DataFrame) -> DataFrame:
+    return cleaning.clean_single_family(_data_rows(raw)).select(STATE, COUNTY)
+
+
+def _county_crosswalk(part: int):
+    def run(spark: SparkSession, raw: DataFrame) -> DataFrame:
+        return counties.build_county_crosswalk(
+            [_pairs(raw)],
+            star_raw.county_reference(spark),
+            existing=star_raw.stored_crosswalk(spark),
+            problematic=star_raw.stored_problems(spark),
+        )[part]
+
+    return run
+
+
+register_raw("clean_loans", lambda spark, raw: _without_place(cleaning.clean_single_family(_data_rows(raw))))
+register_raw(
+    "clean_hecm",
+    lambda spark, raw: _without_place(cleaning.clean_hecm(_data_rows(raw, "hecm"))),
+    star_raw.raw_hecm_sheets,
+)
+register_raw("clean_rejects", lambda spark, raw: cleaning.rejected_values(_data_rows(raw)))
+register_raw("row_keys", lambda spark, raw: _bronze(raw).select(INDEX, "snapshot_year", "snapshot_month", AMOUNT))
+register_raw(
+    "row_keys_hecm",
+    lambda spark, raw: _bronze(raw, "hecm").select(INDEX, "snapshot_year", "snapshot_month", "NMLS"),
+    star_raw.raw_hecm_sheets,
+)
+register_raw("silver_loans", _silver)
+register_raw("silver_domain_violations", lambda spark, raw: cleaning.domain_violations(_silver(spark, raw)))
+register_raw(
+    "county_standardised",
+    lambda spark, raw: counties.standardize_counties(_pairs(raw)).groupBy(STATE, COUNTY).count(),
+)
+register_raw(
+    "county_fips",
+    lambda spark, raw: counties.add_county_fips(_pairs(raw), star_raw.county_reference(spark))
+    .groupBy(STATE, COUNTY, FIPS)
+    .count(),
+)
+register_raw(
+    "fips_new_pairs",
+    lambda spark, raw: counties.new_county_pairs(
+        counties.county_pairs([_pairs(raw)]), star_raw.stored_crosswalk(spark), [STATE, COUNTY]
+    ),
+)
+register_raw("fips_crosswalk", _county_crosswalk(0))
+register_raw("fips_problematic", _county_crosswalk(1))
+register_raw(
+    "incremental_rows",
+    lambda spark, raw: import_snapshots.without_stored_months(
+        _silver(spark, raw), _silver(spark, raw).filter(F.col(YEAR) < 1998).select(YEAR, MONTH).distinct()
+    )
+    .groupBy(YEAR, MONTH)
+    .agg(F.count("*").alias("rows")),
+)
+
+
+def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.col("path")
+    info = file_names.snapshot_period(path, "sf")
+    return star_raw.file_names(spark, sf_dir).select(
+        "path",
+        info["kind"].alias("kind"),
+        info["year"].alias("year"),
+        info["month"].alias("month"),
+        info["problem"].isNull().alias("usable"),
+        file_names.year_in_name(file_names.base_name(path)).alias("year_in_name"),
+        file_names.month_in_name(file_names.base_name(path)).alias("month_in_name"),
+        file_names.period_suffix(path).alias("suffix"),
+        file_names.standard_file_name(path, "sf", F.lit("201001")).alias("standard_name"),
+    )
+
+
+def _pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = star_raw.file_names(spark, sf_dir)
+    names = files.select(F.regexp_replace("path", "_(19|20)(..)", "_20$2").alias("path"))
+    processed = spark.createDataFrame([(2095, 1), (2096, 2)], "year int, month int")
+    return snapshots.pending_files(names, "single_family", processed)
+
+
+QUERIES["file_names"] = _file_names
+QUERIES["pending_files"] = _pending_files

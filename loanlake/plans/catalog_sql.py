@@ -1,5 +1,6 @@
 """The named queries in SQL, written independently of the Spark operators."""
 
+from ..sources import star_raw
 from ..sources.star_loans import LOANS_SQL, REVERSE_SQL
 
 SQL = {}
@@ -545,11 +546,11 @@ for _name, _i, _n in (("oscillations", _ON, _O), ("oscillations_sponsor", _SN, _
     )
 
 # The fold over an ID's months: position k looks at the names recorded so far.
-_TRANSITIONS = f"""sets AS (
+_TRANSITIONS = f"""month_sets AS (
       SELECT {_ON} AS id, {_PERIOD} AS period,
              coalesce(list_sort(list(DISTINCT {_O}) FILTER ({_O} IS NOT NULL)), []) AS value
       FROM loans WHERE {_ON} IS NOT NULL GROUP BY 1, 2),
-    steps AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY period) AS k FROM sets),
+    steps AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY period) AS k FROM month_sets),
     fold AS (
       SELECT id, k, period, value, len(value) > 1 AS kept, cast([] AS varchar[]) AS seen_before,
              CASE WHEN len(value) > 1 THEN value ELSE [] END AS seen,
@@ -817,3 +818,238 @@ define(
            count(*) FILTER (is_warning AND status <> 'PASS') AS warnings,
            count(*) FILTER (NOT is_warning AND status <> 'PASS') = 0 AS passed FROM results""",
 )
+
+# --- names that change within a month ------------------------------------------
+_MIXED = f"""mixed AS (
+  SELECT * REPLACE (CASE WHEN {_ON} % 4 = 1 AND "Month" % 3 = {_SN} % 3 AND "Year" > 1996
+                         THEN {_O} || ' II' ELSE {_O} END AS {_O}) FROM loans)"""
+define(
+    "institution_summary",
+    f"""WITH RECURSIVE {_PAIRS}, {_ORDERED}, {_TRANSITIONS}, {_oscillations(_ON, _O)}
+    SELECT 'id_spaces' AS section, u.metric AS metric, cast(u.value AS bigint) AS value FROM (
+      UNPIVOT (SELECT count(DISTINCT {_O}) AS unique_originator_names, count(DISTINCT {_ON}) AS unique_originator_ids,
+          count(DISTINCT {_S}) AS unique_sponsor_names, count(DISTINCT {_SN}) AS unique_sponsor_ids,
+          (SELECT count(*) FROM (SELECT {_O} FROM loans INTERSECT SELECT {_S} FROM loans WHERE {_S} IS NOT NULL))
+            AS overlapping_names,
+          (SELECT count(*) FROM (SELECT {_ON} FROM loans INTERSECT SELECT {_SN} FROM loans WHERE {_SN} IS NOT NULL))
+            AS overlapping_ids FROM loans) ON COLUMNS(*) INTO NAME metric VALUE value) u
+    UNION ALL SELECT 'summary', 'unique_institution_numbers', count(DISTINCT institution_number) FROM pairs
+    UNION ALL SELECT 'summary', 'unique_institution_names', count(DISTINCT institution_name) FROM pairs
+    UNION ALL SELECT 'summary', 'ids_with_name_changes', count(DISTINCT id) FROM recorded
+    UNION ALL SELECT 'summary', 'mapping_errors', count(*) FROM ({_CONFLICTS} UNION ALL {_RENAMES})
+    UNION ALL SELECT 'summary', 'originator_oscillations', count(*) FROM found
+    UNION ALL SELECT 'summary', 'sponsor_oscillations', 0""",
+)
+# The sponsors of the view have one name each, so none of them oscillates.
+
+for _name in (
+    "month_conflicts",
+    "temporary_renames",
+    "segments_originator",
+    "name_events_originator",
+    "name_transitions",
+    "name_change_summary",
+    "timeline",
+    "oscillations",
+    "check_id_name_consistency_monthly",
+    "check_name_oscillations",
+    "institution_summary",
+):
+    _recursive = SQL[_name].startswith("WITH RECURSIVE")
+    _head = len("WITH RECURSIVE " if _recursive else "") + (len(_LOANS) - 5 if _recursive else len(_LOANS))
+    _rest = SQL[_name][_head:].replace("FROM loans", "FROM mixed").strip()
+    _intro = "WITH RECURSIVE " + _LOANS[5:] if _recursive else _LOANS
+    _join = ", " + _rest[1:] if _rest.startswith(",") else " " + _rest
+    SQL[f"{_name}_mixed"] = f"{_intro}, {_MIXED}{_join}"
+del SQL["institution_summary"]
+
+# --- cleaning, counties and import ------------------------------------------------
+
+
+def _list(values: tuple) -> str:
+    texts = ["NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values]
+    return f"[{', '.join(texts)}]"
+
+
+def _pick(values: tuple, index: str) -> str:
+    return f"({_list(values)})[({index} % {len(values)}) + 1]"
+
+
+def define_raw(name: str, body: str) -> None:
+    """``body`` may select from ``cleaned`` (data rows) and may start with further CTEs."""
+    SQL[name] = f"WITH {_CLEANED}, {body.strip()[5:]}" if body.strip().startswith("WITH ") else f"WITH {_CLEANED} {body}"
+
+
+# What the cleaning rules make of the untidy sheets, derived from orders directly.
+_PURPOSE = f"""CASE WHEN p IN ('Fixed Rate', 'Rehabilitation', 'Single Family') THEN 'Purchase'
+  WHEN p = 'Refi_Conv-Curr' THEN 'Refi_Conv_Curr' WHEN p = 'a-b-c-d' THEN 'a_b_c-d' ELSE p END"""
+_CLEANED = f"""picked AS (
+  SELECT *, o_orderkey AS k, o_custkey AS c, {_pick(star_raw.PURPOSES, "o_orderkey")} AS p,
+    {_pick(star_raw.COUNTIES, "o_orderkey")} AS county, {_pick(star_raw.STATES, "o_custkey")} AS state,
+    {_pick(star_raw.DOWN_PAYMENTS, "o_orderkey")} AS down FROM orders),
+cleaned AS (
+  SELECT k AS row_ord, o_orderstatus, year(o_orderdate) AS sy, month(o_orderdate) AS sm,
+    state AS "Property State", 'Springfield' AS "Property City",
+    CASE WHEN county <> '#NULL!' THEN county END AS "Property County",
+    CASE WHEN k % 97 <> 0 THEN cast(c % 100000 AS int) END AS "Property Zip",
+    CASE WHEN k % 43 = 0 THEN 'nan' WHEN k % 41 <> 0 THEN 'Lender ' || (c % 37) END AS "Originating Mortgagee",
+    cast(c % 37 + 100 AS int) AS "Originating Mortgagee Number",
+    CASE WHEN k % 13 <> 0 THEN 'Sponsor ' || (k % 19) END AS "Sponsor Name",
+    cast(k % 19 AS int) AS "Sponsor Number",
+    CASE down WHEN 'NonProfit' THEN 'Non Profit' WHEN ' ' THEN NULL WHEN 'nan' THEN NULL ELSE down END
+      AS "Down Payment Source",
+    CASE WHEN k % 53 <> 0 THEN cast(k % 7 AS bigint) END AS "Non Profit Number",
+    CASE WHEN k % 2 = 0 THEN 'Fixed Rate' ELSE 'Adjustable Rate' END AS "Product Type",
+    {_PURPOSE} AS "Loan Purpose", 'Condo' AS "Property Type",
+    CASE WHEN k % 89 <> 0 THEN (c % 40) / 8.0::double + 2 END AS "Interest Rate",
+    cast(floor(o_totalprice) AS bigint) AS "Mortgage Amount",
+    cast(year(o_orderdate) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month"
+  FROM picked WHERE o_orderstatus IN ('O', 'F') AND p IS NOT NULL AND p <> 'Loan_Purpose'),
+numbered AS (
+  SELECT *, sy || lpad(sm::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
+    PARTITION BY sy, sm ORDER BY o_orderstatus DESC, row_ord) AS varchar), 7, '0') AS "FHA_Index" FROM cleaned)"""
+_FIX = """CASE WHEN state = 'IL' AND up = 'DU PAGE' THEN 'DUPAGE' WHEN state = 'IL' AND up = 'DE KALB' THEN 'DEKALB'
+  WHEN state = 'MO' AND up = 'STE GENEVIEVE' THEN 'SAINTE GENEVIEVE'
+  WHEN state = 'LA' AND up = 'ST JOHN THE BAPTIST' THEN 'ST. JOHN THE BAPTIST'
+  WHEN state = 'PR' AND up = 'BAYAM''N' THEN 'BAYAMON' ELSE regexp_replace(up, ' COUNTY$', '') END"""
+
+
+def _standard(source: str) -> str:
+    """Rows of ``source`` with corrected ``Property State`` and ``Property County``."""
+    return f"""(SELECT * REPLACE (state AS "Property State",
+        CASE WHEN fixed LIKE 'ST %' THEN 'ST. ' || substr(fixed, 4) WHEN fixed LIKE 'STE %' THEN 'SAINTE ' || substr(fixed, 5)
+             ELSE fixed END AS "Property County") FROM (
+      SELECT *, {_FIX} AS fixed FROM (
+        SELECT *, CASE WHEN "Property State" = 'AK' AND up = 'EL PASO' THEN 'TX' ELSE "Property State" END AS state FROM (
+          SELECT *, CASE WHEN "Property County" IS NULL OR lower("Property County") IN ('nan', 'none') THEN ''
+                         ELSE upper("Property County") END AS up FROM {source}))))"""
+
+
+# Names under which the reference counties are found, written out.
+_CODES = """codes(st, name, code) AS (VALUES ('CA', 'LOS ANGELES', '06037'), ('CA', 'ORANGE', '06059'),
+  ('IL', 'DUPAGE', '17043'), ('MO', 'SAINTE GENEVIEVE', '29186'), ('LA', 'ST. JOHN THE BAPTIST', '22095'),
+  ('MN', 'ST. LOUIS', '27137'), ('PR', 'BAYAMON', '72021'), ('TX', 'EL PASO', '48141'), ('MD', 'BALTIMORE', '24510'),
+  ('IL', 'DEKALB', '17037'))"""
+_SF_COLUMNS = ", ".join(
+    f'"{c}"'
+    for c in (
+        "Property State", "Property City", "Property County", "Property Zip", "Originating Mortgagee",
+        "Originating Mortgagee Number", "Sponsor Name", "Sponsor Number", "Down Payment Source", "Non Profit Number",
+        "Product Type", "Loan Purpose", "Property Type", "Interest Rate", "Mortgage Amount", "Year", "Month",
+    )
+)
+define_raw("clean_loans", f"SELECT row_ord, {_SF_COLUMNS} FROM cleaned")
+define_raw(
+    "row_keys",
+    """SELECT "FHA_Index", cast(sy AS int) AS snapshot_year, cast(sm AS int) AS snapshot_month, "Mortgage Amount"
+    FROM numbered""",
+)
+SQL["row_keys_hecm"] = """
+  SELECT 'H' || year(o_orderdate) || lpad(month(o_orderdate)::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
+      PARTITION BY year(o_orderdate), month(o_orderdate) ORDER BY o_orderkey) AS varchar), 7, '0') AS "FHA_Index",
+    cast(year(o_orderdate) AS int) AS snapshot_year, cast(month(o_orderdate) AS int) AS snapshot_month,
+    CASE WHEN o_orderkey % 7 <> 0 THEN cast(o_orderkey % 1000 AS bigint) END AS "NMLS" FROM orders"""
+SQL["clean_hecm"] = f"""
+  SELECT o_orderkey AS row_ord, {_pick(star_raw.STATES, "o_custkey")} AS "Property State",
+    CASE WHEN o_orderkey % 5 <> 0 THEN 'Lender ' || (o_custkey % 37) END AS "Originating Mortgagee",
+    cast(o_custkey % 37 AS int) AS "Originating Mortgagee Number",
+    CASE WHEN o_orderkey % 3 <> 0 THEN 'Sponsor' END AS "Sponsor Name",
+    CASE WHEN o_orderkey % 7 <> 0 THEN cast(o_orderkey % 1000 AS bigint) END AS "NMLS",
+    CASE WHEN o_orderkey % 2 = 0 THEN 'Saver' END AS "Standard/Saver", 'Purchase' AS "Purchase/Refinance",
+    (o_custkey % 40) / 8.0::double + 2 AS "Interest Rate", floor(o_totalprice) AS "Maximum Claim Amount",
+    cast(year(o_orderdate) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month",
+    cast(o_orderkey % 11 AS bigint) AS "Previous Servicer ID"
+  FROM orders"""
+SQL["clean_rejects"] = """
+  WITH data AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus IN ('O', 'F'))
+  SELECT 'Property Zip' AS "column", count(*) FILTER (k % 97 = 0) AS rejected FROM data
+  UNION ALL SELECT 'Non Profit Number', count(*) FILTER (k % 53 = 0) FROM data
+  UNION ALL SELECT 'Interest Rate', count(*) FILTER (k % 89 = 0) FROM data
+  UNION ALL SELECT unnest(['Originating Mortgagee Number', 'Sponsor Number', 'Mortgage Amount', 'Year', 'Month']), 0"""
+_SILVER = f"""{_CODES}, silver AS (
+  SELECT {_SF_COLUMNS.replace('"Originating Mortgagee",', """CASE WHEN "Originating Mortgagee" IS NULL
+      OR "Originating Mortgagee" IN ('nan', 'None') THEN '' ELSE "Originating Mortgagee" END AS "Originating Mortgagee",""")
+    .replace('"Sponsor Name",', """coalesce("Sponsor Name", '') AS "Sponsor Name",""")},
+    "FHA_Index", code AS "FIPS", make_date("Year", "Month", 1) AS "Date"
+  FROM {_standard("numbered")} LEFT JOIN codes ON st = "Property State" AND name = "Property County")"""
+define_raw("silver_loans", f"WITH {_SILVER} SELECT * FROM silver")
+define_raw(
+    "silver_domain_violations",
+    f"""WITH {_SILVER}, long AS (
+      SELECT 'Loan Purpose' AS "column", "Loan Purpose" AS value FROM silver
+        WHERE "Loan Purpose" NOT IN ('Purchase', 'Refi_FHA', 'Refi_Conv_Curr')
+      UNION ALL SELECT 'Down Payment Source', "Down Payment Source" FROM silver
+        WHERE "Down Payment Source" NOT IN ('Borrower', 'Relative', 'Gov Asst', 'Non Profit', 'Employer'))
+    SELECT "column", value, count(*) AS rows FROM long GROUP BY ALL""",
+)
+define_raw(
+    "incremental_rows",
+    f"""WITH {_SILVER} SELECT "Year", "Month", count(*) AS rows FROM silver WHERE "Year" >= 1998 GROUP BY ALL""",
+)
+define_raw(
+    "county_standardised",
+    f"""SELECT "Property State", "Property County", count(*) AS count FROM {_standard("cleaned")} GROUP BY ALL""",
+)
+define_raw(
+    "county_fips",
+    f"""WITH {_CODES}
+    SELECT "Property State", "Property County", code AS "FIPS", count(*) AS count FROM {_standard("cleaned")}
+    LEFT JOIN codes ON st = "Property State" AND name = "Property County" GROUP BY ALL""",
+)
+_PAIR_SQL = f"""pairs AS (SELECT DISTINCT upper("Property State") AS s, "Property County" AS n
+    FROM {_standard("cleaned")} WHERE "Property State" <> '' AND "Property County" <> '')"""
+define_raw(
+    "fips_new_pairs",
+    f"""WITH {_PAIR_SQL} SELECT s AS "Property State", n AS "Property County" FROM pairs
+    WHERE (s, n) NOT IN (('CA', 'ORANGE'), ('IL', 'DUPAGE'))""",
+)
+_RESOLVED = f"""{_PAIR_SQL}, {_CODES}, resolved AS (
+    SELECT s, n, CASE WHEN s = 'DC' AND n = 'WASHINGTON' THEN '11001' ELSE code END AS code
+    FROM pairs LEFT JOIN codes ON st = s AND name = n WHERE (s, n) NOT IN (('CA', 'ORANGE'), ('IL', 'DUPAGE')))"""
+define_raw(
+    "fips_crosswalk",
+    f"""WITH {_RESOLVED}
+    SELECT s AS "Property State", n AS "Property County", code AS "FIPS" FROM resolved WHERE code IS NOT NULL
+    UNION ALL VALUES ('CA', 'ORANGE', '06059'), ('IL', 'DUPAGE', '17043')""",
+)
+define_raw(
+    "fips_problematic",
+    f"""WITH {_RESOLVED}
+    SELECT s AS "Property State", n AS "Property County" FROM resolved WHERE code IS NULL
+    UNION SELECT 'QQ', 'NOWHERE'
+    UNION SELECT 'PR', 'BAYAMON' WHERE NOT EXISTS (SELECT 1 FROM resolved WHERE s = 'PR' AND n = 'BAYAMON')""",
+)
+_NAMES = """names AS (
+  SELECT DISTINCT * FROM (SELECT unnest([
+    {'style': 1, 'path': 'raw/FHA_SF_Snapshot_' || y || m || '01.xlsx', 'y': y, 'm': m},
+    {'style': 2, 'path': 'fha_hecm_snapshot_' || y || m || '01.parquet', 'y': y, 'm': m},
+    {'style': 3, 'path': 'FHA_SFSnapshot_' || mon || '2023.xlsx', 'y': '2023', 'm': m},
+    {'style': 4, 'path': 'snap_' || m || substr(y, 3, 2) || '.zip', 'y': '20' || substr(y, 3, 2), 'm': m},
+    {'style': 5, 'path': 'loans_202' || substr(y, 4, 1) || m || '.csv', 'y': '202' || substr(y, 4, 1), 'm': m},
+    {'style': 6, 'path': 'notes-' || o_orderstatus || '.txt', 'y': NULL, 'm': NULL}], recursive := true)
+  FROM (SELECT *, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%b') AS mon
+        FROM orders)))"""
+SQL["pending_files"] = f"""
+  WITH {_NAMES}, dated AS (SELECT path, cast(('20' || substr(y, 3, 2)) AS int) AS year, cast(m AS int) AS month
+                           FROM names WHERE style = 1)
+  SELECT regexp_replace(path, 'Snapshot_..', 'Snapshot_20') AS path, year, month FROM dated
+  WHERE year BETWEEN 2010 AND 2098 AND (year, month) NOT IN ((2095, 1), (2096, 2))"""
+_MONTHS = "['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec']"
+SQL["file_names"] = f"""
+  WITH {_NAMES}, parts AS (
+    SELECT *, replace(path, 'raw/', '') AS name,
+      nullif(list_position(list_transform({_MONTHS}, lambda x: contains(lower(path), x)), true), 0) AS abbr,
+      regexp_extract_all(replace(path, 'raw/', ''), '20[0-9][0-9]') AS years,
+      regexp_extract(replace(path, 'raw/', ''), '(0[1-9]|1[0-2])([0-9][0-9])', 1) AS mm,
+      regexp_extract(replace(path, 'raw/', ''), '(0[1-9]|1[0-2])([0-9][0-9])', 2) AS yy FROM names),
+  loose AS (
+    SELECT *, CASE WHEN len(years) = 1 THEN cast(years[1] AS int)
+                   WHEN len(years) = 0 AND yy <> '' THEN cast(yy AS int) + 2000 END AS loose_year FROM parts)
+  SELECT path, CASE WHEN style = 2 THEN 'hecm' ELSE 'single_family' END AS kind,
+    CASE WHEN style IN (1, 2, 5) THEN cast(y AS int) END AS year,
+    CASE WHEN style IN (1, 2, 5) THEN cast(m AS int) END AS month,
+    style IN (1, 5) AS usable, loose_year AS year_in_name, cast(abbr AS int) AS month_in_name,
+    '_' || loose_year || lpad(abbr::varchar, 2, '0') AS suffix,
+    'fha_sf_snapshot_' || coalesce(loose_year || coalesce(lpad(abbr::varchar, 2, '0'), nullif(mm, '')), '201001') || '01'
+      || regexp_extract(name, '[.][a-z]+$') AS standard_name
+  FROM loose"""
