@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import month_date, period, trimmed
 from ..schemas import MONTH, ORIG, ORIG_NO, SPONSOR, SPONSOR_NO, YEAR
+from ..sources.checkpoints import cut_lineage
 
 ORIGINATOR, SPONSOR_ROLE = "Originator", "Sponsor"
 ROLE_COLUMNS = {ORIGINATOR: (ORIG_NO, ORIG), SPONSOR_ROLE: (SPONSOR_NO, SPONSOR)}
@@ -31,6 +32,9 @@ EVENT_TYPES = {
 # --- observations --------------------------------------------------------------
 
 
+PARTY_COLUMNS = (YEAR, MONTH, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR)
+
+
 def party_months(df: DataFrame) -> DataFrame:
     """Loans per month and combination of originator and sponsor.
 
@@ -41,7 +45,16 @@ def party_months(df: DataFrame) -> DataFrame:
     """
     if "loans" in df.columns:
         return df
-    return df.groupBy(YEAR, MONTH, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR).agg(F.count("*").alias("loans"))
+    return df.groupBy(*[c for c in PARTY_COLUMNS if c in df.columns]).agg(F.count("*").alias("loans"))
+
+
+def stored_party_months(df: DataFrame) -> DataFrame:
+    """Party counts written once, for operators that read them several times.
+
+    Loans are then scanned once; Spark would not share the scan by itself, as every
+    use pushes its own filters below the counts.
+    """
+    return df if "loans" in df.columns else cut_lineage(party_months(df))
 
 
 def role_observations(df: DataFrame, role: str) -> DataFrame:
@@ -227,7 +240,7 @@ def _space_counts(members: DataFrame) -> DataFrame:
 
 def id_spaces(df: DataFrame) -> DataFrame:
     """One row: distinct IDs and names per side, overlaps, and the first ten of each."""
-    members = _space_members(df)
+    members = cut_lineage(_space_members(df))
     return _space_counts(members).withColumns(
         {
             "sample_overlapping_names": smallest(overlap(members, "name"), "name", 10),
@@ -262,9 +275,10 @@ def month_conflicts(df: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Numbers with several names in one month."""
     pairs = institution_pairs(df) if pairs is None else pairs
     return (
-        pairs.groupBy("institution_number", "Date")
+        pairs.filter(F.col("Date").isNotNull())
+        .groupBy("institution_number", "Date")
         .agg(F.array_sort(F.collect_set("institution_name")).alias("names"))
-        .filter((F.size("names") > 1) & F.col("Date").isNotNull())
+        .filter(F.size("names") > 1)
         .select(
             *_errors(
                 F.col("institution_number"),
@@ -283,7 +297,8 @@ def temporary_renames(df: DataFrame, pairs: DataFrame | None = None) -> DataFram
     by_name = Window.partitionBy("institution_number", "institution_name")
     name = F.col("institution_name")
     return (
-        pairs.withColumn("rn", F.row_number().over(in_time))
+        pairs.filter(F.col("Date").isNotNull())
+        .withColumn("rn", F.row_number().over(in_time))
         .withColumn("last_rn", F.max("rn").over(by_name))
         .withColumn("prev", F.lag(F.struct(name.alias("name"), "last_rn")).over(in_time))
         .filter((name != F.col("prev.name")) & (F.col("prev.last_rn") > F.col("rn")))
@@ -466,7 +481,7 @@ def sponsor_sets(parties: DataFrame) -> DataFrame:
 
 def ownership_events(df: DataFrame) -> DataFrame:
     """Changes of the sponsors behind an originator, and months with several sponsors."""
-    parties = party_months(df)
+    parties = stored_party_months(df)
 
     def names(value):
         return F.transform(value, lambda s: s["name"])
@@ -502,7 +517,7 @@ def ownership_events(df: DataFrame) -> DataFrame:
 
 def event_log(df: DataFrame) -> DataFrame:
     """Name events of both sides and ownership events in one sorted table."""
-    parties = party_months(df)
+    parties = stored_party_months(df)
     return (
         name_events(parties, ORIGINATOR)
         .unionByName(name_events(parties, SPONSOR_ROLE))
@@ -579,48 +594,38 @@ def oscillations(
     if two neighbouring occurrences have a run between them, with the names found
     between the first such pair.
     """
-    named = (
+    whole = Window.partitionBy("id")
+    runs = (
         segments(name_sets(df, role))
-        .withColumn("runs", F.max("segment").over(Window.partitionBy("id")))
-        .select("id", "segment", "start_period", "runs", F.explode("value").alias("name"))
-    )
-    by_name = Window.partitionBy("id", "name")
-    in_order = by_name.orderBy("segment")
-    occurrences = (
-        named.filter(F.col("runs") >= min_changes)
-        .withColumns(
-            {
-                "next_segment": F.lead("segment").over(in_order),
-                "times": F.count("*").over(by_name),
-                "first_segment": F.min("segment").over(by_name),
-            }
-        )
-        .withColumn(
-            "gap",
-            F.when(
-                F.col("next_segment") - F.col("segment") > 1,
-                F.struct(F.col("segment").alias("left"), F.col("next_segment").alias("right")),
-            ),
-        )
+        # All runs of the ID next to each of them: a list bounded by the months.
+        .withColumn("all_runs", F.collect_list(F.struct("segment", "value")).over(whole))
+        .filter(F.size("all_runs") >= min_changes)
+        .select("id", "segment", "start_period", "all_runs", F.explode("value").alias("name"))
     )
+    following = F.lead("segment").over(Window.partitionBy("id", "name").orderBy("segment"))
     hits = (
-        occurrences.filter("times >= 2")
+        runs.withColumn("next_segment", following)
         .groupBy("id", "name")
         .agg(
-            F.min("first_segment").alias("first_segment"),
-            F.min("gap").alias("gap"),
+            F.min("segment").alias("first_segment"),
+            F.min(
+                F.when(F.col("next_segment") - F.col("segment") > 1, F.struct("segment", "next_segment"))
+            ).alias("gap"),
             F.array_sort(F.collect_list("start_period")).alias("periods"),
+            F.first("all_runs").alias("all_runs"),
         )
+        .filter(F.size("periods") >= 2)
     )
     if not all_names:
-        first = F.row_number().over(Window.partitionBy("id").orderBy("first_segment", "name"))
-        hits = hits.withColumn("rank", first).filter("rank = 1").drop("rank")
-    between = (
-        hits.filter(F.col("gap").isNotNull())
-        .alias("h")
-        .join(named.alias("n"), "id")
-        .filter((F.col("n.segment") > F.col("h.gap.left")) & (F.col("n.segment") < F.col("h.gap.right")))
+        first = F.row_number().over(whole.orderBy("first_segment", "name"))
+        hits = hits.withColumn("rank", first).filter("rank = 1")
+    inside = F.filter(
+        "all_runs",
+        lambda r: (r["segment"] > F.col("gap.segment")) & (r["segment"] < F.col("gap.next_segment")),
     )
-    return between.groupBy("id", F.col("h.name").alias("oscillating_name"), "periods").agg(
-        F.array_sort(F.collect_set("n.name")).alias("intermediate_names")
+    between = F.array_sort(F.array_distinct(F.flatten(F.transform(inside, lambda r: r["value"]))))
+    return (
+        hits.filter(F.col("gap").isNotNull())
+        .select("id", F.col("name").alias("oscillating_name"), "periods", between.alias("intermediate_names"))
+        .filter(F.size("intermediate_names") > 0)
     )

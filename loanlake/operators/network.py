@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import median, ranked_histogram, ratio, sum0
 from ..schemas import AMOUNT, ORIG, ORIG_NO, SPONSOR, SPONSOR_NO, YEAR
+from ..sources.checkpoints import cut_lineage
 
 ORIGINATOR, SPONSOR_SIDE = "originator", "sponsor"
 EDGE_KEYS = ["originator_key", ORIG, ORIG_NO, "sponsor_key", SPONSOR, SPONSOR_NO]
@@ -115,7 +116,8 @@ def vertices(edge_table: DataFrame) -> DataFrame:
 def bipartite_graph(
     edge_table: DataFrame, *, weight_col: str = "loan_count", edge_merge: str = "sum"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(vertices, edges)`` of the network."""
+    """``(vertices, edges)`` of the network; the edge table is written once and read by both."""
+    edge_table = cut_lineage(edge_table)
     return vertices(edge_table), graph_edges(edge_table, weight_col=weight_col, edge_merge=edge_merge)
 
 
@@ -250,23 +252,15 @@ def top(df: DataFrame, k: int, *order) -> DataFrame:
 
 def edge_totals(edge_table: DataFrame) -> DataFrame:
     """One row: edges, nodes of both sides, volume, loans and density E / (N (N-1) / 2)."""
-    per_side = vertices(edge_table).agg(
-        F.count(F.when(F.col("side") == ORIGINATOR, 1)).alias("o"),
-        F.count(F.when(F.col("side") == SPONSOR_SIDE, 1)).alias("s"),
-    )
     return (
         edge_table.agg(
             F.count("*").alias("edge_count"),
             F.count_distinct("originator_key", "sponsor_key").alias("pair_count"),
+            F.count_distinct("originator_key").alias("originator_nodes"),
+            F.count_distinct("sponsor_key").alias("sponsor_nodes"),
             sum0("loan_count").alias("total_loans"),
             sum0("total_volume").alias("total_volume"),
         )
-        .withColumns(
-            {
-                "originator_nodes": per_side.select("o").scalar(),
-                "sponsor_nodes": per_side.select("s").scalar(),
-            }
-        )
         .withColumn("nodes", F.col("originator_nodes") + F.col("sponsor_nodes"))
         .withColumn("density", ratio(F.col("pair_count") * 2, F.col("nodes") * (F.col("nodes") - 1)))
         .drop("nodes")

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from ..functions import count_where, n_unique
 from ..schemas import AMOUNT, INDEX, MONTH, ORIG, ORIG_NO, REQUIRED_COLUMNS, SPONSOR, SPONSOR_NO, YEAR
+from ..sources.checkpoints import cut_lineage
 from .identity import (
     ORIGINATOR,
     _space_counts,
     _space_members,
     oscillations,
     overlap,
+    party_months,
     smallest,
+    stored_party_months,
 )
 
 RESULT_COLUMNS = ("check_name", "status", "is_warning", "details")
@@ -200,9 +203,10 @@ def check_id_name_consistency_monthly(df: DataFrame) -> DataFrame:
     """One name per originator number and month."""
     # A missing name next to a real one is a second name.
     several = (
-        df.filter(F.col(ORIG_NO).isNotNull())
-        .groupBy(F.col(ORIG_NO).alias("id"), YEAR, MONTH, F.col(ORIG).alias("name"))
-        .agg(F.count("*").alias("loans"))
+        stored_party_months(df)
+        .filter(F.col(ORIG_NO).isNotNull())
+        .select(F.col(ORIG_NO).alias("id"), YEAR, MONTH, F.col(ORIG).alias("name"))
+        .distinct()
         .groupBy("id", YEAR, MONTH)
         .agg(F.count("*").alias("names"), F.array_sort(F.collect_set("name")).alias("list"))
         .filter("names > 1")
@@ -223,7 +227,7 @@ def check_id_name_consistency_monthly(df: DataFrame) -> DataFrame:
 
 def check_overlapping_id_spaces(df: DataFrame) -> DataFrame:
     """No number is used by both originators and sponsors."""
-    members = _space_members(df)
+    members = cut_lineage(_space_members(df))
     details = {
         "unique_originator_ids": F.col("unique_originator_ids"),
         "unique_sponsor_ids": F.col("unique_sponsor_ids"),
@@ -240,7 +244,7 @@ def check_overlapping_id_spaces(df: DataFrame) -> DataFrame:
 
 def check_name_oscillations(df: DataFrame, min_changes: int = 3) -> DataFrame:
     """No originator name leaves and comes back."""
-    found = oscillations(df, ORIGINATOR, min_changes)
+    found = oscillations(stored_party_months(df), ORIGINATOR, min_changes)
     text = F.concat(
         F.col("id").cast("string"),
         F.lit(": "),
@@ -262,8 +266,9 @@ def check_name_oscillations(df: DataFrame, min_changes: int = 3) -> DataFrame:
 def originators_with_several_ids(df: DataFrame) -> DataFrame:
     """Originator names with more than one number (a missing number counts)."""
     return (
-        df.groupBy(ORIG, ORIG_NO, SPONSOR)
-        .agg(F.count("*").alias("loans"))
+        party_months(df)
+        .groupBy(ORIG, ORIG_NO, SPONSOR)
+        .agg(F.sum("loans").alias("loans"))
         .groupBy(ORIG)
         .agg(
             n_unique(ORIG_NO).alias("unique_ids"),
@@ -276,7 +281,7 @@ def originators_with_several_ids(df: DataFrame) -> DataFrame:
 
 def check_originator_sponsor_relationships(df: DataFrame) -> DataFrame:
     """Every originator name has one number."""
-    found = originators_with_several_ids(df)
+    found = originators_with_several_ids(stored_party_months(df))
     text = F.concat(
         F.coalesce(F.col(ORIG), F.lit("")),
         F.lit(": "),
@@ -310,6 +315,13 @@ CHECKS: dict[str, Callable[..., DataFrame]] = {
     "check_date_coverage": check_date_coverage,
     "check_mortgage_amounts": check_mortgage_amounts,
 }
+# Checks answered from the party counts.
+_PARTIES = (
+    "check_id_name_consistency_monthly",
+    "check_overlapping_id_spaces",
+    "check_name_oscillations",
+    "check_originator_sponsor_relationships",
+)
 CRITICAL = ("check_required_columns", "check_fha_index_uniqueness", "check_id_name_consistency_monthly")
 _COUNTING = (
     "check_missing_originator_ids",
@@ -330,8 +342,9 @@ def run_checks(
 ) -> DataFrame:
     """Results of the named checks (all by default) as one table.
 
-    Counting checks are answered from one scan.  ``extra`` adds checks of the
-    caller: any function from the table to one result row.
+    Counting checks are answered from one scan and identity checks from another.
+    ``extra`` adds checks of the caller: any function from the table to one result
+    row.
     """
     checks = {**CHECKS, **(extra or {})}
     names = list(checks) if names is None else list(names)
@@ -339,7 +352,8 @@ def run_checks(
     if unknown:
         raise ValueError(f"Unknown checks: {unknown}")
     counting = [n for n in names if n in _COUNTING]
-    parts = [checks[n](df) for n in names if n not in _COUNTING]
+    parties = stored_party_months(df) if any(n in _PARTIES for n in names) else df
+    parts = [checks[n](parties if n in _PARTIES else df) for n in names if n not in _COUNTING]
     if counting:
         parts.append(profile_checks(df, counting, threshold_pct))
     out = parts[0]

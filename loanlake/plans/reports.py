@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import activity, identity, network, trends, validation
+from ..sources.checkpoints import cut_lineage
 from ..sources.sinks import write_tabular
 
 
@@ -23,7 +24,7 @@ def network_tables(
     merge_shared_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """Edges, centrality of both sides, both projections and a summary row."""
-    table = network.edges(df, start_year=start_year, end_year=end_year, min_loans=min_loans)
+    table = cut_lineage(network.edges(df, start_year=start_year, end_year=end_year, min_loans=min_loans))
     vertex_table, edge_list = network.bipartite_graph(table, weight_col=weight_col, edge_merge=edge_merge)
     return {
         "edges": network.ranked_edges(table),
@@ -35,6 +36,7 @@ def network_tables(
 
 def institution_summary(df: DataFrame) -> DataFrame:
     """``section, metric, value`` of the institution report."""
+    df = identity.stored_party_months(df)
     pairs = identity.institution_pairs(df)
     spaces = identity.id_spaces(df).drop("sample_overlapping_names", "sample_overlapping_ids")
     counts = spaces.unpivot([], spaces.columns, "metric", "value").withColumn("section", F.lit("id_spaces"))
@@ -62,24 +64,20 @@ def institution_summary(df: DataFrame) -> DataFrame:
 def institution_report(df: DataFrame, output_dir: str) -> dict[str, str]:
     """Write crosswalk, mapping errors, summary and event log; returns their paths.
 
-    All parts start from the same monthly counts, which are kept for the duration.
+    All parts start from the same stored monthly counts, so loans are scanned once.
     """
-    parties = identity.party_months(df).persist()
-    try:
-        # One row stands for `loans` loans; only sets of names and months matter here.
-        tables = {
-            "crosswalk": (identity.institution_crosswalk(parties), "csv"),
-            "errors": (identity.mapping_errors(parties), "csv"),
-            "summary": (institution_summary(parties), "csv"),
-            "event_log": (identity.event_log(parties), "parquet"),
-        }
-        paths = {}
-        for name, (table, suffix) in tables.items():
-            paths[name] = f"{output_dir.rstrip('/')}/institution_{name}.{suffix}"
-            write_tabular(table, paths[name])
-        return paths
-    finally:
-        parties.unpersist()
+    parties = identity.stored_party_months(df)
+    tables = {
+        "crosswalk": (identity.institution_crosswalk(parties), "csv"),
+        "errors": (identity.mapping_errors(parties), "csv"),
+        "summary": (institution_summary(parties), "csv"),
+        "event_log": (identity.event_log(parties), "parquet"),
+    }
+    paths = {}
+    for name, (table, suffix) in tables.items():
+        paths[name] = f"{output_dir.rstrip('/')}/institution_{name}.{suffix}"
+        write_tabular(table, paths[name])
+    return paths
 
 
 def export_validation(results: DataFrame, path: str) -> None:

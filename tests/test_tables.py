@@ -143,3 +143,22 @@ def test_hhi_bounds_and_cells(spark):
             one = concentration.lender_hhi(df, t, g, "originator")
             part = cells.filter((F.col("time_level") == t) & (F.col("geography_level") == g) & (F.col("lender_type") == "originator"))
             assert sorted(rows_of(part.select(one.columns)), key=str) == sorted(rows_of(one), key=str)
+
+
+def test_trend_tables_equal_the_single_tables(spark):
+    from conftest import SMALL
+    from loanlake.sources.star_loans import loans
+
+    df = loans(spark, SMALL, s.DATE, s.ORIG, s.DOWN, s.PROPERTY, s.PRODUCT, s.PURPOSE, s.RATE, s.AMOUNT)
+    tables = trends.trend_tables(df, 5)
+    single = {
+        "active_lenders": trends.active_lenders(df),
+        "down_payment_source": trends.borrower_funded_share(df),
+        "by_property_type": trends.averages_by_property(df),
+        "top_lender_groups": trends.top_lender_groups(df, 5),
+        "category_counts": trends.category_counts(df),
+    }
+    for name, table in single.items():
+        for a, b in zip(rows_of(tables[name]), rows_of(table), strict=True):
+            assert a == pytest.approx(b) if all(isinstance(x, float) for x in a) else str(a)[:20] == str(b)[:20]
+            assert [x for x in a if isinstance(x, float)] == pytest.approx([x for x in b if isinstance(x, float)])
