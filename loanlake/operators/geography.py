@@ -45,9 +45,8 @@ def metro_metrics(
 ) -> DataFrame:
     """As :func:`county_metrics`, per metro area; loans outside any metro keep a null key.
 
-    With a crosswalk, loans are first reduced to one histogram row per county and
-    value only if the crosswalk is joined afterwards; here the join comes first and
-    stays map-side as long as the crosswalk passes the size check.
+    A crosswalk of counties passes the size check and joins map-side, so the only
+    shuffles are those of the summary.
     """
     freq = normalize_frequency(frequency)
     if cbsa_crosswalk is not None:

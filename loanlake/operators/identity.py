@@ -571,19 +571,24 @@ def name_change_summary(transitions: DataFrame, top_n: int | None = None) -> Dat
     return table if top_n is None else table.limit(top_n)
 
 
-def timeline(df: DataFrame, institution_id: int, role: str = ORIGINATOR) -> DataFrame:
-    """Periods at which the name set of one ID changes, with the loans of that period."""
+def timelines(df: DataFrame, ids, role: str = ORIGINATOR) -> DataFrame:
+    """Periods at which the name set of the given IDs changes, with the loans of that period."""
     id_col, _ = ROLE_COLUMNS[role]
-    sets = name_sets(df.filter(F.col(id_col) == institution_id), role)
+    sets = name_sets(df.filter(F.col(id_col).isin(*ids)), role)
     previous = F.lag("value").over(Window.partitionBy("id").orderBy("period"))
     return (
         sets.withColumn("changed", F.coalesce(F.col("value") != previous, F.lit(True)))
         .filter("changed")
-        .select("period", F.col("value").alias("names"), F.col("records").alias("loan_count"))
-        .orderBy("period")
+        .select("id", "period", F.col("value").alias("names"), F.col("records").alias("loan_count"))
+        .orderBy("id", "period")
     )
 
 
+def timeline(df: DataFrame, institution_id: int, role: str = ORIGINATOR) -> DataFrame:
+    """:func:`timelines` of one ID; an unknown ID has no rows."""
+    return timelines(df, [institution_id], role).drop("id")
+
+
 def oscillations(
     df: DataFrame, role: str = ORIGINATOR, min_changes: int = 3, *, all_names: bool = False
 ) -> DataFrame:

@@ -663,6 +663,39 @@ for _name, _u, _hub in (("originators", "o", "s"), ("sponsors", "s", "o")):
         FROM links a JOIN links b ON a.{_hub} = b.{_hub} AND a.{_u} < b.{_u} GROUP BY 1, 2""",
     )
 
+define(
+    "betweenness",
+    f"""WITH RECURSIVE {_GRAPH},
+    adj AS (SELECT 'originator:' || o AS a, 'sponsor:' || s AS b, w FROM links
+            UNION ALL SELECT 'sponsor:' || s, 'originator:' || o, w FROM links),
+    nodes AS (SELECT DISTINCT a AS node FROM adj),
+    dist(src, node, d) USING KEY (src, node) AS (
+      SELECT node, node, cast(0 AS double) FROM nodes
+      UNION
+      SELECT n.src, n.b, n.d FROM (
+        SELECT f.src, x.b, min(f.d + x.w) AS d FROM dist f JOIN adj x ON x.a = f.node GROUP BY ALL) n
+      LEFT JOIN recurring.dist r ON r.src = n.src AND r.node = n.b WHERE r.d IS NULL OR n.d < r.d),
+    on_path AS (
+      SELECT p.src, x.a, x.b FROM adj x JOIN dist p ON p.node = x.a JOIN dist q ON q.node = x.b AND q.src = p.src
+      WHERE p.d + x.w = q.d),
+    forward AS (
+      SELECT node AS src, node, cast(1 AS double) AS c FROM nodes
+      UNION ALL
+      SELECT f.src, e.b, sum(f.c) FROM forward f JOIN on_path e ON e.src = f.src AND e.a = f.node GROUP BY ALL),
+    paths AS (SELECT src, node, sum(c) AS c FROM forward GROUP BY ALL),
+    shares AS (
+      SELECT e.src, e.a, e.b, p.c / q.c AS share FROM on_path e
+      JOIN paths p ON p.src = e.src AND p.node = e.a JOIN paths q ON q.src = e.src AND q.node = e.b),
+    backward AS (
+      SELECT src, node, cast(1 AS double) AS v FROM paths WHERE src <> node
+      UNION ALL
+      SELECT f.src, e.a, sum(f.v * e.share) FROM backward f JOIN shares e ON e.src = f.src AND e.b = f.node GROUP BY ALL),
+    depends AS (SELECT src, node, sum(v) - 1 AS v FROM backward WHERE src <> node GROUP BY ALL),
+    size AS (SELECT count(*) AS n FROM nodes)
+    SELECT nodes.node AS node, round(coalesce(sum(v), 0) / ((any_value(n) - 1) * (any_value(n) - 2)), 6) AS betweenness
+    FROM nodes CROSS JOIN size LEFT JOIN depends ON depends.node = nodes.node GROUP BY ALL""",
+)
+
 # --- validation --------------------------------------------------------------
 
 

@@ -98,14 +98,22 @@ def existing_partitions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, path: str, *, min_year: int = 2010, max_year: int = 2025
+    spark: SparkSession,
+    path: str,
+    *,
+    min_year: int = 2010,
+    max_year: int = 2025,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Bronze rows of a range of years, with ``snapshot_year`` and ``snapshot_month``.
 
     The months are partition folders, or part of the file names where the files lie
-    side by side; either way files outside the range are not opened.
+    side by side; either way rows of files outside the range are not read.  Without
+    a ``schema`` the footers of all files are read to merge theirs.
     """
-    files = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(path)
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    files = reader.parquet(path)
     if "snapshot_year" not in files.columns:
         period = bronze_period(F.col("_metadata.file_path"))
         files = files.withColumns({"snapshot_year": period["year"], "snapshot_month": period["month"]})
