@@ -76,11 +76,12 @@ def unify_columns(df: DataFrame, renames: dict[str, str]) -> DataFrame:
 def typed(name: str, dtype: T.DataType) -> Column:
     """Column in ``dtype``; values that do not fit become null.
 
-    Numbers go through double, as text such as ``12345.0`` is common.
+    Numbers go through double, as text such as ``12345.0`` is common; ``nan`` is missing.
     """
     if isinstance(dtype, T.StringType):
         return quoted(name).cast("string")
     number = quoted(name).try_cast("double")
+    number = F.when(~F.isnan(number), number)
     return number if isinstance(dtype, T.DoubleType) else number.try_cast(dtype)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import code5
 from ..schemas import COUNTY, FIPS, STATE
+from ..sources.checkpoints import cut_lineage
 from .cleaning import quoted, union_all
 from .lookup import broadcast_if_small
 
@@ -188,7 +189,8 @@ def build_county_crosswalk(
     """Extend a county crosswalk by the counties of bronze tables.
 
     Returns ``(crosswalk, problematic)``.  Known pairs keep their code; earlier
-    problem pairs are dropped once they are resolved.
+    problem pairs are dropped once they are resolved.  The distinct pairs are written
+    once, so that the bronze tables are read once for both results.
     """
     keys = [state_col, county_col]
     names = {"state_col": state_col, "county_col": county_col}
@@ -196,7 +198,7 @@ def build_county_crosswalk(
     def standardized(df: DataFrame) -> DataFrame:
         return standardize_counties(df, **names).withColumn(state_col, F.upper(quoted(state_col)))
 
-    pairs = county_pairs(frames, **names)
+    pairs = cut_lineage(county_pairs(frames, **names))
     sources = []
     if existing is not None:
         existing = standardized(existing).withColumn(fips_col, code5(quoted(fips_col)))

@@ -9,11 +9,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_where, n_unique
+from ..functions import count_where, n_unique, period, ratio
 from ..schemas import AMOUNT, INDEX, MONTH, ORIG, ORIG_NO, REQUIRED_COLUMNS, SPONSOR, SPONSOR_NO, YEAR
 from ..sources.checkpoints import cut_lineage
 from .identity import (
     ORIGINATOR,
+    PARTY_COLUMNS,
     _space_counts,
     _space_members,
     oscillations,
@@ -77,37 +78,53 @@ def check_fha_index_uniqueness(df: DataFrame) -> DataFrame:
     return _row(counts, _result("FHA_Index Uniqueness", F.col("n") == F.col("u"), details))
 
 
-def _profile(df: DataFrame) -> DataFrame:
-    """All simple counts in one pass, combined per month and then over the months."""
+def _amount_ranges() -> list[Column]:
     amount = F.col(AMOUNT)
-    monthly = df.groupBy(YEAR, MONTH).agg(
-        F.count("*").alias("n"),
-        count_where(F.col(ORIG_NO).isNull()).alias("no_id"),
-        count_where(F.col(ORIG).isNull()).alias("no_name"),
-        count_where(F.col(ORIG_NO).isNull() & F.col(SPONSOR_NO).isNotNull()).alias("orphaned"),
-        F.count(SPONSOR).alias("sponsored"),
+    return [
         F.min(amount).alias("low"),
         F.max(amount).alias("high"),
         F.sum(amount).alias("volume"),
         F.count(amount).alias("with_amount"),
         count_where(amount <= 0).alias("non_positive"),
         count_where(amount > LARGE_AMOUNT).alias("extreme"),
-    )
-    dated = F.col(YEAR).isNotNull() & F.col(MONTH).isNotNull()
-    undated = F.coalesce(F.max((~dated).cast("int")), F.lit(0))
-    total = [
-        F.coalesce(F.sum(c), F.lit(0)).alias(c)
-        for c in ("n", "no_id", "no_name", "orphaned", "sponsored", "with_amount", "non_positive", "extreme")
     ]
-    return monthly.agg(
-        *total,
+
+
+def check_base(df: DataFrame) -> DataFrame:
+    """Party counts with their amount ranges.
+
+    Small next to the loans, and enough for every check but key uniqueness.
+    """
+    return df.groupBy(*PARTY_COLUMNS).agg(F.count("*").alias("loans"), *_amount_ranges())
+
+
+def _profile(df: DataFrame) -> DataFrame:
+    """All simple counts as one row, from loans or from a :func:`check_base`."""
+    missing = {
+        "no_id": F.col(ORIG_NO).isNull(),
+        "no_name": F.col(ORIG).isNull(),
+        "orphaned": F.col(ORIG_NO).isNull() & F.col(SPONSOR_NO).isNotNull(),
+        "sponsored": F.col(SPONSOR).isNotNull(),
+    }
+    flags = [c.alias(n) for n, c in missing.items()]
+    if "with_amount" in df.columns:
+        rows = df.select("*", *flags)
+    else:
+        rows = df.groupBy(YEAR, MONTH, *flags).agg(F.count("*").alias("loans"), *_amount_ranges())
+
+    def loans_with(flag: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(flag), F.col("loans"))), F.lit(0)).alias(flag)
+
+    return rows.agg(
+        F.coalesce(F.sum("loans"), F.lit(0)).alias("n"),
+        *[loans_with(flag) for flag in missing],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("non_positive", "extreme")],
         F.min("low").alias("low"),
         F.max("high").alias("high"),
-        F.try_divide(F.sum("volume").cast("double"), F.sum("with_amount").cast("double")).alias("mean"),
+        ratio(F.sum("volume"), F.sum("with_amount")).alias("mean"),
         F.min(YEAR).alias("first_year"),
         F.max(YEAR).alias("last_year"),
-        # Undated rows share one more (null) period.
-        (count_where(dated) + undated).alias("periods"),
+        n_unique(period()).alias("periods"),
     )
 
 
@@ -342,9 +359,9 @@ def run_checks(
 ) -> DataFrame:
     """Results of the named checks (all by default) as one table.
 
-    Counting checks are answered from one scan and identity checks from another.
-    ``extra`` adds checks of the caller: any function from the table to one result
-    row.
+    Loans are scanned twice for all twelve checks: for key uniqueness, and for the
+    stored :func:`check_base` that answers the others.  ``extra`` adds checks of the
+    caller: any function from the table to one result row.
     """
     checks = {**CHECKS, **(extra or {})}
     names = list(checks) if names is None else list(names)
@@ -352,10 +369,14 @@ def run_checks(
     if unknown:
         raise ValueError(f"Unknown checks: {unknown}")
     counting = [n for n in names if n in _COUNTING]
-    parties = stored_party_months(df) if any(n in _PARTIES for n in names) else df
-    parts = [checks[n](parties if n in _PARTIES else df) for n in names if n not in _COUNTING]
+    by_party = [n for n in names if n in _PARTIES]
+    if counting and by_party:
+        base = cut_lineage(check_base(df))
+    else:
+        base = stored_party_months(df) if by_party else df
+    parts = [checks[n](base if n in _PARTIES else df) for n in names if n not in _COUNTING]
     if counting:
-        parts.append(profile_checks(df, counting, threshold_pct))
+        parts.append(profile_checks(base, counting, threshold_pct))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

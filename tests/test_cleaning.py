@@ -32,6 +32,11 @@ def test_headers_types_and_bad_numbers(spark):
     assert types[s.YEAR] == "smallint" and types[s.ORIG_NO] == "int" and types[s.AMOUNT] == "bigint"
 
 
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([("nan", "NaN"), ("3.5", "7")], "`Interest Rate` string, `Property Zip` string")
+    assert rows_of(cleaning.clean_single_family(df)) == [(None, None), (3.5, 7)]
+
+
 def test_purpose_rules(spark):
     purposes = ["Loan_Purpose", None, "Fixed Rate", "Adjustable Rate", "Rehabilitation", "Single Family",
                 "Refi_Conv-Curr", "a-b-c-d", "Refi_FHA"]
