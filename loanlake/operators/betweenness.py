@@ -73,9 +73,12 @@ def _by_source(adjacent: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
         F.col("node").alias("source"), F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int").alias("bucket")
     )
     copies = adjacent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    # The work per row is heavy: a fixed number of partitions, so that small data is
+    # not merged into a few tasks.
     return (
-        sources.groupBy("bucket")
-        .cogroup(copies.groupBy("part"))
+        sources.repartition(buckets, "bucket")
+        .groupBy("bucket")
+        .cogroup(copies.repartition(buckets, "part").groupBy("part"))
         .applyInPandas(_bucket_function(), "node string, dependency double")
         .groupBy("node")
         .agg(F.sum("dependency").alias("dependency"))

@@ -1,5 +1,7 @@
 """Named queries over the star-schema tables, one per operator."""
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from ..schemas import (
     YEAR,
 )
 from ..sources import file_names, snapshots, star_raw
+from ..sources.checkpoints import ensure_checkpoint_dir
 from ..sources.star_loans import loans, read_table, reverse_loans
 from . import import_snapshots, reports
 
@@ -393,13 +396,29 @@ register_raw("fips_problematic", _county_crosswalk(1))
 register_raw(
     "incremental_rows",
     lambda spark, raw: import_snapshots.without_stored_months(
-        _silver(spark, raw), _silver(spark, raw).filter(F.col(YEAR) < 1998).select(YEAR, MONTH).distinct()
+        _silver(spark, raw), _silver(spark, raw).filter(F.col(YEAR) < 2017).select(YEAR, MONTH).distinct()
     )
     .groupBy(YEAR, MONTH)
     .agg(F.count("*").alias("rows")),
 )
 
 
+def _imported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole import on files: raw months to bronze, then silver in two increments."""
+    root = f"{ensure_checkpoint_dir(spark)}/import-{uuid4().hex}"
+    raw, bronze, silver = (f"{root}/{part}" for part in ("raw", "bronze", "silver"))
+    import_snapshots.write_months(
+        star_raw.raw_sheets(spark, sf_dir).drop("snapshot_kind"), raw, "snapshot_year", "snapshot_month"
+    )
+    reference = star_raw.county_reference(spark)
+    import_snapshots.run_import(spark, raw, bronze, silver, max_year=2016, county_reference=reference)
+    import_snapshots.run_import(spark, raw, bronze, silver, county_reference=reference)
+    return snapshots.read_silver(spark, silver)
+
+
+QUERIES["imported_loans"] = _imported
+
+
 def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.col("path")
     info = file_names.snapshot_period(path, "sf")

@@ -921,7 +921,7 @@ _CLEANED = f"""picked AS (
     {_pick(star_raw.COUNTIES, "o_orderkey")} AS county, {_pick(star_raw.STATES, "o_custkey")} AS state,
     {_pick(star_raw.DOWN_PAYMENTS, "o_orderkey")} AS down FROM orders),
 cleaned AS (
-  SELECT k AS row_ord, o_orderstatus, year(o_orderdate) AS sy, month(o_orderdate) AS sm,
+  SELECT k AS row_ord, o_orderstatus, (year(o_orderdate) + 19) AS sy, month(o_orderdate) AS sm,
     state AS "Property State", 'Springfield' AS "Property City",
     CASE WHEN county <> '#NULL!' THEN county END AS "Property County",
     CASE WHEN k % 97 <> 0 THEN cast(c % 100000 AS int) END AS "Property Zip",
@@ -936,7 +936,7 @@ cleaned AS (
     {_PURPOSE} AS "Loan Purpose", 'Condo' AS "Property Type",
     CASE WHEN k % 89 <> 0 THEN (c % 40) / 8.0::double + 2 END AS "Interest Rate",
     cast(floor(o_totalprice) AS bigint) AS "Mortgage Amount",
-    cast(year(o_orderdate) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month"
+    cast((year(o_orderdate) + 19) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month"
   FROM picked WHERE o_orderstatus IN ('O', 'F') AND p IS NOT NULL AND p <> 'Loan_Purpose'),
 numbered AS (
   SELECT *, sy || lpad(sm::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
@@ -978,9 +978,9 @@ define_raw(
     FROM numbered""",
 )
 SQL["row_keys_hecm"] = """
-  SELECT 'H' || year(o_orderdate) || lpad(month(o_orderdate)::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
-      PARTITION BY year(o_orderdate), month(o_orderdate) ORDER BY o_orderkey) AS varchar), 7, '0') AS "FHA_Index",
-    cast(year(o_orderdate) AS int) AS snapshot_year, cast(month(o_orderdate) AS int) AS snapshot_month,
+  SELECT 'H' || (year(o_orderdate) + 19) || lpad(month(o_orderdate)::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
+      PARTITION BY (year(o_orderdate) + 19), month(o_orderdate) ORDER BY o_orderkey) AS varchar), 7, '0') AS "FHA_Index",
+    cast((year(o_orderdate) + 19) AS int) AS snapshot_year, cast(month(o_orderdate) AS int) AS snapshot_month,
     CASE WHEN o_orderkey % 7 <> 0 THEN cast(o_orderkey % 1000 AS bigint) END AS "NMLS" FROM orders"""
 SQL["clean_hecm"] = f"""
   SELECT o_orderkey AS row_ord, {_pick(star_raw.STATES, "o_custkey")} AS "Property State",
@@ -990,7 +990,7 @@ SQL["clean_hecm"] = f"""
     CASE WHEN o_orderkey % 7 <> 0 THEN cast(o_orderkey % 1000 AS bigint) END AS "NMLS",
     CASE WHEN o_orderkey % 2 = 0 THEN 'Saver' END AS "Standard/Saver", 'Purchase' AS "Purchase/Refinance",
     (o_custkey % 40) / 8.0::double + 2 AS "Interest Rate", floor(o_totalprice) AS "Maximum Claim Amount",
-    cast(year(o_orderdate) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month",
+    cast((year(o_orderdate) + 19) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month",
     cast(o_orderkey % 11 AS bigint) AS "Previous Servicer ID"
   FROM orders"""
 SQL["clean_rejects"] = """
@@ -1002,10 +1002,11 @@ SQL["clean_rejects"] = """
 _SILVER = f"""{_CODES}, silver AS (
   SELECT {_SF_COLUMNS.replace('"Originating Mortgagee",', """CASE WHEN "Originating Mortgagee" IS NULL
       OR "Originating Mortgagee" IN ('nan', 'None') THEN '' ELSE "Originating Mortgagee" END AS "Originating Mortgagee",""")
-    .replace('"Sponsor Name",', """coalesce("Sponsor Name", '') AS "Sponsor Name",""")},
+    .replace('"Sponsor Name",', """CASE WHEN "Year" = 2014 AND "Month" = 8 THEN '' ELSE coalesce("Sponsor Name", '') END AS "Sponsor Name",""")},
     "FHA_Index", code AS "FIPS", make_date("Year", "Month", 1) AS "Date"
   FROM {_standard("numbered")} LEFT JOIN codes ON st = "Property State" AND name = "Property County")"""
 define_raw("silver_loans", f"WITH {_SILVER} SELECT * FROM silver")
+define_raw("imported_loans", f"WITH {_SILVER} SELECT * FROM silver")
 define_raw(
     "silver_domain_violations",
     f"""WITH {_SILVER}, long AS (
@@ -1017,7 +1018,7 @@ define_raw(
 )
 define_raw(
     "incremental_rows",
-    f"""WITH {_SILVER} SELECT "Year", "Month", count(*) AS rows FROM silver WHERE "Year" >= 1998 GROUP BY ALL""",
+    f"""WITH {_SILVER} SELECT "Year", "Month", count(*) AS rows FROM silver WHERE "Year" >= 2017 GROUP BY ALL""",
 )
 define_raw(
     "county_standardised",

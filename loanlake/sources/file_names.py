@@ -89,6 +89,12 @@ def snapshot_period(path: Column, expected_kind: str | None = None) -> Column:
     )
 
 
+def is_snapshot(path: Column) -> Column:
+    """The file has a canonical name or lies in ``year=``/``month=`` folders."""
+    unit = F.lower(unit_path(path))
+    return base_name(unit).rlike(CANONICAL) | unit.rlike(MONTH_FOLDERS)
+
+
 def bronze_period(path: Column) -> Column:
     """Struct ``year, month`` from the first eight digits of a bronze file name."""
     name = base_name(unit_path(path))

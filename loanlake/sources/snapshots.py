@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import HECM_KIND, MONTH, SINGLE_FAMILY_KIND, YEAR, silver_schema
-from .file_names import bronze_period, snapshot_period, unit_path
+from .file_names import bronze_period, is_snapshot, snapshot_period, unit_path
 
 # Words that mark a data sheet, per program.
 SHEET_WORDS = {
@@ -149,11 +149,9 @@ def pending_files(
     the folder of its part files.
     """
     units = files.select(unit_path(F.col("path")).alias("path")).distinct()
-    info = snapshot_period(F.col("path"))
-    named = units.select("path", info.alias("p")).filter(
-        F.col("p.problem").isNull()
-        & (F.col("p.kind") == kind)
-        & F.col("p.year").between(FIRST_YEAR, LAST_YEAR)
+    info = snapshot_period(F.col("path"), kind)
+    named = units.filter(is_snapshot(F.col("path"))).select("path", info.alias("p")).filter(
+        F.col("p.problem").isNull() & F.col("p.year").between(FIRST_YEAR, LAST_YEAR)
     )
     first = F.row_number().over(Window.partitionBy("p.year", "p.month").orderBy("path"))
     chosen = named.withColumn("rank", first).filter("rank = 1").select("path", "p.year", "p.month")
@@ -177,8 +175,8 @@ def read_raw_rows(
         reader = reader.option("header", True)
     elif file_format == "parquet":
         reader = reader.option("mergeSchema", True)
-    info = snapshot_period(F.col("_metadata.file_path"))
+    info = snapshot_period(F.col("_metadata.file_path"), kind)
     rows = reader.load(paths).withColumn("_p", info)
-    usable = F.col("_p.problem").isNull() & (F.col("_p.kind") == kind) & is_data_sheet(kind)
+    usable = F.col("_p.problem").isNull() & is_data_sheet(kind)
     place = {f"snapshot_{part}": F.col(f"_p.{part}") for part in ("kind", "year", "month")}
     return rows.filter(usable).withColumns(place).drop("_p")

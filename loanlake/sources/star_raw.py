@@ -28,6 +28,11 @@ REFERENCE = (
 )
 
 
+def _later(date: Column) -> Column:
+    """19 years on, which puts the orders into the years of the programs."""
+    return F.add_months(date, 12 * 19)
+
+
 def _pick(values: tuple, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
 
@@ -47,7 +52,7 @@ def stored_problems(spark: SparkSession) -> DataFrame:
 
 def raw_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single family sheets as exported: text columns, untidy headers, place of every row."""
-    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), _later(F.col("o_orderdate"))
     year = F.year(date).cast("string")
     sheet = F.col("o_orderstatus")
     return read_table(spark, sf_dir, "orders").select(
@@ -85,7 +90,7 @@ def raw_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_hecm_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HECM sheets as exported."""
-    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), _later(F.col("o_orderdate"))
     return read_table(spark, sf_dir, "orders").select(
         F.lit("data").alias("sheet_name"),
         F.lit(0).alias("sheet_ord"),
