@@ -10,9 +10,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The white space characters of Unicode.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def trimmed(c) -> Column:
     """Text of ``c`` without leading and trailing white space of any sort."""
-    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    return F.btrim(_col(c).cast("string"), F.lit(WHITE_SPACE))
 
 
 def zfill(c, width: int) -> Column:

@@ -68,9 +68,15 @@ def metro_metrics(
 
 def state_loan_counts(df: DataFrame, *, state_col: str = STATE, by_year: bool = False) -> DataFrame:
     require_columns(df, {state_col}, "state loan counts")
-    keys = ([F.col(YEAR)] if by_year else []) + [F.upper(F.col(state_col)).alias("state")]
-    order = ([F.asc(YEAR)] if by_year else []) + [F.asc_nulls_first("state")]
-    return df.groupBy(*keys).agg(F.count("*").alias("loan_count")).orderBy(*order)
+    year = [YEAR] if by_year else []
+    return (
+        df.groupBy(*year, state_col)
+        .agg(F.count("*").alias("n"))
+        # Upper case after counting: mixed spellings of a state are few.
+        .groupBy(*year, F.upper(F.col(state_col)).alias("state"))
+        .agg(F.sum("n").alias("loan_count"))
+        .orderBy(*year, F.asc_nulls_first("state"))
+    )
 
 
 def county_loan_counts(
@@ -83,14 +89,15 @@ def county_loan_counts(
 ) -> DataFrame:
     """Loans per five-digit county code with one state and county label each."""
     require_columns(df, {fips_col, state_col, county_col}, "county loan counts")
-    keys = ([F.col(YEAR)] if by_year else []) + [code5(fips_col).alias("fips")]
-    order = ([F.asc(YEAR)] if by_year else []) + [F.asc_nulls_first("fips")]
+    year = [YEAR] if by_year else []
     return (
-        df.groupBy(*keys)
+        df.groupBy(*year, fips_col)
+        .agg(F.count("*").alias("n"), F.min(state_col).alias("state"), F.min(county_col).alias("county"))
+        .groupBy(*year, code5(fips_col).alias("fips"))
         .agg(
-            F.count("*").alias("loan_count"),
-            F.min(state_col).alias("state"),
-            F.min(county_col).alias("county"),
+            F.sum("n").alias("loan_count"),
+            F.min("state").alias("state"),
+            F.min("county").alias("county"),
         )
-        .orderBy(*order)
+        .orderBy(*year, F.asc_nulls_first("fips"))
     )

@@ -60,15 +60,22 @@ def stored_party_months(df: DataFrame) -> DataFrame:
 def role_observations(df: DataFrame, role: str) -> DataFrame:
     """``id, name, period, loans`` for one side; rows without an ID are left out."""
     id_col, name_col = ROLE_COLUMNS[role]
+    loans = F.sum("loans") if "loans" in df.columns else F.count("*")
+    # The period text is made after counting, once per month.
     return (
         df.filter(F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("id"), F.col(name_col).alias("name"), period().alias("period"))
-        .agg((F.sum("loans") if "loans" in df.columns else F.count("*")).alias("loans"))
+        .groupBy(F.col(id_col).alias("id"), F.col(name_col).alias("name"), YEAR, MONTH)
+        .agg(loans.alias("loans"))
+        .select("id", "name", period().alias("period"), "loans")
     )
 
 
 def name_sets(df: DataFrame, role: str) -> DataFrame:
-    """``id, period, value (sorted names), records`` for one side."""
+    """``id, period, value (sorted names), records`` for one side.
+
+    The names of an ID in a month are a set of institution names, however many loans
+    it has.
+    """
     return (
         role_observations(df, role)
         .groupBy("id", "period")
@@ -465,8 +472,9 @@ def sponsor_sets(parties: DataFrame) -> DataFrame:
     """Per originator and period: sorted sponsors as (number, canonical name), and loans."""
     by_sponsor = (
         parties.filter(F.col(ORIG_NO).isNotNull())
-        .groupBy(F.col(ORIG_NO).alias("id"), period().alias("period"), SPONSOR_NO)
+        .groupBy(F.col(ORIG_NO).alias("id"), YEAR, MONTH, SPONSOR_NO)
         .agg(F.sum("loans").alias("loans"))
+        .select("id", period().alias("period"), SPONSOR_NO, "loans")
     )
     sponsor = F.when(
         F.col(SPONSOR_NO).isNotNull(),

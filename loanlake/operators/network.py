@@ -20,18 +20,14 @@ def edges(
         df = df.filter(F.col(YEAR) >= start_year)
     if end_year is not None:
         df = df.filter(F.col(YEAR) <= end_year)
-    named = df.filter(F.col(SPONSOR).isNotNull() & F.col(ORIG).isNotNull()).withColumns(
-        {
-            "originator_key": F.coalesce(F.col(ORIG_NO).cast("string"), F.concat(F.lit("originator:"), ORIG)),
-            "sponsor_key": F.coalesce(F.col(SPONSOR_NO).cast("string"), F.concat(F.lit("sponsor:"), SPONSOR)),
-        }
-    )
-    hist = named.groupBy(*EDGE_KEYS, F.col(AMOUNT).alias("v")).agg(
+    named = df.filter(F.col(SPONSOR).isNotNull() & F.col(ORIG).isNotNull())
+    parties = [ORIG, ORIG_NO, SPONSOR, SPONSOR_NO]
+    hist = named.groupBy(*parties, F.col(AMOUNT).alias("v")).agg(
         F.count("*").alias("n"), F.min(YEAR).alias("first_year"), F.max(YEAR).alias("last_year")
     )
-    return (
-        ranked_histogram(hist, EDGE_KEYS)
-        .groupBy(*EDGE_KEYS)
+    table = (
+        ranked_histogram(hist, parties)
+        .groupBy(*parties)
         .agg(
             F.sum("n").alias("loan_count"),
             sum0(F.col("v") * F.col("valid")).alias("total_volume"),
@@ -42,6 +38,14 @@ def edges(
         )
         .filter(F.col("loan_count") >= min_loans)
     )
+    # Institutions without a number are known by their name.
+    keys = {
+        "originator_key": F.coalesce(F.col(ORIG_NO).cast("string"), F.concat(F.lit("originator:"), ORIG)),
+        "sponsor_key": F.coalesce(F.col(SPONSOR_NO).cast("string"), F.concat(F.lit("sponsor:"), SPONSOR)),
+    }
+    return table.withColumns(keys).select(
+        *EDGE_KEYS, *[c for c in table.columns if c not in parties]
+    )
 
 
 def ranked_edges(edge_table: DataFrame) -> DataFrame:

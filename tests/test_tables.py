@@ -127,6 +127,19 @@ def test_hhi_missing_values(spark):
     assert kept == {"": (1, 1), "CA": (2, 2)}
 
 
+def test_hhi_of_text_ids(spark):
+    rows = [(2020, 1, "CA", "X", " 1 ", "9"), (2020, 1, "CA", "X", "1", "9"), (2020, 1, "CA", "X", " ", "2\u00a0")]
+    text = spark.createDataFrame(
+        rows, f"`{s.YEAR}` int, `{s.MONTH}` int, `{s.STATE}` string, `{s.COUNTY}` string, `{s.SPONSOR_NO}` string, `{s.ORIG_NO}` string"
+    )
+    row = concentration.lender_hhi(text).first()
+    assert (row["total_loans"], row["num_lenders"], row["hhi_normalized"]) == (3, 2, pytest.approx(5 / 9))
+    mixed = text.withColumn(s.ORIG_NO, F.trim(F.translate(s.ORIG_NO, "\u00a0", "")).cast("int"))
+    assert concentration.lender_hhi(mixed).first()["num_lenders"] == 2
+    cells = concentration.hhi_cells(mixed).filter("time_level = 'all' AND geography_level = 'all' AND lender_type = 'sponsor'")
+    assert cells.first()["num_lenders"] == 2
+
+
 def test_hhi_arguments(spark):
     df = hhi_frame(spark, [])
     for args in (("week",), ("year", "city"), ("year", "state", "bank")):
