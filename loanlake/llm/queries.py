@@ -1,14 +1,21 @@
-"""The registered queries of the text operators."""
+"""The registered queries of the text operators, and their SQL where SQL can express them."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, weak_supervision
+from . import hyperminhash, mixing, weak_supervision
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = hyperminhash.near_duplicates(spark, docs)
+    return judged.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.allocate(spark, docs)
@@ -22,7 +29,31 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_hyperminhash": op8_hyperminhash,
     "op9_source_mix": op9_source_mix,
     "op10_weak_supervision": op10_weak_supervision,
 }
-SQL: dict[str, str] = {}
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+SQL = {
+    "op8_hyperminhash": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh
+  FROM d),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, other) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other)
+SELECT n.doc_id, n.n AS n_shingles, min(r.other) AS component_id, n.doc_id = min(r.other) AS kept
+FROM n JOIN r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
+""",
+}
