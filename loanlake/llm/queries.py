@@ -24,8 +24,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = weak_supervision.quality_verdicts(spark, docs)
-    return judged.select("doc_id", *weak_supervision.STATISTICS, "base_failed", "posterior", "kept")
+    return weak_supervision.quality_verdicts(spark, docs, carry=["doc_id"])
 
 
 QUERIES = {

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, SPACES, words
+from .common import SPACES, Scratch, words
 
 # The characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -146,29 +146,33 @@ def posterior_odds(votes: tuple[int, ...], prior: float, weights: list[dict[int,
     return prior + sum(w[v] for v, w in zip(votes, weights, strict=True) if v)
 
 
-def quality_verdicts(spark: SparkSession, df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the base statistics, ``base_failed``, ``posterior`` and ``kept``.
+def quality_verdicts(
+    spark: SparkSession, df: DataFrame, text: str = "text", carry: list[str] | None = None
+) -> DataFrame:
+    """Columns ``carry`` of ``df`` (default all) with the base statistics, ``base_failed``, ``posterior`` and ``kept``.
 
-    Texts are read twice: once for the counts of vote patterns, once for the verdicts.
-    The patterns are all that reaches the driver.
+    Texts are read once: statistics and votes are stored, as both the counts of vote
+    patterns and the verdicts need them.  The patterns are all that reaches the driver.
     """
     votes = rule_votes()
     names = [f"__vote_{name}" for name in votes]
     failed = (F.col("__n") < MIN_WORDS) | (100 * F.col("__repeat") > 30 * F.col("__n"))
-    voted = text_statistics(df, text).withColumns(dict(zip(names, votes.values(), strict=True)))
+    outputs = (*STATISTICS, "base_failed", "posterior", "kept")
+    carried = [c for c in (df.columns if carry is None else carry) if c.lower() not in outputs]
+    judged = text_statistics(df, text).withColumns(dict(zip(names, votes.values(), strict=True)) | {"base_failed": failed})
+    columns = [F.col(f"`{c}`") for c in (*carried, *STATISTICS, "base_failed", *names)]
+    voted = Scratch(spark, "quality").store(judged.select(*columns))
     counted = voted.groupBy(*names).count()
     patterns = [(tuple(row[n] for n in names), row["count"]) for row in counted.collect()]
     prior, weights = fit_accuracies(sorted(patterns))
     odds = F.lit(prior)
     for name, weight in zip(names, weights or [{1: 0.0, -1: 0.0}] * len(names), strict=True):
         odds = odds + F.when(F.col(name) > 0, weight[1]).when(F.col(name) < 0, weight[-1]).otherwise(0.0)
-    scored = voted.withColumns({"base_failed": failed, "posterior": 1 / (1 + F.exp(-odds))})
-    kept = ~F.col("base_failed") & (F.col("posterior") >= 0.5)
-    scored = scored.withColumn("kept", kept)
-    return scored.drop(*[c for c in scored.columns if c.startswith("__")])
+    scored = voted.withColumn("posterior", 1 / (1 + F.exp(-odds))).drop(*names)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a positive verdict, their columns unchanged."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), F.col(f"`{text}`").alias("text_"))
-    return quality_verdicts(spark, rows, "text_").filter("kept").select("row_.*")
+    return quality_verdicts(spark, rows, "text_", ["row_"]).filter("kept").select("row_.*")
