@@ -2,25 +2,45 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlake.llm import mixing, weak_supervision
+from loanlake.llm import ftrl, hyperminhash, mixing, piece_agenda, weak_supervision
 from loanlake.llm.common import Scratch
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more by the classifier go."""
+    return ftrl.drop_toxic(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the posterior of the votes reject go."""
     return weak_supervision.keep_quality(spark, docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates stays."""
+    return hyperminhash.keep_one_of_each(spark, docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, shuffled by shard."""
     return mixing.mixed_documents(spark, docs)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length and digests of the ids of every text, and of what they decode to."""
+    rows = docs.select("doc_id", "source", "text")
+    return piece_agenda.encode(rows, public_tokenizers.path("piece_bpe_32k.model"), digests=True, keep_text=False)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
     ("source mix", source_mix),
+    ("encoding", encoded),
 ]
 
 #: The verdicts of learned models cannot be written in SQL.

@@ -1,15 +1,41 @@
 """The registered queries of the text operators, and their SQL where SQL can express them."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, mixing, weak_supervision
+from . import ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, weak_supervision
+from .common import crc_remainder
+
+TOKEN_LIMIT = 512
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
+    counted = prefix_counts.prefix_token_counts(
+        docs.select("doc_id", size, "text"), public_tokenizers.path("byte_bpe_50k.json"), steps=False, keep_text=False
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = ftrl.fit(spark, docs, _table(spark, sf_dir, "labels"))
+    scored = ftrl.score(spark, docs.withColumn("held_out", crc_remainder(F.col("doc_id"), ftrl.FOLDS) == 0), weights)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_agenda.encode(docs, model, digests=True, keep_text=False)
+
+
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = hyperminhash.near_duplicates(spark, docs)
@@ -28,6 +54,9 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_prefix_counts": op5_prefix_counts,
+    "op6_ftrl_toxicity": op6_ftrl_toxicity,
+    "op7_piece_agenda": op7_piece_agenda,
     "op8_hyperminhash": op8_hyperminhash,
     "op9_source_mix": op9_source_mix,
     "op10_weak_supervision": op10_weak_supervision,
