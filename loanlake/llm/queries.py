@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, weak_supervision
+from . import ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
 from .common import crc_remainder
 
 TOKEN_LIMIT = 512
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
@@ -54,6 +58,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_suffix_tree": op3_suffix_tree,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op7_piece_agenda": op7_piece_agenda,
