@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
+from . import binary_codes, ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
 from .common import crc_remainder
 
 TOKEN_LIMIT = 512
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = binary_codes.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
+    return judged.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -58,6 +63,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_binary_codes": op1_binary_codes,
     "op3_suffix_tree": op3_suffix_tree,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
@@ -71,6 +77,22 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
 SQL = {
+    "op1_binary_codes": """
+WITH RECURSIVE u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+g AS (
+  SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS n FROM u
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(v, v) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.98),
+r(node, other) AS (
+  SELECT vec_id, vec_id FROM u UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT node, min(other) AS component_id FROM r GROUP BY node),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(k.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM u JOIN c ON c.node = u.vec_id LEFT JOIN k ON k.a = u.vec_id
+""",
     "op8_hyperminhash": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (
