@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_codes, ftrl, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
+from . import binary_codes, ftrl, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
 from .common import crc_remainder
 
 TOKEN_LIMIT = 512
@@ -19,6 +19,10 @@ def op1_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+def op2_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_suffixes.extract(spark, _table(spark, sf_dir, "pages"))
+
+
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -64,6 +68,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_binary_codes": op1_binary_codes,
+    "op2_host_suffixes": op2_host_suffixes,
     "op3_suffix_tree": op3_suffix_tree,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
