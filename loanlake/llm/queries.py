@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_codes, ftrl, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, suffix_tree, weak_supervision
+from . import binary_codes, ftrl, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
 from .common import crc_remainder
 
 TOKEN_LIMIT = 512
@@ -27,6 +27,10 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_order(spark, _table(spark, sf_dir, "conversations"))
+
+
 def op5_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_binary_codes": op1_binary_codes,
     "op2_host_suffixes": op2_host_suffixes,
     "op3_suffix_tree": op3_suffix_tree,
+    "op4_quotation_links": op4_quotation_links,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op7_piece_agenda": op7_piece_agenda,
@@ -97,6 +102,40 @@ c AS (SELECT node, min(other) AS component_id FROM r GROUP BY node),
 k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, coalesce(k.n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM u JOIN c ON c.node = u.vec_id LEFT JOIN k ON k.a = u.vec_id
+""",
+    "op4_quotation_links": r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) AS ls, row_number() OVER () AS id FROM conversations),
+x AS (SELECT id, conv_id, turn, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM m),
+p AS (SELECT *, regexp_extract(line, '^([ \t]*(?:>[ \t]*)+)', 1) AS marks FROM x),
+n AS (
+  SELECT id, conv_id, turn, pos, line, len(marks) - len(replace(marks, '>', '')) AS level,
+    lower(regexp_replace(trim(substr(line, len(marks) + 1), chr(32) || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\v\f\r]+', ' ', 'g')) AS content
+  FROM p),
+b AS (
+  SELECT id, trim(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+    count(*) FILTER (level > 0) AS n_quoted, max(level) AS max_level
+  FROM n GROUP BY id),
+o AS (SELECT conv_id, content, min(turn) AS own_turn FROM n WHERE level = 0 AND content <> '' GROUP BY ALL),
+f AS (SELECT content, min({'c': conv_id, 't': own_turn}) AS first FROM o GROUP BY content),
+q AS (
+  SELECT n.conv_id, n.turn, n.level, CASE WHEN own_turn < n.turn THEN own_turn END AS inside,
+    CASE WHEN (own_turn IS NULL OR own_turn >= n.turn) AND first.c <> n.conv_id THEN first.c END AS outside
+  FROM n LEFT JOIN o ON o.conv_id = n.conv_id AND o.content = n.content LEFT JOIN f ON f.content = n.content
+  WHERE n.level > 0 AND n.content <> ''),
+k AS (
+  SELECT conv_id, turn, max(inside) FILTER (level = 1) AS replied, count(coalesce(inside, outside)) AS n_linked, min(outside) AS quoted_conv
+  FROM q GROUP BY ALL),
+t AS (
+  SELECT conv_id, turn, coalesce(replied, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn)) AS parent
+  FROM (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL) LEFT JOIN k USING (conv_id, turn)),
+r AS (
+  SELECT conv_id, turn, turn AS root, CAST(0 AS BIGINT) AS depth FROM t WHERE parent IS NULL
+  UNION ALL SELECT t.conv_id, t.turn, r.root, r.depth + 1 FROM t JOIN r ON r.conv_id = t.conv_id AND r.turn = t.parent)
+SELECT m.conv_id, m.turn, m.role, body, n_quoted, max_level, coalesce(n_linked, 0) AS n_linked, parent AS parent_turn,
+  root AS root_turn, depth, row_number() OVER (PARTITION BY m.conv_id ORDER BY depth, m.turn) AS position, quoted_conv
+FROM m JOIN b USING (id) JOIN t ON t.conv_id = m.conv_id AND t.turn = m.turn JOIN r ON r.conv_id = m.conv_id AND r.turn = m.turn
+LEFT JOIN k ON k.conv_id = m.conv_id AND k.turn = m.turn
 """,
     "op8_hyperminhash": f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
