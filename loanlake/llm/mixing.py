@@ -148,7 +148,7 @@ def allocate(
     placed = rows.join(sources, "__key").withColumn("__draw", draw)
     placed = placed.withColumn("__block", F.pmod("__draw", "__parts")).join(taken_blocks, ["__key", "__block"], "left")
     # Only the documents of a block that is taken in part are put in order.
-    order = Window.partitionBy("__key", "__block").orderBy("__draw", *kept_order(docs, doc_id))
+    order = Window.partitionBy("__key", "__block").orderBy("__draw", *_tie_breakers(kept, doc_id))
     before = F.coalesce(F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     some = F.greatest(F.least(F.col("__partial.words") - before, F.col("__size")), F.lit(0)).cast("bigint")
     result = (
@@ -167,9 +167,9 @@ def allocate(
     )
 
 
-def kept_order(docs: DataFrame, doc_id: str) -> list[Column]:
-    """Tie breakers that make the order of repeated ids the same in every run."""
-    return [F.col(f"`{doc_id}`"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
+def _tie_breakers(columns: list[str], doc_id: str) -> list[Column]:
+    """They make the order of rows that share an id the same in every run."""
+    return [F.col(f"`{doc_id}`"), F.xxhash64(*[F.col(f"`{c}`") for c in columns])]
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:

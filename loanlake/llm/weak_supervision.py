@@ -114,36 +114,35 @@ def fit_accuracies(
 ) -> tuple[float, list[dict[int, float]]]:
     """Expectation-maximisation over ``(votes, number of documents)``.
 
-    For both classes it estimates how often every rule votes for and against; a rule's
-    accuracy enters as the log odds that its vote adds to a document's being good.
-    Returns the prior log odds and these per rule.  A vote never counts for its opposite,
-    and none adds more than ``most``; an abstention adds nothing.  Documents start as
-    good if their votes for outweigh twice their votes against.
+    For both classes it estimates how often every rule votes for, against and not at all; a
+    rule's accuracy enters as the log odds that its vote, or silence, adds to a document's being
+    good.  Returns the prior log odds and these per rule.  A vote never counts for its opposite, and
+    none adds more than ``most``.  Documents start as good if their votes for outweigh twice their
+    votes against.
     """
     n_rules = len(patterns[0][0]) if patterns else 0
     odds = {votes: 2.0 * sum(v if v > 0 else 2 * v for v in votes) + 1.0 for votes, _ in patterns}
-    prior, weights = 0.0, [{1: 0.0, -1: 0.0} for _ in range(n_rules)]
+    prior, weights = 0.0, [{1: 0.0, 0: 0.0, -1: 0.0} for _ in range(n_rules)]
     for _ in range(rounds):
         good = bad = 1.0
-        hits = [{1: [0.05, 0.05], -1: [0.05, 0.05]} for _ in range(n_rules)]
+        hits = [{v: [1 / 3, 1 / 3] for v in (1, 0, -1)} for _ in range(n_rules)]
         for votes, count in patterns:
             p = 1 / (1 + math.exp(-max(min(odds[votes], 50), -50)))
             good, bad = good + p * count, bad + (1 - p) * count
             for r, vote in enumerate(votes):
-                if vote:
-                    hits[r][vote][0] += p * count
-                    hits[r][vote][1] += (1 - p) * count
+                hits[r][vote][0] += p * count
+                hits[r][vote][1] += (1 - p) * count
         prior = math.log(good / bad)
         for r in range(n_rules):
             for vote, (g, b) in hits[r].items():
-                weight = math.log(g / good) - math.log(b / bad)
-                weights[r][vote] = vote * min(max(vote * weight, 0.0), most)
+                weight = max(min(math.log(g / good) - math.log(b / bad), most), -most)
+                weights[r][vote] = vote * max(vote * weight, 0.0) if vote else weight
         odds = {votes: posterior_odds(votes, prior, weights) for votes, _ in patterns}
     return prior, weights
 
 
 def posterior_odds(votes: tuple[int, ...], prior: float, weights: list[dict[int, float]]) -> float:
-    return prior + sum(w[v] for v, w in zip(votes, weights, strict=True) if v)
+    return prior + sum(w[v] for v, w in zip(votes, weights, strict=True))
 
 
 def quality_verdicts(
@@ -166,8 +165,8 @@ def quality_verdicts(
     patterns = [(tuple(row[n] for n in names), row["count"]) for row in counted.collect()]
     prior, weights = fit_accuracies(sorted(patterns))
     odds = F.lit(prior)
-    for name, weight in zip(names, weights or [{1: 0.0, -1: 0.0}] * len(names), strict=True):
-        odds = odds + F.when(F.col(name) > 0, weight[1]).when(F.col(name) < 0, weight[-1]).otherwise(0.0)
+    for name, weight in zip(names, weights or [{1: 0.0, 0: 0.0, -1: 0.0}] * len(names), strict=True):
+        odds = odds + F.when(F.col(name) > 0, weight[1]).when(F.col(name) < 0, weight[-1]).otherwise(weight[0])
     scored = voted.withColumn("posterior", 1 / (1 + F.exp(-odds))).drop(*names)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlake.llm import common
+from text_fixtures import held_out, odd_rows, words  # noqa: F401
 
 
 def test_words_match_the_pattern(spark, odd_rows, words):

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from loanlake.llm import hyperminhash as hm
+from text_fixtures import documents, odd_rows, words  # noqa: F401
 
 
 def shingles(words):
