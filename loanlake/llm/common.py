@@ -1,10 +1,12 @@
 """Helpers shared by the text operators: words, stored intermediate tables, components of links."""
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.checkpoints import ensure_checkpoint_dir
 
@@ -32,6 +34,19 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % modulus, F.lit(0))
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a column of texts holds about ``limit`` bytes, and never less than a row."""
+    for batch in batches:
+        start = total = 0
+        for k, size in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if total and total + size > limit:
+                yield batch.slice(start, k - start)
+                start, total = k, 0
+            total += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 class Scratch:
     """Tables written once under the shared checkpoint folder and read back.
 
@@ -92,8 +107,3 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.unionByName(roots)
 
-
-def with_columns_of(df: DataFrame, schema: T.StructType) -> T.StructType:
-    """Schema of ``df`` followed by the fields of ``schema``; a field replaces a column of the same name."""
-    new = {f.name.lower() for f in schema.fields}
-    return T.StructType([f for f in df.schema.fields if f.name.lower() not in new] + list(schema.fields))

@@ -7,10 +7,13 @@ per band bucket, the collision-corrected estimate of the Jaccard similarity drop
 that are far below the threshold (six standard deviations), and what is left is compared
 on the full sets.
 
-Work on copies stays linear.  Documents with equal sets are one class before any banding.
-In a bucket every member meets one leader; pairs inside one component need no
-comparison; only members of different components meet further leaders, eight times as
-many each round, until every remaining pair of a bucket has been compared.
+Documents with equal sets are one class before any banding.  In a bucket every member first meets
+one leader; pairs inside one component need no comparison after that.  Buckets that still hold
+members of different components are dealt into blocks of bounded size; a task compares two
+blocks on the smallest ``LOW`` shingle hashes of their members, which is the full set of a
+shorter document and a sample of a longer one.  It returns a spanning forest of the links it
+found, never the pairs, and of pairs of longer documents those of different components whose
+estimate leaves a doubt; they are compared on the full sets.
 
 With 32 bands of five registers a pair at exactly the threshold of 0.85 is missed with a
 probability of 7e-9.  Documents without words (null texts too) have an empty set and link
@@ -26,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, slices
 
 SHINGLE = 5
 REGISTERS, BANDS, ROWS = 160, 32, 5
 MANTISSA_BITS = 10
 DEVIATIONS = 6.0
+LOW, BLOCK = 512, 512
+COLUMNS = 8192
 # Odd multipliers of the shingle hash and of the mixing steps.
 MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -104,7 +109,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text"):
         n, one, two, sketches = [], [], [], []
         for text in batch.column("text"):
             shingles = shingle_hashes(text.as_py())
@@ -127,7 +132,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text"):
         sets = [shingle_hashes(t.as_py()).tobytes() for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["node", "shingles"])
 
@@ -163,18 +168,125 @@ def _verified(percent: int):
     return run
 
 
-def _pairs_checked(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, linked`` for candidate pairs; pairs dropped by size or estimate are absent."""
+def common_counts(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``one`` with every set of ``two``."""
+    counts = np.zeros((len(one), len(two)), np.float32)
+    if len(one) * len(two) <= 16:
+        for i, p in enumerate(one):
+            for j, q in enumerate(two):
+                counts[i, j] = len(p) if p is q else len(np.intersect1d(p, q, assume_unique=True))
+        return counts
+    rows = [np.repeat(np.arange(len(side)), [len(p) for p in side]) for side in (one, two)]
+    values = [np.concatenate(side) for side in (one, two)]
+    # Hashes that both sides hold are the columns of two 0/1 matrices, a slice of them at a time.
+    shared = np.intersect1d(*values)
+    for start in range(0, len(shared), COLUMNS):
+        part = shared[start : start + COLUMNS]
+        sides = []
+        for at, value, size in zip(rows, values, (len(one), len(two)), strict=True):
+            column = np.minimum(np.searchsorted(part, value), len(part) - 1)
+            held = part[column] == value
+            matrix = np.zeros((size, len(part)), np.float32)
+            matrix[at[held], column[held]] = 1
+            sides.append(matrix)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _root(parent: list[int], k: int) -> int:
+    while parent[k] != k:
+        parent[k] = parent[parent[k]]
+        k = parent[k]
+    return k
+
+
+def _compare_blocks(nodes, groups, sizes, blocks, sets, first, second, percent) -> list[tuple[int, int, bool]]:
+    """Forest of sure links and the doubtful pairs between two blocks of a bucket."""
+    here = [k for k, block in enumerate(blocks) if block == first]
+    there = here if first == second else [k for k, block in enumerate(blocks) if block == second]
+    if not here or not there or len(set(groups)) < 2:
+        return []
+    both = common_counts([sets[k] for k in here], [sets[k] for k in there])
+    last = np.iinfo(np.uint64).max
+    # A longer document is known up to its largest low hash; a pair up to the smaller of both ends.
+    ends = np.array([s[-1] if n > len(s) else last for s, n in zip(sets, sizes, strict=True)], np.uint64)
+    end = np.minimum(ends[here][:, None], ends[there][None, :])
+    seen_a = np.stack([np.searchsorted(sets[k], row, "right") for k, row in zip(here, end, strict=True)])
+    seen_b = np.stack([np.searchsorted(sets[k], row, "right") for k, row in zip(there, end.T, strict=True)]).T
+    union = seen_a + seen_b - both
+    exact = end == last
+    sure = exact & (100 * both >= percent * union)
+    share = percent / 100
+    slack = DEVIATIONS * np.sqrt(share * (1 - share) / np.maximum(union, 1))
+    doubt = ~exact & (both >= (share - slack) * union)
+    if first == second:
+        upper = np.triu(np.ones(both.shape, bool), 1)
+        sure, doubt = sure & upper, doubt & upper
+    numbers = {g: k for k, g in enumerate(dict.fromkeys(groups))}
+    parent, found = list(range(len(numbers))), []
+    for i, j in zip(*np.nonzero(sure), strict=True):
+        a, b = here[i], there[j]
+        x, y = _root(parent, numbers[groups[a]]), _root(parent, numbers[groups[b]])
+        if x != y:
+            parent[y] = x
+            found.append((nodes[a], nodes[b], True))
+    for i, j in zip(*np.nonzero(doubt), strict=True):
+        a, b = here[i], there[j]
+        if _root(parent, numbers[groups[a]]) != _root(parent, numbers[groups[b]]):
+            found.append((min(nodes[a], nodes[b]), max(nodes[a], nodes[b]), False))
+    return found
+
+
+def _blocks_compared(percent: int):
+    """Cut sorted rows into pairs of blocks and compare each; a task holds one pair at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current, found = None, []
+
+        def finish() -> None:
+            nodes, groups, sizes, blocks, lows = zip(*held, strict=True)
+            sets = [np.frombuffer(low, np.uint64) for low in lows]
+            found.extend(_compare_blocks(nodes, groups, sizes, blocks, sets, current[1], current[2], percent))
+
+        def emit() -> pa.RecordBatch:
+            a, b, sure = zip(*found, strict=True)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure, pa.bool_())], ["a", "b", "sure"])
+
+        names = ("key", "one", "two", "node", "component", "n", "block", "low")
+        for batch in batches:
+            for key, one, two, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (key, one, two) != current:
+                    if held:
+                        finish()
+                    held, current = [], (key, one, two)
+                held.append(tuple(row))
+            if len(found) > 10_000:
+                yield emit()
+        if held:
+            finish()
+        if found:
+            yield emit()
+
+    return run
+
+
+def _likely_pairs(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that neither sizes nor estimates rule out."""
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     close = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
     sketched = pairs.join(side("a"), "a").join(side("b"), "b").filter(close)
-    likely = scratch.store(sketched.mapInArrow(_likely(percent / 100), "a long, b long"))
-    whole = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
+    return scratch.store(sketched.mapInArrow(_likely(percent / 100), "a long, b long"))
+
+
+def _links(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link by their full sets."""
+    whole = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
-    checked = scratch.store(whole.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long, linked boolean"))
-    scratch.drop(likely)
-    return checked
+    checked = whole.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long, linked boolean")
+    return scratch.store(checked.filter("linked").select("a", "b"))
 
 
 def near_duplicates(
@@ -203,33 +315,28 @@ def near_duplicates(
         else rows.join(candidates, F.col("id") == F.col("node"), "left_semi").mapInArrow(_shingle_sets, "node long, shingles binary")
     )
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    checked = _pairs_checked(scratch, stars, nodes, sets, percent)
-    found = components(scratch, checked.filter("linked"))
-    first, last = 0, 4
-    while True:
-        # Buckets that still hold members of different components.
-        placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-        left = scratch.store(placed.join(open_keys.select("key"), "key", "left_semi").withColumn("rank", F.row_number().over(order)))
-        leaders = left.filter(f"rank > {first} AND rank <= {last}").alias("l")
-        others = left.alias("m")
-        meet = leaders.join(others, F.expr("l.key = m.key AND l.rank < m.rank AND l.component <> m.component"))
-        pairs = meet.select(F.least("l.node", "m.node").alias("a"), F.greatest("l.node", "m.node").alias("b")).distinct()
-        fresh = scratch.store(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-        if not fresh.isEmpty():
-            more = _pairs_checked(scratch, fresh, nodes, sets, percent)
-            checked = checked.unionByName(more)
-            if not more.filter("linked").isEmpty():
-                found = components(scratch, checked.filter("linked"))
-        done = left.filter(f"rank > {last}").isEmpty()
-        scratch.drop(left, fresh)
-        if done:
-            break
-        first, last = last, last * 8
+    links = _links(scratch, _likely_pairs(scratch, stars, nodes, percent), sets, percent)
+    found = components(scratch, links)
+    # Buckets that still hold members of different components.
+    placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    open_keys = placed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
+    )
+    open_keys = open_keys.filter("lo < hi").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = placed.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"one": F.least("block", "with"), "two": F.greatest("block", "with")})
+    low = sets.select("node", F.substring("shingles", 1, 8 * LOW).alias("low"))
+    dealt = dealt.join(nodes.select("node", "n").join(low, "node"), "node")
+    dealt = dealt.select("key", "one", "two", "node", "component", "n", "block", "low")
+    ordered = dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    compared = scratch.store(ordered.mapInArrow(_blocks_compared(percent), "a long, b long, sure boolean"))
+    doubtful = compared.filter("NOT sure").select("a", "b").distinct()
+    more = compared.filter("sure").select("a", "b").unionByName(_links(scratch, doubtful, sets, percent))
+    found = components(scratch, links.unionByName(more))
     grouped = classes.join(found, "node", "left").select("n", "s1", "s2", F.coalesce("component", "node").alias("component_id"))
     grouped = scratch.store(grouped)
-    scratch.drop(members, candidates, nodes, sets)
+    scratch.drop(members, candidates, nodes, sets, links, compared)
     joined = sketched.drop("sketch").join(grouped, ["n", "s1", "s2"], "left")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id"))
     result = joined.select("id", F.col("n").alias("n_shingles"), own.alias("component_id"))
