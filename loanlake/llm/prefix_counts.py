@@ -21,6 +21,7 @@ replaced.
 import json
 import struct
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 CACHE = 400_000
 LONGEST_CACHED = 64
+PAIR = 17  # bits of a token number
 # Fixed value: the splitting pattern of byte-level vocabularies.
 PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -67,44 +71,46 @@ class PrefixCounter:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("Special strings that take in their surroundings are not supported")
         self.vocab = {raw(w): i for w, i in model["vocab"].items() if w not in set(self.specials)}
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(raw(a), raw(b)): k for k, (a, b) in enumerate(merges)}
         self.longest = max(map(len, self.vocab))
-        self.parts = {a + b: (a, b) for a, b in reversed(self.ranks)}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        # By token number: the place of the merge that builds it, and its parts; pairs are two numbers in one.
+        size = max(self.vocab.values()) + 1
+        self.built, self.left, self.right = [-1] * size, [0] * size, [0] * size
+        self.ranks: dict[int, int] = {}
+        for rank, (a, b) in enumerate((raw(a), raw(b)) for a, b in merges):
+            one, two, whole = self.vocab[a], self.vocab[b], self.vocab[a + b]
+            self.ranks[one << PAIR | two] = rank
+            if self.built[whole] < 0:
+                self.built[whole], self.left[whole], self.right[whole] = rank, one, two
         self.pieces = regex.compile(PIECES).findall
         self.units = regex.compile(UNITS).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.seen: dict[str, tuple[int, bytes]] = {}
 
-    def stands(self, left: bytes, right: bytes) -> bool:
-        """Whether ``left`` followed by ``right`` is encoded as these two tokens.
+    def stands(self, left: int, right: int) -> bool:
+        """Whether token ``left`` followed by ``right`` is encoded as these two tokens.
 
         Walks both tokens back through their merges: the pair does not stand if two parts
         that meet at the seam would have merged before one of them was built.
         """
-        key = (left, right)
-        known = self.fits.get(key)
-        if known is not None:
-            return known
-        ranks, parts = self.ranks, self.parts
+        key = left << PAIR | right
+        ranks, built = self.ranks, self.built
         limit = 1 << 60
-        result = True
         while True:
-            rank = ranks.get((left, right))
+            rank = ranks.get(left << PAIR | right)
             if rank is not None and rank < limit:
                 result = False
                 break
-            lp, rp = parts.get(left), parts.get(right)
-            lr = ranks[lp] if lp else -1
-            rr = ranks[rp] if rp else -1
-            if lr < 0 and rr < 0:
+            a, b = built[left], built[right]
+            if a < 0 and b < 0:
+                result = True
                 break
             # Undo the later merge.  A merge at the seam lies left of the right token's own, so it wins a tie.
-            if lr > rr:
-                limit, left = lr, lp[1]
+            if a > b:
+                limit, left = a, self.right[left]
             else:
-                limit, right = rr + 1, rp[0]
+                limit, right = b + 1, self.left[right]
         if len(self.fits) >= CACHE * 4:
             self.fits.clear()
         self.fits[key] = result
@@ -112,38 +118,44 @@ class PrefixCounter:
 
     def piece_counts(self, piece: bytes) -> list[int]:
         """Token counts of all byte prefixes of one piece, from 0."""
-        vocab, stands, known, longest = self.vocab, self.stands, self.fits.get, self.longest
+        token_of, known, longest = self.vocab.get, self.fits.get, self.longest
         n = len(piece)
-        last: list[bytes] = [b""] * (n + 1)
+        last = [0] * (n + 1)
         counts = [0] * (n + 1)
         for end in range(1, n + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = piece[start:end]
-                if token not in vocab:
+            # Exactly one token ends here, so the order of trying is free; most tokens are short.
+            for start in range(end - 1, max(end - longest, 0) - 1, -1):
+                token = token_of(piece[start:end])
+                if token is None:
                     continue
-                fits = start == 0 or known((last[start], token))
-                if fits is None:
-                    fits = stands(last[start], token)
-                if fits:
-                    last[end] = token
-                    counts[end] = counts[start] + 1
-                    break
+                if start:
+                    fits = known(last[start] << PAIR | token)
+                    if fits is None:
+                        fits = self.stands(last[start], token)
+                    if not fits:
+                        continue
+                last[end] = token
+                counts[end] = counts[start] + 1
+                break
         return counts
 
+    def character_counts(self, piece: str) -> list[int]:
+        """Token counts of all character prefixes of one piece, from 0."""
+        raw = piece.encode()
+        tokens = self.piece_counts(raw)
+        if len(raw) == len(piece):
+            return tokens
+        # A prefix of whole characters ends before the first byte of the next one.
+        return [tokens[k] for k in range(len(raw) + 1) if k == len(raw) or raw[k] & 0xC0 != 0x80]
+
     def prefix_counts(self, text: str) -> list[int]:
         """Token counts of all character prefixes of a unit, from 0; no special strings are looked for."""
         counts = [0]
         pieces = self.pieces(text)
         done = 0
         for piece in pieces:
-            raw = piece.encode()
-            tokens = self.piece_counts(raw)
-            if len(raw) == len(piece):
-                counts += [done + c for c in tokens[1:]] if done else tokens[1:]
-            else:
-                # A prefix of whole characters ends before the first byte of the next one.
-                ends = [k for k in range(1, len(raw) + 1) if k == len(raw) or raw[k] & 0xC0 != 0x80]
-                counts += [done + tokens[k] for k in ends]
+            tokens = self.character_counts(piece)
+            counts += [done + c for c in tokens[1:]] if done else tokens[1:]
             done = counts[-1]
         # Cuts that change the split: after two letters of a contraction, and within leading white space.
         start = 0
@@ -158,9 +170,12 @@ class PrefixCounter:
 
     def unit(self, text: str) -> tuple[int, bytes]:
         """Count of a unit and the differences of its prefix counts."""
-        counts = self.prefix_counts(text)
-        steps = struct.pack(f"<{len(text)}h", *map(int.__sub__, counts[1:], counts))
-        result = counts[-1], steps
+        lead = text[0]
+        if "'" not in text and (not lead.isspace() or (lead == " " and text[1:2].strip())):
+            counts = self.character_counts(text)  # one piece
+        else:
+            counts = self.prefix_counts(text)
+        result = counts[-1], struct.pack(f"<{len(text)}h", *map(sub, counts[1:], counts))
         if len(text) <= LONGEST_CACHED:
             if len(self.seen) >= CACHE:
                 self.seen.clear()
@@ -207,7 +222,7 @@ def counts_at(steps: bytes | None) -> np.ndarray:
 def _counted(path: str, with_steps: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load(path)
-        for batch in batches:
+        for batch in slices(batches, "__text"):
             rows = [counter.count(t or "") for t in batch.column("__text").to_pylist()]
             kept = [n for n in batch.schema.names if n != "__text"]
             totals = [int(np.frombuffer(s, "<i2").sum(dtype=np.int64)) for _, s in rows]
@@ -215,6 +230,7 @@ def _counted(path: str, with_steps: bool):
             if with_steps:
                 columns.append(pa.array([s for _, s in rows], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_tokens", "prefix_steps"][: len(columns)])
+        counter.seen.clear()  # workers live longer than tasks
 
     return run
 
