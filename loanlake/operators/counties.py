@@ -9,7 +9,6 @@ from ..functions import code5
 from ..schemas import COUNTY, FIPS, STATE
 from ..sources.checkpoints import cut_lineage
 from .cleaning import quoted, union_all
-from .lookup import broadcast_if_small
 
 # Rows filed under Alaska that belong to another state.
 ALASKA_STATES = {"ANNE ARUNDEL": "MD", "BUNCOMBE": "NC", "EL PASO": "TX"}
@@ -120,7 +119,7 @@ def add_county_fips(
     )
     df = standardize_counties(df.drop(fips_col), state_col=state_col, county_col=county_col)
     same = (F.upper(quoted(state_col)) == F.col("_state")) & (lookup_key(quoted(county_col)) == F.col("_key"))
-    return df.join(broadcast_if_small(lookup), same, "left").drop("_state", "_key")
+    return df.join(lookup, same, "left").drop("_state", "_key")
 
 
 def _pairs(frame: DataFrame, state_col: str, county_col: str) -> DataFrame:

@@ -7,7 +7,6 @@ from ..functions import code5
 from ..schemas import AMOUNT, COUNTY, FIPS, RATE, STATE, YEAR, require_columns
 from ..sources.sinks import write_result
 from .activity import normalize_frequency, with_period_keys
-from .lookup import broadcast_if_small
 from .summaries import mortgage_summary
 
 
@@ -45,14 +44,13 @@ def metro_metrics(
 ) -> DataFrame:
     """As :func:`county_metrics`, per metro area; loans outside any metro keep a null key.
 
-    A crosswalk of counties passes the size check and joins map-side, so the only
-    shuffles are those of the summary.
+    A county that the crosswalk puts into several areas counts in each of them.
     """
     freq = normalize_frequency(frequency)
     if cbsa_crosswalk is not None:
         columns = [county_fips_col, cbsa_col] + ([cbsa_name_col] if cbsa_name_col else [])
         crosswalk = cbsa_crosswalk.select(*columns).distinct()
-        df = df.join(broadcast_if_small(crosswalk), county_fips_col, "left")
+        df = df.join(crosswalk, county_fips_col, "left")
     require_columns(df, {county_fips_col, cbsa_col, AMOUNT, RATE}, "metro metrics")
     df, keys = with_period_keys(df, freq)
     keys = [*keys, cbsa_col]

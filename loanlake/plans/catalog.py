@@ -1,7 +1,5 @@
 """Named queries over the star-schema tables, one per operator."""
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +35,8 @@ from ..schemas import (
     YEAR,
 )
 from ..sources import file_names, snapshots, star_raw
-from ..sources.checkpoints import ensure_checkpoint_dir
 from ..sources.star_loans import loans, read_table, reverse_loans
-from . import import_snapshots, reports
+from . import file_queries, import_snapshots, reports
 
 QUERIES = {}
 
@@ -119,13 +116,13 @@ def _metro(frequency: str):
 
 
 # --- activity ----------------------------------------------------------------
-register("lender_volume", activity.lender_volume, ORIG, INDEX, AMOUNT)
-register("yearly_lenders", activity.yearly_lenders, YEAR, ORIG, INDEX)
+register("lender_volume", activity.lender_volume, ORIG, AMOUNT)
+register("yearly_lenders", activity.yearly_lenders, YEAR, ORIG)
 _PANEL = (YEAR, MONTH, ORIG_NO, ORIG, AMOUNT, RATE, PURPOSE)
 register("lender_panel_annual", lambda df: activity.lender_panel(df, "annual"), *_PANEL)
 register("lender_panel_quarterly", lambda df: activity.lender_panel(df, "quarterly"), *_PANEL)
-register("sponsor_volume", activity.sponsor_volume, SPONSOR, INDEX, AMOUNT)
-register("yearly_sponsors", activity.yearly_sponsors, YEAR, SPONSOR, INDEX)
+register("sponsor_volume", activity.sponsor_volume, SPONSOR, AMOUNT)
+register("yearly_sponsors", activity.yearly_sponsors, YEAR, SPONSOR)
 register("loan_purpose", lambda df: activity.loan_characteristics(df)["loan_purpose"], YEAR, PURPOSE, DOWN, AMOUNT)
 register("down_payment", lambda df: activity.loan_characteristics(df)["down_payment"], YEAR, PURPOSE, DOWN, AMOUNT)
 register("yearly_loan_size", activity.yearly_loan_size, YEAR, AMOUNT)
@@ -133,7 +130,7 @@ register("market_share", activity.market_share, YEAR, ORIG)
 register("yearly_hhi", activity.yearly_hhi, YEAR, ORIG)
 register("state_stats", activity.state_statistics, STATE, AMOUNT, RATE, ORIG)
 register("monthly_stats", activity.monthly_statistics, YEAR, MONTH, AMOUNT, RATE)
-register("state_year_counts", lambda df: activity.state_loans_in_year(df, 1998), YEAR, STATE, INDEX)
+register("state_year_counts", lambda df: activity.state_loans_in_year(df, 1998), YEAR, STATE)
 register("state_lenders", lambda df: activity.lenders_in_state(df, "NATION_7", 1998), YEAR, STATE, ORIG)
 register("value_counts", lambda df: activity.value_counts(df, PROPERTY), PROPERTY)
 
@@ -403,22 +400,6 @@ register_raw(
 )
 
 
-def _imported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole import on files: raw months to bronze, then silver in two increments."""
-    root = f"{ensure_checkpoint_dir(spark)}/import-{uuid4().hex}"
-    raw, bronze, silver = (f"{root}/{part}" for part in ("raw", "bronze", "silver"))
-    import_snapshots.write_months(
-        star_raw.raw_sheets(spark, sf_dir).drop("snapshot_kind"), raw, "snapshot_year", "snapshot_month"
-    )
-    reference = star_raw.county_reference(spark)
-    import_snapshots.run_import(spark, raw, bronze, silver, max_year=2016, county_reference=reference)
-    import_snapshots.run_import(spark, raw, bronze, silver, county_reference=reference)
-    return snapshots.read_silver(spark, silver)
-
-
-QUERIES["imported_loans"] = _imported
-
-
 def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.col("path")
     info = file_names.snapshot_period(path, "sf")
@@ -444,3 +425,5 @@ def _pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["file_names"] = _file_names
 QUERIES["pending_files"] = _pending_files
+QUERIES |= file_queries.QUERIES
+QUERIES["report_event_log"] = lambda spark, sf_dir: flat(rounded(file_queries.report_event_log(spark, sf_dir)))

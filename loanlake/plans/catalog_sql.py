@@ -1067,7 +1067,7 @@ SQL["pending_files"] = f"""
   WITH {_NAMES}, dated AS (SELECT path, cast(('20' || substr(y, 3, 2)) AS int) AS year, cast(m AS int) AS month
                            FROM names WHERE style = 1)
   SELECT regexp_replace(path, 'Snapshot_..', 'Snapshot_20') AS path, year, month FROM dated
-  WHERE year BETWEEN 2010 AND 2098 AND (year, month) NOT IN ((2095, 1), (2096, 2))"""
+  WHERE (year, month) NOT IN ((2095, 1), (2096, 2))"""
 _MONTHS = "['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec']"
 SQL["file_names"] = f"""
   WITH {_NAMES}, parts AS (
@@ -1087,3 +1087,51 @@ SQL["file_names"] = f"""
     'fha_sf_snapshot_' || coalesce(loose_year || coalesce(lpad(abbr::varchar, 2, '0'), nullif(mm, '')), '201001') || '01'
       || regexp_extract(name, '[.][a-z]+$') AS standard_name
   FROM loose"""
+
+
+# --- files ----------------------------------------------------------------------------
+
+for _name in ("imported_csv", "exported_loans", "streamed_loans"):
+    SQL[_name] = SQL["imported_loans"]
+define_raw("month_scan", f"""WITH {_SILVER} SELECT * FROM silver WHERE "Year" = 2016 AND "Month" = 3""")
+SQL["imported_all_years"] = f"""WITH {_CLEANED.replace("+ 19", "+ (CASE WHEN c % 2 = 0 THEN 9 ELSE 35 END)")}
+  SELECT "Year", "Month", count(*) AS rows FROM cleaned GROUP BY ALL"""
+SQL["imported_hecm"] = f"""WITH clean AS ({SQL["clean_hecm"]}), numbered AS (
+    SELECT *, 'H' || "Year" || lpad("Month"::varchar, 2, '0') || '01_' || lpad(cast(row_number() OVER (
+      PARTITION BY "Year", "Month" ORDER BY row_ord) AS varchar), 7, '0') AS "FHA_Index" FROM clean)
+  SELECT "FHA_Index", "Property State", coalesce("Originating Mortgagee", '') AS "Originating Mortgagee",
+    "Originating Mortgagee Number", coalesce("Sponsor Name", '') AS "Sponsor Name", "NMLS", "Standard/Saver", "Interest Rate",
+    "Year", "Month", make_date("Year", "Month", 1) AS "Date" FROM numbered"""
+_FILE_MONTHS = f"""{_CLEANED}, months AS (
+    SELECT cast(year(o_orderdate) + 19 AS int) AS year, cast(month(o_orderdate) AS int) AS month,
+      EXISTS (SELECT 1 FROM cleaned WHERE sy = year(o_orderdate) + 19 AND sm = month(o_orderdate)) AS clean FROM orders
+    GROUP BY ALL)"""
+SQL["manifest_status"] = f"""WITH {_FILE_MONTHS}
+  SELECT 'single_family:' || year || '-' || lpad(month::varchar, 2, '0') AS key, 'single_family' AS snapshot_type, year, month,
+    true AS is_downloaded, clean AS is_processed FROM months"""
+SQL["file_inventory"] = f"""WITH {_FILE_MONTHS}
+  SELECT 'raw' AS category, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS parent_directory, 1 AS kinds FROM months
+  UNION ALL SELECT 'data', 'bronze/snapshot_year=' || year || '/snapshot_month=' || month, 1 FROM months WHERE clean
+  UNION ALL SELECT 'clean', 'silver/Year=' || year || '/Month=' || month, 1 FROM months WHERE clean"""
+SQL["csv_round_trip"] = SQL["state_counts"]
+SQL["stored_result"] = SQL["county_counts"]
+SQL["validation_export"] = f"SELECT check_name, status, is_warning FROM ({SQL['run_all_checks']})"
+SQL["report_event_log"] = SQL["event_log"]
+SQL["row_sample"] = "SELECT least(250, count(*)) AS rows, least(250, count(*)) AS keys FROM lineitem"
+
+
+def _rows_of(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS rows FROM ({SQL[query]})" for name, query in tables.items())
+
+
+SQL["trend_tables"] = _rows_of({
+    "active_lenders": "active_lenders", "loan_size": "loan_size_trend", "purchase_and_refinance": "purpose_trend",
+    "down_payment_source": "down_payment_share", "by_product_type": "rates_by_product", "by_property_type": "rates_by_property",
+    "by_loan_purpose": "rates_by_purpose", "top_lender_groups": "top_lender_groups", "category_counts": "category_counts",
+    "category_shares": "category_share",
+})
+SQL["network_tables"] = _rows_of({
+    "edges": "edges", "originator_centrality": "centrality_originators", "sponsor_centrality": "centrality_sponsors",
+    "originator_projection": "projection_originators", "sponsor_projection": "projection_sponsors", "summary": "edge_totals",
+})
+SQL["exploratory_tables"] = _rows_of({n: n for n in ("lender_volume", "yearly_lenders", "sponsor_volume", "yearly_sponsors")})

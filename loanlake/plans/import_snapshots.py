@@ -1,14 +1,17 @@
 """Raw sheets to bronze, bronze to silver."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import PLACE_COLUMNS, clean, prepare_export
 from ..operators.row_keys import with_row_keys
 from ..schemas import MONTH, SINGLE_FAMILY_KIND, YEAR
-from ..sources import snapshots
+from ..sources import manifest, snapshots
 
-MIN_YEAR, MAX_YEAR = 2010, 2025
+#: Logs beside the months of the silver table; names that begin so are no data to Spark.
+COMPLETE, LATE = "_complete", "_late"
+MONTHS = f"`{YEAR}` int, `{MONTH}` int, rows bigint"
 
 
 def bronze_rows(raw: DataFrame, kind: str) -> DataFrame:
@@ -41,17 +44,38 @@ def convert_snapshots(
     *,
     overwrite: bool = False,
     file_format: str = "parquet",
+    manifest_path: str | None = None,
 ) -> list[tuple[int, int]]:
-    """Clean the raw months that bronze does not have yet; returns those months."""
+    """Clean the raw months that bronze does not have yet; returns those months.
+
+    With a ``manifest_path`` the raw and bronze files of every month are recorded there,
+    also of months that were converted before and have no record yet.
+    """
     files = snapshots.list_files(spark, raw_path)
     done = snapshots.bronze_months(spark, bronze_path)
-    # At most one file per month of the supported years, so a short list.
+    # At most one file per month of the calendar, so a short list.
     pending = snapshots.pending_files(files, kind, done, overwrite=overwrite).orderBy("year", "month").collect()
-    if not pending:
-        return []
-    raw = snapshots.read_raw_rows(spark, [row["path"] for row in pending], kind, file_format)
-    write_months(bronze_rows(raw, kind), bronze_path, "snapshot_year", "snapshot_month")
-    return [(row["year"], row["month"]) for row in pending]
+    months = [(row["year"], row["month"]) for row in pending]
+    if pending:
+        raw = snapshots.read_raw_rows(spark, [row["path"] for row in pending], kind, file_format)
+        write_months(bronze_rows(raw, kind), bronze_path, "snapshot_year", "snapshot_month")
+    if manifest_path is not None:
+        record_files(spark, raw_path, bronze_path, manifest_path, kind, months)
+    return months
+
+
+def record_files(
+    spark: SparkSession, raw_path: str, bronze_path: str, manifest_path: str, kind: str, months: list[tuple[int, int]]
+) -> None:
+    """Append the raw and bronze files of ``months``, and of months without a record, to a manifest."""
+    known = manifest.load(spark, manifest_path)
+    now = [manifest.key_text(kind, year, month) for year, month in months]
+    for side, path in (("raw", raw_path), ("processed", bronze_path)):
+        have = known.filter(F.col(side).isNotNull() & ~F.col("key").isin(now)).select("key")
+        # A snapshot per month of the calendar at most, so a short list.
+        new = [row["path"] for row in manifest.list_snapshots(spark, path, kind).join(have, "key", "left_anti").collect()]
+        if new:
+            manifest.append(manifest.fingerprint(spark, new, side, kind), manifest_path)
 
 
 def silver_rows(
@@ -76,27 +100,80 @@ def without_stored_months(rows: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(stored.select(YEAR, MONTH), [YEAR, MONTH], "left_anti")
 
 
+def late_months(bronze: DataFrame, stored: DataFrame) -> DataFrame:
+    """``Year, Month, rows`` of bronze rows that belong to months stored already."""
+    return bronze.join(stored.select(YEAR, MONTH), [YEAR, MONTH], "left_semi").groupBy(YEAR, MONTH).agg(
+        F.count("*").alias("rows")
+    )
+
+
+def _read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(MONTHS).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def stored_months(spark: SparkSession, silver_path: str) -> DataFrame:
+    """``Year, Month`` of the months that were written to their end.
+
+    A month counts once the log of complete months names it, so that the folders of a
+    write that broke off are written again.  A table without a log was not written here;
+    all its folders count.
+    """
+    log = _read_log(spark, f"{silver_path}/{COMPLETE}")
+    found = snapshots.existing_partitions(spark, silver_path) if log is None else log
+    return found.select(F.col(YEAR).cast("int").alias(YEAR), F.col(MONTH).cast("int").alias(MONTH)).distinct()
+
+
+def late_rows(spark: SparkSession, silver_path: str) -> DataFrame:
+    """``Year, Month, rows`` that arrived for stored months and were left out, by all imports so far."""
+    log = _read_log(spark, f"{silver_path}/{LATE}")
+    log = spark.createDataFrame([], MONTHS) if log is None else log
+    return log.groupBy(YEAR, MONTH).agg(F.sum("rows").alias("rows"))
+
+
+def store_months(spark: SparkSession, rows: DataFrame, silver_path: str, late: DataFrame | None = None) -> None:
+    """Write the months of ``rows`` and log them as complete afterwards."""
+    if _read_log(spark, f"{silver_path}/{COMPLETE}") is None:
+        # From here on folders alone do not count.
+        before = stored_months(spark, silver_path).withColumn("rows", F.lit(None).cast("bigint"))
+        before.write.mode("append").json(f"{silver_path}/{COMPLETE}")
+    write_months(rows, silver_path, YEAR, MONTH)
+    if late is not None:
+        late.write.mode("append").json(f"{silver_path}/{LATE}")
+    # What was written is counted from the files, which need not be computed again.
+    months = rows.select(YEAR, MONTH).distinct()
+    stored = spark.read.schema(rows.schema).parquet(silver_path)
+    counted = stored.join(months, [YEAR, MONTH], "left_semi").groupBy(YEAR, MONTH).agg(F.count("*").alias("rows"))
+    counted.write.mode("append").json(f"{silver_path}/{COMPLETE}")
+
+
 def save_silver(
     spark: SparkSession,
     bronze_path: str,
     silver_path: str,
     kind: str = SINGLE_FAMILY_KIND,
     *,
-    min_year: int = MIN_YEAR,
-    max_year: int = MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
     **export,
 ) -> None:
-    """Full export of a range of years; nothing is written if it has no files."""
-    bronze = snapshots.read_bronze(spark, bronze_path, min_year=min_year, max_year=max_year)
-    write_months(silver_rows(bronze, kind, **export), silver_path, YEAR, MONTH)
+    """Full export, of a range of years if bounds are given; nothing is written if it has no files."""
+    bronze = snapshots.read_bronze(spark, bronze_path, kind, min_year=min_year, max_year=max_year)
+    store_months(spark, silver_rows(bronze, kind, **export), silver_path)
 
 
-def new_months(spark: SparkSession, bronze_path: str, silver_path: str, min_year: int, max_year: int) -> DataFrame:
-    """``year, month`` of bronze files whose month silver does not have."""
-    stored = snapshots.partition_months(spark, silver_path)
+def new_months(
+    spark: SparkSession, bronze_path: str, silver_path: str, min_year: int | None = None, max_year: int | None = None
+) -> DataFrame:
+    """``year, month`` of bronze files whose month silver does not have in full."""
+    stored = stored_months(spark, silver_path).select(F.col(YEAR).alias("year"), F.col(MONTH).alias("month"))
     return (
         snapshots.bronze_months(spark, bronze_path)
-        .filter(F.col("year").between(min_year, max_year))
+        .filter(snapshots.in_years("year", min_year, max_year))
         .join(stored, ["year", "month"], "left_anti")
     )
 
@@ -107,30 +184,36 @@ def update_silver(
     silver_path: str,
     kind: str = SINGLE_FAMILY_KIND,
     *,
-    min_year: int = MIN_YEAR,
-    max_year: int = MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
     **export,
 ) -> list[tuple[int, int]]:
-    """Append the months silver does not have; returns them.
+    """Append the months silver does not have; returns the months of the new files.
 
-    Bronze files of stored months are not opened.  A stray row of a stored month in a
-    new file is left out, so a stored month never changes, and a second run adds
-    nothing.
+    Bronze files of stored months, and of years outside the bounds, are not opened.  A
+    stray row of a stored month in a new file is left out, so a stored month never changes,
+    and counted, see :func:`late_rows`; a second run adds nothing.
     """
     # Months of the calendar, a short list by nature.
     months = sorted((r["year"], r["month"]) for r in new_months(spark, bronze_path, silver_path, min_year, max_year).collect())
     if not months:
         return []
-    chosen = F.concat_ws("-", F.col("snapshot_year").cast("string"), F.col("snapshot_month").cast("string")).isin(
-        [f"{y}-{m}" for y, m in months]
-    )
-    bronze = snapshots.read_bronze(spark, bronze_path, min_year=min_year, max_year=max_year).filter(chosen)
-    stored = snapshots.existing_partitions(spark, silver_path)
-    rows = without_stored_months(silver_rows(bronze, kind, **export), stored)
-    write_months(rows, silver_path, YEAR, MONTH)
+    chosen = F.lit(False)
+    for year in sorted({y for y, _ in months}):
+        of_year = [m for y, m in months if y == year]
+        chosen = chosen | ((F.col("snapshot_year") == year) & F.col("snapshot_month").isin(of_year))
+    bronze = snapshots.read_bronze(spark, bronze_path, kind, min_year=min_year, max_year=max_year).filter(chosen)
+    append_months(spark, bronze, silver_path, kind, **export)
     return months
 
 
+def append_months(spark: SparkSession, bronze: DataFrame, silver_path: str, kind: str, **export) -> None:
+    """Add the months of bronze rows that silver does not have; count the rows of those that it has."""
+    stored = stored_months(spark, silver_path)
+    rows = without_stored_months(silver_rows(bronze, kind, **export), stored)
+    store_months(spark, rows, silver_path, late_months(bronze, stored))
+
+
 def run_import(
     spark: SparkSession,
     raw_path: str,
@@ -140,12 +223,15 @@ def run_import(
     *,
     overwrite: bool = False,
     file_format: str = "parquet",
-    min_year: int = MIN_YEAR,
-    max_year: int = MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
+    manifest_path: str | None = None,
     **export,
 ) -> list[tuple[int, int]]:
     """Both steps for one program; returns the months added to silver."""
-    convert_snapshots(spark, raw_path, bronze_path, kind, overwrite=overwrite, file_format=file_format)
+    convert_snapshots(
+        spark, raw_path, bronze_path, kind, overwrite=overwrite, file_format=file_format, manifest_path=manifest_path
+    )
     return update_silver(
         spark, bronze_path, silver_path, kind, min_year=min_year, max_year=max_year, **export
     )

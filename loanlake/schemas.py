@@ -113,11 +113,15 @@ HECM_HEADERS = {
 REQUIRED_COLUMNS = (YEAR, MONTH, INDEX, ORIG, ORIG_NO, SPONSOR, SPONSOR_NO, STATE, AMOUNT)
 
 
+def bronze_schema(kind: str = SINGLE_FAMILY_KIND) -> T.StructType:
+    """Schema of the cleaned monthly files."""
+    return SINGLE_FAMILY if kind == SINGLE_FAMILY_KIND else HECM
+
+
 def silver_schema(kind: str = SINGLE_FAMILY_KIND) -> T.StructType:
     """Schema of the exported table: program columns plus ``FIPS`` and ``Date``."""
-    base = SINGLE_FAMILY if kind == SINGLE_FAMILY_KIND else HECM
     return T.StructType(
-        base.fields + [T.StructField(FIPS, T.StringType()), T.StructField(DATE, T.DateType())]
+        bronze_schema(kind).fields + [T.StructField(FIPS, T.StringType()), T.StructField(DATE, T.DateType())]
     )
 
 

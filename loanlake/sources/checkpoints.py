@@ -22,3 +22,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,5 +1,7 @@
 """Inventory of data files."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from .snapshots import list_files, with_empty_files
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB")
 
 
+def plain_folder(path: str) -> str:
+    """A folder without scheme, as ``/a/b``."""
+    return re.sub("^[a-zA-Z0-9]+:/+(?=.)", "/", path)
+
+
 def plain_path(path: Column) -> Column:
     """Path without scheme, as ``/a/b``."""
     return F.regexp_replace(path, "^[a-zA-Z0-9]+:/+(?=.)", "/")
@@ -54,6 +61,7 @@ def describe_files(
     files: DataFrame, *, project_dir: str, data_dir: str, raw_dir: str, clean_dir: str
 ) -> DataFrame:
     """Inventory rows of listed files (``path, length, modificationTime``)."""
+    project_dir, data_dir, raw_dir, clean_dir = map(plain_folder, (project_dir, data_dir, raw_dir, clean_dir))
     path = plain_path(F.col("path"))
     parent = F.regexp_replace(path, "/[^/]*$", "")
     name = base_name(path)

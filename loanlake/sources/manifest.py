@@ -1,10 +1,12 @@
 """Manifest of snapshot files: checksum, path and time of the raw and processed file of a month."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .file_names import normalize_kind, snapshot_period, unit_path
+from .snapshots import list_files
 
 COMPONENT = T.StructType(
     [
@@ -24,26 +26,65 @@ MANIFEST = T.StructType(
     ]
 )
 SIDES = ("raw", "processed")
+WHOLE_FILE = 1 << 30  # bytes of a file that is read as one value
 
 
 def manifest_key(kind: Column, year: Column, month: Column) -> Column:
     return F.format_string("%s:%04d-%02d", kind, year, month)
 
 
+def key_text(kind: str, year: int, month: int) -> str:
+    return f"{normalize_kind(kind)}:{year:04d}-{month:02d}"
+
+
+def list_snapshots(spark: SparkSession, path: str, expected_kind: str | None = None) -> DataFrame:
+    """``key, path`` of the snapshots below ``path`` with a usable name; an absent folder has none."""
+    try:
+        files = list_files(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string")
+    units = files.select(unit_path(F.col("path")).alias("path")).distinct()
+    found = units.withColumn("p", snapshot_period(F.col("path"), expected_kind)).filter(F.col("p.problem").isNull())
+    return found.select(manifest_key(F.col("p.kind"), F.col("p.year"), F.col("p.month")).alias("key"), "path")
+
+
+def _checksums(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
+    """``path, checksum`` of files: as one value by the executors, or streamed block by block where a value cannot hold them."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path)
+    whole = files.filter(F.col("length") < WHOLE_FILE).select("path", F.sha2("content", 256).alias("checksum"))
+    # The length is checked before a file is opened; monthly files of this size are few.
+    large = [row["path"] for row in files.filter(F.col("length") >= WHOLE_FILE).select("path").collect()]
+    if not large:
+        return whole
+    streamed = [(name, _streamed_checksum(spark, name)) for name in large]
+    return whole.unionByName(spark.createDataFrame(streamed, "path string, checksum string"))
+
+
+def _streamed_checksum(spark: SparkSession, path: str) -> str:
+    jvm = spark._jvm
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    stream = name.getFileSystem(spark._jsc.hadoopConfiguration()).open(name)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
 def fingerprint(
     spark: SparkSession, path: str | list[str], side: str, expected_kind: str | None = None, glob: str | None = None
 ) -> DataFrame:
-    """Manifest rows of the snapshots below ``path``, checksummed on the executors.
+    """Manifest rows of the snapshots below ``path``, checksummed.
 
     A snapshot in several part files gets the checksum of their checksums.  Files
-    whose name gives no usable period are left out; see :func:`unusable_files`.  A
-    file is one value here, so it must stay below 2 GB.
+    whose name gives no usable period are left out; see :func:`unusable_files`.
     """
     if side not in SIDES:
         raise ValueError(f"side must be one of {SIDES}")
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
     info = snapshot_period(F.col("path"), expected_kind)
     sums = F.array_sort(F.collect_list(F.struct("path", "checksum")))
     whole = F.sha2(F.array_join(F.transform("sums", lambda x: x["checksum"]), ""), 256)
@@ -54,8 +95,7 @@ def fingerprint(
     )
     empty = F.lit(None).cast(COMPONENT)
     return (
-        reader.load(path)
-        .select("path", F.sha2("content", 256).alias("checksum"))
+        _checksums(spark, path, glob)
         .groupBy(unit_path(F.col("path")).alias("path"))
         .agg(sums.alias("sums"))
         .withColumn("p", info)
@@ -105,10 +145,20 @@ def status_of(manifest: DataFrame, kind: str, year: int, month: int) -> DataFram
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(path)
+    """The manifest; of what was appended to it, the latest component of each side.  An absent one is empty."""
+    try:
+        return merge(spark.read.schema(MANIFEST).json(path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
 
 
 def save(manifest: DataFrame, path: str) -> None:
-    """Write as JSON lines.  To update a manifest in place, write to a new path."""
+    """Write as JSON lines.  To update a manifest in place, use :func:`append`, or write to a new path."""
     manifest.write.mode("overwrite").json(path)
 
+
+def append(manifest: DataFrame, path: str) -> None:
+    """Add rows to a manifest; :func:`load` merges them with what is there."""
+    manifest.write.mode("append").json(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import HECM_KIND, MONTH, SINGLE_FAMILY_KIND, YEAR, silver_schema
+from ..schemas import HECM_KIND, MONTH, SINGLE_FAMILY_KIND, YEAR, bronze_schema, silver_schema
 from .file_names import bronze_period, is_snapshot, snapshot_period, unit_path
 
 # Words that mark a data sheet, per program.
@@ -16,7 +16,6 @@ SHEET_WORDS = {
     SINGLE_FAMILY_KIND: ("Data", "Purchase", "Refinance"),
     HECM_KIND: ("Data", "Purchase", "Refinance", "data"),
 }
-FIRST_YEAR, LAST_YEAR = 2010, 2098
 
 
 def read_tabular(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -97,27 +96,41 @@ def existing_partitions(spark: SparkSession, path: str) -> DataFrame:
 # --- bronze -----------------------------------------------------------------------------
 
 
+def in_years(year: str, min_year: int | None, max_year: int | None) -> Column:
+    """Whether a year lies within the bounds that are given."""
+    inside = F.lit(True)
+    if min_year is not None:
+        inside = inside & (F.col(year) >= min_year)
+    if max_year is not None:
+        inside = inside & (F.col(year) <= max_year)
+    return inside
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
+    kind: str | None = None,
     *,
-    min_year: int = 2010,
-    max_year: int = 2025,
-    schema: T.StructType | None = None,
+    min_year: int | None = None,
+    max_year: int | None = None,
 ) -> DataFrame:
-    """Bronze rows of a range of years, with ``snapshot_year`` and ``snapshot_month``.
+    """Bronze rows, all or of a range of years, with ``snapshot_year`` and ``snapshot_month``.
 
     The months are partition folders, or part of the file names where the files lie
-    side by side; either way rows of files outside the range are not read.  Without
-    a ``schema`` the footers of all files are read to merge theirs.
+    side by side; either way rows of files outside the range are not read.  With a
+    ``kind`` the columns are those of its program and no footer is opened to find them;
+    without one the footers of all files are read to merge theirs.
     """
     reader = spark.read.option("pathGlobFilter", "*.parquet")
-    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    if kind is None:
+        reader = reader.option("mergeSchema", True)
+    else:
+        reader = reader.schema(bronze_schema(kind))
     files = reader.parquet(path)
     if "snapshot_year" not in files.columns:
         period = bronze_period(F.col("_metadata.file_path"))
         files = files.withColumns({"snapshot_year": period["year"], "snapshot_month": period["month"]})
-    return files.filter(F.col("snapshot_year").between(min_year, max_year))
+    return files.filter(in_years("snapshot_year", min_year, max_year))
 
 
 def bronze_months(spark: SparkSession, path: str) -> DataFrame:
@@ -150,9 +163,7 @@ def pending_files(
     """
     units = files.select(unit_path(F.col("path")).alias("path")).distinct()
     info = snapshot_period(F.col("path"), kind)
-    named = units.filter(is_snapshot(F.col("path"))).select("path", info.alias("p")).filter(
-        F.col("p.problem").isNull() & F.col("p.year").between(FIRST_YEAR, LAST_YEAR)
-    )
+    named = units.filter(is_snapshot(F.col("path"))).select("path", info.alias("p")).filter(F.col("p.problem").isNull())
     first = F.row_number().over(Window.partitionBy("p.year", "p.month").orderBy("path"))
     chosen = named.withColumn("rank", first).filter("rank = 1").select("path", "p.year", "p.month")
     if processed is None or overwrite:
@@ -162,21 +173,46 @@ def pending_files(
     )
 
 
+def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """CSV snapshots grouped by their header line; ``paths`` has a file or folder per month."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.option("header", True).csv(path).columns)
+        groups.setdefault(header, []).append(path)
+    return list(groups.values())
+
+
+def _place(column: str) -> Column:
+    """The number of a sheet or row; a place that is no number fails the job."""
+    number = F.expr(f"try_cast(`{column}` AS bigint)")
+    return F.coalesce(number, F.raise_error(F.lit(f"{column} must be a number in every row")).cast("bigint"))
+
+
 def read_raw_rows(
     spark: SparkSession, paths: str | list[str], kind: str, file_format: str = "parquet"
 ) -> DataFrame:
     """Rows of exported sheets with the kind, year and month of their file.
 
     Every row carries ``sheet_name``, ``sheet_ord`` and ``row_ord``, its place in the
-    workbook.  Sheets without data are left out.
+    workbook; both numbers must be there.  Columns go by their names: CSV files are read
+    with the header of their own.  Sheets without data are left out.
     """
-    reader = spark.read.format(file_format)
-    if file_format == "csv":
-        reader = reader.option("header", True)
-    elif file_format == "parquet":
-        reader = reader.option("mergeSchema", True)
+    listed = [paths] if isinstance(paths, str) else list(paths)
     info = snapshot_period(F.col("_metadata.file_path"), kind)
-    rows = reader.load(paths).withColumn("_p", info)
+
+    def read(some: list[str]) -> DataFrame:
+        reader = spark.read.format(file_format)
+        if file_format == "csv":
+            reader = reader.option("header", True).option("enforceSchema", False)
+        elif file_format == "parquet":
+            reader = reader.option("mergeSchema", True)
+        return reader.load(some).withColumn("_p", info)
+
+    rows = None
+    for some in files_by_header(spark, listed) if file_format == "csv" else [listed]:
+        part = read(some)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     usable = F.col("_p.problem").isNull() & is_data_sheet(kind)
     place = {f"snapshot_{part}": F.col(f"_p.{part}") for part in ("kind", "year", "month")}
+    place |= {column: _place(column) for column in ("sheet_ord", "row_ord")}
     return rows.filter(usable).withColumns(place).drop("_p")

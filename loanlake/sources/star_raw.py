@@ -28,9 +28,9 @@ REFERENCE = (
 )
 
 
-def _later(date: Column) -> Column:
-    """19 years on, which puts the orders into the years of the programs."""
-    return F.add_months(date, 12 * 19)
+def _later(date: Column, years: Column | int = 19) -> Column:
+    """Some years on; 19 put the orders into the years of the programs."""
+    return F.add_months(date, 12 * years)
 
 
 def _pick(values: tuple, index: Column) -> Column:
@@ -50,9 +50,9 @@ def stored_problems(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("PR", "BAYAMON"), ("QQ", "NOWHERE")], f"`{STATE}` string, `{COUNTY}` string")
 
 
-def raw_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_sheets(spark: SparkSession, sf_dir: str, years: Column | int = 19) -> DataFrame:
     """Single family sheets as exported: text columns, untidy headers, place of every row."""
-    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), _later(F.col("o_orderdate"))
+    key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), _later(F.col("o_orderdate"), years)
     year = F.year(date).cast("string")
     sheet = F.col("o_orderstatus")
     return read_table(spark, sf_dir, "orders").select(

@@ -4,9 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.import_snapshots import silver_rows, without_stored_months, write_months
-from ..schemas import HECM, MONTH, SINGLE_FAMILY, SINGLE_FAMILY_KIND, YEAR
-from ..sources import snapshots
+from ..plans.import_snapshots import append_months
+from ..schemas import SINGLE_FAMILY_KIND, bronze_schema
 
 MONTH_COLUMNS = [
     T.StructField("snapshot_year", T.IntegerType()),
@@ -16,8 +15,7 @@ MONTH_COLUMNS = [
 
 def bronze_stream(spark: SparkSession, bronze_path: str, kind: str = SINGLE_FAMILY_KIND) -> DataFrame:
     """New files of the bronze folder, months taken from the partition folders."""
-    base = SINGLE_FAMILY if kind == SINGLE_FAMILY_KIND else HECM
-    return spark.readStream.schema(T.StructType(base.fields + MONTH_COLUMNS)).parquet(bronze_path)
+    return spark.readStream.schema(T.StructType(bronze_schema(kind).fields + MONTH_COLUMNS)).parquet(bronze_path)
 
 
 def ingest_new_months(
@@ -32,13 +30,11 @@ def ingest_new_months(
 
     All waiting files form one batch, so the files of a month are stored together.
     The stream's checkpoint remembers which files were taken.  A batch that is
-    replayed after a failure adds only the months that did not make it.
+    replayed after a failure writes the months again that were not complete.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stored = snapshots.existing_partitions(batch.sparkSession, silver_path)
-        rows = without_stored_months(silver_rows(batch, kind, **export), stored)
-        write_months(rows, silver_path, YEAR, MONTH)
+        append_months(batch.sparkSession, batch, silver_path, kind, **export)
 
     return (
         bronze_stream(spark, bronze_path, kind)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from loanlake import functions as f
-from loanlake.operators.lookup import broadcast_if_small
 from loanlake.operators.row_keys import running_numbers, with_row_keys
 from loanlake.operators.summaries import amount_summary, mortgage_summary
 
@@ -95,14 +94,3 @@ def test_row_keys_run_over_sheets(spark):
     )
     keys = [r["FHA_Index"] for r in with_row_keys(df, block_rows=2).orderBy("FHA_Index").collect()]
     assert keys == [f"20240101_{n:07d}" for n in range(1, 11)] + ["H20240201_0000001"]
-
-
-def test_broadcast_only_below_the_bound(spark):
-    small, large = spark.range(10), spark.range(20)
-    fact = spark.range(1000)
-
-    def plan(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "broadcast" in plan(fact.join(broadcast_if_small(small, 10), "id"))
-    assert "broadcast" not in plan(fact.join(broadcast_if_small(large, 10), "id"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from loanlake import schemas as s
 from loanlake.plans import import_snapshots as imp
-from loanlake.sources import snapshots
+from loanlake.sources import manifest, snapshots
 from loanlake.streaming.ingest import ingest_new_months
 
 COLUMNS = (
@@ -120,6 +120,7 @@ def test_bronze_files_side_by_side(spark, folders):
     assert rows.count() == 1
     assert rows.select("snapshot_year", "snapshot_month").first() == (2023, 5)
     assert imp.update_silver(spark, folders["bronze"], folders["silver"], min_year=2020) == [(2023, 5)]
+    assert imp.update_silver(spark, folders["bronze"], folders["silver"]) == [(2019, 5)]
 
 
 def test_large_month_is_split_over_tasks(spark, folders):
@@ -156,13 +157,82 @@ def test_stream_stores_new_months_once(spark, folders, tmp_path):
     assert rows_of(silver(spark, folders).groupBy(s.MONTH).count().orderBy(s.MONTH)) == [(1, 6), (2, 6), (3, 6)]
 
 
-def test_csv_raw_rows(spark, folders):
-    path = os.path.join(folders["raw"], "fha_sf_snapshot_20240101.csv")
-    with open(path, "w") as out:
-        out.write("sheet_name,sheet_ord,row_ord,Loan_Purpose,Year,Month,Originating Mortgagee,Sponsor Name\n")
-        out.write("Data,0,0,Purchase,2024,1,A,S\nIndex,1,0,Purchase,2024,1,A,S\n")
-    assert imp.convert_snapshots(spark, folders["raw"], folders["bronze"], file_format="csv") == [(2024, 1)]
-    assert snapshots.read_bronze(spark, folders["bronze"]).count() == 1
+def test_csv_goes_by_names_and_numbers(spark, folders):
+    """Another column order in the second month; more than ten rows, listed out of order."""
+    first = "sheet_name,sheet_ord,row_ord,Loan_Purpose,Year,Month,Originating Mortgagee,Property State,Property County,Mortgage Amount"
+    second = "Mortgage Amount,Property County,Property State,sheet_name,row_ord,sheet_ord,Year,Endorsement Month,Loan_Purpose,Originating Mortgagee"
+    with open(os.path.join(folders["raw"], "fha_sf_snapshot_20240101.csv"), "w") as out:
+        rows = [f"{sheet},{o},{r},Purchase,2024,1,A,TX,Harris,{1000 * o + r}" for o, sheet in ((10, "Data"), (9, "Purchase"), (2, "Index")) for r in reversed(range(12))]
+        out.write("\n".join([first, *rows]) + "\n")
+    with open(os.path.join(folders["raw"], "fha_sf_snapshot_20240201.csv"), "w") as out:
+        out.write("\n".join([second, *[f"{5000 + r},Harris,TX,Data,{r},0,2024,2,Purchase,B" for r in range(3)]]) + "\n")
+    assert imp.convert_snapshots(spark, folders["raw"], folders["bronze"], file_format="csv") == [(2024, 1), (2024, 2)]
+    rows = snapshots.read_bronze(spark, folders["bronze"])
+    got = rows_of(rows.select(s.INDEX, s.AMOUNT, s.STATE, s.COUNTY, s.ORIG, s.YEAR, s.MONTH).orderBy(s.INDEX))
+    amounts = [9000 + r for r in range(12)] + [10_000 + r for r in range(12)]
+    expected = [(f"20240101_{k:07d}", a, "TX", "Harris", "A", 2024, 1) for k, a in enumerate(amounts, 1)]
+    expected += [(f"20240201_{k:07d}", 4999 + k, "TX", "Harris", "B", 2024, 2) for k in range(1, 4)]
+    assert got == expected
+
+
+def test_rows_without_a_place_fail(spark, folders):
+    with open(os.path.join(folders["raw"], "fha_sf_snapshot_20240101.csv"), "w") as out:
+        out.write("sheet_name,sheet_ord,row_ord,Loan_Purpose,Year,Month\nData,0,,Purchase,2024,1\n")
+    with pytest.raises(Exception, match="row_ord must be a number"):
+        imp.convert_snapshots(spark, folders["raw"], folders["bronze"], file_format="csv")
+
+
+def test_no_year_is_left_out(spark, folders):
+    for year in (1998, 2009, 2025, 2026, 2099):
+        write_raw(spark, folders["raw"], f"fha_sf_snapshot_{year}0101.parquet", year, 1)
+    months = [(year, 1) for year in (1998, 2009, 2025, 2026, 2099)]
+    assert imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"]) == months
+    assert rows_of(silver(spark, folders).groupBy(s.YEAR, s.MONTH).count().orderBy(s.YEAR)) == [(y, m, 6) for y, m in months]
+    assert imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"]) == []
+
+
+def test_a_half_written_month_is_written_again(spark, folders, monkeypatch):
+    for m in (1, 2):
+        write_raw(spark, folders["raw"], f"fha_sf_snapshot_2024{m:02d}01.parquet", 2024, m)
+    write = imp.write_months
+
+    def breaks_off(df, path, year_key, month_key):
+        if path == folders["silver"]:
+            write(df.filter("Month = 1").limit(2), path, year_key, month_key)
+            raise OSError("no space left")
+        write(df, path, year_key, month_key)
+
+    monkeypatch.setattr(imp, "write_months", breaks_off)
+    with pytest.raises(OSError):
+        imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
+    monkeypatch.setattr(imp, "write_months", write)
+    assert imp.stored_months(spark, folders["silver"]).count() == 0
+    assert imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"]) == [(2024, 1), (2024, 2)]
+    assert silver(spark, folders).count() == 12
+
+
+def test_late_rows_are_counted(spark, folders):
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240101.parquet", 2024, 1)
+    imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
+    assert imp.late_rows(spark, folders["silver"]).count() == 0
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240201.parquet", 2024, 1)
+    imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
+    assert rows_of(imp.late_rows(spark, folders["silver"])) == [(2024, 1, 6)]
+
+
+def test_import_records_its_files(spark, folders, tmp_path):
+    """New months are recorded, and older ones without a record."""
+    path = str(tmp_path / "manifest")
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240101.parquet", 2024, 1)
+    imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
+    for _ in range(2):
+        write_raw(spark, folders["raw"], "fha_sf_snapshot_20240201.parquet", 2024, 2)
+        write_raw(spark, folders["raw"], "fha_hecm_snapshot_20240201.parquet", 2024, 2)
+        imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"], manifest_path=path)
+    rows = manifest.statuses(manifest.load(spark, path)).collect()
+    assert [(r["key"], r["is_downloaded"], r["is_processed"]) for r in rows] == [
+        ("single_family:2024-01", True, True), ("single_family:2024-02", True, True),
+    ]
 
 
 def test_read_tabular_rejects_other_suffixes(spark):

@@ -15,35 +15,47 @@ def put(folder, name, content):
     return hashlib.sha256(content).hexdigest()
 
 
-def test_download_and_processing(spark, tmp_path):
+@pytest.mark.parametrize("whole", [1 << 30, 4])
+def test_sides_of_a_month(spark, tmp_path, monkeypatch, whole):
+    """A month seen raw, one seen on both sides, one in part files; long files are read as a stream."""
+    monkeypatch.setattr(manifest, "WHOLE_FILE", whole)
     raw, done = tmp_path / "raw", tmp_path / "done"
-    first = put(raw, "fha_sf_snapshot_20240101.xlsx", b"sample-data")
-    second = put(raw, "fha_hecm_snapshot_20240301.xlsx", b"raw-contents")
-    third = put(done, "fha_hecm_snapshot_20240301.parquet", b"processed-contents")
-    fourth = put(done, "fha_sf_snapshot_20240501.parquet", b"only-processed")
-    put(raw, "readme.txt", b"?")
+    july = put(raw, "fha_sf_snapshot_20190701.csv", b"a,b\n1,2\n" * 500)
+    hecm = put(raw, "FHA_HECM_Snapshot_20201101.zip", bytes(range(256)) * 3)
+    clean = put(done, "fha_hecm_snapshot_20201101.parquet", b"PAR1")
+    parts = [put(done, f"snapshot_year=2021/snapshot_month=2/part-{k}.parquet", b"%d" % k * 9) for k in range(3)]
+    put(raw, "notes 2019.md", b"")
+    put(raw, "fha_sf_snapshot_20191301.csv", b"month 13")
     table = manifest.merge(
-        manifest.fingerprint(spark, str(raw), "raw"), manifest.fingerprint(spark, str(done), "processed")
-    )
+        manifest.fingerprint(spark, str(raw), "raw"), manifest.fingerprint(spark, str(done), "processed", "sf", "part-*"),
+        manifest.fingerprint(spark, str(done), "processed", None, "fha*"),
+    )
     manifest.save(table, str(tmp_path / "m"))
     rows = {r["key"]: r for r in manifest.statuses(manifest.load(spark, str(tmp_path / "m"))).collect()}
-    assert sorted(rows) == ["hecm:2024-03", "single_family:2024-01", "single_family:2024-05"]
-    one = rows["single_family:2024-01"]
-    assert one["is_downloaded"] and not one["is_processed"]
-    assert one["raw"]["checksum"] == first and one["raw"]["path"].endswith("fha_sf_snapshot_20240101.xlsx")
-    both = rows["hecm:2024-03"]
-    assert (both["raw"]["checksum"], both["processed"]["checksum"]) == (second, third)
-    only = rows["single_family:2024-05"]
-    assert only["raw"] is None and only["processed"]["checksum"] == fourth and only["is_processed"]
-    assert manifest.status_of(table, "SF", 2024, 1).count() == 1
-    assert manifest.status_of(table, "sf", 2023, 1).count() == 0
-    bad = rows_of(manifest.unusable_files(list_files(spark, str(raw))))
-    assert len(bad) == 1 and bad[0][0].endswith("readme.txt")
+    flags = {key: (r["is_downloaded"], r["is_processed"]) for key, r in rows.items()}
+    assert flags == {"single_family:2019-07": (True, False), "hecm:2020-11": (True, True), "single_family:2021-02": (False, True)}
+    assert rows["single_family:2019-07"]["raw"]["checksum"] == july
+    assert (rows["hecm:2020-11"]["raw"]["checksum"], rows["hecm:2020-11"]["processed"]["checksum"]) == (hecm, clean)
+    whole_month = hashlib.sha256("".join(parts).encode()).hexdigest()
+    assert rows["single_family:2021-02"]["processed"]["checksum"] == whole_month
+    assert [manifest.status_of(table, kind, 2019, 7).count() for kind in ("SF", "hecm")] == [1, 0]
+    bad = {path.rsplit("/", 1)[1]: problem for path, problem in rows_of(manifest.unusable_files(list_files(spark, str(raw))))}
+    assert bad == {"fha_sf_snapshot_20191301.csv": "month out of range"}  # the empty file is not read
+
+
+def test_appended_rows_are_merged(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert manifest.load(spark, path).count() == 0
+    for content in (b"first", b"second"):
+        put(tmp_path / "raw", "fha_sf_snapshot_20190701.csv", content)
+        manifest.append(manifest.fingerprint(spark, str(tmp_path / "raw"), "raw"), path)
+    rows = manifest.load(spark, path).collect()
+    assert len(rows) == 1 and rows[0]["raw"]["checksum"] == hashlib.sha256(b"second").hexdigest()
 
 
 def test_later_record_wins(spark, tmp_path):
-    put(tmp_path / "a", "fha_sf_snapshot_20240101.xlsx", b"old")
-    new = put(tmp_path / "b", "fha_sf_snapshot_20240101.xlsx", b"new")
+    put(tmp_path / "a", "fha_sf_snapshot_20240101.xlsx", b"first delivery")
+    new = put(tmp_path / "b", "fha_sf_snapshot_20240101.xlsx", b"corrected delivery")
     old_table = manifest.fingerprint(spark, str(tmp_path / "a"), "raw")
     manifest.save(old_table, str(tmp_path / "m"))
     merged = manifest.merge(

@@ -11,6 +11,7 @@ from conftest import SMALL
 from loanlake import schemas as s
 from loanlake.operators import activity, concentration, identity, network, trends
 from loanlake.plans import import_snapshots as imp
+from loanlake.plans import import_snapshots
 from loanlake.sources import snapshots
 from loanlake.sources.star_loans import loans
 
@@ -71,12 +72,23 @@ def test_no_cross_joins(spark, name):
 
 
 def test_bronze_files_out_of_range_are_not_read(spark, tmp_path):
+    """Neither the scan nor an increment opens files of other months; a broken one does no harm."""
     frame = spark.createDataFrame([("A",)], f"`{s.ORIG}` string").toPandas()
-    frame.to_parquet(tmp_path / "fha_sf_snapshot_20230501.parquet")
-    (tmp_path / "fha_sf_snapshot_20190501.parquet").write_bytes(b"this is no parquet file")
-    schema = spark.createDataFrame(frame).schema
-    rows = snapshots.read_bronze(spark, str(tmp_path), min_year=2020, schema=schema)
-    assert rows.count() == 1
+    bronze = tmp_path / "bronze"
+    bronze.mkdir()
+    frame.to_parquet(bronze / "fha_sf_snapshot_20230501.parquet")
+    (bronze / "fha_sf_snapshot_20190501.parquet").write_bytes(b"this is no parquet file")
+    assert snapshots.read_bronze(spark, str(bronze), "single_family", min_year=2020).count() == 1
+    folders = tmp_path / "folders"
+    months = spark.createDataFrame([(2024, 1, "A"), (2024, 2, "B")], f"`{s.YEAR}` smallint, `{s.MONTH}` smallint, `{s.ORIG}` string")
+    months = months.withColumns({"snapshot_year": F.col(s.YEAR).cast("int"), "snapshot_month": F.col(s.MONTH).cast("int")})
+    import_snapshots.write_months(months, str(folders), "snapshot_year", "snapshot_month")
+    broken = folders / "snapshot_year=2005" / "snapshot_month=3"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"this is no parquet file")
+    silver = str(tmp_path / "silver")
+    assert import_snapshots.update_silver(spark, str(folders), silver, min_year=2024) == [(2024, 1), (2024, 2)]
+    assert snapshots.read_silver(spark, silver).count() == 2
 
 
 def test_a_hot_institution_is_exact(spark):
