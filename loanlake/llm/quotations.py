@@ -70,18 +70,24 @@ def _before(keys: DataFrame, value: str) -> DataFrame:
 
 
 def _threads(scratch: Scratch, parents: DataFrame) -> DataFrame:
-    """``conv, turn, root, depth`` from ``conv, turn, parent`` (null where a thread begins)."""
+    """``conv, turn, root, depth`` from ``conv, turn, parent`` (null where a thread begins).
+
+    Every round a message takes over the reach of the one it points to.  Those that point to
+    the start of their thread are done and take no part in further rounds.
+    """
+    start = F.col("parent").isNull()
     steps = scratch.store(
-        parents.select("conv", "turn", F.coalesce("parent", "turn").alias("root"), F.col("parent").isNotNull().cast("bigint").alias("depth"))
+        parents.select("conv", "turn", F.coalesce("parent", "turn").alias("root"), F.when(start, 0).otherwise(1).cast("bigint").alias("depth"))
     )
-    while True:
-        above = steps.select("conv", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("depth").alias("more"))
-        further = steps.join(above, ["conv", "root"])
-        if further.filter("more > 0").isEmpty():
-            return steps
-        doubled = scratch.store(further.select("conv", "turn", F.col("top").alias("root"), (F.col("depth") + F.col("more")).alias("depth")))
-        scratch.drop(steps)
-        steps = doubled
+    done, active = steps.filter("depth = 0"), steps.filter("depth > 0")
+    while not active.isEmpty():
+        above = done.unionByName(active)
+        above = above.select("conv", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("depth").alias("more"))
+        further = scratch.store(active.join(above, ["conv", "root"]))
+        done = done.unionByName(further.filter("more = 0").select("conv", "turn", "root", "depth"))
+        doubled = further.filter("more > 0")
+        active = doubled.select("conv", "turn", F.col("top").alias("root"), (F.col("depth") + F.col("more")).alias("depth"))
+    return done
 
 
 def _positions(placed: DataFrame) -> DataFrame:
@@ -132,7 +138,7 @@ def reply_order(
     keys = scratch.store(keys.select("conv", "turn", "n", F.coalesce("replied", "before").alias("parent")))
     threads = _threads(scratch, keys.select("conv", "turn", "parent"))
     placed = scratch.store(_positions(keys.join(threads, ["conv", "turn"])))
-    scratch.drop(keys, threads)
+    scratch.drop(keys)
     joined = bodies.join(placed, ["conv", "turn"], "left").join(links.drop("replied"), ["conv", "turn"], "left")
     among = Window.partitionBy("conv", "turn").orderBy(F.xxhash64("role", "body"), "role", "body")
     position = F.when(F.col("offset").isNull(), F.lit(1)).otherwise(F.col("offset") + F.row_number().over(among))
