@@ -1,93 +1,25 @@
-"""Betweenness centrality on weighted shortest paths.
+"""Betweenness centrality on weighted shortest paths, by joins and sums.
 
-The network has one edge per pair of institutions, so as a rule it is small enough
-for one task to hold.  Then the sources are split over the tasks and every task gets
-the edge list with its sources (:func:`_by_source`).
-
-A network above that bound is handled by joins and sums (:func:`_by_joins`): all
-shortest paths from a batch of sources are grown together, one row per (source,
-node) and one join with the edge list per hop; path counts and dependencies then
-flow forwards and backwards over the edges on shortest paths.  No task sees the
-whole graph, and lineage is cut after every hop.  Both ways are exact.
+All shortest paths from a batch of sources are grown together, one row per (source, node) and
+one join with the edge list per hop; path counts and dependencies then flow forwards and
+backwards over the edges on shortest paths.  No task sees the whole graph, and the table of
+every hop is stored, so lineage stays short.  Batches keep the number of (source, node) rows per
+core bounded.
 """
 
-import heapq
 import math
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.checkpoints import cut_lineage
-
-TASK_EDGES = 500_000
-SOURCES_PER_TASK = 64
-STATE_ROWS = 2_000_000_000
-
-
-def _bucket_function():
-    """The function for one bucket of sources; nested, so that it travels to workers whole."""
-
-    def dependencies(source: int, links: list[list[tuple[int, float]]], total: list[float]) -> None:
-        """Add to ``total`` each node's share of the shortest paths from ``source``."""
-        dist = {source: 0.0}
-        paths, previous, order = {source: 1.0}, {}, []
-        settled, queue = set(), [(0.0, source)]
-        while queue:
-            d, u = heapq.heappop(queue)
-            if u in settled:
-                continue
-            settled.add(u)
-            order.append(u)
-            for v, w in links[u]:
-                reach = d + w
-                if v not in dist or reach < dist[v]:
-                    dist[v], paths[v], previous[v] = reach, paths[u], [u]
-                    heapq.heappush(queue, (reach, v))
-                elif reach == dist[v] and v not in settled:
-                    paths[v] += paths[u]
-                    previous[v].append(u)
-        depends = dict.fromkeys(order, 0.0)
-        for v in reversed(order[1:]):
-            for u in previous[v]:
-                depends[u] += paths[u] / paths[v] * (1.0 + depends[v])
-            total[v] += depends[v]
-
-    def bucket_dependencies(sources: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        codes, names = pd.factorize(pd.concat([edges["node"], edges["neighbour"]], ignore_index=True))
-        links = [[] for _ in names]
-        for u, v, w in zip(codes[: len(edges)], codes[len(edges) :], edges["weight"]):
-            links[u].append((int(v), w))
-        index = {name: i for i, name in enumerate(names)}
-        total = [0.0] * len(names)
-        for name in sources["source"]:
-            dependencies(index[name], links, total)
-        return pd.DataFrame({"node": names, "dependency": total})
-
-    return bucket_dependencies
-
-
-def _by_source(adjacent: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    buckets = max(1, math.ceil(n / SOURCES_PER_TASK))
-    sources = nodes.select(
-        F.col("node").alias("source"), F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int").alias("bucket")
-    )
-    copies = adjacent.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    # The work per row is heavy: a fixed number of partitions, so that small data is
-    # not merged into a few tasks.
-    return (
-        sources.repartition(buckets, "bucket")
-        .groupBy("bucket")
-        .cogroup(copies.repartition(buckets, "part").groupBy("part"))
-        .applyInPandas(_bucket_function(), "node string, dependency double")
-        .groupBy("node")
-        .agg(F.sum("dependency").alias("dependency"))
-    )
+from ..sources.checkpoints import cut_lineage, drop
+
+STATE_ROWS_PER_CORE = 20_000_000
 
 
 def _shortest(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
     """``source, node, dist`` of every reachable pair."""
-    known = sources.select(
+    known = before_known = sources.select(
         F.col("node").alias("source"), "node", F.lit(0.0).alias("dist"), F.lit(True).alias("fresh")
     )
     while True:
@@ -106,6 +38,8 @@ def _shortest(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
             .withColumn("fresh", F.col("before").isNull() | (F.col("dist") < F.col("before")))
             .drop("before")
         )
+        drop(before_known)
+        before_known = known
         if known.filter("fresh").isEmpty():
             return known.drop("fresh")
 
@@ -159,9 +93,7 @@ def _batch(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def _by_joins(adjacent: DataFrame, nodes: DataFrame, n: int, state_rows: int) -> DataFrame:
-    """As many batches of sources as keep (source, node) pairs below ``state_rows``."""
-    batches = max(1, math.ceil(n * n / state_rows))
+def _all_batches(adjacent: DataFrame, nodes: DataFrame, batches: int) -> DataFrame:
     total = None
     for batch in range(batches):
         part = _batch(adjacent, nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch))
@@ -171,16 +103,12 @@ def _by_joins(adjacent: DataFrame, nodes: DataFrame, n: int, state_rows: int) ->
 
 
 def betweenness(
-    adjacent: DataFrame,
-    *,
-    normalized: bool = True,
-    task_edges: int = TASK_EDGES,
-    state_rows: int = STATE_ROWS,
+    adjacent: DataFrame, *, normalized: bool = True, state_rows_per_core: int = STATE_ROWS_PER_CORE
 ) -> DataFrame:
     """``node, betweenness`` of every node; weights are distances and must be positive.
 
-    Networks of up to ``task_edges`` edges are handed to tasks whole, larger ones are
-    worked on by joins.
+    Sources are handled in as many batches as keep their (source, node) rows below
+    ``state_rows_per_core`` on every core.
     """
     adjacent = cut_lineage(
         adjacent.filter(F.col("node") != F.col("neighbour")).select(
@@ -191,12 +119,10 @@ def betweenness(
             .alias("weight"),
         )
     )
-    nodes = adjacent.select("node").distinct()
+    nodes = cut_lineage(adjacent.select("node").distinct())
     n = nodes.count()
-    if adjacent.count() <= 2 * task_edges:
-        total = _by_source(adjacent, nodes, n)
-    else:
-        total = _by_joins(adjacent, cut_lineage(nodes), n, state_rows)
+    room = state_rows_per_core * adjacent.sparkSession.sparkContext.defaultParallelism
+    total = _all_batches(adjacent, nodes, max(1, math.ceil(n * n / room)))
     # Every unordered pair is seen from both ends.
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
     score = F.coalesce(F.col("dependency"), F.lit(0.0)) * scale

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_as_null, quarter, ratio, trimmed
 from ..schemas import COUNTY, MONTH, ORIG_NO, SPONSOR_NO, STATE, YEAR
+from ..sources.checkpoints import cut_lineage
 
 # Group columns of each level.
 TIME_LEVELS = {"month": ("year", "month"), "quarter": ("year", "quarter"), "year": ("year",), "all": ()}
@@ -100,51 +101,57 @@ def lender_hhi(
 
 
 def hhi_cells(df: DataFrame, lender_types=LENDER_TYPES) -> DataFrame:
-    """Every time x geography x lender-type cell in one job, missing values dropped.
+    """Every time x geography x lender-type cell, missing values dropped.
 
-    Loans are counted once per finest cell and lender; the twelve cell shapes are
-    grouping sets over those counts.
+    A cascade: loans are counted once per month, county and lender, and every coarser count
+    is a sum of the next finer one.  The counts per month are stored, one table for each
+    geography, so that neither loans nor counts are read again for every cell shape.
     """
-    dims = _dimensions()
-    names = list(dims)
-    shapes = [
-        (t, g, [*TIME_LEVELS[t], *GEOGRAPHY_LEVELS[g]]) for t in TIME_LEVELS for g in GEOGRAPHY_LEVELS
-    ]
     for t in lender_types:
         _check(t, LENDER_TYPES, "lender_type")
-    counted = (
-        df.select(*[c.alias(n) for n, c in dims.items()], *[lender_id(df, t).alias(t) for t in lender_types])
-        .groupBy(*names, *lender_types)
-        .agg(F.count("*").alias("n"))
+    dims = _dimensions()
+    who = ["lender_type", "lender_id"]
+    lender = F.explode(
+        F.array(*[F.struct(F.lit(t).alias("t"), lender_id(df, t).cast("string").alias("i")) for t in lender_types])
     )
     # Blank text and null both mean missing.
-    texts = ["state", "county", *lender_types]
-    finest = (
-        counted.withColumns({c: blank_as_null(F.col(c).cast("string")) for c in texts})
-        .unpivot([*names, "n"], list(lender_types), "lender_type", "lender_id")
-        .filter(F.col("lender_id").isNotNull())
-    )
-    sets = [[*cell, "lender_type", "lender_id"] for _, _, cell in shapes]
-    lenders = finest.groupingSets(sets, *names, "lender_type", "lender_id").agg(
-        F.sum("n").alias("n"), *[F.grouping(c).alias(f"not_in_{c}") for c in names]
-    )
-    complete = reduce(
-        lambda a, b: a & b, [(F.col(f"not_in_{c}") == 1) | F.col(c).isNotNull() for c in names]
-    )
-    time_level = (
-        F.when(F.col("not_in_month") == 0, "month")
-        .when(F.col("not_in_quarter") == 0, "quarter")
-        .when(F.col("not_in_year") == 0, "year")
-        .otherwise("all")
-    )
-    geography_level = (
-        F.when(F.col("not_in_county") == 0, "county")
-        .when(F.col("not_in_state") == 0, "state")
-        .otherwise("all")
-    )
-    return (
-        lenders.filter(complete)
-        .withColumns({"time_level": time_level, "geography_level": geography_level})
-        .groupBy("time_level", "geography_level", "lender_type", *names)
-        .agg(*_concentration())
-    )
+    loans = df.select(
+        dims["year"].alias("year"), dims["month"].alias("month"),
+        *[blank_as_null(dims[c].cast("string")).alias(c) for c in ("state", "county")], lender.alias("lender"),
+    )
+    loans = loans.withColumns({"lender_type": F.col("lender.t"), "lender_id": blank_as_null(F.col("lender.i"))})
+    finest = loans.filter(F.col("lender_id").isNotNull()).groupBy("year", "month", "state", "county", *who)
+    counts = finest.agg(F.count("*").alias("n"))
+    out = None
+    for place, keep in (("county", ["state", "county"]), ("state", ["state"]), ("all", [])):
+        if place != "county":
+            counts = counts.groupBy("year", "month", *keep, *who).agg(F.sum("n").alias("n"))
+        counts = cut_lineage(counts)
+        for time, level in _coarser_times(counts, keep, who):
+            names = [*TIME_LEVELS[time], *keep]
+            cells = level.filter(not_missing(level, names)).groupBy(*names, "lender_type").agg(*_concentration())
+            if not names:  # an empty table has no cell, not one empty cell
+                cells = cells.filter(F.col("total_loans").isNotNull())
+            missing = {c: F.lit(None).cast(t) for c, t in _cell_types(dims, df).items() if c not in names}
+            cells = cells.withColumns({"time_level": F.lit(time), "geography_level": F.lit(place), **missing})
+            out = cells if out is None else out.unionByName(cells)
+    return out.select("time_level", "geography_level", "lender_type", *dims, *(c for c in out.columns if c in _MEASURES))
+
+
+_MEASURES = ("hhi_normalized", "total_loans", "num_lenders", "hhi")
+
+
+def _cell_types(dims: dict[str, Column], df: DataFrame) -> dict[str, str]:
+    types = dict(df.select(*[c.alias(n) for n, c in dims.items()]).dtypes)
+    return types | {"state": "string", "county": "string"}
+
+
+def _coarser_times(months: DataFrame, keep: list[str], who: list[str]):
+    """Counts by month, quarter, year and over all time, each summed from the one before."""
+    yield "month", months
+    counts = months.withColumn("quarter", quarter("month"))
+    for time in ("quarter", "year", "all"):
+        counts = counts.groupBy(*TIME_LEVELS[time], *keep, *who).agg(F.sum("n").alias("n"))
+        yield time, counts
+
+

@@ -257,6 +257,12 @@ register(
     _on_graph(lambda v, e: network.centrality(v, e, with_betweenness=False)["sponsor_centrality"]),
     *_EDGE_COLUMNS,
 )
+for _side in ("originator", "sponsor"):
+    register(
+        f"centrality_full_{_side}s",
+        _on_graph(lambda v, e, side=_side: network.centrality(v, e)[f"{side}_centrality"]),
+        *_EDGE_COLUMNS,
+    )
 register("betweenness", _on_graph(lambda v, e: betweenness.betweenness(network.adjacency(e))), *_EDGE_COLUMNS)
 register("projection_originators", _on_graph(lambda v, e: network.projection(e, "originator")), *_EDGE_COLUMNS)
 register("projection_sponsors", _on_graph(lambda v, e: network.projection(e, "sponsor")), *_EDGE_COLUMNS)

@@ -696,6 +696,11 @@ define(
     FROM nodes CROSS JOIN size LEFT JOIN depends ON depends.node = nodes.node GROUP BY ALL""",
 )
 
+for _side in ("originator", "sponsor"):
+    SQL[f"centrality_full_{_side}s"] = f"""
+      SELECT c.*, coalesce(b.betweenness, 0) AS betweenness FROM ({SQL[f"centrality_{_side}s"]}) c
+      LEFT JOIN ({SQL["betweenness"]}) b ON b.node = '{_side}:' || c.node"""
+
 # --- validation --------------------------------------------------------------
 
 

@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
+from loanlake.plans import catalog, catalog_sql
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog_sql.statements()
 
 
 @pytest.fixture(scope="module")

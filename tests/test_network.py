@@ -125,20 +125,12 @@ def all_paths_betweenness(links):
     }
 
 
-@pytest.mark.parametrize("seed, p", [(1, 0.4), (2, 0.2), (3, 0.7)])
-def test_betweenness_by_source(spark, seed, p):
-    links = random_links(seed, p=p)
-    adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
-    got = dict(rows_of(betweenness(adjacent)))
-    assert got == pytest.approx(all_paths_betweenness(links))
-
-
-@pytest.mark.parametrize("seed, p, state_rows", [(4, 0.3, 10**9), (5, 0.5, 80)])
-def test_betweenness_by_joins(spark, seed, p, state_rows):
-    """The way taken by networks too large for one task, also in several batches."""
+@pytest.mark.parametrize("seed, p, per_core", [(1, 0.4, 10**7), (2, 0.2, 10**7), (5, 0.5, 9)])
+def test_betweenness(spark, seed, p, per_core):
+    """Against all paths, also in several batches of sources."""
     links = random_links(seed, 6, 4, p=p)
     adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
-    got = dict(rows_of(betweenness(adjacent, task_edges=0, state_rows=state_rows)))
+    got = dict(rows_of(betweenness(adjacent, state_rows_per_core=per_core)))
     assert got == pytest.approx(all_paths_betweenness(links))
 
 

@@ -6,12 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from conftest import SMALL
 from loanlake import schemas as s
 from loanlake.operators import activity, concentration, identity, network, trends
 from loanlake.plans import import_snapshots as imp
-from loanlake.plans import import_snapshots
+from loanlake.plans import catalog, catalog_sql, import_snapshots
 from loanlake.sources import snapshots
 from loanlake.sources.star_loans import loans
 
@@ -32,7 +31,7 @@ def read_columns(text):
 
 
 def test_only_needed_columns_are_read(silver):
-    assert read_columns(plan(activity.lender_volume(silver))) == {s.ORIG, s.INDEX, s.AMOUNT}
+    assert read_columns(plan(activity.lender_volume(silver))) == {s.ORIG, s.AMOUNT}
     assert read_columns(plan(trends.refinance_share(silver))) == {s.PURPOSE, s.DATE}
     assert read_columns(plan(concentration.lender_hhi(silver))) == {s.SPONSOR_NO, s.ORIG_NO, s.STATE}
 
@@ -65,9 +64,9 @@ def test_loan_view_skips_dimensions(spark):
     assert text.count("FileScan") == 1 and "Join" not in text
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_joins(spark, name):
-    text = plan(contract.queries()[name](spark, SMALL))
+    text = plan(catalog.QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
@@ -112,8 +111,24 @@ def test_a_hot_institution_is_exact(spark):
     assert segment["total_records"] == n // 3
 
 
+def test_counts_cascade(silver):
+    """Loans enter the finest aggregate once per lender type, and no cell shape expands them."""
+    text = plan(concentration.hhi_cells(silver))
+    assert "Expand" not in text and "Generate" not in text
+
+
+def test_no_copies_of_the_network(spark):
+    """Betweenness joins the edges; it never repeats them per task."""
+    import inspect
+
+    from loanlake.operators import betweenness
+
+    source = inspect.getsource(betweenness)
+    assert "explode" not in source and "applyInPandas" not in source
+
+
 def test_no_query_is_without_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog_sql.statements())
 
 
 def test_repository_uses_no_local_checkpoints():
