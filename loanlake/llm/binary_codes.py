@@ -20,14 +20,14 @@ are kept.  An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, small_batches
 
 KEYS, KEY_BITS = 48, 20
 BLOCK = 1024
@@ -35,6 +35,7 @@ DEVIATIONS = 6.0
 SEED = 5
 
 
+@lru_cache(maxsize=4)
 def rotations(size: int, bits: int) -> np.ndarray:
     """Random rotations side by side, ``size`` columns each, until there are ``bits`` columns."""
     rng = np.random.default_rng([SEED, size])
@@ -97,7 +98,6 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    turned: dict[int, np.ndarray] = {}
     for batch in batches:
         raw = batch.column("unit").to_pylist()
         nodes, labels = batch.column("node").to_numpy(), batch.column("label").to_pylist()
@@ -105,10 +105,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, r in enumerate(raw):
             by_size.setdefault(len(r) // 8, []).append(k)
         for size, rows in by_size.items():
-            if size not in turned:
-                turned[size] = rotations(size, KEYS * KEY_BITS)
             units = np.frombuffer(b"".join(raw[k] for k in rows)).reshape(-1, size)
-            keys = keys_of(units, turned[size])
+            keys = keys_of(units, rotations(size, KEYS * KEY_BITS))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(nodes[rows], KEYS)),
@@ -121,53 +119,78 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _compare(threshold: float):
-    """Links between the two blocks of a group; one block if both are the same."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"node": [], "links": [], "other": []}).astype("int64")
-        size, band = int(rows["size"].iloc[0]), int(rows["band"].iloc[0])
-        first, second = int(rows["one"].iloc[0]), int(rows["two"].iloc[0])
-        rows = rows.sort_values("node", kind="stable").drop_duplicates("node")
-        units = np.frombuffer(b"".join(rows["unit"])).reshape(-1, size)
-        nodes, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
-        here = np.flatnonzero((rows["block"] == first).to_numpy())
-        there = here if first == second else np.flatnonzero((rows["block"] == second).to_numpy())
-        if not len(here) or not len(there):
-            return empty
-        turned = rotations(size, KEYS * KEY_BITS)
-        keys = keys_of(units, turned)
-        code, factor = code_and_factor(units[here], turned)
-        rotated = units[there] @ turned[:, :size]
-        estimate, deviation = estimates(code, factor, rotated)
-        # At the threshold the orthogonal part has this length; it is shorter above.
-        slack = DEVIATIONS * deviation * np.sqrt(1 - threshold * threshold)
-        i, j = np.nonzero(estimate >= (threshold - slack)[:, None])
-        i, j = here[i], there[j]
-        if first == second:
-            i, j = i[i < j], j[i < j]
-        links = np.zeros(len(nodes), np.int64)
-        parent = np.arange(len(nodes))
-        for start in range(0, len(i), 200_000):
-            a, b = i[start : start + 200_000], j[start : start + 200_000]
-            again = (keys[a, :band] == keys[b, :band]).any(1) if band else np.zeros(len(a), bool)
+def _compare(rows: list[tuple], first: int, second: int, band: int, size: int, threshold: float) -> list[tuple[int, int, int]]:
+    """Links between two blocks of a bucket (one if both are the same): node, its links, a root of its forest."""
+    rows = list({row[0]: row for row in rows}.values())
+    nodes, blocks, raw, copies = (np.array(x) if k != 2 else x for k, x in enumerate(zip(*rows, strict=True)))
+    here = np.flatnonzero(blocks == first)
+    there = here if first == second else np.flatnonzero(blocks == second)
+    if not len(here) or not len(there) or (first == second and len(here) < 2):
+        return []
+    turned = rotations(size, KEYS * KEY_BITS)
+    units = np.frombuffer(b"".join(raw)).reshape(-1, size)
+    code, factor = code_and_factor(units[here], turned)
+    estimate, deviation = estimates(code, factor, units[there] @ turned[:, :size])
+    # At the threshold the orthogonal part has this length; it is shorter above.
+    slack = DEVIATIONS * deviation * np.sqrt(1 - threshold * threshold)
+    i, j = np.nonzero(estimate >= (threshold - slack)[:, None])
+    i, j = here[i], there[j]
+    if first == second:
+        i, j = i[i < j], j[i < j]
+    if not len(i):
+        return []
+    keys = keys_of(units, turned) if band else None
+    links = np.zeros(len(nodes), np.int64)
+    parent = np.arange(len(nodes))
+    for start in range(0, len(i), 200_000):
+        a, b = i[start : start + 200_000], j[start : start + 200_000]
+        if band:  # a pair that shares an earlier key was counted there
+            again = (keys[a, :band] == keys[b, :band]).any(1)
             a, b = a[~again], b[~again]
-            exact = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
-            a, b = a[exact], b[exact]
-            links += np.bincount(a, copies[b], len(nodes)).astype(np.int64)
-            links += np.bincount(b, copies[a], len(nodes)).astype(np.int64)
-            for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                x, y = _root(parent, x), _root(parent, y)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-        touched = np.flatnonzero(links)
-        roots = [nodes[_root(parent, k)] for k in touched]
-        return pd.DataFrame({"node": nodes[touched], "links": links[touched], "other": np.array(roots, np.int64)})
+        exact = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
+        a, b = a[exact], b[exact]
+        links += np.bincount(a, copies[b], len(nodes)).astype(np.int64)
+        links += np.bincount(b, copies[a], len(nodes)).astype(np.int64)
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            x, y = _root(parent, x), _root(parent, y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    return [(int(nodes[k]), int(links[k]), int(nodes[_root(parent, k)])) for k in np.flatnonzero(links)]
+
+
+def _blocks_compared(threshold: float):
+    """Cut sorted rows into pairs of blocks and compare each; a task holds one pair at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current, found = None, []
+
+        def emit() -> pa.RecordBatch:
+            columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(columns, ["node", "links", "other"])
+
+        group = ("label", "band", "key", "size", "one", "two")
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in group), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "block", "unit", "copies")), strict=True)
+            for key, row in zip(keys, rows, strict=True):
+                if key != current:
+                    if len(held) > 1:
+                        found.extend(_compare(held, current[4], current[5], current[1], current[3], threshold))
+                    held, current = [], key
+                held.append(row)
+            if len(found) > 10_000:
+                yield emit()
+        if len(held) > 1:
+            found.extend(_compare(held, current[4], current[5], current[1], current[3], threshold))
+        if found:
+            yield emit()
 
     return run
 
 
-def _root(parent: np.ndarray, k: int) -> int:
+def _root(parent, k: int) -> int:
     while parent[k] != k:
         parent[k] = parent[parent[k]]
         k = parent[k]
@@ -184,6 +207,7 @@ def near_vectors(
     threshold: float = 0.98,
 ) -> DataFrame:
     """``id, n_links, component_id, kept`` with one row per row of ``table``."""
+    small_batches(spark)
     scratch = Scratch(spark, "codes")
     rows = table.select(
         F.col(f"`{vec_id}`").cast("bigint").alias("id"),
@@ -210,8 +234,9 @@ def near_vectors(
     dealt = dealt.withColumns({"one": F.least("block", "with"), "two": F.greatest("block", "with")})
     members = dealt.join(classes.select("node", F.col("label").alias("own_label"), "unit", "copies"), "node")
     members = members.filter(F.col("label") == F.col("own_label"))
-    groups = members.select(*bucket, "one", "two", "block", "node", "unit", "copies").groupBy(*bucket, "one", "two")
-    found = scratch.store(groups.applyInPandas(_compare(threshold), "node long, links long, other long"))
+    group = [*bucket, "one", "two"]
+    ordered = members.select(*group, "block", "node", "unit", "copies").repartition(*group).sortWithinPartitions(*group)
+    found = scratch.store(ordered.mapInArrow(_blocks_compared(threshold), "node long, links long, other long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(scratch, found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     judged = classes.join(counts, "node", "left").join(linked, "node", "left")
