@@ -1,7 +1,9 @@
 """Helpers shared by the text operators: words, stored intermediate tables, components of links."""
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,6 +36,37 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % modulus, F.lit(0))
 
 
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of 500 rows where the session has Spark's 10,000.
+
+    A batch exists in the executor and in its worker at once, so its size counts twice per core.
+    """
+    if spark.conf.get(BATCH_KEY) == "10000":
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Return freed memory to the system; Python workers stay while other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over the batches of a task that gives its memory back at the end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a column of texts holds about ``limit`` bytes, and never less than a row."""
     for batch in batches:

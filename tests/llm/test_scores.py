@@ -66,10 +66,10 @@ def test_no_structure_means_base_scores(spark, documents):
 def test_probabilities_sum_to_one(spark, documents):
     docs = documents(chained(random.Random(3), 400)).selectExpr("CAST(text AS binary) AS text")
     grown, _ = tree.grow(spark, docs, tree.Scratch(spark, "t"))
-    assert [len(c) > 0 for c in grown.contexts] == [True, True]
+    assert [len(c.keys) > 0 for c in grown.contexts] == [True, True]
     symbols = np.arange(grown.end + 1)
     for depth in (0, 1, 2):
-        for context in [0] if not depth else range(0, len(grown.contexts[depth - 1]), 7):
+        for context in [0] if not depth else range(0, len(grown.contexts[depth - 1].keys), 7):
             probs = grown.prob(depth, np.full(len(symbols), context), symbols)
             # Unused numbers stand for no word and have no probability.
             assert abs(probs.sum() - 1) < 1e-6 and (probs >= 0).all()
@@ -83,7 +83,7 @@ def test_scores_follow_the_longest_kept_context(spark, documents):
     texts = [t.lower().encode().split() for _, t, _ in rows[:5]]
     line = grown.symbols(tree._ranks(grown, texts)[0])
     got = grown.gains(line)
-    index = [{int(c): k for k, c in enumerate(level)} for level in grown.contexts]
+    index = [{int(c): k for k, c in enumerate(level.keys)} for level in grown.contexts]
     for at in range(1, len(line)):
         expected = 0.0
         for depth in (2, 1):
@@ -99,6 +99,16 @@ def test_scores_follow_the_longest_kept_context(spark, documents):
         assert got[at - 1] == pytest.approx(expected)
 
 
+def test_places():
+    rng = np.random.default_rng(7)
+    keys = np.unique(rng.integers(0, 2**45, 5000))
+    places = tree.Places(keys)
+    values = np.concatenate([keys[::3], rng.integers(0, 2**45, 2000)])
+    index = {int(k): i for i, k in enumerate(keys)}
+    assert places.find(values).tolist() == [index.get(int(v), -1) for v in values]
+    assert tree.Places(np.empty(0, np.int64)).find(values[:3]).tolist() == [-1] * 3
+
+
 def test_empty_tables(spark, documents):
     assert tree.score_documents(spark, documents([])).collect() == []
     alone = tree.score_documents(spark, documents([(None, "held out only", "a")])).collect()
