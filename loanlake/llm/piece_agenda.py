@@ -7,9 +7,10 @@ before a run of spaces and around characters that no longer piece holds (the mod
 for this), so the pieces of a cut-out unit never depend on its neighbours, and units that
 were seen before are looked up in a bounded table of the task.
 
-Every Arrow batch is checked against the sentencepiece library: ids and decoded text of
-its rows (all of them, or the share ``check_share`` by hash of the text) must be equal, or the
-task fails.
+Every Arrow batch is checked against the sentencepiece library: each distinct part that the batch
+brings is encoded by the library too, and whole rows are, a share of them chosen by hash
+(``check_share``) and all that hold runs of spaces; ids and decoded texts must be equal, or the task
+fails.
 
 Null texts are empty texts: no ids, empty decoded text.  Rows are encoded one by one, so
 repeated rows agree; an empty table gives an empty result.  Input columns with the name of
@@ -26,9 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices, small_batches, tidy
+
 SPACE = "▁"
 CACHE = 400_000
 LONGEST_CACHED = 64
+SHORT, NONE = 24, -1e300
 _MODELS: dict[str, "PieceModel"] = {}
 
 
@@ -59,10 +63,13 @@ class PieceModel:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or "\n" in inside or len(self.bytes) != 256:
             raise ValueError("Not a merge-type vocabulary with byte fallback whose pieces start at spaces")
         self.units = re.compile(r"\n| *[^ \n]+| +").findall
-        self.seen: dict[str, tuple[str, int, bytes]] = {}
+        self.seen: dict[str, str] = {}
+        self.fresh: list[tuple[str, str]] = []  # parts that the library has not confirmed
 
     def merge(self, unit: str) -> list[int]:
         """Ids of one unit, spaces written as the space symbol."""
+        if len(unit) <= SHORT:
+            return self._ids(self._merge_short(unit))
         scores = self.scores
         symbols: list[str] = list(unit)
         n = len(symbols)
@@ -95,36 +102,86 @@ class PieceModel:
                 score = scores.get(longer)
                 if score is not None:
                     heapq.heappush(agenda, (-score, previous, left, longer))
-        found: list[int] = []
+        return self._ids([symbol for symbol in symbols if symbol])
+
+    def _merge_short(self, unit: str) -> list[str]:
+        """The same with the agenda as a plain list of scores by place, which is faster for few symbols."""
+        get = self.scores.get
+        symbols = list(unit)
+        agenda = [get(a + b, NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = max(agenda)
+            if best == NONE:
+                break
+            k = agenda.index(best)  # the first of equal scores
+            pair = symbols[k] + symbols[k + 1]
+            symbols[k : k + 2] = [pair]
+            del agenda[k]
+            if k:
+                agenda[k - 1] = get(symbols[k - 1] + pair, NONE)
+            if k < len(agenda):
+                agenda[k] = get(pair + symbols[k + 1], NONE)
+        return symbols
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         ids = self.ids
+        found: list[int] = []
         for symbol in symbols:
-            if symbol:
-                i = ids.get(symbol)
-                if i is None:
-                    found.extend(self.bytes[b] for b in symbol.encode())
-                else:
-                    found.append(i)
+            i = ids.get(symbol)
+            if i is None:
+                found.extend([self.bytes[b] for b in symbol.encode()])
+            else:
+                found.append(i)
         return found
 
-    def unit(self, unit: str) -> tuple[str, int, bytes]:
-        """Ids written with commas, their number, and the bytes they decode to."""
-        found = self.merge(unit.replace(" ", SPACE))
-        result = ",".join(map(str, found)), len(found), b"".join([self.surface[i] for i in found])
-        if len(unit) <= LONGEST_CACHED:
+    def decode(self, ids: list[int]) -> bytes:
+        """What pieces and bytes spell, with the space that the model writes before a text."""
+        return b"".join([self.surface[i] for i in ids])
+
+    def word(self, part: str) -> str:
+        """Ids, written with commas, of a part between spaces: behind a space, or a line end and what follows it."""
+        if part[0] == "\n":
+            found = self.merge("\n") + (self.merge(part[1:]) if len(part) > 1 else [])
+            plain = part
+        else:
+            found = self.merge(SPACE + part)
+            plain = " " + part
+        # A text decodes to itself, part by part; this is where that is seen.
+        if self.decode(found) != plain.encode():
+            raise ValueError(f"A part of {len(part)} characters is not decoded to itself")
+        ids = ",".join(map(str, found))
+        self.fresh.append((part, ids))
+        if len(part) <= LONGEST_CACHED:
             if len(self.seen) >= CACHE:
                 self.seen.clear()
-            self.seen[unit] = result
-        return result
+            self.seen[part] = ids
+        return ids
 
     def encode(self, text: str) -> tuple[str, int, bytes]:
         """Ids of a text written with commas, their number, and the decoded text."""
         if not text:
             return "", 0, b""
-        get, new = self.seen.get, self.unit
-        # The model writes a space before every text and cannot tell its space symbol from a space.
-        parts = [get(u) or new(u) for u in self.units(" " + text.replace(SPACE, " "))]
-        ids = ",".join([p[0] for p in parts])
-        return ids, sum([p[1] for p in parts]), b"".join([p[2] for p in parts])[1:]
+        # The model cannot tell its space symbol from a space, and writes a space before every text.
+        text = text.replace(SPACE, " ")
+        parts = text.replace("\n", " \n").split(" ")
+        if "" in parts:  # runs of spaces, or one at an end
+            units = self.units(" " + text)
+            found = self._by_unit(units)
+            return ",".join(map(str, found)), len(found), self.decode(found)[1:]
+        get, new = self.seen.get, self.word
+        ids = ",".join([get(p) or new(p) for p in parts])
+        return ids, ids.count(",") + 1, text.encode()
+
+    def _by_unit(self, units: list[str]) -> list[int]:
+        """Ids of units with any number of spaces; ordinary words are looked up as above."""
+        found: list[int] = []
+        for unit in units:
+            if unit[0] == " " and unit[1:2] not in ("", " "):
+                part = unit[1:]
+                found.extend(map(int, (self.seen.get(part) or self.word(part)).split(",")))
+            else:
+                found.extend(self.merge(unit.replace(" ", SPACE)))
+        return found
 
 
 def load(path: str) -> PieceModel:
@@ -137,7 +194,7 @@ def load(path: str) -> PieceModel:
 def _encoded(path: str, check_share: float, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        for batch in batches:
+        for batch in slices(batches, "__text"):
             texts = [t or "" for t in batch.column("__text").to_pylist()]
             rows = [model.encode(t) for t in texts]
             _check(model, texts, rows, check_share)
@@ -155,29 +212,39 @@ def _encoded(path: str, check_share: float, with_ids: bool):
                 columns.append(pa.array([sha(d) for _, _, d in rows], pa.string()))
                 names += ["ids_sha256", "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        model.seen.clear()  # workers live longer than tasks
 
     return run
 
 
 def _check(model: PieceModel, texts: list[str], rows: list[tuple[str, int, bytes]], share: float) -> None:
+    def differs(text: str):
+        raise ValueError(f"The library encodes or decodes a text of {len(text)} characters differently")
+
+    parts, model.fresh = model.fresh, []
+    for (part, ids), found in zip(parts, model.library.encode([p for p, _ in parts], num_threads=1), strict=True):
+        # Before a line end the library's own space is a piece of itself.
+        if ",".join(map(str, found[1:] if part[0] == "\n" else found)) != ids:
+            differs(part)
     least = int(share * 2**32)
-    at = [k for k, t in enumerate(texts) if share >= 1 or zlib.crc32(t.encode()) < least]
-    for k, ids in zip(at, model.library.encode([texts[k] for k in at], num_threads=1), strict=True):
-        if ",".join(map(str, ids)) != rows[k][0] or model.library.decode(ids).encode() != rows[k][2]:
-            raise ValueError(f"The library encodes or decodes a text of {len(texts[k])} characters differently")
+    at = [k for k, t in enumerate(texts) if zlib.crc32(t.encode()) < least or "  " in t or t[:1] == " " or t[-1:] == " " or SPACE in t]
+    for k, found in zip(at, model.library.encode([texts[k] for k in at], num_threads=1), strict=True):
+        if ",".join(map(str, found)) != rows[k][0] or model.library.decode(found).encode() != rows[k][2]:
+            differs(texts[k])
 
 
 def encode(
-    docs: DataFrame, model_path: str, *, text: str = "text", check_share: float = 1.0, digests: bool = False, keep_text: bool = True
+    docs: DataFrame, model_path: str, *, text: str = "text", check_share: float = 1 / 16, digests: bool = False, keep_text: bool = True
 ) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids, decoded``, or with ``digests`` their SHA-256 instead.
 
     ``keep_text=False`` leaves the text column out.
     """
+    small_batches(docs.sparkSession)
     outputs = ("n_tokens", "ids_sha256", "decoded_sha256") if digests else ("n_tokens", "ids", "decoded")
     left_out = outputs if keep_text else (*outputs, text.lower())
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in left_out]
     rows = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__text")
     new = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, decoded string"
-    return rows.mapInArrow(_encoded(model_path, check_share, not digests), f"{schema}, {new}" if schema else new)
+    return rows.mapInArrow(tidy(_encoded(model_path, check_share, not digests)), f"{schema}, {new}" if schema else new)
