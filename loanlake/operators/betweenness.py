@@ -26,17 +26,18 @@ def _shortest(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
         steps = (
             known.filter("fresh")
             .join(adjacent, "node")
-            .select("source", F.col("neighbour").alias("node"), (F.col("dist") + F.col("weight")).alias("dist"))
+            .groupBy("source", F.col("neighbour").alias("node"))
+            .agg(F.min(F.col("dist") + F.col("weight")).alias("reach"))
         )
-        reached = known.select("source", "node", "dist", F.lit(True).alias("old")).unionByName(
-            steps.withColumn("old", F.lit(False))
-        )
-        before = F.min(F.when(F.col("old"), F.col("dist")))
+        # A distance that cannot improve is dropped before anything is written.
+        met = known.select("source", "node", "dist").join(steps, ["source", "node"], "full")
         known = cut_lineage(
-            reached.groupBy("source", "node")
-            .agg(F.min("dist").alias("dist"), before.alias("before"))
-            .withColumn("fresh", F.col("before").isNull() | (F.col("dist") < F.col("before")))
-            .drop("before")
+            met.select(
+                "source",
+                "node",
+                F.least("dist", "reach").alias("dist"),
+                (F.col("dist").isNull() | (F.col("reach") < F.col("dist"))).alias("fresh"),
+            ).withColumn("fresh", F.coalesce("fresh", F.lit(False)))
         )
         drop(before_known)
         before_known = known
@@ -110,20 +111,22 @@ def betweenness(
     Sources are handled in as many batches as keep their (source, node) rows below
     ``state_rows_per_core`` on every core.
     """
-    adjacent = cut_lineage(
+    links = cut_lineage(
         adjacent.filter(F.col("node") != F.col("neighbour")).select(
-            "node",
-            "neighbour",
-            F.when(F.col("weight") > 0, F.col("weight"))
+            F.col("node").alias("name"),
+            # Numbers shuffle and compare faster than names; 64 bits keep millions of them apart.
+            F.xxhash64("node").alias("node"),
+            F.xxhash64("neighbour").alias("neighbour"),
+            F.when(F.col("weight") > 0, F.col("weight").cast("double"))
             .otherwise(F.raise_error(F.lit("betweenness needs positive weights")))
             .alias("weight"),
         )
     )
-    nodes = cut_lineage(adjacent.select("node").distinct())
+    nodes = cut_lineage(links.select("node", "name").distinct())
     n = nodes.count()
     room = state_rows_per_core * adjacent.sparkSession.sparkContext.defaultParallelism
-    total = _all_batches(adjacent, nodes, max(1, math.ceil(n * n / room)))
+    total = _all_batches(links.drop("name"), nodes.select("node"), max(1, math.ceil(n * n / room)))
     # Every unordered pair is seen from both ends.
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
     score = F.coalesce(F.col("dependency"), F.lit(0.0)) * scale
-    return nodes.join(total, "node", "left").select("node", score.alias("betweenness"))
+    return nodes.join(total, "node", "left").select(F.col("name").alias("node"), score.alias("betweenness"))
