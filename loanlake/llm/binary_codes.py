@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, small_batches
+from .common import Scratch, components, small_batches, tidy
 
 KEYS, KEY_BITS = 48, 20
 BLOCK = 1024
@@ -216,13 +216,13 @@ def near_vectors(
     )
     kind = rows.schema["label"].dataType.simpleString()
     usable = rows.filter("id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
-    units = scratch.store(usable.mapInArrow(_units, f"id long, label {kind}, unit binary"))
+    units = scratch.store(usable.mapInArrow(tidy(_units), f"id long, label {kind}, unit binary"))
     classes = scratch.store(
         units.groupBy("label", "unit").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     )
     marks = scratch.store(
         classes.select("node", "label", "unit").mapInArrow(
-            _keys, f"node long, label {kind}, band int, key long, size int"
+            tidy(_keys), f"node long, label {kind}, band int, key long, size int"
         )
     )
     bucket = ["label", "band", "key", "size"]
@@ -236,7 +236,7 @@ def near_vectors(
     members = members.filter(F.col("label") == F.col("own_label"))
     group = [*bucket, "one", "two"]
     ordered = members.select(*group, "block", "node", "unit", "copies").repartition(*group).sortWithinPartitions(*group)
-    found = scratch.store(ordered.mapInArrow(_blocks_compared(threshold), "node long, links long, other long"))
+    found = scratch.store(ordered.mapInArrow(tidy(_blocks_compared(threshold)), "node long, links long, other long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(scratch, found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     judged = classes.join(counts, "node", "left").join(linked, "node", "left")

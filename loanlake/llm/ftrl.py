@@ -23,11 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_remainder
+from .common import Scratch, crc_remainder, give_back, slices, small_batches, tidy
 
 BITS = 20
 FOLDS = 5
-MAX_ROWS = 16_000
+MAX_ROWS = 8_000
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 1.0
 STEMS = (4, 5, 6)
@@ -82,11 +82,16 @@ def _train(bits: int, epochs: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         learner = Learner(bits)
         rows = rows.sort_values("draw", kind="stable")
-        seen = [(features(t, bits), float(y)) for t, y in zip(rows["text"], rows["label"], strict=True)]
+        texts, labels = rows.pop("text").tolist(), rows["label"].tolist()
+        seen = []
+        while texts:  # a text goes once its features are known
+            seen.append((features(texts.pop(), bits), float(labels.pop())))
         for epoch in range(epochs):
             for k in np.random.default_rng(epoch).permutation(len(seen)):
                 learner.learn(*seen[k])
         w = learner.weights(np.arange(2**bits + 1))
+        del seen
+        give_back()
         at = np.flatnonzero(w)
         return pd.DataFrame({"at": at, "weight": w[at]})
 
@@ -110,6 +115,7 @@ def fit(
     usable = usable.filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
     draw = F.xxhash64(F.lit(29), "id")
     train = usable.filter(crc_remainder(F.col("id"), FOLDS) != 0).withColumn("draw", draw)
+    small_batches(spark)
     scratch = Scratch(spark, "ftrl")
     chosen = scratch.store(train.orderBy("draw", "id").limit(max_rows))
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
@@ -125,7 +131,7 @@ def _score(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         bits = (len(w) - 1).bit_length() - 1
-        for batch in batches:
+        for batch in slices(batches, "__text"):
             odds = np.array([w[-1] + w[features(t.as_py(), bits)].sum() for t in batch.column("__text")])
             scores = pa.array(1 / (1 + np.exp(-np.clip(odds, -35, 35))) if len(odds) else [], pa.float64())
             kept = [n for n in batch.schema.names if n != "__text"]
@@ -140,7 +146,7 @@ def score(spark: SparkSession, docs: DataFrame, weights: np.ndarray, *, text: st
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"]
     rows = docs.select(*kept, F.col(f"`{text}`").cast("binary").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__text")
-    return rows.mapInArrow(_score(shared), f"{schema}, score double")
+    return rows.mapInArrow(tidy(_score(shared)), f"{schema}, score double")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, limit: float = 0.5) -> DataFrame:

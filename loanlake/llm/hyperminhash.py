@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, slices
+from .common import Scratch, components, slices, small_batches, tidy
 
 SHINGLE = 5
 REGISTERS, BANDS, ROWS = 160, 32, 5
@@ -277,7 +277,7 @@ def _likely_pairs(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, percent:
     side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     close = (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
     sketched = pairs.join(side("a"), "a").join(side("b"), "b").filter(close)
-    return scratch.store(sketched.mapInArrow(_likely(percent / 100), "a long, b long"))
+    return scratch.store(sketched.mapInArrow(tidy(_likely(percent / 100)), "a long, b long"))
 
 
 def _links(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,7 +285,7 @@ def _links(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) ->
     whole = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
-    checked = whole.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long, linked boolean")
+    checked = whole.select("a", "b", "x", "y").mapInArrow(tidy(_verified(percent)), "a long, b long, linked boolean")
     return scratch.store(checked.filter("linked").select("a", "b"))
 
 
@@ -293,26 +293,27 @@ def near_duplicates(
     spark: SparkSession, docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", percent: int = 85
 ) -> DataFrame:
     """``id, n_shingles, component_id, kept`` with one row per row of ``docs``."""
+    small_batches(spark)
     scratch = Scratch(spark, "near")
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    sketched = scratch.store(rows.mapInArrow(_sketches, "id long, n long, s1 long, s2 long, sketch binary"))
+    sketched = scratch.store(rows.mapInArrow(tidy(_sketches), "id long, n long, s1 long, s2 long, sketch binary"))
     classes = scratch.store(
         sketched.filter("n > 0 AND id IS NOT NULL")
         .groupBy("n", "s1", "s2")
         .agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"))
     )
-    bands = classes.select("node", "sketch").mapInArrow(_bands, "key long, node long")
+    bands = classes.select("node", "sketch").mapInArrow(tidy(_bands), "key long, node long")
     buckets = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("leader")).filter("size > 1")
     members = scratch.store(bands.join(buckets.drop("size"), "key"))
     candidates = scratch.store(members.select("node").distinct())
     nodes = scratch.store(classes.join(candidates, "node", "left_semi").select("node", "n", "sketch"))
     sets = scratch.store(
         rows.join(candidates, F.col("id") == F.col("node"), "left_semi")
-        .mapInArrow(_shingle_sets, "node long, shingles binary")
+        .mapInArrow(tidy(_shingle_sets), "node long, shingles binary")
         .groupBy("node")
         .agg(F.first("shingles").alias("shingles"))
         if _repeated(rows)
-        else rows.join(candidates, F.col("id") == F.col("node"), "left_semi").mapInArrow(_shingle_sets, "node long, shingles binary")
+        else rows.join(candidates, F.col("id") == F.col("node"), "left_semi").mapInArrow(tidy(_shingle_sets), "node long, shingles binary")
     )
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(scratch, _likely_pairs(scratch, stars, nodes, percent), sets, percent)
@@ -330,7 +331,7 @@ def near_duplicates(
     dealt = dealt.join(nodes.select("node", "n").join(low, "node"), "node")
     dealt = dealt.select("key", "one", "two", "node", "component", "n", "block", "low")
     ordered = dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    compared = scratch.store(ordered.mapInArrow(_blocks_compared(percent), "a long, b long, sure boolean"))
+    compared = scratch.store(ordered.mapInArrow(tidy(_blocks_compared(percent)), "a long, b long, sure boolean"))
     doubtful = compared.filter("NOT sure").select("a", "b").distinct()
     more = compared.filter("sure").select("a", "b").unionByName(_links(scratch, doubtful, sets, percent))
     found = components(scratch, links.unionByName(more))

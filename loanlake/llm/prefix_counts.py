@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, small_batches, tidy
 
 CACHE = 400_000
 LONGEST_CACHED = 64
@@ -242,13 +242,14 @@ def prefix_token_counts(
 
     ``keep_text=False`` leaves the text column out.
     """
+    small_batches(docs.sparkSession)
     outputs = ("n_tokens", "prefix_steps") if steps else ("n_tokens",)
     left_out = outputs if keep_text else (*outputs, text.lower())
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in left_out]
     rows = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__text"]
     fields += ["n_tokens long", "prefix_steps binary"][: len(outputs)]
-    return rows.mapInArrow(_counted(vocabulary, steps), ", ".join(fields))
+    return rows.mapInArrow(tidy(_counted(vocabulary, steps)), ", ".join(fields))
 
 
 def _cut(column: str, value):
@@ -263,7 +264,7 @@ def _cut(column: str, value):
 def _with_long(counted: DataFrame, column: str, value) -> DataFrame:
     rows = counted.drop(column)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
-    return rows.mapInArrow(_cut(column, value), ", ".join([*fields, f"`{column}` long"]))
+    return rows.mapInArrow(tidy(_cut(column, value)), ", ".join([*fields, f"`{column}` long"]))
 
 
 def chars_within(counted: DataFrame, budget: int, *, column: str = "chars_within") -> DataFrame:
