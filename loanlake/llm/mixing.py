@@ -27,6 +27,7 @@ TOTAL_SHARE = 1.5
 MOST_REPEATS = 2
 BLOCKS = 4096
 LEVELS = 3
+SLICES = 1024
 
 
 def _key(source: str) -> Column:
@@ -185,6 +186,6 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     copies = F.filter("passes", lambda e: 2 * e["words"] >= F.col("size"))
     copies = mixed.select("__row", "__doc_id", F.explode(copies).alias("__pass"))
     local = F.xxhash64(F.lit(options.get("seed", 17)), "__pass.shard", "__pass.epoch", "__doc_id")
-    shards = 2 ** options.get("levels", LEVELS)
-    dealt = copies.withColumn("__local", local).repartition(shards * 4, "__pass.shard", F.pmod("__local", F.lit(4)))
+    # As many tasks as the session shuffles to: a shard is cut into slices of its own order.
+    dealt = copies.withColumn("__local", local).repartition("__pass.shard", F.pmod("__local", F.lit(SLICES)))
     return dealt.sortWithinPartitions("__pass.shard", "__local").select("__row.*")
