@@ -99,6 +99,19 @@ def test_scores_follow_the_longest_kept_context(spark, documents):
         assert got[at - 1] == pytest.approx(expected)
 
 
+def test_all_that_passes_the_tests_decides(spark, documents, monkeypatch):
+    """Scores do not depend on how much of the tree is broadcast."""
+    rows = chained(random.Random(8), 300)
+    whole = {r["doc_id"]: r["score"] for r in tree.score_documents(spark, documents(rows)).collect()}
+    for contexts, entries in ((100_000, 30), (7, 400_000), (7, 30), (0, 0)):
+        for name, limit in (("CONTEXTS", contexts), ("ENTRIES", entries)):
+            for prefix in ("MAX", "HELD"):
+                monkeypatch.setattr(tree, f"{prefix}_{name}", limit, raising=False)
+        got = tree.score_documents(spark, documents(rows)).collect()
+        assert len(got) == len(rows)
+        assert all(r["score"] == pytest.approx(whole[r["doc_id"]], abs=1e-6) for r in got)
+
+
 def test_places():
     rng = np.random.default_rng(7)
     keys = np.unique(rng.integers(0, 2**45, 5000))
