@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates stays."""
-    return hyperminhash.keep_one_of_each(spark, docs)
+    """One document of every group of near duplicates (similarity 0.8 or more) stays."""
+    return hyperminhash.keep_one_of_each(spark, docs, percent=80)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
