@@ -28,7 +28,7 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.reply_order(spark, _table(spark, sf_dir, "conversations"))
+    return quotations.reply_order(spark, _table(spark, sf_dir, "conversations"), all_holders=True)
 
 
 def op5_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
