@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_codes, ftrl, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
+from . import binary_codes, ftrl, hard_negatives, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
 from .common import crc_remainder
 
 TOKEN_LIMIT = 512
@@ -70,6 +70,13 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision.quality_verdicts(spark, docs, carry=["doc_id"])
 
 
+def op11_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(spark, rows, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_binary_codes": op1_binary_codes,
     "op2_host_suffixes": op2_host_suffixes,
@@ -81,6 +88,7 @@ QUERIES = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_source_mix": op9_source_mix,
     "op10_weak_supervision": op10_weak_supervision,
+    "op11_slot_negatives": op11_slot_negatives,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -154,5 +162,25 @@ r(node, other) AS (
   SELECT doc_id, doc_id FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.other)
 SELECT n.doc_id, n.n AS n_shingles, min(r.other) AS component_id, n.doc_id = min(r.other) AS kept
 FROM n JOIN r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
+""",
+    "op11_slot_negatives": """
+WITH u AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM u a JOIN u b ON a.id <> b.id AND len(a.v) = len(b.v) WHERE a.id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
 }
