@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_codes, ftrl, hard_negatives, host_suffixes, hyperminhash, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
-from .common import crc_remainder
+from . import binary_codes, ftrl, hard_negatives, host_suffixes, hyperminhash, merkle, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
+from .common import crc_remainder, lower_ascii
 
 TOKEN_LIMIT = 512
 
@@ -77,6 +77,15 @@ def op11_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark, rows, F.col("id") % 100 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    text = F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    proofs = merkle.manifest(spark, docs, fields=fields, by="source", order="doc_id", claims={"text": text})
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_binary_codes": op1_binary_codes,
     "op2_host_suffixes": op2_host_suffixes,
@@ -89,8 +98,73 @@ QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_weak_supervision": op10_weak_supervision,
     "op11_slot_negatives": op11_slot_negatives,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+# Levels of a tree in the SQL of the manifest: enough for 16^6 leaves of a source and as many sources.
+_LEVELS = 6
+
+
+def _levels_sql(name: str, tree: str) -> str:
+    """The nodes of every level above ``name``0(tree, r, h, m), and the runs that they are made of."""
+    parts = []
+    for k in range(_LEVELS):
+        parts.append(f"""
+{name}{k + 1} AS (
+  SELECT {tree}, r // 16 AS r, CASE WHEN m > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h,
+    (m + 15) // 16 AS m, CASE WHEN m > 1 THEN list(h ORDER BY r) END AS run
+  FROM {name}{k} GROUP BY {tree}, r // 16, m),""")
+    return "".join(parts)
+
+
+def _fold_sql(name: str, tree: str, leaves: str, keep: str) -> str:
+    """Siblings so far and the folded node of ``leaves``, level by level."""
+    parts, last = [], leaves
+    for k in range(_LEVELS):
+        parts.append(f"""
+{leaves}{k + 1} AS (
+  SELECT {keep}, p.r // 16 AS r, CASE WHEN run IS NULL THEN sib
+      ELSE sib || array_to_string(list_filter(run, lambda x, i: i <> p.r % 16 + 1), '') END AS sib,
+    CASE WHEN run IS NULL THEN node ELSE sha256(array_to_string(list_transform(run, lambda x, i:
+      CASE WHEN i = p.r % 16 + 1 THEN node ELSE x END), '')) END AS node
+  FROM {last} p JOIN {name}{k + 1} t ON t.{tree} IS NOT DISTINCT FROM p.{tree} AND t.r = p.r // 16),""")
+        last = f"{leaves}{k + 1}"
+    return "".join(parts)
+
+
+def _manifest_sql() -> str:
+    def leaf(text: str) -> str:
+        field = lambda c: f"coalesce(strlen(({c})::VARCHAR)::VARCHAR || ':' || ({c})::VARCHAR, '-')"
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    steps = "[" + ", ".join(["ascii(s[i])", *["-1"] * 8]) + "]"
+    crc = f"""(SELECT xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, len(s) + 1), lambda i: {steps})),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x::BIGINT) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+    4294967295::BIGINT) FROM (SELECT doc_id::VARCHAR AS s))"""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH c AS (SELECT *, {crc} AS crc FROM documents),
+d AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf,
+    CASE WHEN crc % 5 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS claim
+  FROM c),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+    count(*) OVER (PARTITION BY source) AS m
+  FROM d),
+a0 AS (SELECT source, r, leaf AS h, m FROM l),{_levels_sql("a", "source")}
+o AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS m FROM a{_LEVELS}),
+b0 AS (SELECT 0 AS one, r, subroot AS h, m FROM o),{_levels_sql("b", "one")}
+p AS (SELECT doc_id, source, leaf, r, '' AS sib, claim AS node FROM l),{_fold_sql("a", "source", "p", "doc_id, p.source, leaf")}
+q AS (
+  SELECT doc_id, leaf, subroot, 0 AS one, o.r, sib, node FROM p{_LEVELS} JOIN o ON o.source IS NOT DISTINCT FROM p{_LEVELS}.source),
+{_fold_sql("b", "one", "q", "doc_id, leaf, subroot, p.one").strip()}
+z AS (SELECT h AS root FROM b{_LEVELS})
+SELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM q{_LEVELS}, z
+"""
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -183,4 +257,5 @@ n AS (
   WHERE NOT same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
+    "op12_merkle_manifest": _manifest_sql(),
 }
