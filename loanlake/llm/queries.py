@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_codes, ftrl, hard_negatives, host_suffixes, hyperminhash, merkle, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision
+from . import binary_codes, ftrl, hard_negatives, host_suffixes, hyperminhash, merkle, mixing, piece_agenda, prefix_counts, quotations, suffix_tree, weak_supervision, wu_manber
 from .common import crc_remainder, lower_ascii
 
 TOKEN_LIMIT = 512
@@ -86,6 +86,20 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_window_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wu_manber.find_windows(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
+    hit = wu_manber.n_hit(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_binary_codes": op1_binary_codes,
     "op2_host_suffixes": op2_host_suffixes,
@@ -99,6 +113,7 @@ QUERIES = {
     "op10_weak_supervision": op10_weak_supervision,
     "op11_slot_negatives": op11_slot_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_window_hits": op13_window_hits,
 }
 
 # Levels of a tree in the SQL of the manifest: enough for 16^6 leaves of a source and as many sources.
@@ -167,6 +182,7 @@ FROM q{_LEVELS}, z
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+_LETTERS = _WORDS.replace(r"[^\x20\x09-\x0D]+", wu_manber.WORD)
 
 SQL = {
     "op1_binary_codes": """
@@ -258,4 +274,20 @@ n AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
     "op12_merkle_manifest": _manifest_sql(),
+    "op13_window_hits": f"""
+WITH i AS (SELECT item_id::VARCHAR AS item, {_LETTERS} AS ws FROM benchmark),
+w AS (
+  SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[k:k + least(10, len(ws)) - 1], ' ') AS win
+  FROM i, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) t(k) WHERE len(ws) > 0),
+d AS (SELECT row_number() OVER () AS id, doc_id, {_LETTERS} AS ws FROM documents),
+g AS (
+  SELECT id, k, l.n, array_to_string(ws[k:k + l.n - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT n FROM w) l, unnest(range(1, len(ws) - l.n + 2)) t(k)),
+h AS (SELECT g.id, g.k, g.n, w.item FROM g JOIN w ON w.win = g.win AND w.n = g.n),
+c AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(k, k + n)) AS p FROM h) GROUP BY id),
+m AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (id) LEFT JOIN m USING (id)
+""",
 }
