@@ -1107,6 +1107,27 @@ SQL["imported_hecm"] = f"""WITH clean AS ({SQL["clean_hecm"]}), numbered AS (
   SELECT "FHA_Index", "Property State", coalesce("Originating Mortgagee", '') AS "Originating Mortgagee",
     "Originating Mortgagee Number", coalesce("Sponsor Name", '') AS "Sponsor Name", "NMLS", "Standard/Saver", "Interest Rate",
     "Year", "Month", make_date("Year", "Month", 1) AS "Date" FROM numbered"""
+_OWN_MONTH = """cast((year(o_orderdate) + 19) AS smallint) AS "Year", cast(month(o_orderdate) AS smallint) AS "Month\""""
+_NAMED = "(o_orderdate + to_months(CASE WHEN k % 29 = 0 THEN 1 ELSE 0 END))"
+assert _OWN_MONTH in _CLEANED
+_STRAYS = f"""{_CLEANED.replace(_OWN_MONTH, _OWN_MONTH.replace("o_orderdate", _NAMED))},
+  files AS (SELECT DISTINCT sy, sm FROM cleaned),
+  placed AS (
+    SELECT numbered.*, ("Year", "Month") = (sy, sm) AS own,
+      ("Year", "Month") <> (sy, sm) AND ("Year", "Month") IN (SELECT (sy, sm) FROM files) AS held_apart FROM numbered)"""
+_NO_NAME = """CASE WHEN "Originating Mortgagee" IS NULL OR "Originating Mortgagee" IN ('nan', 'None') THEN ''
+  ELSE "Originating Mortgagee" END AS "Originating Mortgagee\""""
+SQL["imported_with_stray_rows"] = f"""WITH {_STRAYS}
+  SELECT "FHA_Index", "Year", "Month", {_NO_NAME}, "Mortgage Amount", held_apart FROM placed"""
+SQL["month_versions"] = f"""WITH {_STRAYS}
+  SELECT CASE WHEN sy <= 2016 THEN 1 ELSE 2 END AS number, 'stray' AS part, "Year" AS year, "Month" AS month,
+    sy AS source_year, sm AS source_month, count(*) AS rows, NOT held_apart AS visible
+  FROM placed WHERE NOT own GROUP BY ALL
+  UNION ALL SELECT CASE WHEN sy <= 2016 THEN 1 ELSE 2 END, 'own', sy, sm, sy, sm, count(*) FILTER (own), count(*) FILTER (own) > 0
+  FROM placed GROUP BY sy, sm"""
+_CORRECTED = _CLEANED.replace("WHERE o_orderstatus IN", "WHERE (year(o_orderdate) + 19 <> 2014 OR k % 2 = 0) AND o_orderstatus IN")
+SQL["imported_corrections"] = SQL["streamed_corrections"] = f"""WITH {_CORRECTED}
+  SELECT "FHA_Index", "Year", "Month", {_NO_NAME}, "Mortgage Amount" FROM numbered"""
 _FILE_MONTHS = f"""{_CLEANED}, months AS (
     SELECT cast(year(o_orderdate) + 19 AS int) AS year, cast(month(o_orderdate) AS int) AS month,
       EXISTS (SELECT 1 FROM cleaned WHERE sy = year(o_orderdate) + 19 AND sm = month(o_orderdate)) AS clean FROM orders

@@ -94,6 +94,59 @@ def streamed_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at.read_silver()
 
 
+def _import_with_strays(spark: SparkSession, sf_dir: str) -> Folders:
+    """Two imports of files in which some rows name the month after."""
+    at = Folders(spark)
+    at.write_raw(star_raw.raw_sheets(spark, sf_dir, stray=F.col("o_orderkey") % 29 == 0))
+    at.run(max_year=2016)
+    at.run()
+    return at
+
+
+def imported_with_stray_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the months that readers see, and rows held apart from them."""
+    at = _import_with_strays(spark, sf_dir)
+    columns = (INDEX, YEAR, MONTH, ORIG, AMOUNT)
+    shown = at.read_silver().select(*columns, F.lit(False).alias("held_apart"))
+    apart = snapshots.read_held_apart(spark, at.silver).select(*columns, F.lit(True).alias("held_apart"))
+    return shown.unionByName(apart)
+
+
+def month_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of both imports: what they took from which snapshot for which month."""
+    at = _import_with_strays(spark, sf_dir)
+    log = import_snapshots.month_versions(spark, at.silver)
+    return log.select("number", "part", "year", "month", "source_year", "source_month", "rows", "visible")
+
+
+def _corrected_bronze(spark: SparkSession, sf_dir: str, at: Folders) -> None:
+    """Files of 2014 that lack the rows with odd keys."""
+    sheets = star_raw.raw_sheets(spark, sf_dir).filter("snapshot_year = 2014 AND row_ord % 2 = 0")
+    rows = import_snapshots.bronze_rows(sheets.filter(snapshots.is_data_sheet("single_family")), "single_family")
+    import_snapshots.write_months(rows, at.bronze, "snapshot_year", "snapshot_month")
+
+
+def imported_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year of files that changed after their import."""
+    at = Folders(spark)
+    at.write_raw(star_raw.raw_sheets(spark, sf_dir))
+    at.run()
+    _corrected_bronze(spark, sf_dir, at)
+    at.run(corrections=True)
+    return at.read_silver().select(INDEX, YEAR, MONTH, ORIG, AMOUNT)
+
+
+def streamed_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the file stream, which sees the changed files as new ones."""
+    at = Folders(spark)
+    at.write_raw(star_raw.raw_sheets(spark, sf_dir))
+    import_snapshots.convert_snapshots(spark, at.raw, at.bronze)
+    for _ in range(2):
+        ingest_new_months(spark, at.bronze, at.silver, f"{at.root}/state", corrections=True).awaitTermination()
+        _corrected_bronze(spark, sf_dir, at)
+    return at.read_silver().select(INDEX, YEAR, MONTH, ORIG, AMOUNT)
+
+
 def imported_hecm(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = Folders(spark)
     at.write_raw(star_raw.raw_hecm_sheets(spark, sf_dir))
@@ -195,8 +248,8 @@ def exploratory_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        imported_loans, imported_csv, imported_all_years, exported_loans, streamed_loans, imported_hecm, manifest_status,
-        file_inventory, csv_round_trip, stored_result, validation_export, report_event_log, month_scan, row_sample,
+        imported_loans, imported_csv, imported_all_years, exported_loans, streamed_loans, imported_with_stray_rows,
+        month_versions, imported_corrections, streamed_corrections, imported_hecm, manifest_status, file_inventory, csv_round_trip, stored_result, validation_export, report_event_log, month_scan, row_sample,
         trend_tables, network_tables, exploratory_tables,
     )
 }

@@ -1,5 +1,7 @@
 """Raw sheets to bronze, bronze to silver."""
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,11 +9,8 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import PLACE_COLUMNS, clean, prepare_export
 from ..operators.row_keys import with_row_keys
 from ..schemas import MONTH, SINGLE_FAMILY_KIND, YEAR
-from ..sources import manifest, snapshots
-
-#: Logs beside the months of the silver table; names that begin so are no data to Spark.
-COMPLETE, LATE = "_complete", "_late"
-MONTHS = f"`{YEAR}` int, `{MONTH}` int, rows bigint"
+from ..sources import commits, manifest, snapshots
+from ..sources.checkpoints import remove
 
 
 def bronze_rows(raw: DataFrame, kind: str) -> DataFrame:
@@ -21,17 +20,17 @@ def bronze_rows(raw: DataFrame, kind: str) -> DataFrame:
     return cleaned.drop(*[c for c in PLACE_COLUMNS if c not in keep])
 
 
-def write_months(df: DataFrame, path: str, year_key: str, month_key: str) -> None:
-    """Write partition folders, replacing only the months that ``df`` has.
+def write_months(df: DataFrame, path: str, *keys: str) -> None:
+    """Write partition folders, replacing only those that ``df`` has.
 
     Rows are rebalanced by month, so a month is one file of the advisory size if it
     is small and many files if it is large.
     """
     (
-        df.hint("rebalance", year_key, month_key)
+        df.hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(year_key, month_key)
+        .partitionBy(*keys)
         .parquet(path)
     )
 
@@ -100,55 +99,96 @@ def without_stored_months(rows: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(stored.select(YEAR, MONTH), [YEAR, MONTH], "left_anti")
 
 
-def late_months(bronze: DataFrame, stored: DataFrame) -> DataFrame:
-    """``Year, Month, rows`` of bronze rows that belong to months stored already."""
-    return bronze.join(stored.select(YEAR, MONTH), [YEAR, MONTH], "left_semi").groupBy(YEAR, MONTH).agg(
-        F.count("*").alias("rows")
-    )
+def _log(spark: SparkSession, silver_path: str) -> list[commits.Entry]:
+    """Entries of the table's log; before the first one, those of the months that lie there."""
+    entries = commits.load(spark, silver_path)
+    if entries is not None:
+        return entries
+    # At most one folder per month of the calendar.
+    months = sorted((r["year"], r["month"]) for r in snapshots.partition_months(spark, silver_path).collect())
+    done = _complete_before(spark, silver_path)
+    return [
+        commits.Entry(0, "", commits.BEFORE, *m, *m, None, None) for m in months if done is None or m in done
+    ]
 
 
-def _read_log(spark: SparkSession, path: str) -> DataFrame | None:
+def _complete_before(spark: SparkSession, silver_path: str) -> set[commits.Month] | None:
+    """Months that a log of earlier versions of this library names; None without such a log."""
     try:
-        return spark.read.schema(MONTHS).json(path)
+        rows = spark.read.schema(f"`{YEAR}` int, `{MONTH}` int").json(f"{silver_path}/_complete").collect()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not commits.missing(error):
             raise
         return None
+    return {tuple(row) for row in rows}
 
 
 def stored_months(spark: SparkSession, silver_path: str) -> DataFrame:
-    """``Year, Month`` of the months that were written to their end.
+    """``Year, Month`` of the snapshots that were stored to their end, with or without rows."""
+    complete = commits.newest(_log(spark, silver_path))
+    return spark.createDataFrame(sorted(complete), f"`{YEAR}` int, `{MONTH}` int")
 
-    A month counts once the log of complete months names it, so that the folders of a
-    write that broke off are written again.  A table without a log was not written here;
-    all its folders count.
-    """
-    log = _read_log(spark, f"{silver_path}/{COMPLETE}")
-    found = snapshots.existing_partitions(spark, silver_path) if log is None else log
-    return found.select(F.col(YEAR).cast("int").alias(YEAR), F.col(MONTH).cast("int").alias(MONTH)).distinct()
+
+def month_versions(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The log: what every import took from every snapshot, and which of it makes up the table."""
+    entries = commits.load(spark, silver_path) or []
+    shown = set(commits.visible(entries))
+    rows = [(*e, e in shown) for e in entries]
+    return spark.createDataFrame(rows, f"{commits.ENTRIES}, visible boolean")
 
 
 def late_rows(spark: SparkSession, silver_path: str) -> DataFrame:
-    """``Year, Month, rows`` that arrived for stored months and were left out, by all imports so far."""
-    log = _read_log(spark, f"{silver_path}/{LATE}")
-    log = spark.createDataFrame([], MONTHS) if log is None else log
-    return log.groupBy(YEAR, MONTH).agg(F.sum("rows").alias("rows"))
-
-
-def store_months(spark: SparkSession, rows: DataFrame, silver_path: str, late: DataFrame | None = None) -> None:
-    """Write the months of ``rows`` and log them as complete afterwards."""
-    if _read_log(spark, f"{silver_path}/{COMPLETE}") is None:
-        # From here on folders alone do not count.
-        before = stored_months(spark, silver_path).withColumn("rows", F.lit(None).cast("bigint"))
-        before.write.mode("append").json(f"{silver_path}/{COMPLETE}")
-    write_months(rows, silver_path, YEAR, MONTH)
-    if late is not None:
-        late.write.mode("append").json(f"{silver_path}/{LATE}")
-    # What was written is counted from the files, which need not be computed again.
-    months = rows.select(YEAR, MONTH).distinct()
-    stored = spark.read.schema(rows.schema).parquet(silver_path)
-    counted = stored.join(months, [YEAR, MONTH], "left_semi").groupBy(YEAR, MONTH).agg(F.count("*").alias("rows"))
-    counted.write.mode("append").json(f"{silver_path}/{COMPLETE}")
+    """``Year, Month, rows`` held apart: rows of other snapshots, or late ones, for months with a snapshot of their own."""
+    counts: dict[commits.Month, int] = {}
+    for entry in commits.held_apart(commits.load(spark, silver_path) or []):
+        counts[entry.of] = counts.get(entry.of, 0) + entry.rows
+    rows = [(*month, n) for month, n in sorted(counts.items())]
+    return spark.createDataFrame(rows, f"`{YEAR}` int, `{MONTH}` int, rows bigint")
+
+
+def store_months(
+    spark: SparkSession,
+    bronze: DataFrame,
+    silver_path: str,
+    kind: str,
+    months: Iterable[commits.Month],
+    checksums: Mapping[commits.Month, str] | None = None,
+    **export,
+) -> None:
+    """Store the snapshots ``months`` of bronze rows as a new version, and all other rows as late ones.
+
+    The rows are written once; the log then names the version, so readers see all of it or nothing.
+    """
+    entries = _log(spark, silver_path)
+    number, version = commits.new_version(entries)
+    if commits.load(spark, silver_path) is None:
+        # From here on only what the log names is part of the table.
+        commits.add(spark, silver_path, entries)
+    rows = prepare_export(bronze, kind, **export)
+    own = (F.col("snapshot_year") == F.col(YEAR)) & (F.col("snapshot_month") == F.col(MONTH))
+    taken = sorted(set(months))
+    known = F.struct(F.col("snapshot_year").cast("int"), F.col("snapshot_month").cast("int")).isin(
+        [F.struct(F.lit(y).cast("int"), F.lit(m).cast("int")) for y, m in taken]
+    )
+    elsewhere = commits.stray_name(F.lit(version), F.col("snapshot_year"), F.col("snapshot_month"))
+    name = F.when(F.coalesce(own & (known if taken else F.lit(False)), F.lit(False)), version).otherwise(elsewhere)
+    placed = rows.withColumn(commits.VERSION, name).drop("snapshot_year", "snapshot_month")
+    write_months(placed, silver_path, YEAR, MONTH, commits.VERSION)
+
+    counts = commits.folder_counts(spark, silver_path, version)
+    own_rows = {month: n for month, source, _, n in counts if source is None}
+    checksums = checksums or {}
+    added = [commits.Entry(number, version, commits.OWN, *m, *m, own_rows.get(m, 0), checksums.get(m)) for m in taken]
+    for month, source, folder, n in counts:
+        if source is not None:
+            part = commits.STRAY if source in taken else commits.LATE
+            added.append(commits.Entry(number, version, part, *month, *source, n, None, folder))
+    commits.add(spark, silver_path, added)
+
+
+def _checksums(spark: SparkSession, bronze_path: str) -> dict[commits.Month, str]:
+    """Checksum of every bronze month; a month of the calendar each."""
+    return {(r["year"], r["month"]): r["checksum"] for r in snapshots.bronze_checksums(spark, bronze_path).collect()}
 
 
 def save_silver(
@@ -163,19 +203,37 @@ def save_silver(
 ) -> None:
     """Full export, of a range of years if bounds are given; nothing is written if it has no files."""
     bronze = snapshots.read_bronze(spark, bronze_path, kind, min_year=min_year, max_year=max_year)
-    store_months(spark, silver_rows(bronze, kind, **export), silver_path)
+    checksums = _checksums(spark, bronze_path)
+    months = [m for m in checksums if _inside(m[0], min_year, max_year)]
+    if months:
+        store_months(spark, bronze, silver_path, kind, months, checksums, **export)
+
+
+def _inside(year: int, min_year: int | None, max_year: int | None) -> bool:
+    return (min_year is None or year >= min_year) and (max_year is None or year <= max_year)
 
 
 def new_months(
-    spark: SparkSession, bronze_path: str, silver_path: str, min_year: int | None = None, max_year: int | None = None
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    min_year: int | None = None,
+    max_year: int | None = None,
+    *,
+    corrections: bool = False,
 ) -> DataFrame:
-    """``year, month`` of bronze files whose month silver does not have in full."""
-    stored = stored_months(spark, silver_path).select(F.col(YEAR).alias("year"), F.col(MONTH).alias("month"))
-    return (
-        snapshots.bronze_months(spark, bronze_path)
-        .filter(snapshots.in_years("year", min_year, max_year))
-        .join(stored, ["year", "month"], "left_anti")
-    )
+    """``year, month`` of bronze snapshots that silver does not have in full.
+
+    With ``corrections`` also those whose files are others than when they were stored.
+    """
+    stored = [(*m, e.checksum) for m, e in commits.newest(_log(spark, silver_path)).items()]
+    known = spark.createDataFrame(stored, "year int, month int, known string").withColumn("stored", F.lit(True))
+    found = snapshots.bronze_checksums(spark, bronze_path).filter(snapshots.in_years("year", min_year, max_year))
+    new = F.col("stored").isNull()
+    if corrections:
+        # A month from before the log has no checksum to compare with and stays.
+        new = new | (F.col("known") != F.col("checksum"))
+    return found.join(known, ["year", "month"], "left").filter(new).select("year", "month", "checksum")
 
 
 def update_silver(
@@ -186,16 +244,20 @@ def update_silver(
     *,
     min_year: int | None = None,
     max_year: int | None = None,
+    corrections: bool = False,
     **export,
 ) -> list[tuple[int, int]]:
-    """Append the months silver does not have; returns the months of the new files.
+    """Append the snapshots silver does not have; returns their months.
 
-    Bronze files of stored months, and of years outside the bounds, are not opened.  A
-    stray row of a stored month in a new file is left out, so a stored month never changes,
-    and counted, see :func:`late_rows`; a second run adds nothing.
+    Bronze files of stored snapshots, and of years outside the bounds, are not opened.  A
+    snapshot is stored once, whatever months its rows name, so a stray row neither closes the
+    month it names nor changes it; a second run adds nothing.  With ``corrections`` a snapshot
+    whose files have changed replaces its month.
     """
     # Months of the calendar, a short list by nature.
-    months = sorted((r["year"], r["month"]) for r in new_months(spark, bronze_path, silver_path, min_year, max_year).collect())
+    rows = new_months(spark, bronze_path, silver_path, min_year, max_year, corrections=corrections).collect()
+    checksums = {(r["year"], r["month"]): r["checksum"] for r in rows}
+    months = sorted(checksums)
     if not months:
         return []
     chosen = F.lit(False)
@@ -203,15 +265,42 @@ def update_silver(
         of_year = [m for y, m in months if y == year]
         chosen = chosen | ((F.col("snapshot_year") == year) & F.col("snapshot_month").isin(of_year))
     bronze = snapshots.read_bronze(spark, bronze_path, kind, min_year=min_year, max_year=max_year).filter(chosen)
-    append_months(spark, bronze, silver_path, kind, **export)
+    store_months(spark, bronze, silver_path, kind, months, checksums, **export)
     return months
 
 
-def append_months(spark: SparkSession, bronze: DataFrame, silver_path: str, kind: str, **export) -> None:
-    """Add the months of bronze rows that silver does not have; count the rows of those that it has."""
-    stored = stored_months(spark, silver_path)
-    rows = without_stored_months(silver_rows(bronze, kind, **export), stored)
-    store_months(spark, rows, silver_path, late_months(bronze, stored))
+def append_months(
+    spark: SparkSession, bronze: DataFrame, silver_path: str, kind: str, *, corrections: bool = False, **export
+) -> None:
+    """Add the snapshots of bronze rows that silver does not have.
+
+    Rows of snapshots that it has are late: they are stored apart, or, with ``corrections``,
+    replace their month.
+    """
+    # Months of the calendar, a short list by nature.
+    there = {tuple(r) for r in bronze.select("snapshot_year", "snapshot_month").distinct().collect()}
+    stored = commits.newest(_log(spark, silver_path))
+    taken = {m for m in there if corrections or m not in stored}
+    if there:
+        store_months(spark, bronze, silver_path, kind, taken, **export)
+
+
+def drop_replaced(spark: SparkSession, silver_path: str) -> list[str]:
+    """Delete the folders of replaced versions and of writes that broke off; returns them.
+
+    Readers that hold an older version lose it, so no import and no long read should run meanwhile.
+    """
+    entries = commits.load(spark, silver_path)
+    if entries is None:
+        return []
+    kept = {e.folder for e in [*commits.visible(entries), *commits.strays(entries)]}
+    files = snapshots.list_files(spark, silver_path, "*.parquet")
+    folder = F.regexp_extract("path", rf"({YEAR}=\d+/{MONTH}=\d+/{commits.VERSION}=[^/]+)/", 1)
+    # A folder per version of a month, a short list.
+    gone = sorted({r[0] for r in files.select(folder).distinct().collect()} - kept - {""})
+    for name in gone:
+        remove(spark, f"{silver_path}/{name}")
+    return gone
 
 
 def run_import(
@@ -226,6 +315,7 @@ def run_import(
     min_year: int | None = None,
     max_year: int | None = None,
     manifest_path: str | None = None,
+    corrections: bool = False,
     **export,
 ) -> list[tuple[int, int]]:
     """Both steps for one program; returns the months added to silver."""
@@ -233,5 +323,5 @@ def run_import(
         spark, raw_path, bronze_path, kind, overwrite=overwrite, file_format=file_format, manifest_path=manifest_path
     )
     return update_silver(
-        spark, bronze_path, silver_path, kind, min_year=min_year, max_year=max_year, **export
+        spark, bronze_path, silver_path, kind, min_year=min_year, max_year=max_year, corrections=corrections, **export
     )

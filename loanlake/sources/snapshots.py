@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import HECM_KIND, MONTH, SINGLE_FAMILY_KIND, YEAR, bronze_schema, silver_schema
+from . import commits
 from .file_names import bronze_period, is_snapshot, snapshot_period, unit_path
 
 # Words that mark a data sheet, per program.
@@ -54,15 +55,38 @@ def with_empty_files(files: DataFrame) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, path: str, kind: str = SINGLE_FAMILY_KIND) -> DataFrame:
-    """The ``Year=/Month=`` table; the schema is given, so partition keys keep their type."""
-    return spark.read.schema(silver_schema(kind)).parquet(path)
+    """The table of months; the schema is given, so partition keys keep their type.
+
+    Of every month the version that the table's log makes visible, see :mod:`.commits`; a
+    table without a log is read as it lies.
+    """
+    entries = commits.load(spark, path)
+    if entries is None:
+        return spark.read.schema(silver_schema(kind)).parquet(path)
+    return commits.read(spark, path, silver_schema(kind), commits.visible(entries)).drop(commits.VERSION)
 
 
 def read_month(
     spark: SparkSession, path: str, year: int, month: int, kind: str = SINGLE_FAMILY_KIND
 ) -> DataFrame:
     """One month; only its partition is listed and read."""
-    return read_silver(spark, path, kind).filter((F.col(YEAR) == year) & (F.col(MONTH) == month))
+    chosen = (F.col(YEAR) == year) & (F.col(MONTH) == month)
+    entries = commits.load(spark, path)
+    if entries is None:
+        return read_silver(spark, path, kind).filter(chosen)
+    own = [e for e in commits.visible(entries) if e.of == (year, month)]
+    return commits.read(spark, path, silver_schema(kind), own).drop(commits.VERSION).filter(chosen)
+
+
+def read_held_apart(spark: SparkSession, path: str, kind: str = SINGLE_FAMILY_KIND) -> DataFrame:
+    """Rows that other snapshots have for months with a snapshot of their own, and rows that came late.
+
+    ``source_year`` and ``source_month`` name the snapshot they came with.
+    """
+    entries = commits.held_apart(commits.load(spark, path) or [])
+    rows = commits.read(spark, path, silver_schema(kind), entries)
+    part = lambda k: F.regexp_extract(commits.VERSION, r"-from-(\d+)-(\d+)$", k).cast("int")
+    return rows.withColumns({"source_year": part(1), "source_month": part(2)}).drop(commits.VERSION)
 
 
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
@@ -70,11 +94,11 @@ def sample_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def partition_months(spark: SparkSession, path: str, year_key: str = YEAR, month_key: str = MONTH) -> DataFrame:
-    """Distinct ``year, month`` of a partitioned table, read off its folder names.
+    """Distinct ``year, month`` of a partitioned table, read off the folders that its files lie in.
 
     Only the listing is used; an absent table has no months.
     """
-    folder = rf"/{year_key}=(\d+)/{month_key}=(\d+)/"
+    folder = rf"/{year_key}=(\d+)/{month_key}=(\d+)/[^/]+$"
     try:
         files = list_files(spark, path, "*.parquet")
     except AnalysisException as error:
@@ -89,8 +113,13 @@ def partition_months(spark: SparkSession, path: str, year_key: str = YEAR, month
 
 
 def existing_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Months of the silver table."""
-    return partition_months(spark, path).select(F.col("year").alias(YEAR), F.col("month").alias(MONTH))
+    """Months of the silver table that have rows."""
+    entries = commits.load(spark, path)
+    if entries is None:
+        months = partition_months(spark, path)
+    else:
+        months = spark.createDataFrame(sorted({e.of for e in commits.visible(entries)}), "year int, month int")
+    return months.select(F.col("year").alias(YEAR), F.col("month").alias(MONTH))
 
 
 # --- bronze -----------------------------------------------------------------------------
@@ -145,6 +174,28 @@ def bronze_months(spark: SparkSession, path: str) -> DataFrame:
     return folders.unionByName(named).dropna().distinct()
 
 
+def bronze_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """``year, month, checksum`` of a bronze folder, from its listing: names, sizes and times of a month's files."""
+    schema = "year int, month int, checksum string"
+    try:
+        files = list_files(spark, path, "*.parquet")
+    except AnalysisException as error:
+        if not commits.missing(error):
+            raise
+        return spark.createDataFrame([], schema)
+    folder = [
+        F.nullif(F.regexp_extract("path", r"/snapshot_year=(\d+)/snapshot_month=(\d+)/", k), F.lit("")).cast("int")
+        for k in (1, 2)
+    ]
+    period = bronze_period(F.col("path"))
+    year, month = F.coalesce(folder[0], period["year"]), F.coalesce(folder[1], period["month"])
+    mark = F.xxhash64(F.substring_index("path", "/", -1), "length", "modificationTime")
+    marked = files.select(year.alias("year"), month.alias("month"), mark.alias("mark")).dropna()
+    # Order does not matter, and a month of any number of files is two numbers per task.
+    text = F.format_string("%d:%016x", F.count("*"), F.bit_xor("mark"))
+    return marked.groupBy("year", "month").agg(text.alias("checksum"))
+
+
 # --- raw sheets -------------------------------------------------------------------------
 
 

@@ -50,10 +50,14 @@ def stored_problems(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("PR", "BAYAMON"), ("QQ", "NOWHERE")], f"`{STATE}` string, `{COUNTY}` string")
 
 
-def raw_sheets(spark: SparkSession, sf_dir: str, years: Column | int = 19) -> DataFrame:
-    """Single family sheets as exported: text columns, untidy headers, place of every row."""
+def raw_sheets(spark: SparkSession, sf_dir: str, years: Column | int = 19, *, stray: Column | None = None) -> DataFrame:
+    """Single family sheets as exported: text columns, untidy headers, place of every row.
+
+    Rows with ``stray`` (a condition on the orders) name the month after that of their file.
+    """
     key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), _later(F.col("o_orderdate"), years)
-    year = F.year(date).cast("string")
+    named = date if stray is None else F.when(stray, F.add_months(date, 1)).otherwise(date)
+    year = F.year(named).cast("string")
     sheet = F.col("o_orderstatus")
     return read_table(spark, sf_dir, "orders").select(
         F.when(sheet == "O", "Data Purchase").when(sheet == "F", "Data Refinance").otherwise("Notes").alias("sheet_name"),
@@ -83,7 +87,7 @@ def raw_sheets(spark: SparkSession, sf_dir: str, years: Column | int = 19) -> Da
         F.floor("o_totalprice").cast("string").alias("Original Mortgage Amount"),
         F.when(key % 2 == 0, year).alias("Endorsement_Year"),
         F.when(key % 2 == 1, year).alias("Endorsment Year"),
-        F.month(date).cast("string").alias("Endorsement_Month"),
+        F.month(named).cast("string").alias("Endorsement_Month"),
         F.lit("x").alias("Unnamed: 7"),
     )
 

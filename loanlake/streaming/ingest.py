@@ -24,17 +24,21 @@ def ingest_new_months(
     silver_path: str,
     checkpoint_path: str,
     kind: str = SINGLE_FAMILY_KIND,
+    *,
+    corrections: bool = False,
     **export,
 ) -> StreamingQuery:
     """Clean and store every bronze file once, then stop.
 
     All waiting files form one batch, so the files of a month are stored together.
     The stream's checkpoint remembers which files were taken.  A batch that is
-    replayed after a failure writes the months again that were not complete.
+    replayed after a failure writes the months again that were not complete.  Files that
+    come for a month stored already are late: their rows are kept apart, or, with
+    ``corrections``, replace the month.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_months(batch.sparkSession, batch, silver_path, kind, **export)
+        append_months(batch.sparkSession, batch, silver_path, kind, corrections=corrections, **export)
 
     return (
         bronze_stream(spark, bronze_path, kind)

@@ -196,21 +196,107 @@ def test_a_half_written_month_is_written_again(spark, folders, monkeypatch):
         write_raw(spark, folders["raw"], f"fha_sf_snapshot_2024{m:02d}01.parquet", 2024, m)
     write = imp.write_months
 
-    def breaks_off(df, path, year_key, month_key):
+    def breaks_off(df, path, *keys):
         if path == folders["silver"]:
-            write(df.filter("Month = 1").limit(2), path, year_key, month_key)
+            write(df.filter("Month = 1").limit(2), path, *keys)
             raise OSError("no space left")
-        write(df, path, year_key, month_key)
+        write(df, path, *keys)
 
     monkeypatch.setattr(imp, "write_months", breaks_off)
     with pytest.raises(OSError):
         imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
     monkeypatch.setattr(imp, "write_months", write)
     assert imp.stored_months(spark, folders["silver"]).count() == 0
+    assert silver(spark, folders).count() == 0  # nobody sees half a month
     assert imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"]) == [(2024, 1), (2024, 2)]
     assert silver(spark, folders).count() == 12
 
 
+def add_rows(spark, folders, name, months):
+    """A raw file with one row for each ``(year, month)``."""
+    rows = [("Data", 0, r, "CA", "Orange County", f"Lender {r}", "12", "Sponsor", "7", "Purchase", str(y), str(m), "1000") for r, (y, m) in enumerate(months)]
+    spark.createDataFrame(rows, COLUMNS).toPandas().to_parquet(os.path.join(folders["raw"], name), index=False)
+
+
+def months_of(df):
+    return rows_of(df.groupBy(s.YEAR, s.MONTH).count().orderBy(s.YEAR, s.MONTH))
+
+
+def test_a_stray_row_does_not_close_its_month(spark, folders):
+    """A month is what its own file brings; until that comes, what others have of it."""
+
+    def run(**options):
+        return imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"], **options)
+
+    add_rows(spark, folders, "fha_sf_snapshot_20240101.parquet", [(2024, 1)] * 6 + [(2024, 2), (2023, 12)])
+    assert run() == [(2024, 1)]
+    assert months_of(silver(spark, folders)) == [(2023, 12, 1), (2024, 1, 6), (2024, 2, 1)]
+    assert imp.late_rows(spark, folders["silver"]).count() == 0
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240201.parquet", 2024, 2)
+    assert run() == [(2024, 2)] and run() == []
+    assert months_of(silver(spark, folders)) == [(2023, 12, 1), (2024, 1, 6), (2024, 2, 6)]
+    assert rows_of(imp.late_rows(spark, folders["silver"])) == [(2024, 2, 1)]
+    apart = snapshots.read_held_apart(spark, folders["silver"])
+    assert rows_of(apart.select(s.ORIG, s.YEAR, s.MONTH, "source_year", "source_month")) == [("Lender 6", 2024, 2, 2024, 1)]
+    assert snapshots.read_month(spark, folders["silver"], 2024, 2).count() == 6
+    versions = imp.month_versions(spark, folders["silver"]).filter("year = 2024 AND month = 2").orderBy("number")
+    assert rows_of(versions.select("part", "rows", "visible")) == [("stray", 1, False), ("own", 6, True)]
+    assert imp.drop_replaced(spark, folders["silver"]) == []
+
+
+def test_corrected_files_replace_their_month(spark, folders):
+    """Only where that is asked for; stray rows of the replaced version go with it."""
+
+    def run(**options):
+        imp.convert_snapshots(spark, folders["raw"], folders["bronze"], overwrite=True)
+        return imp.update_silver(spark, folders["bronze"], folders["silver"], **options)
+
+    add_rows(spark, folders, "fha_sf_snapshot_20240101.parquet", [(2024, 1)] * 3 + [(2024, 2)])
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240301.parquet", 2024, 3)
+    assert run() == [(2024, 1), (2024, 3)]
+    before = silver(spark, folders)
+    assert imp.update_silver(spark, folders["bronze"], folders["silver"], corrections=True) == []  # the same files
+    add_rows(spark, folders, "fha_sf_snapshot_20240101.parquet", [(2024, 1)] * 5)
+    assert run() == [] and months_of(silver(spark, folders)) == [(2024, 1, 3), (2024, 2, 1), (2024, 3, 6)]
+    assert run(corrections=True) == [(2024, 1), (2024, 3)]
+    assert months_of(silver(spark, folders)) == [(2024, 1, 5), (2024, 3, 6)]
+    assert months_of(before) == [(2024, 1, 3), (2024, 2, 1), (2024, 3, 6)]  # a reader keeps the version it began with
+    assert len(imp.drop_replaced(spark, folders["silver"])) == 3
+    assert months_of(silver(spark, folders)) == [(2024, 1, 5), (2024, 3, 6)]
+
+
+def test_tables_from_before_the_log(spark, folders):
+    """Months that lie in the folder stay; half-written ones, by the earlier log, are written again."""
+    row = spark.range(2).select(F.lit("old").alias(s.ORIG), *[F.lit(v).cast("smallint").alias(c) for c, v in ((s.YEAR, 2024), (s.MONTH, 1))])
+    imp.write_months(row, folders["silver"], s.YEAR, s.MONTH)
+    imp.write_months(row.withColumn(s.MONTH, F.lit(2).cast("smallint")), folders["silver"], s.YEAR, s.MONTH)
+    spark.createDataFrame([(2024, 1)], "Year int, Month int").write.json(f"{folders['silver']}/_complete")
+    assert silver(spark, folders).count() == 4
+    for m in (1, 2, 3):
+        write_raw(spark, folders["raw"], f"fha_sf_snapshot_2024{m:02d}01.parquet", 2024, m)
+    add_rows(spark, folders, "fha_sf_snapshot_20240401.parquet", [(2024, 1), (2024, 4)])
+    assert imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"]) == [(2024, 2), (2024, 3), (2024, 4)]
+    assert months_of(silver(spark, folders)) == [(2024, 1, 2), (2024, 2, 6), (2024, 3, 6), (2024, 4, 1)]
+    assert rows_of(imp.late_rows(spark, folders["silver"])) == [(2024, 1, 1)]
+    assert rows_of(snapshots.existing_partitions(spark, folders["silver"]).orderBy(s.MONTH)) == [(2024, m) for m in (1, 2, 3, 4)]
+
+
+def test_stream_keeps_late_files_apart_or_lets_them_correct(spark, folders, tmp_path):
+    def ingest(**options):
+        ingest_new_months(spark, folders["bronze"], folders["silver"], str(tmp_path / "state"), **options).awaitTermination()
+
+    write_raw(spark, folders["raw"], "fha_sf_snapshot_20240101.parquet", 2024, 1)
+    imp.convert_snapshots(spark, folders["raw"], folders["bronze"])
+    ingest()
+    for n, options in ((3, {}), (2, {"corrections": True})):
+        write_raw(spark, folders["raw"], "fha_sf_snapshot_20240101.parquet", 2024, 1, n=n, sheets=("Data",))
+        imp.convert_snapshots(spark, folders["raw"], folders["bronze"], overwrite=True)
+        ingest(**options)
+        assert months_of(silver(spark, folders)) == [(2024, 1, 6 if n == 3 else 1)]
+        assert rows_of(imp.late_rows(spark, folders["silver"])) == [(2024, 1, 2)]
+    assert snapshots.read_held_apart(spark, folders["silver"]).count() == 2
+
+
 def test_late_rows_are_counted(spark, folders):
     write_raw(spark, folders["raw"], "fha_sf_snapshot_20240101.parquet", 2024, 1)
     imp.run_import(spark, folders["raw"], folders["bronze"], folders["silver"])
