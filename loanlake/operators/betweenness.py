@@ -1,132 +1,344 @@
-"""Betweenness centrality on weighted shortest paths, by joins and sums.
+"""Betweenness centrality on weighted shortest paths, in blocks of nodes and sources.
 
-All shortest paths from a batch of sources are grown together, one row per (source, node) and
-one join with the edge list per hop; path counts and dependencies then flow forwards and
-backwards over the edges on shortest paths.  No task sees the whole graph, and the table of
-every hop is stored, so lineage stays short.  Batches keep the number of (source, node) rows per
-core bounded.
+Nodes are dealt into parts of bounded size and sources into blocks; a cell is what one part knows
+about one block, a vector over the block's sources for every node.  Three phases run over the cells:
+shortest distances, numbers of shortest paths, and the dependencies that flow back along them.  In
+each phase a cell works on the edges inside its part until nothing changes and then sends, for the
+ends of its edges in other parts, one vector per node; only cells that get something run again.
+Distances are improved by minima, paths and dependencies by sums of increments, so every round only
+adds rows to what is stored and no state is written twice.
+
+No task holds more than a part's edges to another part and its vectors over one block.  A network of
+one part needs a single round per phase; a larger one as many as its paths change parts.
 """
 
 import math
+from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.checkpoints import cut_lineage, drop
 
+PART_NODES, BLOCK_SOURCES = 4096, 128
 STATE_ROWS_PER_CORE = 20_000_000
+#: Values that a step over edges holds at once.
+STEP_VALUES = 2_000_000
+BLOCKS_PER_PART = 1000
+EDGES, DISTANCES, PATHS, ARRIVALS, TOTALS = range(5)
+ROW = "p int, b int, kind int, node int, origin int, one binary, two binary, total double"
+_NAMES = [c.split()[0] for c in ROW.split(", ")]
+_ARROW = [pa.int32()] * 5 + [pa.binary()] * 2 + [pa.float64()]
 
 
-def _shortest(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
-    """``source, node, dist`` of every reachable pair."""
-    known = before_known = sources.select(
-        F.col("node").alias("source"), "node", F.lit(0.0).alias("dist"), F.lit(True).alias("fresh")
-    )
-    while True:
-        steps = (
-            known.filter("fresh")
-            .join(adjacent, "node")
-            .groupBy("source", F.col("neighbour").alias("node"))
-            .agg(F.min(F.col("dist") + F.col("weight")).alias("reach"))
-        )
-        # A distance that cannot improve is dropped before anything is written.
-        met = known.select("source", "node", "dist").join(steps, ["source", "node"], "full")
-        known = cut_lineage(
-            met.select(
-                "source",
-                "node",
-                F.least("dist", "reach").alias("dist"),
-                (F.col("dist").isNull() | (F.col("reach") < F.col("dist"))).alias("fresh"),
-            ).withColumn("fresh", F.coalesce("fresh", F.lit(False)))
-        )
-        drop(before_known)
-        before_known = known
-        if known.filter("fresh").isEmpty():
-            return known.drop("fresh")
+class _Edges:
+    """Edges from a part's nodes ``i`` to the nodes ``j`` of one part, in steps of bounded size."""
 
+    def __init__(self, i: np.ndarray, j: np.ndarray, w: np.ndarray):
+        self.i, self.j, self.w = i, j, w
 
-def _flow(start: DataFrame, hops: DataFrame, out: str) -> DataFrame:
-    """Push ``amount`` along ``hops(source, a, b, share)`` until it runs out; total per node.
+    def steps(self, chosen: np.ndarray, by: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """``i, j, w, starts`` of the chosen edges, ordered by one of their ends; a start for every run of that end."""
+        rows = np.flatnonzero(chosen)
+        rows = rows[np.argsort(by[rows], kind="stable")]
+        size = max(1, STEP_VALUES // max(width, 1))
+        for k in range(0, len(rows), size):
+            part = rows[k : k + size]
+            ends = by[part]
+            starts = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))
+            yield self.i[part], self.j[part], self.w[part, None], starts
 
-    ``hops`` form no cycle, so there are at most as many rounds as hops on the longest
-    shortest path.
-    """
-    wave, total = start, start
+
+def _on_path(near: np.ndarray, w: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Where an edge is the last one of a shortest path to its far end."""
+    return (near + w == far) & (near < far)
+
+
+class _Shape(NamedTuple):
+    """Nodes of every part, and sources of a block."""
+
+    sizes: dict[int, int]
+    block: int
+
+    def place(self, p: int, i: int) -> tuple[int, int, int]:
+        """Block of a source, its place there and the number of sources in the block."""
+        first = i // self.block * self.block
+        return p * BLOCKS_PER_PART + i // self.block, i - first, min(self.block, self.sizes[p] - first)
+
+
+class _Cell:
+    """What a part knows about a block of sources."""
+
+    def __init__(self, p: int, b: int, shape: _Shape):
+        self.p, self.b, self.sizes = p, b, shape.sizes
+        self.home, first = b // BLOCKS_PER_PART, b % BLOCKS_PER_PART * shape.block
+        self.width = min(shape.block, self.sizes[self.home] - first)
+        self.sources = np.arange(first, first + self.width)
+        self.edges: dict[int, _Edges] = {}
+        self.dist = np.full((self.sizes[p], self.width), np.inf)
+        self.paths = np.zeros((self.sizes[p], self.width))
+        self.arrived: list[tuple[int, int, np.ndarray, np.ndarray | None]] = []
+        self.out: list[tuple] = []
+
+    def take(self, row: dict) -> None:
+        kind, node = row["kind"], row["node"]
+        if kind == EDGES:
+            self.edges[node] = _Edges(*row["edges"])
+            return
+        one = None if row["one"] is None else np.frombuffer(row["one"])
+        if kind == DISTANCES:
+            np.minimum(self.dist[node], one, out=self.dist[node])
+        elif kind == PATHS:
+            self.paths[node] += one
+        else:
+            two = None if row["two"] is None else np.frombuffer(row["two"])
+            self.arrived.append((row["origin"], node, one, two))
+
+    def say(self, p: int, kind: int, node: int, one=None, two=None, total=None) -> None:
+        raw = [None if x is None else np.ascontiguousarray(x, np.float64).tobytes() for x in (one, two)]
+        self.out.append((p, self.b, kind, int(node), self.p, *raw, total))
+
+    @property
+    def inside(self) -> _Edges:
+        none = np.zeros(0, np.int32)
+        return self.edges.get(self.p, _Edges(none, none, np.zeros(0)))
+
+    def others(self):
+        return ((q, e) for q, e in self.edges.items() if q != self.p)
+
+    def distances(self) -> None:
+        changed = np.zeros(len(self.dist), bool)
+        for _, node, one, _ in self.arrived:
+            if (one < self.dist[node]).any():
+                np.minimum(self.dist[node], one, out=self.dist[node])
+                changed[node] = True
+        improved = changed.copy()
+        while changed.any():
+            after = np.zeros_like(changed)
+            edges = self.inside
+            for i, j, w, starts in edges.steps(changed[edges.i], edges.j, self.width):
+                ends = j[starts]
+                reach = np.minimum.reduceat(self.dist[i] + w, starts)
+                better = (reach < self.dist[ends]).any(1)
+                self.dist[ends[better]] = np.minimum(self.dist[ends[better]], reach[better])
+                after[ends[better]] = True
+            changed = after
+            improved |= changed
+        for node in np.flatnonzero(improved):
+            self.say(self.p, DISTANCES, node, self.dist[node])
+        for q, edges in self.others():
+            for i, j, w, starts in edges.steps(improved[edges.i], edges.j, self.width):
+                for node, reach in zip(j[starts], np.minimum.reduceat(self.dist[i] + w, starts), strict=True):
+                    self.say(q, ARRIVALS, node, reach)
+
+    def counts(self) -> None:
+        fresh, pushed = np.zeros_like(self.dist), np.zeros_like(self.dist)
+        for _, node, reach, amount in self.arrived:
+            fresh[node] += np.where(reach == self.dist[node], amount, 0.0)
+        edges = self.inside
+        while (moving := fresh.any(1)).any():
+            pushed += fresh
+            after = np.zeros_like(fresh)
+            for i, j, w, starts in edges.steps(moving[edges.i], edges.j, self.width):
+                flow = np.where(_on_path(self.dist[i], w, self.dist[j]), fresh[i], 0.0)
+                after[j[starts]] += np.add.reduceat(flow, starts)
+            fresh = after
+        sent = pushed.any(1)
+        for node in np.flatnonzero(sent):
+            self.say(self.p, PATHS, node, pushed[node])
+        for q, edges in self.others():
+            for i, j, w, starts in edges.steps(sent[edges.i], edges.j, self.width):
+                reach = self.dist[i] + w
+                least = np.minimum.reduceat(reach, starts)
+                lengths = np.diff([*starts, len(i)])
+                flow = np.where(reach == np.repeat(least, lengths, 0), pushed[i], 0.0)
+                for node, one, two in zip(j[starts], least, np.add.reduceat(flow, starts), strict=True):
+                    if two.any():
+                        self.say(q, ARRIVALS, node, one, two)
+
+    def dependencies(self) -> None:
+        fresh, gathered = np.zeros_like(self.dist), np.zeros_like(self.dist)
+        by_origin: dict[int, list] = {}
+        started = False
+        for origin, node, one, two in self.arrived:
+            if node < 0:
+                started = True
+            else:
+                by_origin.setdefault(origin, []).append((node, one, two))
+        if started:
+            fresh[np.isfinite(self.dist)] = 1.0
+            if self.p == self.home:
+                fresh[self.sources, np.arange(self.width)] = 0.0
+        ones = fresh.copy()
+        for origin, rows in by_origin.items():
+            place = np.full(self.sizes[origin], -1)
+            nodes = np.array([r[0] for r in rows])
+            place[nodes] = np.arange(len(nodes))
+            far, share = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+            edges = self.edges[origin]
+            for i, j, w, starts in edges.steps(place[edges.j] >= 0, edges.i, self.width):
+                at = place[j]
+                flow = np.where(_on_path(self.dist[i], w, far[at]), share[at], 0.0)
+                ends = i[starts]
+                fresh[ends] += self.paths[ends] * np.add.reduceat(flow, starts)
+        edges = self.inside
+        per_path = np.divide(1.0, self.paths, out=np.zeros_like(self.paths), where=self.paths > 0)
+        while (moving := fresh.any(1)).any():
+            gathered += fresh
+            share, after = fresh * per_path, np.zeros_like(fresh)
+            for i, j, w, starts in edges.steps(moving[edges.j], edges.i, self.width):
+                flow = np.where(_on_path(self.dist[i], w, self.dist[j]), share[j], 0.0)
+                ends = i[starts]
+                after[ends] += self.paths[ends] * np.add.reduceat(flow, starts)
+            fresh = after
+        share, sent = gathered * per_path, gathered.any(1)
+        for q, edges in self.others():
+            for node in np.unique(edges.i[sent[edges.i]]):
+                self.say(q, ARRIVALS, node, self.dist[node], share[node])
+        gathered -= ones
+        if self.p == self.home:
+            gathered[self.sources, np.arange(self.width)] = 0.0
+        for node, total in enumerate(gathered.sum(1)):
+            if total:
+                self.say(self.p, TOTALS, node, total=float(total))
+
+
+def _run(work: str, shape: _Shape):
+    """Rows sorted by cell to what the cells say; a task holds one cell at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell: _Cell | None = None
+
+        def said(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(rows), 2000):
+                columns = zip(*rows[k : k + 2000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _ARROW, strict=True)], _NAMES)
+
+        for batch in batches:
+            plain = [batch.column(c).to_pylist() for c in _NAMES]
+            lists = [batch.column(c) for c in "ijw"]
+            for k, values in enumerate(zip(*plain, strict=True)):
+                row = dict(zip(_NAMES, values, strict=True))
+                if cell is None or (cell.p, cell.b) != (row["p"], row["b"]):
+                    if cell is not None:
+                        getattr(cell, work)()
+                        yield from said(cell.out)
+                    cell = _Cell(row["p"], row["b"], shape)
+                if row["kind"] == EDGES:
+                    row["edges"] = [x[k].values.to_numpy() for x in lists]
+                cell.take(row)
+        if cell is not None:
+            getattr(cell, work)()
+            yield from said(cell.out)
+
+    return run
+
+
+def _phase(
+    work: str, shape: _Shape, edges: DataFrame, known: list[DataFrame], arrivals: DataFrame, own: bool
+) -> list[DataFrame]:
+    """Rounds until nothing arrives any more; ``own`` rows of a phase are known to its later rounds."""
+    tables: list[DataFrame] = []
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("i", "array<int>"), ("j", "array<int>"), ("w", "array<double>"))]
     while True:
-        wave = cut_lineage(
-            wave.withColumnRenamed("node", "a")
-            .join(hops, ["source", "a"])
-            .groupBy("source", F.col("b").alias("node"))
-            .agg(F.sum(F.col("amount") * F.col("share")).alias("amount"))
-        )
-        if wave.isEmpty():
-            break
-        total = total.unionByName(wave)
-    return total.groupBy("source", "node").agg(F.sum("amount").alias(out))
-
-
-def _batch(adjacent: DataFrame, sources: DataFrame) -> DataFrame:
-    """Dependencies of all nodes on the shortest paths that start in ``sources``."""
-    dist = _shortest(adjacent, sources)
-    here = dist.select("source", F.col("node").alias("a"), F.col("dist").alias("dist_a"))
-    there = dist.select("source", F.col("node").alias("b"), F.col("dist").alias("dist_b"))
-    on_path = cut_lineage(
-        here.join(adjacent.select(F.col("node").alias("a"), F.col("neighbour").alias("b"), "weight"), "a")
-        .join(there, ["source", "b"])
-        .filter(F.col("dist_a") + F.col("weight") == F.col("dist_b"))
-        .select("source", "a", "b")
-    )
-    seed = sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("amount"))
-    paths = cut_lineage(_flow(seed, on_path.withColumn("share", F.lit(1.0)), "paths"))
-    # Backwards, every node passes 1 plus its own dependency to its predecessors in
-    # proportion to their path counts.
-    back = cut_lineage(
-        on_path.join(paths.select("source", F.col("node").alias("a"), F.col("paths").alias("pa")), ["source", "a"])
-        .join(paths.select("source", F.col("node").alias("b"), F.col("paths").alias("pb")), ["source", "b"])
-        .select("source", F.col("b").alias("a"), F.col("a").alias("b"), (F.col("pa") / F.col("pb")).alias("share"))
-    )
-    ones = paths.filter(F.col("source") != F.col("node")).select("source", "node", F.lit(1.0).alias("amount"))
-    gathered = _flow(ones, back, "gathered")
-    return (
-        gathered.filter(F.col("source") != F.col("node"))
-        .groupBy("node")
-        .agg(F.sum(F.col("gathered") - 1.0).alias("dependency"))
-    )
+        cells = arrivals.select("p", "b").distinct()
+        facts = [*known, *(t.filter(F.col("kind") != ARRIVALS) for t in tables if own), arrivals]
+        rows = [t.join(cells, ["p", "b"], "left_semi").select(*_NAMES, *none) for t in facts]
+        rows.append(edges.join(cells, "p").select(*_NAMES, "i", "j", "w"))
+        met = reduce(DataFrame.unionByName, rows).repartition("p", "b").sortWithinPartitions("p", "b", "kind")
+        tables.append(cut_lineage(met.mapInArrow(_run(work, shape), ROW)))
+        arrivals = tables[-1].filter(F.col("kind") == ARRIVALS)
+        if arrivals.isEmpty():
+            return tables
 
 
-def _all_batches(adjacent: DataFrame, nodes: DataFrame, batches: int) -> DataFrame:
-    total = None
-    for batch in range(batches):
-        part = _batch(adjacent, nodes.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == batch))
-        both = part if total is None else total.unionByName(part)
-        total = cut_lineage(both.groupBy("node").agg(F.sum("dependency").alias("dependency")))
+def _of_kind(tables: list[DataFrame], kind: int) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables).filter(F.col("kind") == kind)
+
+
+def _batch(shape: _Shape, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``p, node, total``: dependencies of all nodes on the shortest paths from the sources of ``seeds``."""
+    zeros = seeds.withColumn("two", F.lit(None).cast("binary"))
+    found = _phase("distances", shape, edges, [], zeros, True)
+    # Improvements of several rounds are folded by minima when they are read.
+    known = _of_kind(found, DISTANCES)
+    counted = _phase("counts", shape, edges, [known], seeds, False)
+    begin = known.select("p", "b").distinct()
+    begin = begin.select("p", "b", F.lit(ARRIVALS).alias("kind"), F.lit(-1).alias("node"), *[
+        F.lit(None).cast(t).alias(c) for c, t in (("origin", "int"), ("one", "binary"), ("two", "binary"), ("total", "double"))
+    ])
+    back = _phase("dependencies", shape, edges, [known, _of_kind(counted, PATHS)], begin, False)
+    total = cut_lineage(_of_kind(back, TOTALS).groupBy("p", "node").agg(F.sum("total").alias("total")))
+    drop(*found, *counted, *back)
     return total
 
 
+def _seeds(batches: Iterator[pa.RecordBatch], shape: _Shape) -> Iterator[pa.RecordBatch]:
+    """The arrival of every source at itself: distance 0, one path."""
+    for batch in batches:
+        rows = []
+        for p, i in zip(batch.column("p").to_pylist(), batch.column("i").to_pylist(), strict=True):
+            b, at, width = shape.place(p, i)
+            one, two = np.full(width, np.inf), np.zeros(width)
+            one[at], two[at] = 0.0, 1.0
+            rows.append((p, b, ARRIVALS, i, p, one.tobytes(), two.tobytes(), None))
+        if rows:
+            columns = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _ARROW, strict=True)], _NAMES)
+
+
 def betweenness(
-    adjacent: DataFrame, *, normalized: bool = True, state_rows_per_core: int = STATE_ROWS_PER_CORE
+    adjacent: DataFrame,
+    *,
+    normalized: bool = True,
+    state_rows_per_core: int = STATE_ROWS_PER_CORE,
+    part_nodes: int = PART_NODES,
+    block_sources: int = BLOCK_SOURCES,
 ) -> DataFrame:
     """``node, betweenness`` of every node; weights are distances and must be positive.
 
-    Sources are handled in as many batches as keep their (source, node) rows below
-    ``state_rows_per_core`` on every core.
+    Sources are handled in as many batches as keep their (source, node) values below
+    ``state_rows_per_core`` on every core; ``part_nodes`` and ``block_sources`` are the sizes of
+    parts and blocks.
     """
     links = cut_lineage(
         adjacent.filter(F.col("node") != F.col("neighbour")).select(
-            F.col("node").alias("name"),
-            # Numbers shuffle and compare faster than names; 64 bits keep millions of them apart.
-            F.xxhash64("node").alias("node"),
-            F.xxhash64("neighbour").alias("neighbour"),
+            "node",
+            "neighbour",
             F.when(F.col("weight") > 0, F.col("weight").cast("double"))
             .otherwise(F.raise_error(F.lit("betweenness needs positive weights")))
-            .alias("weight"),
+            .alias("w"),
         )
     )
-    nodes = cut_lineage(links.select("node", "name").distinct())
-    n = nodes.count()
+    n = links.select("node").distinct().count()
+    parts = max(1, -(-n // part_nodes))
+    place = F.row_number().over(Window.partitionBy("p").orderBy("node")) - 1
+    nodes = links.select("node", F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int").alias("p")).distinct()
+    nodes = cut_lineage(nodes.withColumn("i", place))
+    # One number per part, and as many parts as nodes over the size of a part.
+    sizes = {r["p"]: r["n"] for r in nodes.groupBy("p").agg(F.count("*").alias("n")).collect()}
+    shape = _Shape(sizes, block_sources)
+    far = nodes.select(F.col("node").alias("neighbour"), F.col("p").alias("q"), F.col("i").alias("j"))
+    packed = links.join(nodes, "node").join(far, "neighbour").groupBy("p", "q").agg(
+        F.collect_list(F.struct("i", "j", "w")).alias("e")
+    )
+    edges = cut_lineage(packed.select(
+        "p", F.lit(EDGES).alias("kind"), F.col("q").alias("node"), F.lit(None).cast("int").alias("origin"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("one", "binary"), ("two", "binary"), ("total", "double"))],
+        *[F.col(f"e.{c}").alias(c) for c in "ijw"],
+    ))
     room = state_rows_per_core * adjacent.sparkSession.sparkContext.defaultParallelism
-    total = _all_batches(links.drop("name"), nodes.select("node"), max(1, math.ceil(n * n / room)))
+    batches = max(1, math.ceil(n * n / room))
+    seeds = nodes.select("p", "i").mapInArrow(lambda rows: _seeds(rows, shape), ROW)
+    totals = []
+    for batch in range(batches):
+        totals.append(_batch(shape, edges, seeds.filter(F.pmod(F.xxhash64("b"), F.lit(batches)) == batch)))
+    total = reduce(DataFrame.unionByName, totals).groupBy("p", F.col("node").alias("i")).agg(F.sum("total").alias("total"))
     # Every unordered pair is seen from both ends.
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
-    score = F.coalesce(F.col("dependency"), F.lit(0.0)) * scale
-    return nodes.join(total, "node", "left").select(F.col("name").alias("node"), score.alias("betweenness"))
+    score = F.coalesce(F.col("total"), F.lit(0.0)) * scale
+    return nodes.join(total, ["p", "i"], "left").select("node", score.alias("betweenness"))

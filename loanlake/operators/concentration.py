@@ -100,58 +100,60 @@ def lender_hhi(
     return cells.orderBy(*[F.asc_nulls_first(c) for c in cell])
 
 
-def hhi_cells(df: DataFrame, lender_types=LENDER_TYPES) -> DataFrame:
-    """Every time x geography x lender-type cell, missing values dropped.
+def month_counts(df: DataFrame, lender_types=LENDER_TYPES) -> DataFrame:
+    """Loans per ``year, quarter, month, state, county, lender_type, lender_id``: what all cells are made of.
 
-    A cascade: loans are counted once per month, county and lender, and every coarser count
-    is a sum of the next finer one.  The counts per month are stored, one table for each
-    geography, so that neither loans nor counts are read again for every cell shape.
+    Counts of different months share no row, so a stored table of them grows by the counts of new
+    months and :func:`cells_of` need not read loans again.  Missing lenders are left out; blank
+    text and null both mean missing.
     """
     for t in lender_types:
         _check(t, LENDER_TYPES, "lender_type")
     dims = _dimensions()
-    who = ["lender_type", "lender_id"]
     lender = F.explode(
         F.array(*[F.struct(F.lit(t).alias("t"), lender_id(df, t).cast("string").alias("i")) for t in lender_types])
     )
-    # Blank text and null both mean missing.
     loans = df.select(
-        dims["year"].alias("year"), dims["month"].alias("month"),
-        *[blank_as_null(dims[c].cast("string")).alias(c) for c in ("state", "county")], lender.alias("lender"),
-    )
+        *[dims[c].alias(c) for c in ("year", "quarter", "month")],
+        *[blank_as_null(dims[c].cast("string")).alias(c) for c in ("state", "county")],
+        lender.alias("lender"),
+    )
     loans = loans.withColumns({"lender_type": F.col("lender.t"), "lender_id": blank_as_null(F.col("lender.i"))})
-    finest = loans.filter(F.col("lender_id").isNotNull()).groupBy("year", "month", "state", "county", *who)
-    counts = finest.agg(F.count("*").alias("n"))
-    out = None
-    for place, keep in (("county", ["state", "county"]), ("state", ["state"]), ("all", [])):
-        if place != "county":
-            counts = counts.groupBy("year", "month", *keep, *who).agg(F.sum("n").alias("n"))
-        counts = cut_lineage(counts)
-        for time, level in _coarser_times(counts, keep, who):
-            names = [*TIME_LEVELS[time], *keep]
-            cells = level.filter(not_missing(level, names)).groupBy(*names, "lender_type").agg(*_concentration())
-            if not names:  # an empty table has no cell, not one empty cell
-                cells = cells.filter(F.col("total_loans").isNotNull())
-            missing = {c: F.lit(None).cast(t) for c, t in _cell_types(dims, df).items() if c not in names}
-            cells = cells.withColumns({"time_level": F.lit(time), "geography_level": F.lit(place), **missing})
-            out = cells if out is None else out.unionByName(cells)
-    return out.select("time_level", "geography_level", "lender_type", *dims, *(c for c in out.columns if c in _MEASURES))
+    keys = ["year", "quarter", "month", "state", "county", "lender_type", "lender_id"]
+    return loans.filter(F.col("lender_id").isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-_MEASURES = ("hhi_normalized", "total_loans", "num_lenders", "hhi")
+def cells_of(counts: DataFrame) -> DataFrame:
+    """Every time x geography x lender-type cell of :func:`month_counts`, missing values dropped.
 
+    One expansion of the counts to all cell shapes, one exchange by cell and lender for the sums, and
+    one by cell for the index; a cell with a third of the loans is a partial sum per task.
+    """
+    shapes = [(t, g) for t in TIME_LEVELS for g in GEOGRAPHY_LEVELS]
+    names = list(_dimensions())
 
-def _cell_types(dims: dict[str, Column], df: DataFrame) -> dict[str, str]:
-    types = dict(df.select(*[c.alias(n) for n, c in dims.items()]).dtypes)
-    return types | {"state": "string", "county": "string"}
+    def shape(time: str, place: str) -> Column:
+        used = (*TIME_LEVELS[time], *GEOGRAPHY_LEVELS[place])
+        kept = [F.col(c).alias(c) if c in used else F.lit(None).cast(dict(counts.dtypes)[c]).alias(c) for c in names]
+        cell = F.struct(F.lit(time).alias("time_level"), F.lit(place).alias("geography_level"), *kept)
+        return F.when(not_missing(counts, used), cell)
 
+    spread = counts.select("lender_type", "lender_id", "n", F.explode(F.array(*[shape(*s) for s in shapes])).alias("cell"))
+    cell = ["cell.time_level", "cell.geography_level", *(f"cell.{c}" for c in names)]
+    lenders = spread.filter(F.col("cell").isNotNull()).select(*cell, "lender_type", "lender_id", "n")
+    keys = ["time_level", "geography_level", *names, "lender_type"]
+    lenders = lenders.groupBy(*keys, "lender_id").agg(F.sum("n").alias("n"))
+    cells = lenders.groupBy(*keys).agg(*_concentration())
+    return cells.select("time_level", "geography_level", "lender_type", *names, *_MEASURES)
 
-def _coarser_times(months: DataFrame, keep: list[str], who: list[str]):
-    """Counts by month, quarter, year and over all time, each summed from the one before."""
-    yield "month", months
-    counts = months.withColumn("quarter", quarter("month"))
-    for time in ("quarter", "year", "all"):
-        counts = counts.groupBy(*TIME_LEVELS[time], *keep, *who).agg(F.sum("n").alias("n"))
-        yield time, counts
 
+def hhi_cells(df: DataFrame, lender_types=LENDER_TYPES) -> DataFrame:
+    """Every time x geography x lender-type cell, missing values dropped.
+
+    Loans are counted once per month, county and lender; the counts are stored, and all cells are
+    made from them.
+    """
+    return cells_of(cut_lineage(month_counts(df, lender_types)))
 
+
+_MEASURES = ("hhi_normalized", "total_loans", "num_lenders", "hhi")

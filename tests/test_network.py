@@ -134,6 +134,14 @@ def test_betweenness(spark, seed, p, per_core):
     assert got == pytest.approx(all_paths_betweenness(links))
 
 
+def test_betweenness_over_several_parts(spark):
+    """Paths that change parts many times, and blocks that do not divide the sources."""
+    links = random_links(3, 8, 7, p=0.3)
+    adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
+    got = dict(rows_of(betweenness(adjacent, part_nodes=6, block_sources=4)))
+    assert got == pytest.approx(all_paths_betweenness(links))
+
+
 def test_betweenness_needs_positive_weights(spark):
     with pytest.raises(Exception, match="positive weights"):
         betweenness(network.adjacency(edge_frame(spark, [("a", "b", 0.0)]))).collect()

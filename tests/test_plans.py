@@ -111,20 +111,34 @@ def test_a_hot_institution_is_exact(spark):
     assert segment["total_records"] == n // 3
 
 
-def test_counts_cascade(silver):
-    """Loans enter the finest aggregate once per lender type, and no cell shape expands them."""
+def test_counts_are_expanded_not_loans(silver):
+    """Loans are counted once and stored; the cell shapes are made from the counts by two exchanges."""
     text = plan(concentration.hhi_cells(silver))
-    assert "Expand" not in text and "Generate" not in text
+    assert "n#" in text and s.AMOUNT not in text and s.SPONSOR not in text
+    assert text.count("Exchange hashpartitioning") == 2
 
 
-def test_no_copies_of_the_network(spark):
-    """Betweenness joins the edges; it never repeats them per task."""
-    import inspect
-
+def test_a_task_sees_a_part_of_the_network(spark):
+    """Betweenness deals nodes into parts and sources into blocks; no task meets the edges of all parts at once."""
     from loanlake.operators import betweenness
 
-    source = inspect.getsource(betweenness)
-    assert "explode" not in source and "applyInPandas" not in source
+    links = [(f"n{k}", f"n{k + 1}", 1.0) for k in range(40)]
+    both = [*links, *((b, a, w) for a, b, w in links)]
+    adjacent = spark.createDataFrame(both, "node string, neighbour string, weight double")
+    seen, run = [], betweenness.cut_lineage
+
+    def kept(df):
+        seen.append(run(df))
+        return seen[-1]
+
+    betweenness.cut_lineage = kept
+    try:
+        betweenness.betweenness(adjacent, part_nodes=10, block_sources=4)
+    finally:
+        betweenness.cut_lineage = run
+    edges = next(t for t in seen if "w" in t.columns and "p" in t.columns)
+    assert edges.select("p").distinct().count() == 5
+    assert edges.selectExpr("max(size(w))").first()[0] <= 20
 
 
 def test_no_query_is_without_sql():
