@@ -238,6 +238,15 @@ def _run(work: str, shape: _Shape):
     return run
 
 
+def _rows(tables: list[DataFrame]) -> DataFrame:
+    """Stored tables as one scan."""
+    return tables[0].sparkSession.read.schema(ROW).parquet(*(t._stored_at for t in tables))
+
+
+def _of_kind(tables: list[DataFrame], kind: int) -> DataFrame:
+    return _rows(tables).filter(F.col("kind") == kind)
+
+
 def _phase(
     work: str, shape: _Shape, edges: DataFrame, known: list[DataFrame], arrivals: DataFrame, own: bool
 ) -> list[DataFrame]:
@@ -245,21 +254,19 @@ def _phase(
     tables: list[DataFrame] = []
     none = [F.lit(None).cast(t).alias(c) for c, t in (("i", "array<int>"), ("j", "array<int>"), ("w", "array<double>"))]
     while True:
-        cells = arrivals.select("p", "b").distinct()
-        facts = [*known, *(t.filter(F.col("kind") != ARRIVALS) for t in tables if own), arrivals]
+        # A row for every cell that runs: few, and without the lineage of what arrives.
+        cells = cut_lineage(arrivals.select("p", "b").distinct())
+        facts = [*known, *([_rows(tables).filter(F.col("kind") != ARRIVALS)] if own and tables else []), arrivals]
         rows = [t.join(cells, ["p", "b"], "left_semi").select(*_NAMES, *none) for t in facts]
         rows.append(edges.join(cells, "p").select(*_NAMES, "i", "j", "w"))
         met = reduce(DataFrame.unionByName, rows).repartition("p", "b").sortWithinPartitions("p", "b", "kind")
         tables.append(cut_lineage(met.mapInArrow(_run(work, shape), ROW)))
+        drop(cells)
         arrivals = tables[-1].filter(F.col("kind") == ARRIVALS)
         if arrivals.isEmpty():
             return tables
 
 
-def _of_kind(tables: list[DataFrame], kind: int) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables).filter(F.col("kind") == kind)
-
-
 def _batch(shape: _Shape, edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """``p, node, total``: dependencies of all nodes on the shortest paths from the sources of ``seeds``."""
     zeros = seeds.withColumn("two", F.lit(None).cast("binary"))
