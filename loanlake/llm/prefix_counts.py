@@ -163,9 +163,10 @@ class PrefixCounter:
             if piece in ("'re", "'ve", "'ll"):
                 counts[start + 2] = counts[start] + sum(self.piece_counts(p.encode())[-1] for p in self.pieces(piece[:2]))
             start += len(piece)
+        # A cut within leading white space leaves one piece, a prefix of the whole run.
         lead = _LEAD.match(text).end()
-        for cut in range(2, lead + 1):
-            counts[cut] = self.piece_counts(text[:cut].encode())[-1]
+        if lead > 1:
+            counts[2 : lead + 1] = self.character_counts(text[:lead])[2:]
         return counts
 
     def unit(self, text: str) -> tuple[int, bytes]:

@@ -1,6 +1,7 @@
 """Prefix counts and pieces against the libraries."""
 
 import hashlib
+import time
 
 import public_tokenizers
 import pytest
@@ -41,6 +42,20 @@ def test_every_prefix_has_the_count_of_the_library(tokenizer, text):
     assert counts.tolist() == expected and total == expected[-1]
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", " \n", "\r\n", "\u00a0", "\u3000 "])
+def test_long_white_space_is_read_once(tokenizer, run):
+    """The time is linear in the run; counts are the library's at every cut looked at."""
+    counter = prefixes.load(VOCABULARY)
+    text = (run * 50_000)[:50_000] + "word"
+    started = time.perf_counter()
+    total, steps = counter.count(text)
+    assert time.perf_counter() - started < 5
+    counts = prefixes.counts_at(steps)
+    for cut in (1, 2, 3, 7, 100, 4097, 49_999, 50_000, 50_001, len(text)):
+        assert counts[cut] == len(tokenizer.encode(text[:cut], add_special_tokens=False).ids)
+    assert total == counts[-1]
+
+
 def test_counts_of_rows(spark, documents, odd_rows, tokenizer):
     docs = documents(odd_rows)
     counted = prefixes.prefix_token_counts(docs, VOCABULARY)
