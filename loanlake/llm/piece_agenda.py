@@ -138,24 +138,19 @@ class PieceModel:
         """What pieces and bytes spell, with the space that the model writes before a text."""
         return b"".join([self.surface[i] for i in ids])
 
-    def word(self, part: str) -> str:
-        """Ids, written with commas, of a part between spaces: behind a space, or a line end and what follows it."""
+    def word(self, part: str) -> tuple[str, bytes]:
+        """Ids, written with commas, and what they decode to, of a part between spaces: behind a space, or a line end and what follows it."""
         if part[0] == "\n":
             found = self.merge("\n") + (self.merge(part[1:]) if len(part) > 1 else [])
-            plain = part
         else:
             found = self.merge(SPACE + part)
-            plain = " " + part
-        # A text decodes to itself, part by part; this is where that is seen.
-        if self.decode(found) != plain.encode():
-            raise ValueError(f"A part of {len(part)} characters is not decoded to itself")
-        ids = ",".join(map(str, found))
-        self.fresh.append((part, ids))
+        result = ",".join(map(str, found)), self.decode(found)
+        self.fresh.append((part, result[0]))
         if len(part) <= LONGEST_CACHED:
             if len(self.seen) >= CACHE:
                 self.seen.clear()
-            self.seen[part] = ids
-        return ids
+            self.seen[part] = result
+        return result
 
     def encode(self, text: str) -> tuple[str, int, bytes]:
         """Ids of a text written with commas, their number, and the decoded text."""
@@ -169,8 +164,11 @@ class PieceModel:
             found = self._by_unit(units)
             return ",".join(map(str, found)), len(found), self.decode(found)[1:]
         get, new = self.seen.get, self.word
-        ids = ",".join([get(p) or new(p) for p in parts])
-        return ids, ids.count(",") + 1, text.encode()
+        found = [get(p) or new(p) for p in parts]
+        ids = ",".join([f[0] for f in found])
+        decoded = b"".join([f[1] for f in found])
+        # A text that begins with a line end has the model's own space as a piece of itself.
+        return ids, ids.count(",") + 1, decoded[1:] if decoded[:1] == b" " else decoded
 
     def _by_unit(self, units: list[str]) -> list[int]:
         """Ids of units with any number of spaces; ordinary words are looked up as above."""
@@ -178,7 +176,7 @@ class PieceModel:
         for unit in units:
             if unit[0] == " " and unit[1:2] not in ("", " "):
                 part = unit[1:]
-                found.extend(map(int, (self.seen.get(part) or self.word(part)).split(",")))
+                found.extend(map(int, (self.seen.get(part) or self.word(part))[0].split(",")))
             else:
                 found.extend(self.merge(unit.replace(" ", SPACE)))
         return found
