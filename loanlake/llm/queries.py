@@ -28,7 +28,7 @@ def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.reply_order(spark, _table(spark, sf_dir, "conversations"), all_holders=True)
+    return quotations.reply_order(spark, _table(spark, sf_dir, "conversations"))
 
 
 def op5_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.allocate(spark, docs)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
 def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,10 +215,10 @@ b AS (
     count(*) FILTER (level > 0) AS n_quoted, max(level) AS max_level
   FROM n GROUP BY id),
 o AS (SELECT conv_id, content, min(turn) AS own_turn FROM n WHERE level = 0 AND content <> '' GROUP BY ALL),
-f AS (SELECT content, min({'c': conv_id, 't': own_turn}) AS first FROM o GROUP BY content),
+f AS (SELECT content, min(conv_id, 2) AS holders FROM o WHERE conv_id IS NOT NULL AND own_turn IS NOT NULL GROUP BY content),
 q AS (
   SELECT n.conv_id, n.turn, n.level, CASE WHEN own_turn < n.turn THEN own_turn END AS inside,
-    CASE WHEN (own_turn IS NULL OR own_turn >= n.turn) AND first.c <> n.conv_id THEN first.c END AS outside
+    CASE WHEN own_turn IS NULL OR own_turn >= n.turn THEN list_filter(holders, lambda c: c <> n.conv_id)[1] END AS outside
   FROM n LEFT JOIN o ON o.conv_id = n.conv_id AND o.content = n.content LEFT JOIN f ON f.content = n.content
   WHERE n.level > 0 AND n.content <> ''),
 k AS (

@@ -41,7 +41,7 @@ def _lines(text: Column) -> Column:
     )
 
 
-def _links(messages: DataFrame, all_holders: bool) -> DataFrame:
+def _links(messages: DataFrame) -> DataFrame:
     """``conv, turn, quoted lines`` linked: one row per quoted line with where it was said first."""
     lines = messages.select("conv", "turn", F.explode("lines").alias("l"))
     content = _normalised(F.expr("substring(l.line, l.marks + 1)"))
@@ -53,15 +53,13 @@ def _links(messages: DataFrame, all_holders: bool) -> DataFrame:
     own = said.groupBy("conv", "h1", "h2").agg(F.min("turn").alias("own_turn"))
     entry = F.struct("conv", F.col("own_turn").alias("turn"))
     first = own.groupBy("h1", "h2").agg(F.min(entry).alias("first"))
-    linked = quoted.join(own, ["conv", "h1", "h2"], "left").join(first, ["h1", "h2"], "left")
+    # The earliest holder of a further conversation counts where the first is the quoting one.
+    further = own.join(first, ["h1", "h2"]).filter(F.col("conv") > F.col("first.conv"))
+    second = further.groupBy("h1", "h2").agg(F.min(entry).alias("second"))
+    holders = first.join(second, ["h1", "h2"], "left")
+    linked = quoted.join(own, ["conv", "h1", "h2"], "left").join(holders, ["h1", "h2"], "left")
     inside = F.when(F.col("own_turn") < F.col("turn"), F.col("own_turn"))
-    other = F.when(F.col("first.conv") != F.col("conv"), F.col("first"))
-    if all_holders:
-        # The earliest holder of a further conversation counts where the first is the quoting one.
-        further = own.join(first, ["h1", "h2"]).filter(F.col("conv") > F.col("first.conv"))
-        second = further.groupBy("h1", "h2").agg(F.min(entry).alias("second"))
-        linked = linked.join(second, ["h1", "h2"], "left")
-        other = F.coalesce(other, F.col("second"))
+    other = F.when(F.col("first.conv") != F.col("conv"), F.col("first")).otherwise(F.col("second"))
     outside = F.when(inside.isNull(), other)
     return linked.select("conv", "turn", "level", inside.alias("inside"), outside.alias("outside"))
 
@@ -118,13 +116,9 @@ def reply_order(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    all_holders: bool = False,
 ) -> DataFrame:
     """One row per row of ``table``.
 
-    Without ``all_holders`` a line whose earliest holder is the quoting conversation itself, but not
-    before the quoting message, links nowhere; with it, to the earliest other conversation.
-
     ``conv_id, turn, role, body, n_quoted`` (quoted lines), ``max_level, n_linked`` (quoted lines
     whose message was found), ``parent_turn, root_turn, depth, position, quoted_conv`` (smallest
     other conversation that is quoted).
@@ -145,7 +139,7 @@ def reply_order(
         F.coalesce(F.array_max(F.transform("lines", lambda line: line["level"])), F.lit(0)).cast("bigint").alias("max_level"),
     )
     usable = "conv IS NOT NULL AND turn IS NOT NULL"
-    links = _links(rows.filter(usable), all_holders).groupBy("conv", "turn").agg(
+    links = _links(rows.filter(usable)).groupBy("conv", "turn").agg(
         F.max(F.when(F.col("level") == 1, F.col("inside"))).alias("replied"),
         F.count(F.coalesce(F.col("inside").cast("string"), F.col("outside.turn").cast("string"))).alias("n_linked"),
         F.min("outside.conv").alias("quoted_conv"),

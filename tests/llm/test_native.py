@@ -37,12 +37,12 @@ def brute_force_replies(rows):
         for level, content, _ in lines:
             if level and content:
                 inside = [u for d, u in said[content] if d == c]
-                first = min(said[content], default=None)
+                first = min(((d, u) for d, u in said[content] if d != c), default=None)
                 if inside and min(inside) < t:
                     linked += 1
                     if level == 1:
                         own.append(min(inside))
-                elif first and first[0] != c:
+                elif first:
                     linked += 1
                     outside.append(first[0])
         before = [u for d, u in parsed if d == c and u < t]
@@ -155,6 +155,19 @@ def test_quotas_are_split_exactly(spark):
     assert set(per_shard) == set(range(8)) and max(per_shard.values()) - min(per_shard.values()) <= 1
 
 
+def test_shards_hold_the_quotas_of_the_tree(spark, documents):
+    """Every pass of a document lies in one shard, and the shards are as large as the tree splits them."""
+    rows = [(k, " ".join("w" for _ in range(20)), f"s{k % 3}") for k in range(600)]
+    got = mixing.allocate(spark, documents(rows), blocks=64, levels=2).collect()
+    shards = Counter(p["shard"] for r in got for p in r["passes"])
+    words = Counter()
+    for r in got:
+        for p in r["passes"]:
+            words[p["shard"]] += p["words"]
+    assert set(shards) == {0, 1, 2, 3} and sum(words.values()) == sum(r["taken"] for r in got)
+    assert max(words.values()) < 1.5 * min(words.values())
+
+
 def test_splits_follow_the_hypergeometric_distribution(spark):
     """Mean and variance of one half's quota over many seeds."""
     passes = spark.createDataFrame([("sa", r) for r in range(1, 13)] + [("sb", r) for r in range(1, 9)], "__key string, rank long").cache()
