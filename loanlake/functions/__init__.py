@@ -9,23 +9,23 @@ from .columns import (
     trimmed,
     zfill,
 )
-from .quantiles import median, nearest_quantile, ranked_histogram, value_at_rank
+from .quantiles import MEDIAN, median_of, nearest, order_statistics
 
 __all__ = [
+    "MEDIAN",
     "blank_as_null",
     "code5",
     "count_where",
     "lenient_int",
-    "median",
+    "median_of",
     "month_date",
     "n_unique",
-    "nearest_quantile",
+    "nearest",
+    "order_statistics",
     "period",
     "quarter",
-    "ranked_histogram",
     "ratio",
     "sum0",
     "trimmed",
-    "value_at_rank",
     "zfill",
 ]

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import median, ranked_histogram, ratio, sum0
+from ..functions import MEDIAN, median_of, order_statistics, ratio, sum0
 from ..schemas import AMOUNT, ORIG, ORIG_NO, SPONSOR, SPONSOR_NO, YEAR
 from ..sources.checkpoints import cut_lineage
 
@@ -25,19 +25,17 @@ def edges(
     hist = named.groupBy(*parties, F.col(AMOUNT).alias("v")).agg(
         F.count("*").alias("n"), F.min(YEAR).alias("first_year"), F.max(YEAR).alias("last_year")
     )
-    table = (
-        ranked_histogram(hist, parties)
-        .groupBy(*parties)
-        .agg(
-            F.sum("n").alias("loan_count"),
-            sum0(F.col("v") * F.col("valid")).alias("total_volume"),
-            F.max("mean").alias("avg_loan_amount"),
-            median().alias("median_loan_amount"),
-            F.min("first_year").alias("first_year"),
-            F.max("last_year").alias("last_year"),
-        )
-        .filter(F.col("loan_count") >= min_loans)
-    )
+    years = {"first_year": (F.min, F.col("first_year")), "last_year": (F.max, F.col("last_year"))}
+    found = order_statistics(hist, parties, MEDIAN, {"volume": (F.sum, F.col("v") * F.col("n")), **years})
+    table = found.select(
+        *[F.col(f"`{c}`") for c in parties],
+        F.col("rows").alias("loan_count"),
+        F.coalesce("volume", F.lit(0)).alias("total_volume"),
+        F.col("mean").alias("avg_loan_amount"),
+        median_of().alias("median_loan_amount"),
+        "first_year",
+        "last_year",
+    ).filter(F.col("loan_count") >= min_loans)
     # Institutions without a number are known by their name.
     keys = {
         "originator_key": F.coalesce(F.col(ORIG_NO).cast("string"), F.concat(F.lit("originator:"), ORIG)),

@@ -1,24 +1,22 @@
 """Amount and rate summaries per group, in one scan."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import median, nearest_quantile, ranked_histogram, sum0
+from ..functions import MEDIAN, median_of, nearest, order_statistics
 from ..schemas import AMOUNT, RATE
 
 
 def amount_summary(df: DataFrame, keys: list[str], amount: str = AMOUNT) -> DataFrame:
     """``loan_count, avg_amount, median_amount, total_amount`` per group."""
     hist = df.groupBy(*keys, F.col(amount).alias("v")).agg(F.count("*").alias("n"))
-    return (
-        ranked_histogram(hist, keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum("n").alias("loan_count"),
-            F.max("mean").alias("avg_amount"),
-            median().alias("median_amount"),
-            sum0(F.col("v") * F.col("valid")).alias("total_amount"),
-        )
+    found = order_statistics(hist, keys, MEDIAN, {"volume": (F.sum, F.col("v") * F.col("n"))})
+    return found.select(
+        *[F.col(f"`{c}`") for c in keys],
+        F.col("rows").alias("loan_count"),
+        F.col("mean").alias("avg_amount"),
+        median_of().alias("median_amount"),
+        F.coalesce("volume", F.lit(0)).alias("total_amount"),
     )
 
 
@@ -41,25 +39,20 @@ def mortgage_summary(
         .groupBy(*keys, F.col("x.m").alias("m"), F.col("x.v").alias("v"))
         .agg(F.count("*").alias("n"))
     )
-    is_amount, is_rate = F.col("m") == "amount", F.col("m") == "rate"
-    spread = F.pow(F.col("v") - F.col("mean"), F.lit(2.0)) * F.col("valid")
-    degrees = F.max(F.when(is_rate, F.col("total"))) - 1
-    return (
-        ranked_histogram(hist, [*keys, "m"])
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.when(is_amount, F.col("n"))).alias("loan_count"),
-            median(where=is_amount).alias("median_mortgage_amount"),
-            F.max(F.when(is_amount, F.col("mean"))).alias("avg_mortgage_amount"),
-            sum0(F.when(is_amount, F.col("v").cast("bigint") * F.col("valid"))).alias(
-                "total_mortgage_amount"
-            ),
-            F.max(F.when(is_rate, F.col("mean"))).alias("avg_interest_rate"),
-            F.when(degrees > 0, F.sqrt(F.sum(F.when(is_rate, spread)) / F.nullif(degrees, F.lit(0)))).alias(
-                "interest_rate_std"
-            ),
-            (
-                nearest_quantile(0.75, where=is_rate) - nearest_quantile(0.25, where=is_rate)
-            ).alias("interest_rate_iqr"),
-        )
+    volume = F.when(F.col("m") == "amount", F.col("v").cast("bigint") * F.col("n"))
+    ranks = {**MEDIAN, "lower": nearest(0.25), "upper": nearest(0.75)}
+    found = order_statistics(hist, [*keys, "m"], ranks, {"volume": (F.sum, volume)})
+
+    def of(measure: str, value: Column) -> Column:
+        return F.max(F.when(F.col("m") == measure, value))
+
+    degrees = of("rate", F.col("total")) - 1
+    return found.groupBy(*keys).agg(
+        of("amount", F.col("rows")).alias("loan_count"),
+        of("amount", median_of()).alias("median_mortgage_amount"),
+        of("amount", F.col("mean")).alias("avg_mortgage_amount"),
+        F.coalesce(of("amount", F.col("volume")), F.lit(0)).alias("total_mortgage_amount"),
+        of("rate", F.col("mean")).alias("avg_interest_rate"),
+        F.when(degrees > 0, F.sqrt(of("rate", F.col("squares")) / F.nullif(degrees, F.lit(0)))).alias("interest_rate_std"),
+        of("rate", F.col("upper") - F.col("lower")).alias("interest_rate_iqr"),
     )

@@ -1134,11 +1134,14 @@ _FILE_MONTHS = f"""{_CLEANED}, months AS (
     GROUP BY ALL)"""
 SQL["manifest_status"] = f"""WITH {_FILE_MONTHS}
   SELECT 'single_family:' || year || '-' || lpad(month::varchar, 2, '0') AS key, 'single_family' AS snapshot_type, year, month,
-    true AS is_downloaded, clean AS is_processed FROM months"""
-SQL["file_inventory"] = f"""WITH {_FILE_MONTHS}
-  SELECT 'raw' AS category, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS parent_directory, 1 AS kinds FROM months
-  UNION ALL SELECT 'data', 'bronze/snapshot_year=' || year || '/snapshot_month=' || month, 1 FROM months WHERE clean
-  UNION ALL SELECT 'clean', 'silver/Year=' || year || '/Month=' || month, 1 FROM months WHERE clean"""
+    true AS is_downloaded, clean AS is_processed, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS raw_path,
+    CASE WHEN clean THEN 'bronze/snapshot_year=' || year || '/snapshot_month=' || month END AS processed_path,
+    true AS raw_checked, CASE WHEN clean THEN true END AS processed_checked FROM months"""
+SQL["file_inventory"] = f"""WITH {_FILE_MONTHS}, folders AS (
+    SELECT 'raw' AS category, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS folder FROM months
+    UNION ALL SELECT 'data', 'bronze/snapshot_year=' || year || '/snapshot_month=' || month FROM months WHERE clean
+    UNION ALL SELECT 'clean', 'silver/Year=' || year || '/Month=' || month || '/version=*' FROM months WHERE clean)
+  SELECT *, 'parquet' AS suffix, true AS paths_agree, true AS sizes_agree, true AS dated FROM folders"""
 SQL["csv_round_trip"] = SQL["state_counts"]
 SQL["stored_result"] = SQL["county_counts"]
 SQL["validation_export"] = f"SELECT check_name, status, is_warning FROM ({SQL['run_all_checks']})"
@@ -1147,7 +1150,15 @@ SQL["row_sample"] = "SELECT least(250, count(*)) AS rows, least(250, count(*)) A
 
 
 def _rows_of(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS rows FROM ({SQL[query]})" for name, query in tables.items())
+    """Every row of the named queries as text, numbers in ten-thousandths."""
+    number = "try_cast(value AS DOUBLE)"
+    text = f"coalesce(CASE WHEN {number} IS NOT NULL THEN cast(floor({number} * 10000 + 0.5) AS bigint)::varchar ELSE value END, '-')"
+    parts = []
+    for name, query in tables.items():
+        rows = f"(SELECT row_number() OVER () AS row_no, COLUMNS(*)::varchar FROM ({SQL[query]}))"
+        long = f"FROM {rows} UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE (row_no))))"
+        parts.append(f"SELECT '{name}' AS name, string_agg(name || '=' || {text}, '|' ORDER BY name) AS row {long} GROUP BY row_no")
+    return " UNION ALL ".join(parts)
 
 
 SQL["trend_tables"] = _rows_of({
@@ -1157,7 +1168,7 @@ SQL["trend_tables"] = _rows_of({
     "category_shares": "category_share",
 })
 SQL["network_tables"] = _rows_of({
-    "edges": "edges", "originator_centrality": "centrality_originators", "sponsor_centrality": "centrality_sponsors",
+    "edges": "edges", "originator_centrality": "centrality_full_originators", "sponsor_centrality": "centrality_full_sponsors",
     "originator_projection": "projection_originators", "sponsor_projection": "projection_sponsors", "summary": "edge_totals",
 })
 SQL["exploratory_tables"] = _rows_of({n: n for n in ("lender_volume", "yearly_lenders", "sponsor_volume", "yearly_sponsors")})

@@ -4,9 +4,10 @@ Every query works in a folder of its own below the shared checkpoint folder; wha
 does not read is removed before it returns.
 """
 
+from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import activity, geography, trends, validation
@@ -163,17 +164,30 @@ def manifest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     at.run(max_year=2016)
     at.run(manifest_path=path)
     rows = manifest.statuses(manifest.load(spark, path))
-    return rows.select("key", "snapshot_type", "year", "month", "is_downloaded", "is_processed")
+    folder = lambda side: F.regexp_replace(f"{side}.path", f"^.*/{at.root.rsplit('/', 1)[-1]}/", "")
+    checked = lambda side: F.col(f"{side}.checksum").rlike("^[0-9a-f]{64}$")
+    return rows.select(
+        "key", "snapshot_type", "year", "month", "is_downloaded", "is_processed",
+        folder("raw").alias("raw_path"), folder("processed").alias("processed_path"),
+        checked("raw").alias("raw_checked"), checked("processed").alias("processed_checked"),
+    )
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folders of an import by category."""
+    """The data files of an import: what the inventory says of every folder, but for names and sizes that change."""
     at = Folders(spark)
     at.write_raw(star_raw.raw_sheets(spark, sf_dir))
     at.run()
     table = inventory.inventory(spark, at.root, project_dir=at.root, raw_dir=at.raw, clean_dir=at.silver)
-    parquet = table.filter((F.col("suffix") == "parquet") & (F.col("size_bytes") > 0))
-    return parquet.groupBy("category", "parent_directory").agg(F.count_distinct("suffix").alias("kinds"))
+    data = table.filter((F.col("suffix") == "parquet") & (F.col("size_bytes") > 0))
+    folder = F.regexp_replace("parent_directory", "version=[^/]+", "version=*")
+    below = F.concat("parent_directory", F.lit("/"), "file_name")
+    sizes = (F.col("size_mb") == F.round(F.col("size_bytes") / 1048576, 4)) & F.col("size_readable").rlike("^[0-9.]+ [KMGT]?B$")
+    return data.groupBy("category", folder.alias("folder"), "suffix").agg(
+        F.every((F.col("relative_to_project") == below) & (F.col("relative_to_data") == below)).alias("paths_agree"),
+        F.every(sizes).alias("sizes_agree"),
+        F.every(F.col("modified_utc").isNotNull()).alias("dated"),
+    )
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,30 +233,41 @@ def row_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.agg(F.count("*").alias("rows"), F.count_distinct(INDEX).alias("keys"))
 
 
-def _sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """``name, rows`` of a report's tables."""
-    out = None
-    for name, table in tables.items():
-        part = table.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+def _rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """``name, row``: every row of a report's tables as text, columns in the order of their names.
+
+    Numbers are written in ten-thousandths, so that their text is the same everywhere.
+    """
+    from .catalog import rounded
+
+    def text(column: str) -> Column:
+        plain = F.col(f"`{column}`").cast("string")
+        number = plain.try_cast("double")
+        scaled = F.floor(number * 10000 + 0.5).cast("string")
+        return F.concat(F.lit(f"{column}="), F.coalesce(F.when(number.isNotNull(), scaled).otherwise(plain), F.lit("-")))
+
+    parts = [
+        rounded(table).select(F.lit(name).alias("name"), F.concat_ws("|", *map(text, sorted(table.columns))).alias("row"))
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def trend_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every trend table of the report, by its number of rows."""
+    """Every row of every trend table of the report."""
     columns = (YEAR, DATE, ORIG, AMOUNT, RATE, DOWN, PROPERTY, PRODUCT, PURPOSE)
-    return _sizes(trends.trend_tables(loans(spark, sf_dir, *columns)))
+    return _rows(trends.trend_tables(loans(spark, sf_dir, *columns)))
 
 
 def network_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every table of the network report, by its number of rows."""
-    return _sizes(reports.network_tables(loans(spark, sf_dir, YEAR, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR, AMOUNT)))
+    """Every row of every table of the network report."""
+    return _rows(reports.network_tables(loans(spark, sf_dir, YEAR, ORIG_NO, ORIG, SPONSOR_NO, SPONSOR, AMOUNT)))
 
 
 def exploratory_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The activity tables of the exploratory report, by their number of rows."""
+    """Every row of the activity tables of the exploratory report."""
     df = loans(spark, sf_dir, YEAR, ORIG, SPONSOR, AMOUNT)
-    return _sizes({**activity.lender_activity(df), **activity.sponsor_activity(df)})
+    return _rows({**activity.lender_activity(df), **activity.sponsor_activity(df)})
 
 
 QUERIES = {

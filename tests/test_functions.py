@@ -75,6 +75,28 @@ def test_summary_matches_plain_statistics(spark, seed):
         assert row["interest_rate_iqr"] == pytest.approx(nearest(rates, 0.75) - nearest(rates, 0.25))
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_order_statistics_over_many_buckets(spark, seed):
+    """Negative, tiny, huge, equal and missing values; every rank against a sorted list."""
+    rnd = random.Random(seed)
+    draw = lambda: rnd.choice([rnd.uniform(-1e6, 1e6), rnd.gauss(0, 1), 0.0, -0.0, 7.5, 1e18 * rnd.random(), None])
+    data = [(rnd.choice(["a", None]), draw()) for _ in range(400)] + [("none", None), ("one", -3.25)]
+    hist = spark.createDataFrame(data, "k string, v double").groupBy("k", "v").agg(F.count("*").alias("n"))
+    ranks = {f"q{int(100 * q)}": f.nearest(q) for q in (0, 0.1, 0.25, 0.5, 0.75, 0.99, 1)}
+    got = {r["k"]: r for r in f.order_statistics(hist, ["k"], {**f.MEDIAN, **ranks}, {"most": (F.max, F.col("n"))}).collect()}
+    for key in {d[0] for d in data}:
+        values = [d[1] for d in data if d[0] == key and d[1] is not None]
+        row = got[key]
+        assert (row["rows"], row["total"]) == (sum(d[0] == key for d in data), len(values))
+        if not values:
+            assert [row[c] for c in ("mean", "squares", "low", "q50")] == [None] * 4
+            continue
+        assert (row["low"] + row["high"]) / 2 == statistics.median(values)
+        assert all(row[f"q{int(100 * q)}"] == nearest(values, q) for q in (0, 0.1, 0.25, 0.5, 0.75, 0.99, 1))
+        assert row["mean"] == pytest.approx(statistics.fmean(values))
+        assert row["squares"] == pytest.approx(sum((v - statistics.fmean(values)) ** 2 for v in values))
+
+
 def test_running_numbers_equal_one_long_sort(spark):
     rnd = random.Random(5)
     data = [(rnd.choice(["x", "y", None]), i) for i in rnd.sample(range(10_000), 500)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from loanlake import schemas as s
-from loanlake.operators import activity, concentration, identity, network, trends
+from loanlake.operators import activity, concentration, geography, identity, network, trends
 from loanlake.plans import import_snapshots as imp
 from loanlake.plans import catalog, catalog_sql, import_snapshots
 from loanlake.sources import snapshots
@@ -118,6 +118,12 @@ def test_counts_are_expanded_not_loans(silver):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_no_group_is_ordered_for_its_median(silver):
+    """Medians and quantiles select: no window over the values of a group, whatever its size."""
+    for df in (geography.county_metrics(silver), trends.loan_size_trend(silver), network.edges(silver)):
+        assert "Window" not in plan(df)
+
+
 def test_a_task_sees_a_part_of_the_network(spark):
     """Betweenness deals nodes into parts and sources into blocks; no task meets the edges of all parts at once."""
     from loanlake.operators import betweenness
