@@ -87,19 +87,32 @@ class Scratch:
     planner its size.  ``drop`` removes tables that nothing needs any more.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str, compression: str = "snappy"):
+        self.spark, self.compression = spark, compression
         self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
     def store(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.option("compression", self.compression).parquet(path)
         stored = self.spark.read.schema(df.schema).parquet(path)
         stored._scratch_path = path
         return stored
 
+    def tidy(self) -> None:
+        """Let Spark delete the shuffle files of stored tables' jobs now.
+
+        It does so when the driver collects its garbage, which on a large driver may be long after.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+    def close(self) -> None:
+        """Delete all tables, once the results that rest on them are written."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
         for table in tables:

@@ -141,6 +141,41 @@ def toxic_corpus(rng, n=900):
     return rows, labels
 
 
+def test_learner_against_plain_loops():
+    """Weights after some steps, coordinate by coordinate."""
+    rng = np.random.default_rng(3)
+    bits, drawn = 6, [np.unique(rng.integers(0, 64, 9)).astype(np.int32) for _ in range(400)]
+    steps = [(at, float(at[0] < 6)) for at in drawn]
+    learner = ftrl.Learner(bits)
+    z, n = [0.0] * 65, [0.0] * 65
+
+    def weight(k):
+        l1 = 0.0 if k == 64 else ftrl.L1
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((ftrl.BETA + math.sqrt(n[k])) / ftrl.ALPHA + ftrl.L2)
+
+    for at, label in steps:
+        learner.learn(at, label)
+        own = [*at.tolist(), 64]
+        w = {k: weight(k) for k in own}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for k in own:
+            rate = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / ftrl.ALPHA
+            z[k] += g - rate * w[k]
+            n[k] += g * g
+    assert learner.weights(np.arange(65)) == pytest.approx([weight(k) for k in range(65)])
+    assert any(learner.weights(np.arange(64)))
+
+
+def test_features_are_words_stems_and_pairs():
+    """Equal words, neighbours and skips give equal numbers wherever they stand; each counts once."""
+    some, more = (set(ftrl.features(t).tolist()) for t in (b"Alpha beta gamma", b"x alpha, BETA gamma! alpha beta gamma"))
+    assert some < more and len(ftrl.features(b"Alpha beta gamma")) == len(some)
+    assert len(some) == 3 + 2 + 2 + 1  # words, stems of alpha and gamma, neighbours, a pair with a word between
+    assert not len(ftrl.features(b"")) and not len(ftrl.features(None)) and not len(ftrl.features(b" .,! "))
+
+
 def test_held_out_accuracy(spark, documents, held_out):
     rows, labels = toxic_corpus(random.Random(5))
     marks = spark.createDataFrame([(d, 1, t, "x") for d, t in labels if d % 3], "doc_id long, quality int, toxic int, text string")
