@@ -73,7 +73,10 @@ def check_required_columns(df: DataFrame) -> DataFrame:
 
 
 def check_fha_index_uniqueness(df: DataFrame) -> DataFrame:
-    counts = df.agg(F.count("*").alias("n"), n_unique(INDEX).alias("u"))
+    return _uniqueness(df.agg(F.count("*").alias("n"), n_unique(INDEX).alias("u")))
+
+
+def _uniqueness(counts: DataFrame) -> DataFrame:
     details = {"total_rows": F.col("n"), "unique_indexes": F.col("u"), "duplicates": F.col("n") - F.col("u")}
     return _row(counts, _result("FHA_Index Uniqueness", F.col("n") == F.col("u"), details))
 
@@ -339,6 +342,7 @@ _PARTIES = (
     "check_name_oscillations",
     "check_originator_sponsor_relationships",
 )
+UNIQUENESS = "check_fha_index_uniqueness"
 CRITICAL = ("check_required_columns", "check_fha_index_uniqueness", "check_id_name_consistency_monthly")
 _COUNTING = (
     "check_missing_originator_ids",
@@ -356,12 +360,16 @@ def run_checks(
     *,
     threshold_pct: float = 5.0,
     extra: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    base: DataFrame | None = None,
+    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Results of the named checks (all by default) as one table.
 
     Loans are scanned twice for all twelve checks: for key uniqueness, and for the
     stored :func:`check_base` that answers the others.  ``extra`` adds checks of the
-    caller: any function from the table to one result row.
+    caller: any function from the table to one result row.  Who has the base or the
+    counts of rows and keys (``n, u``) already gives them; loans are then not scanned
+    for them.
     """
     checks = {**CHECKS, **(extra or {})}
     names = list(checks) if names is None else list(names)
@@ -370,10 +378,14 @@ def run_checks(
         raise ValueError(f"Unknown checks: {unknown}")
     counting = [n for n in names if n in _COUNTING]
     by_party = [n for n in names if n in _PARTIES]
-    if counting and by_party:
+    if base is not None:
+        pass
+    elif counting and by_party:
         base = cut_lineage(check_base(df))
     else:
         base = stored_party_months(df) if by_party else df
+    if key_counts is not None:
+        checks[UNIQUENESS] = lambda _: _uniqueness(key_counts)
     parts = [checks[n](base if n in _PARTIES else df) for n in names if n not in _COUNTING]
     if counting:
         parts.append(profile_checks(base, counting, threshold_pct))

@@ -1137,6 +1137,10 @@ SQL["manifest_status"] = f"""WITH {_FILE_MONTHS}
     true AS is_downloaded, clean AS is_processed, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS raw_path,
     CASE WHEN clean THEN 'bronze/snapshot_year=' || year || '/snapshot_month=' || month END AS processed_path,
     true AS raw_checked, CASE WHEN clean THEN true END AS processed_checked FROM months"""
+SQL["manifest_checksums"] = """SELECT 'single_family:' || y || '-' || lpad(m::varchar, 2, '0') AS key,
+    sha256(string_agg(d || ':' || n, ',' ORDER BY d) || chr(10)) AS checksum
+  FROM (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, count(*) AS n FROM orders GROUP BY ALL)
+  GROUP BY y, m"""
 SQL["file_inventory"] = f"""WITH {_FILE_MONTHS}, folders AS (
     SELECT 'raw' AS category, 'raw/snapshot_year=' || year || '/snapshot_month=' || month AS folder FROM months
     UNION ALL SELECT 'data', 'bronze/snapshot_year=' || year || '/snapshot_month=' || month FROM months WHERE clean
@@ -1145,6 +1149,16 @@ SQL["file_inventory"] = f"""WITH {_FILE_MONTHS}, folders AS (
 SQL["csv_round_trip"] = SQL["state_counts"]
 SQL["stored_result"] = SQL["county_counts"]
 SQL["validation_export"] = f"SELECT check_name, status, is_warning FROM ({SQL['run_all_checks']})"
+define("stored_checks", f"WITH {_FOUND} " + " UNION ALL ".join(v for k, v in _CHECKS.items() if k != "check_required_columns"))
+_REPEATED_KEY = """CASE right("FHA_Index", 1) WHEN '7' THEN '19950101_' || substr("FHA_Index", 10)
+  WHEN '8' THEN 'odd ' || right("FHA_Index", 3) WHEN '9' THEN NULL ELSE "FHA_Index" END"""
+define("stored_checks_of_repeated_keys", _check(
+    "FHA_Index Uniqueness", "n = u", {"total_rows": "n", "unique_indexes": "u", "duplicates": "n - u"},
+    f"""SELECT count(*) AS n, count(DISTINCT {_REPEATED_KEY}) + max(CASE WHEN {_REPEATED_KEY} IS NULL THEN 1 ELSE 0 END) AS u
+        FROM loans""",
+))
+define("months_checked_again", """SELECT DISTINCT "Year"::int AS year, "Month"::int AS month FROM loans
+  WHERE "Year" >= 1996 OR ("Year" = 1994 AND "Month" = 5)""")
 SQL["report_event_log"] = SQL["event_log"]
 SQL["row_sample"] = "SELECT least(250, count(*)) AS rows, least(250, count(*)) AS keys FROM lineitem"
 

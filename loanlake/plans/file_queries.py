@@ -10,14 +10,14 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import activity, geography, trends, validation
+from ..operators import activity, geography, monthly_checks, trends, validation
 from ..schemas import (
     AMOUNT, COUNTY, DATE, DOWN, FIPS, HECM_KIND, INDEX, MONTH, ORIG, ORIG_NO, PRODUCT, PROPERTY, PURPOSE, RATE,
     SPONSOR, SPONSOR_NO, STATE, YEAR,
 )
 from ..sources import inventory, manifest, sinks, snapshots, star_raw
 from ..sources.checkpoints import ensure_checkpoint_dir, remove
-from ..sources.star_loans import loans
+from ..sources.star_loans import loans, read_table
 from ..streaming.ingest import ingest_new_months
 from . import import_snapshots, reports
 
@@ -173,6 +173,19 @@ def manifest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of text files, one per month, that count the orders of every day; the longer ones are streamed."""
+    path = f"{Folders(spark).root}/daily"
+    day = F.struct(F.dayofmonth("o_orderdate").alias("day"), F.col("n").cast("string").alias("n"))
+    days = read_table(spark, sf_dir, "orders").groupBy("o_orderdate").agg(F.count("*").alias("n"))
+    lines = days.groupBy(
+        F.year("o_orderdate").alias("snapshot_year"), F.month("o_orderdate").alias("snapshot_month")
+    ).agg(F.array_join(F.transform(F.array_sort(F.collect_list(day)), lambda x: F.concat(x["day"].cast("string"), F.lit(":"), x["n"])), ",").alias("value"))
+    lines.write.partitionBy("snapshot_year", "snapshot_month").text(path)
+    table = manifest.fingerprint(spark, path, "raw", "single_family", "part-*", whole_file=120)
+    return table.select("key", F.col("raw.checksum").alias("checksum"))
+
+
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The data files of an import: what the inventory says of every folder, but for names and sizes that change."""
     at = Folders(spark)
@@ -213,6 +226,50 @@ def validation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("check_name", "status", F.col("is_warning").cast("boolean").alias("is_warning"))
 
 
+def _silver_in_two_steps(at: Folders, table: DataFrame) -> tuple[str, list[tuple[int, int]]]:
+    """A table of months whose checks ran once before 1996 and ran again after; the months of the second run.
+
+    One of the early months was written anew in between.
+    """
+    early, state = F.col(YEAR) < 1996, f"{at.root}/checks"
+    import_snapshots.write_months(table.filter(early), at.silver, YEAR, MONTH)
+    monthly_checks.update_checks(at.spark, at.silver, state)
+    changed = (F.col(YEAR) == 1994) & (F.col(MONTH) == 5)
+    import_snapshots.write_months(table.filter(~early | changed), at.silver, YEAR, MONTH)
+    return state, monthly_checks.update_checks(at.spark, at.silver, state)
+
+
+def stored_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks over rows from the counts of two runs."""
+    from .catalog import flat
+
+    at = Folders(spark)
+    state, _ = _silver_in_two_steps(at, loans(spark, sf_dir))
+    names = [n for n in validation.CHECKS if n != "check_required_columns"]
+    return flat(monthly_checks.run_stored_checks(spark, at.silver, state, names))
+
+
+def stored_checks_of_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key uniqueness where months share keys, some of them without the usual form, some missing."""
+    from .catalog import flat
+
+    at, key, last = Folders(spark), F.col(INDEX), F.right(INDEX, F.lit(1))
+    repeated = (
+        F.when(last == "7", F.concat(F.lit("19950101_"), F.substring(INDEX, 10, 20)))
+        .when(last == "8", F.concat(F.lit("odd "), F.right(INDEX, F.lit(3))))
+        .when(last == "9", F.lit(None))
+        .otherwise(key)
+    )
+    state, _ = _silver_in_two_steps(at, loans(spark, sf_dir).withColumn(INDEX, repeated))
+    return flat(monthly_checks.run_stored_checks(spark, at.silver, state, [validation.UNIQUENESS]))
+
+
+def months_checked_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months that a second run of the checks reads."""
+    _, months = _silver_in_two_steps(Folders(spark), loans(spark, sf_dir))
+    return spark.createDataFrame(months, "year int, month int")
+
+
 def report_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log among the files of the institution report."""
     paths = reports.institution_report(loans(spark, sf_dir, *PARTIES), Folders(spark).root)
@@ -274,7 +331,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         imported_loans, imported_csv, imported_all_years, exported_loans, streamed_loans, imported_with_stray_rows,
-        month_versions, imported_corrections, streamed_corrections, imported_hecm, manifest_status, file_inventory, csv_round_trip, stored_result, validation_export, report_event_log, month_scan, row_sample,
-        trend_tables, network_tables, exploratory_tables,
+        month_versions, imported_corrections, streamed_corrections, imported_hecm, manifest_status, manifest_checksums, file_inventory, csv_round_trip, stored_result, validation_export, report_event_log, month_scan, row_sample,
+        trend_tables, network_tables, exploratory_tables, stored_checks, stored_checks_of_repeated_keys, months_checked_again,
     )
 }

@@ -1,5 +1,12 @@
 """Manifest of snapshot files: checksum, path and time of the raw and processed file of a month."""
 
+import hashlib
+import re
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +33,8 @@ MANIFEST = T.StructType(
     ]
 )
 SIDES = ("raw", "processed")
-WHOLE_FILE = 1 << 30  # bytes of a file that is read as one value
+WHOLE_FILE = 1 << 28  # bytes of a file that is not read as one value
+BLOCK_BYTES = 1 << 22
 
 
 def manifest_key(kind: Column, year: Column, month: Column) -> Column:
@@ -50,36 +58,59 @@ def list_snapshots(spark: SparkSession, path: str, expected_kind: str | None = N
     return found.select(manifest_key(F.col("p.kind"), F.col("p.year"), F.col("p.month")).alias("key"), "path")
 
 
-def _checksums(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
-    """``path, checksum`` of files: as one value by the executors, or streamed block by block where a value cannot hold them."""
+def _open(path: str) -> BinaryIO:
+    """A file for reading block by block, by the path that Spark lists (its name is not escaped)."""
+    scheme, store, name = re.fullmatch(r"([a-zA-Z0-9+.-]+):(?://([^/]*))?(/.*)", path, re.DOTALL).groups()
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + name.lstrip("/"))
+    files, root = fs.FileSystem.from_uri(f"{scheme}://{store or ''}/")
+    return files.open_input_stream(root.rstrip("/") + name)
+
+
+def _streamed(open_file: Callable[[str], BinaryIO]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                digest = hashlib.sha256()
+                with open_file(path) as stream:
+                    while block := stream.read(BLOCK_BYTES):
+                        digest.update(block)
+                yield pa.RecordBatch.from_pydict({"path": [path], "checksum": [digest.hexdigest()]})
+
+    return run
+
+
+def _checksums(
+    spark: SparkSession, path: str | list[str], glob: str | None, whole_file: int, open_file: Callable[[str], BinaryIO]
+) -> DataFrame:
+    """``path, checksum`` of files: small ones as one value, others block by block; all by the executors."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    whole = files.filter(F.col("length") < WHOLE_FILE).select("path", F.sha2("content", 256).alias("checksum"))
-    # The length is checked before a file is opened; monthly files of this size are few.
-    large = [row["path"] for row in files.filter(F.col("length") >= WHOLE_FILE).select("path").collect()]
-    if not large:
-        return whole
-    streamed = [(name, _streamed_checksum(spark, name)) for name in large]
-    return whole.unionByName(spark.createDataFrame(streamed, "path string, checksum string"))
-
-
-def _streamed_checksum(spark: SparkSession, path: str) -> str:
-    jvm = spark._jvm
-    name = jvm.org.apache.hadoop.fs.Path(path)
-    stream = name.getFileSystem(spark._jsc.hadoopConfiguration()).open(name)
-    try:
-        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-    finally:
-        stream.close()
+    # The length is checked before a file is opened.
+    whole = files.filter(F.col("length") < whole_file).select("path", F.sha2("content", 256).alias("checksum"))
+    large = files.filter(F.col("length") >= whole_file).select("path")
+    # Files of this size are dealt out one by one; a lost executor costs the files it had.
+    large = large.repartition(F.xxhash64("path")).mapInArrow(_streamed(open_file), "path string, checksum string")
+    return whole.unionByName(large)
 
 
 def fingerprint(
-    spark: SparkSession, path: str | list[str], side: str, expected_kind: str | None = None, glob: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    side: str,
+    expected_kind: str | None = None,
+    glob: str | None = None,
+    *,
+    whole_file: int = WHOLE_FILE,
+    open_file: Callable[[str], BinaryIO] = _open,
 ) -> DataFrame:
     """Manifest rows of the snapshots below ``path``, checksummed.
 
+    Files of ``whole_file`` bytes or more are streamed in the tasks by ``open_file``; the one
+    given opens what Arrow's file systems know, another can be passed for other stores.
+
     A snapshot in several part files gets the checksum of their checksums.  Files
     whose name gives no usable period are left out; see :func:`unusable_files`.
     """
@@ -95,7 +126,7 @@ def fingerprint(
     )
     empty = F.lit(None).cast(COMPONENT)
     return (
-        _checksums(spark, path, glob)
+        _checksums(spark, path, glob, whole_file, open_file)
         .groupBy(unit_path(F.col("path")).alias("path"))
         .agg(sums.alias("sums"))
         .withColumn("p", info)

@@ -1,4 +1,5 @@
 import hashlib
+import io
 
 import pytest
 
@@ -16,9 +17,8 @@ def put(folder, name, content):
 
 
 @pytest.mark.parametrize("whole", [1 << 30, 4])
-def test_sides_of_a_month(spark, tmp_path, monkeypatch, whole):
+def test_sides_of_a_month(spark, tmp_path, whole):
     """A month seen raw, one seen on both sides, one in part files; long files are read as a stream."""
-    monkeypatch.setattr(manifest, "WHOLE_FILE", whole)
     raw, done = tmp_path / "raw", tmp_path / "done"
     july = put(raw, "fha_sf_snapshot_20190701.csv", b"a,b\n1,2\n" * 500)
     hecm = put(raw, "FHA_HECM_Snapshot_20201101.zip", bytes(range(256)) * 3)
@@ -27,8 +27,9 @@ def test_sides_of_a_month(spark, tmp_path, monkeypatch, whole):
     put(raw, "notes 2019.md", b"")
     put(raw, "fha_sf_snapshot_20191301.csv", b"month 13")
     table = manifest.merge(
-        manifest.fingerprint(spark, str(raw), "raw"), manifest.fingerprint(spark, str(done), "processed", "sf", "part-*"),
-        manifest.fingerprint(spark, str(done), "processed", None, "fha*"),
+        manifest.fingerprint(spark, str(raw), "raw", whole_file=whole),
+        manifest.fingerprint(spark, str(done), "processed", "sf", "part-*", whole_file=whole),
+        manifest.fingerprint(spark, str(done), "processed", None, "fha*", whole_file=whole),
     )
     manifest.save(table, str(tmp_path / "m"))
     rows = {r["key"]: r for r in manifest.statuses(manifest.load(spark, str(tmp_path / "m"))).collect()}
@@ -96,3 +97,16 @@ def test_sinks(spark, tmp_path):
         write_tabular(df, str(tmp_path / "t.xlsx"))
     assert result_path("/x/y.parquet", "d.parquet") == "/x/y.parquet"
     assert result_path("/x/y", "d.parquet") == "/x/y/d.parquet"
+
+
+def test_long_files_are_read_in_blocks_and_names_are_taken_as_they_are(spark, tmp_path, monkeypatch):
+    names = {f"fha sf%20snapshot_{y}0701 #{y}.csv": bytes([y % 256]) * (manifest.BLOCK_BYTES + y) for y in (2019, 2020)}
+    sums = {put(tmp_path / "raw", name, content) for name, content in names.items()}
+    table = manifest.fingerprint(spark, str(tmp_path / "raw"), "raw", whole_file=1)
+    assert {r["raw"]["checksum"] for r in table.collect()} == sums
+
+
+def test_other_stores_have_an_opener_of_their_own(spark, tmp_path):
+    put(tmp_path / "raw", "fha_sf_snapshot_20190701.csv", b"what Spark lists")
+    given = manifest.fingerprint(spark, str(tmp_path / "raw"), "raw", whole_file=1, open_file=lambda _: io.BytesIO(b"else"))
+    assert given.first()["raw"]["checksum"] == hashlib.sha256(b"else").hexdigest()
