@@ -10,6 +10,7 @@ from ..sources.checkpoints import cut_lineage
 ORIGINATOR, SPONSOR_SIDE = "originator", "sponsor"
 EDGE_KEYS = ["originator_key", ORIG, ORIG_NO, "sponsor_key", SPONSOR, SPONSOR_NO]
 PAIR_BLOCK = 1024
+BANDS = 160  # of whole weights, eight for every halving
 
 
 def edges(
@@ -212,9 +213,7 @@ def projection(edge_list: DataFrame, side: str = ORIGINATOR, *, block: int = PAI
     forming the pairs of one hub in one task.  The members of a hub are hashed into
     blocks of about ``block`` nodes and each pair of blocks is a join key of its own.
     """
-    if side not in (ORIGINATOR, SPONSOR_SIDE):
-        raise ValueError("side must be 'originator' or 'sponsor'")
-    node, hub = ("originator_key", "sponsor_key") if side == ORIGINATOR else ("sponsor_key", "originator_key")
+    node, hub = _sides(side)
     links = edge_list.select(F.col(hub).alias("hub"), F.col(node).alias("u"), F.col("weight").alias("w"))
     sizes = links.groupBy("hub").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     member = links.join(sizes, "hub").withColumn("b", F.pmod(F.xxhash64("u"), "blocks").cast("int"))
@@ -236,6 +235,69 @@ def projection(edge_list: DataFrame, side: str = ORIGINATOR, *, block: int = PAI
     )
 
 
+def _sides(side: str) -> tuple[str, str]:
+    """Columns of the nodes of a side and of their hubs."""
+    if side not in (ORIGINATOR, SPONSOR_SIDE):
+        raise ValueError("side must be 'originator' or 'sponsor'")
+    return ("originator_key", "sponsor_key") if side == ORIGINATOR else ("sponsor_key", "originator_key")
+
+
+def heaviest_pairs(
+    edge_list: DataFrame, k: int, side: str = ORIGINATOR, *, seeds: int = 256, block: int = PAIR_BLOCK
+) -> DataFrame:
+    """The ``k`` heaviest pairs of :func:`projection`, ties by name, without forming all pairs.
+
+    A pair weighs at most half the sum of its nodes' whole weights.  The pairs among the
+    ``seeds`` heaviest nodes come first: the k-th of them is a weight that the result has to
+    reach.  Members of a hub are put into bands of whole weight, and only those blocks meet
+    whose bands can reach it.  With fewer than ``k`` pairs among the seeds all blocks meet.
+    Edges with a weight of less than 0 are refused, as the bound needs weights of 0 or more.
+    """
+    node, hub = _sides(side)
+    links = edge_list.select(F.col(hub).alias("hub"), F.col(node).alias("u"), F.col("weight").cast("double").alias("w"))
+    links = links.withColumn("w", F.when(F.col("w") < 0, F.raise_error(F.lit("negative weight"))).otherwise(F.col("w")))
+    whole = links.groupBy("u").agg(F.sum("w").alias("whole"))
+    links = cut_lineage(links.join(whole, "u"))
+    heavy = links.select("u", "whole").distinct().orderBy(F.desc("whole"), "u").limit(seeds)
+    first = edge_list.join(heavy.select(F.col("u").alias(node)), node, "left_semi")
+    first = projection(first, side, block=block).select("weight").orderBy(F.desc("weight")).limit(k)
+    row = first.agg(F.count("*").alias("n"), F.min("weight").alias("least")).first()
+    # Sums in another order may differ in the last places.
+    least = row["least"] * (1 - 1e-9) if row["n"] == k else 0.0
+    top_whole = links.agg(F.max("whole").alias("m")).first()["m"] or 1.0
+    if least > 0:
+        links = links.filter(F.col("whole") + top_whole >= 2 * least)
+    # Band b holds whole weights of at most top / 2**(b / 8).
+    band = F.when(F.col("whole") > 0, F.least(F.floor(-8 * F.log2(F.col("whole") / top_whole) + 1e-9), F.lit(BANDS))).otherwise(BANDS)
+    reach = lambda b: top_whole * F.pow(F.lit(2.0), -b / 8) * (1 + 1e-9)
+    links = links.withColumn("band", F.greatest(band, F.lit(0)).cast("int"))
+    sizes = links.groupBy("hub", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    member = links.join(sizes, ["hub", "band"]).withColumn(
+        "at", F.struct("band", F.pmod(F.xxhash64("u"), "parts").cast("int").alias("part"))
+    )
+    # One row per hub and block: a block per band and a thousand members.
+    blocks = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "band")
+    blocks = blocks.select("hub", F.struct("band", "part").alias("at"))
+    other = blocks.withColumnRenamed("at", "to")
+    meet = blocks.join(other, "hub").filter(
+        (F.col("at") <= F.col("to")) & (reach(F.col("at.band")) + reach(F.col("to.band")) >= 2 * least)
+    )
+    left = member.select("hub", "at", "u", "w", "whole").join(meet, ["hub", "at"])
+    right = meet.join(
+        member.select("hub", F.col("at").alias("to"), F.col("u").alias("v"), F.col("w").alias("x"), F.col("whole").alias("other")),
+        ["hub", "to"],
+    )
+    return (
+        left.join(right, ["hub", "at", "to"])
+        .filter((F.col("at") < F.col("to")) | (F.col("u") < F.col("v")))
+        .filter(F.col("whole") + F.col("other") >= 2 * least)
+        .groupBy(F.least("u", "v").alias("source"), F.greatest("u", "v").alias("target"))
+        .agg(F.sum((F.col("w") + F.col("x")) / 2).alias("weight"))
+        .orderBy(F.desc("weight"), "source", "target")
+        .limit(k)
+    )
+
+
 def projections(edge_list: DataFrame) -> dict[str, DataFrame]:
     """Both one-mode projections, heaviest pairs first."""
     return {

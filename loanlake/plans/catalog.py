@@ -12,6 +12,7 @@ from ..operators import (
     geography,
     identity,
     network,
+    sketches,
     trends,
     validation,
 )
@@ -35,6 +36,7 @@ from ..schemas import (
     YEAR,
 )
 from ..sources import file_names, snapshots, star_raw
+from ..sources.checkpoints import cut_lineage
 from ..sources.star_loans import loans, read_table, reverse_loans
 from . import file_queries, import_snapshots, reports
 
@@ -116,6 +118,22 @@ def _metro(frequency: str):
 
 
 # --- activity ----------------------------------------------------------------
+def _estimates(df: DataFrame) -> DataFrame:
+    """Exact numbers of names per year, and whether those from sketches are within four standard errors."""
+    stored = cut_lineage(sketches.month_sketches(df))
+    bound = 4 * 1.04 / 2 ** (sketches.PRECISION / 2)
+    parts = []
+    for column, exact, estimated in (
+        ("Active Lenders", activity.yearly_lenders(df), sketches.yearly_lenders(stored)),
+        ("Active Sponsors", activity.yearly_sponsors(df), sketches.yearly_sponsors(stored)),
+    ):
+        both = exact.select(YEAR, F.col(column).alias("n")).join(estimated.select(YEAR, F.col(column).alias("e")), YEAR, "full")
+        near = F.coalesce(F.abs(F.col("e") - F.col("n")) <= bound * F.col("n"), F.lit(False))
+        parts.append(both.select(YEAR, F.lit(column).alias("what"), F.col("n").alias("names"), near.alias("within_bound")))
+    return parts[0].unionByName(parts[1])
+
+
+register("estimated_names", _estimates, YEAR, MONTH, ORIG, SPONSOR)
 register("lender_volume", activity.lender_volume, ORIG, AMOUNT)
 register("yearly_lenders", activity.yearly_lenders, YEAR, ORIG)
 _PANEL = (YEAR, MONTH, ORIG_NO, ORIG, AMOUNT, RATE, PURPOSE)
@@ -266,6 +284,12 @@ for _side in ("originator", "sponsor"):
 register("betweenness", _on_graph(lambda v, e: betweenness.betweenness(network.adjacency(e))), *_EDGE_COLUMNS)
 register("projection_originators", _on_graph(lambda v, e: network.projection(e, "originator")), *_EDGE_COLUMNS)
 register("projection_sponsors", _on_graph(lambda v, e: network.projection(e, "sponsor")), *_EDGE_COLUMNS)
+for _side in ("originator", "sponsor"):
+    register(
+        f"heaviest_pairs_{_side}s",
+        _on_graph(lambda v, e, side=_side: network.heaviest_pairs(e, 25, side)),
+        *_EDGE_COLUMNS,
+    )
 register(
     "top_relationships",
     lambda df: network.ranked_edges(network.edges(df)).limit(10),

@@ -57,6 +57,14 @@ define(
     SELECT "Year", count(DISTINCT "Sponsor Name") AS "Active Sponsors", count("FHA_Index") AS "Sponsored Loans"
     FROM loans WHERE "Sponsor Name" IS NOT NULL GROUP BY 1""",
 )
+define(
+    "estimated_names",
+    """
+    SELECT "Year", 'Active Lenders' AS what, count(DISTINCT coalesce("Originating Mortgagee", chr(1))) AS names,
+      true AS within_bound FROM loans GROUP BY 1
+    UNION ALL SELECT "Year", 'Active Sponsors', count(DISTINCT "Sponsor Name"), true FROM loans
+    WHERE "Sponsor Name" IS NOT NULL GROUP BY 1""",
+)
 for _freq in ("annual", "quarterly"):
     _q = ', cast(floor(("Month" - 1) / 3) + 1 AS tinyint) AS "Quarter"' if _freq == "quarterly" else ""
     define(
@@ -663,6 +671,14 @@ for _name, _u, _hub in (("originators", "o", "s"), ("sponsors", "s", "o")):
         FROM links a JOIN links b ON a.{_hub} = b.{_hub} AND a.{_u} < b.{_u} GROUP BY 1, 2""",
     )
 
+    define(
+        f"heaviest_pairs_{_name}",
+        f"""WITH {_GRAPH}
+        SELECT a.{_u} AS source, b.{_u} AS target, sum((a.w + b.w) / 2) AS weight
+        FROM links a JOIN links b ON a.{_hub} = b.{_hub} AND a.{_u} < b.{_u} GROUP BY 1, 2
+        ORDER BY weight DESC, source, target LIMIT 25""",
+    )
+
 define(
     "betweenness",
     f"""WITH RECURSIVE {_GRAPH},

@@ -99,10 +99,11 @@ def test_sinks(spark, tmp_path):
     assert result_path("/x/y", "d.parquet") == "/x/y/d.parquet"
 
 
-def test_long_files_are_read_in_blocks_and_names_are_taken_as_they_are(spark, tmp_path, monkeypatch):
-    names = {f"fha sf%20snapshot_{y}0701 #{y}.csv": bytes([y % 256]) * (manifest.BLOCK_BYTES + y) for y in (2019, 2020)}
-    sums = {put(tmp_path / "raw", name, content) for name, content in names.items()}
-    table = manifest.fingerprint(spark, str(tmp_path / "raw"), "raw", whole_file=1)
+def test_long_files_are_read_in_blocks_and_names_are_taken_as_they_are(spark, tmp_path):
+    raw = tmp_path / "raw a%20b #1"
+    names = {f"fha_sf_snapshot_{y}0701.csv": bytes([y % 256]) * (manifest.BLOCK_BYTES + y) for y in (2019, 2020)}
+    sums = {put(raw, name, content) for name, content in names.items()}
+    table = manifest.fingerprint(spark, str(raw), "raw", whole_file=1)
     assert {r["raw"]["checksum"] for r in table.collect()} == sums
 
 

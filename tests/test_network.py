@@ -5,6 +5,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows_of
 from loanlake import schemas as s
@@ -80,6 +81,28 @@ def test_projection(spark, seed, block, side):
     assert got == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("seed, k, seeds, block", [(1, 3, 4, 1024), (2, 5, 2, 2), (3, 1, 30, 1), (4, 10**4, 5, 3)])
+@pytest.mark.parametrize("side", ["originator", "sponsor"])
+def test_heaviest_pairs(spark, seed, k, seeds, block, side):
+    """As the first rows of all pairs, with and without a bound from the seeds."""
+    links = [(u, v, w + 1000.0 * (u[-1] == "1")) for u, v, w in random_links(seed)]
+    table = edge_frame(spark, links)
+    expected = network.projection(table, side).orderBy(F.desc("weight"), "source", "target").limit(k)
+    assert rows_of(network.heaviest_pairs(table, k, side, seeds=seeds, block=block)) == rows_of(expected)
+
+
+def test_heaviest_pairs_form_few_pairs(spark):
+    """A hub of 2,000 light and 20 heavy members: none of two million light pairs is formed."""
+    light, heavy = ([(f"{n}{i}", "hub", w + i) for i in range(m)] for n, m, w in (("l", 2000, 1.0), ("h", 20, 1e6)))
+    found = network.heaviest_pairs(edge_frame(spark, light + heavy), 3, seeds=20)
+    assert rows_of(found)[0] == ("h18", "h19", 1e6 + 18.5)
+    listed = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "whole" in listed and ">= " in listed
+    with pytest.raises(Exception, match="negative weight"):
+        network.heaviest_pairs(edge_frame(spark, [("a", "n", -1.0), ("b", "n", 1.0)]), 1).collect()
+    assert rows_of(network.heaviest_pairs(edge_frame(spark, [("a", "n", 1.0)]).limit(0), 3)) == []
+
+
 def test_projection_example(spark):
     got = network.projection(edge_frame(spark, [("u", "n", 2.0), ("v", "n", 4.0)]))
     assert rows_of(got) == [("u", "v", 3.0)]
