@@ -342,6 +342,23 @@ register_mixed("check_id_name_consistency_monthly", validation.check_id_name_con
 register_mixed("check_name_oscillations", validation.check_name_oscillations)
 register_mixed("institution_summary", reports.institution_summary)
 
+
+def traded_sponsors(df: DataFrame) -> DataFrame:
+    """Loans in which some sponsors change their name every third year, and others in some months only."""
+    number = F.col(SPONSOR_NO)
+    yearly = (number % 3 == 1) & (F.col(YEAR) % 3 == 0)
+    monthly = (number % 5 == 2) & (F.col(MONTH) % 4 == 1) & (F.col(ORIG_NO) % 2 == 0)
+    name = F.when(yearly, F.concat(SPONSOR, F.lit(" & Co"))).when(monthly, F.concat(SPONSOR, F.lit(" Trust")))
+    return df.withColumn(SPONSOR, name.otherwise(F.col(SPONSOR)))
+
+
+for _name, _operator in {
+    "oscillations_sponsor": identity.oscillations,
+    "segments_sponsor": identity.name_segments,
+    "name_events_sponsor": identity.name_events,
+}.items():
+    register(f"{_name}_mixed", lambda df, f=_operator: f(traded_sponsors(df), identity.SPONSOR_ROLE), *_NAMED)
+
 # --- cleaning, counties and import ------------------------------------------------
 
 

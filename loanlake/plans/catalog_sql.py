@@ -896,6 +896,14 @@ define(
 )
 # The sponsors of the view have one name each, so none of them oscillates.
 
+_TRADED = f"""traded AS (
+  SELECT * REPLACE (CASE WHEN {_SN} % 3 = 1 AND "Year" % 3 = 0 THEN {_S} || ' & Co'
+                         WHEN {_SN} % 5 = 2 AND "Month" % 4 = 1 AND {_ON} % 2 = 0 THEN {_S} || ' Trust' ELSE {_S} END AS {_S})
+  FROM loans)"""
+for _name in ("oscillations_sponsor", "segments_sponsor", "name_events_sponsor"):
+    _rest = SQL[_name][len(_LOANS) :].replace("FROM loans", "FROM traded").strip()
+    SQL[f"{_name}_mixed"] = f"{_LOANS}, {_TRADED}{', ' + _rest[1:] if _rest.startswith(',') else ' ' + _rest}"
+
 for _name in (
     "month_conflicts",
     "temporary_renames",
