@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import MEDIAN, median_of, order_statistics, ratio, sum0
 from ..schemas import AMOUNT, ORIG, ORIG_NO, SPONSOR, SPONSOR_NO, YEAR
-from ..sources.checkpoints import cut_lineage
+from ..sources.checkpoints import cut_lineage, drop
 
 ORIGINATOR, SPONSOR_SIDE = "originator", "sponsor"
 EDGE_KEYS = ["originator_key", ORIG, ORIG_NO, "sponsor_key", SPONSOR, SPONSOR_NO]
@@ -256,10 +256,13 @@ def heaviest_pairs(
     node, hub = _sides(side)
     links = edge_list.select(F.col(hub).alias("hub"), F.col(node).alias("u"), F.col("weight").cast("double").alias("w"))
     links = links.withColumn("w", F.when(F.col("w") < 0, F.raise_error(F.lit("negative weight"))).otherwise(F.col("w")))
-    whole = links.groupBy("u").agg(F.sum("w").alias("whole"))
-    links = cut_lineage(links.join(whole, "u"))
-    heavy = links.select("u", "whole").distinct().orderBy(F.desc("whole"), "u").limit(seeds)
-    first = edge_list.join(heavy.select(F.col("u").alias(node)), node, "left_semi")
+    # The edges are made once; sums, seeds and members are read from the stored table.
+    once = cut_lineage(links)
+    links = cut_lineage(once.join(once.groupBy("u").agg(F.sum("w").alias("whole")), "u"))
+    drop(once)
+    heavy = links.select("u", "whole").distinct().orderBy(F.desc("whole"), "u").limit(seeds).select("u")
+    first = links.join(heavy, "u", "left_semi")
+    first = first.select(F.col("hub").alias(hub), F.col("u").alias(node), F.col("w").alias("weight"))
     first = projection(first, side, block=block).select("weight").orderBy(F.desc("weight")).limit(k)
     row = first.agg(F.count("*").alias("n"), F.min("weight").alias("least")).first()
     # Sums in another order may differ in the last places.
