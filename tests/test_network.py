@@ -165,6 +165,28 @@ def test_betweenness_over_several_parts(spark):
     assert got == pytest.approx(all_paths_betweenness(links))
 
 
+def test_betweenness_of_five_thousand_nodes_stores_no_rounds(spark, monkeypatch):
+    """Chains of three through one hub: one part, without rounds; parts of 4,096 took rounds of stored rows before."""
+    from loanlake.operators import betweenness as module
+
+    monkeypatch.setattr(module, "_phase", lambda *a: pytest.fail("rounds over cells"))
+    links = spark.range(5000).select(
+        F.concat(F.lit("o"), "id").alias("originator_key"), F.lit("s").alias("sponsor_key"), F.lit(2.0).alias("weight")
+    )
+    got = betweenness(network.adjacency(links))
+    assert got.count() == 5001
+    assert {r["node"]: r["betweenness"] for r in got.filter("betweenness <> 0").collect()} == {"sponsor:s": pytest.approx(1.0)}
+
+
+@pytest.mark.parametrize("block, per_core", [(4, 10**7), (3, 9)])
+def test_betweenness_is_the_same_in_one_part_and_in_several(spark, block, per_core):
+    links = random_links(11, 12, 7, p=0.3, weights=(1, 2, 5))
+    adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
+    one = dict(rows_of(betweenness(adjacent, block_sources=block)))
+    assert one == pytest.approx(all_paths_betweenness(links))
+    assert one == pytest.approx(dict(rows_of(betweenness(adjacent, part_nodes=5, block_sources=block, state_rows_per_core=per_core))))
+
+
 def test_betweenness_needs_positive_weights(spark):
     with pytest.raises(Exception, match="positive weights"):
         betweenness(network.adjacency(edge_frame(spark, [("a", "b", 0.0)]))).collect()
