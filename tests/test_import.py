@@ -324,3 +324,18 @@ def test_import_records_its_files(spark, folders, tmp_path):
 def test_read_tabular_rejects_other_suffixes(spark):
     with pytest.raises(ValueError):
         snapshots.read_tabular(spark, "x.xlsx")
+
+
+def test_periods_are_found_once_per_file(spark, tmp_path):
+    """The rules for names work on a list of files; no expression over rows holds them."""
+    from loanlake.sources import snapshots
+
+    rows = [("Data Purchase", 0, k, "x") for k in range(5)] + [("Notes", 2, 9, "x")]
+    table = spark.createDataFrame(rows, "sheet_name string, sheet_ord int, row_ord bigint, Loan_Purpose string")
+    folders = [f"{tmp_path}/year={y}/month={m}" for y, m in ((2014, 5), (2015, 12))]
+    for folder in folders:
+        table.write.parquet(folder)
+    raw = snapshots.read_raw_rows(spark, folders, "single_family")
+    assert "regexp" not in raw._jdf.queryExecution().optimizedPlan().toString().lower()
+    counts = {tuple(r) for r in raw.groupBy("snapshot_kind", "snapshot_year", "snapshot_month").count().collect()}
+    assert counts == {("single_family", 2014, 5, 5), ("single_family", 2015, 12, 5)}
