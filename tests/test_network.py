@@ -81,6 +81,26 @@ def test_projection(spark, seed, block, side):
     assert got == pytest.approx(expected)
 
 
+def test_projection_shuffles_no_pairs_of_a_dense_network(spark):
+    """Blocks of nodes return each pair once; the pairs of every hub were shuffled and added before."""
+    got = network.projection(edge_frame(spark, random_links(5)))
+    assert "HashAggregate" not in got._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+
+
+@pytest.mark.parametrize("side", ["originator", "sponsor"])
+def test_projection_paths_agree(spark, monkeypatch, side):
+    """Sparse and dense paths, several groups of hubs, edges that come twice, weights that are missing."""
+    links = [(f"{u}\u00e9" if u[-1] == "3" else u, v, None if v == "s1" else w) for u, v, w in random_links(7, 14, 11, p=0.3)]
+    table = edge_frame(spark, links + links[:9])
+    monkeypatch.setattr(network, "DENSE", 1e9)
+    expected = sorted(rows_of(network.projection(table, side, block=4)))
+    monkeypatch.setattr(network, "DENSE", 0.0)
+    assert sorted(rows_of(network.projection(table, side, block=4))) == expected
+    monkeypatch.setattr(network, "HUB_GROUP", 3)
+    assert sorted(rows_of(network.projection(table, side, block=5))) == expected
+    assert rows_of(network.projection(table.limit(0), side)) == []
+
+
 @pytest.mark.parametrize("seed, k, seeds, block", [(1, 3, 4, 1024), (2, 5, 2, 2), (3, 1, 30, 1), (4, 10**4, 5, 3)])
 @pytest.mark.parametrize("side", ["originator", "sponsor"])
 def test_heaviest_pairs(spark, seed, k, seeds, block, side):
