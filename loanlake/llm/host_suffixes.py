@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, slices, small_batches, tidy
 
 LEAST = 8
+PAGES = 64  # at once as lists of blocks
 SHARE = 0.05  # of the distinct pages of a host, and two at least
 OPEN, EXCLUDED, PROTECTED = 0, 1, 2
 # Elements by their role in a page.
@@ -96,14 +97,6 @@ class Page:
         """One number for equal texts on one host."""
         return _suffix_key([host, *(text for text, _, _ in self.blocks)])
 
-    def rests_on_intervals(self) -> bool:
-        """Whether open blocks may belong to the text: without protected ones, in main, or as the larger part."""
-        sizes = {OPEN: 0, EXCLUDED: 0, PROTECTED: 0}
-        for text, zone, _ in self.blocks:
-            sizes[zone] += len(text.split())
-        inside = any(m and zone == OPEN for m, (_, zone, _) in zip(self.in_main, self.blocks, strict=True))
-        return inside or sizes[OPEN] > sizes[PROTECTED] or not sizes[PROTECTED]
-
     def _uncovered(self, covered: set[int]) -> Iterator[tuple[str, int, bool]]:
         """Text, zone and whether it is in main, of the protected blocks and of the open ones without covered tokens."""
         at = 0
@@ -266,17 +259,18 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["page", "host", "n_stream", "keys"])
 
 
-def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page its own text, or its html where the text rests on the suffix array."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page its blocks, parsed once, to meet what the suffix array found."""
     for batch in slices(batches, "html"):
-        sources = batch.column("html").to_pylist()
-        pages = [parse(source) for source in sources]
+        pages = [parse(source) for source in batch.column("html").to_pylist()]
         contents = [p.content(_host(u)) for p, u in zip(pages, batch.column("url").to_pylist(), strict=True)]
-        rest = [source if p.rests_on_intervals() else None for source, p in zip(sources, pages, strict=True)]
-        texts = [p.text() if source is None else None for source, p in zip(rest, pages, strict=True)]
-        columns = [pa.array(contents, pa.int64()), batch.column("page_id"), batch.column("url")]
-        columns += [pa.array(texts, pa.string()), pa.array(rest, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["page", "page_id", "url", "own", "html"])
+        blocks = [
+            pa.array([[block[0] for block in p.blocks] for p in pages], pa.list_(pa.string())),
+            pa.array([[block[1] for block in p.blocks] for p in pages], pa.list_(pa.int32())),
+            pa.array([p.in_main for p in pages], pa.list_(pa.bool_())),
+        ]
+        columns = [pa.array(contents, pa.int64()), batch.column("page_id"), batch.column("url"), *blocks]
+        yield pa.RecordBatch.from_arrays(columns, ["page", "page_id", "url", "texts", "zones", "in_main"])
 
 
 def _suffix_key(tokens: list[str]) -> int:
@@ -284,11 +278,12 @@ def _suffix_key(tokens: list[str]) -> int:
 
 
 def _unique_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "html"):
+    for batch in (whole.slice(k, PAGES) for whole in batches for k in range(0, whole.num_rows, PAGES)):
         texts = []
-        for source, at, n in zip(*(batch.column(c).to_pylist() for c in ("html", "at", "n_stream")), strict=True):
+        names = ("texts", "zones", "in_main", "at", "n_stream")
+        for words, zones, in_main, at, n in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             covered = {k for start in at or [] for k in range(start, start + min(LEAST, n or 0))}
-            texts.append(parse(source).whole(covered))
+            texts.append(Page([(t, z, "") for t, z in zip(words, zones, strict=True)], in_main).whole(covered))
         columns = [batch.column(c) for c in ("page_id", "url")] + [pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text"])
 
@@ -333,14 +328,13 @@ def extract(
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` with one row per row of ``pages``.
 
-    Pages are parsed for their suffixes and again for their texts, so that no text is stored; only
-    pages with open text that may be their own meet what the suffix array found.
+    Pages are parsed for their suffixes and again for their blocks, so that no text is stored; the blocks
+    of every page meet what the suffix array found on its host.
     """
     found = boilerplate(spark, pages, html=html, url=url, page_id=page_id)
     rows = _rows(pages, html, url, page_id)
     kind = rows.schema["page_id"].dataType.simpleString()
-    texts = rows.mapInArrow(tidy(_own_texts), f"page long, page_id {kind}, url string, own string, html string")
-    own = texts.filter("own IS NOT NULL OR html IS NULL").select("page_id", "url", F.coalesce("own", F.lit("")).alias("text"))
-    rest = texts.filter("own IS NULL AND html IS NOT NULL").select("page", "page_id", "url", "html")
-    rest = rest.join(found, "page", "left").mapInArrow(tidy(_unique_runs), f"page_id {kind}, url string, text string")
-    return own.unionByName(rest).withColumn("n_chars", F.length("text").cast("bigint"))
+    blocks = "texts array<string>, zones array<int>, in_main array<boolean>"
+    parsed = rows.mapInArrow(tidy(_blocks), f"page long, page_id {kind}, url string, {blocks}")
+    texts = parsed.join(found, "page", "left").mapInArrow(tidy(_unique_runs), f"page_id {kind}, url string, text string")
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))

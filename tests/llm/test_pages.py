@@ -114,3 +114,15 @@ def test_odd_pages(spark):
     by_id = {r["page_id"]: r["text"] for r in got}
     assert by_id[1] == by_id[2] == "" and by_id[None] == "t" and by_id[3] == "no markup at all" and by_id[6] == ("w " * 50_000).strip()
     assert hs.extract(spark, pages_frame(spark, [])).collect() == []
+
+
+def test_every_page_meets_the_intervals(spark, monkeypatch):
+    """Pages with an article took their text from markup alone before; now each is looked up in what the suffix array found."""
+    menu = "<div><p>one two three four five six seven eight nine ten</p></div>"
+    rows = [(k, "http://h/x", f"<article><p>Text {k} of its own</p></article>{menu}") for k in range(6)]
+    pages = spark.createDataFrame([*rows, (6, "http://h/y", f"<p>open {'words ' * 12}here</p>{menu}"), (7, None, None)], "page_id long, url string, html string")
+    found = hs.extract(spark, pages)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Join LeftOuter") == 1
+    got = {r["page_id"]: r["text"] for r in found.collect()}
+    assert got == {k: f"Text {k} of its own" for k in range(6)} | {6: "open " + "words " * 12 + "here", 7: ""}
