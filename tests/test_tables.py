@@ -175,3 +175,17 @@ def test_trend_tables_equal_the_single_tables(spark):
         for a, b in zip(rows_of(tables[name]), rows_of(table), strict=True):
             assert a == pytest.approx(b) if all(isinstance(x, float) for x in a) else str(a)[:20] == str(b)[:20]
             assert [x for x in a if isinstance(x, float)] == pytest.approx([x for x in b if isinstance(x, float)])
+
+
+def test_counts_are_dealt_before_they_are_expanded(spark):
+    """Only counts by lender and sums by cell are shuffled; twelve rows for every count were before."""
+    counts = spark.createDataFrame(
+        [(2020, 1, 1, "CA", "LA", "sponsor", "a", 2), (2020, 1, 2, "CA", None, "sponsor", "a", 1)],
+        "year int, quarter int, month int, state string, county string, lender_type string, lender_id string, n bigint",
+    )
+    cells = concentration.cells_of(counts)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Generate explode") :]
+    assert plan.count("Exchange hashpartitioning") == 2 and below.count("Exchange hashpartitioning") == 1
+    got = {(r["time_level"], r["geography_level"]): r["total_loans"] for r in cells.filter("time_level = 'all'").collect()}
+    assert got == {("all", "all"): 3, ("all", "state"): 3, ("all", "county"): 2}
