@@ -207,6 +207,29 @@ def test_betweenness_is_the_same_in_one_part_and_in_several(spark, block, per_co
     assert one == pytest.approx(dict(rows_of(betweenness(adjacent, part_nodes=5, block_sources=block, state_rows_per_core=per_core))))
 
 
+@pytest.mark.parametrize("seed, sponsors, p, block", [(1, 3, 0.7, 128), (2, 4, 0.3, 1), (3, 5, 0.15, 2)])
+def test_betweenness_from_the_sources_of_a_cover(spark, monkeypatch, seed, sponsors, p, block):
+    """Two sides of unlike sizes: only nodes of the smaller one are sources, also where parts of the network do not meet."""
+    from loanlake.operators import betweenness as module
+
+    monkeypatch.setattr(module, "_in_one_part", lambda *a: pytest.fail("every node is a source"))
+    links = [*random_links(seed, 30, sponsors, p=p), ("alone", "far", 2.0), ("beside", "far", 1.0)]
+    adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
+    monkeypatch.setattr(module, "SHARE_VALUES", 4)
+    got = dict(rows_of(betweenness(adjacent, block_sources=block)))
+    assert got == pytest.approx(all_paths_betweenness(links))
+
+
+def test_betweenness_with_weights_that_are_not_whole_takes_every_source(spark, monkeypatch):
+    """Sums of fractions depend on their order, so paths are followed from their own sources."""
+    from loanlake.operators import betweenness as module
+
+    monkeypatch.setattr(module, "_over_cover", lambda *a: pytest.fail("distances put together"))
+    links = random_links(4, 20, 3, p=0.6, weights=(0.5, 1.0, 1.5))
+    adjacent = network.adjacency(edge_frame(spark, links), merge_shared_ids=True)
+    assert dict(rows_of(betweenness(adjacent))) == pytest.approx(all_paths_betweenness(links))
+
+
 def test_betweenness_needs_positive_weights(spark):
     with pytest.raises(Exception, match="positive weights"):
         betweenness(network.adjacency(edge_frame(spark, [("a", "b", 0.0)]))).collect()
