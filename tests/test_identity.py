@@ -1,5 +1,6 @@
 """Identity operators against plain loops over small random histories."""
 
+import datetime
 import random
 from itertools import groupby
 
@@ -7,6 +8,7 @@ import pytest
 
 from conftest import loans_frame, rows_of
 from loanlake.operators import identity
+from loanlake.plans import reports
 
 
 def history(spark, *months, number=1):
@@ -270,3 +272,36 @@ def test_party_months_stand_for_loans(spark):
     parties = identity.party_months(df)
     for operator in (identity.name_segments, identity.event_log, identity.oscillations, identity.name_transitions):
         assert sorted(rows_of(operator(parties)), key=str) == sorted(rows_of(operator(df)), key=str)
+
+
+def test_renames_and_conflicts_sort_as_many_parts_as_shuffles_have(spark):
+    """Parts merged by their packed size would each hold millions of pairs."""
+    df = history(spark, ["A"], ["B"], ["A"], ["C", "A"])
+    for table in (identity.temporary_renames(df), identity.month_conflicts(df)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan
+
+
+def test_temporary_renames_with_repeated_pairs(spark):
+    day = lambda m: datetime.date(2020, m, 1)
+    rows = [("1", "A", "Originator", day(1)), ("1", "A", "Originator", day(1)), ("1", "B", "Originator", day(2))]
+    rows += [("2", "A", "Originator", day(1)), ("2", "B", "Sponsor", day(1)), ("2", "A", "Sponsor", day(1)), ("2", "A", "Sponsor", day(3))]
+    pairs = spark.createDataFrame(rows, "institution_number string, institution_name string, type string, Date date")
+    got = [(r[0], r[1], r[2]) for r in rows_of(identity.temporary_renames(None, pairs))]
+    assert got == [("2", "2020-01", "A -> B -> A")]
+
+
+def test_parts_of_the_report_start_from_pairs_and_sets_made_once(spark, tmp_path, monkeypatch):
+    made = []
+    for name in ("institution_pairs", "name_sets", "mapping_errors"):
+        real = getattr(identity, name)
+
+        def counted(df, *rest, _real=real, _name=name):
+            made.extend([] if "records" in df.columns else [_name])
+            return _real(df, *rest)
+
+        monkeypatch.setattr(identity, name, counted)
+    reports.institution_report(history(spark, ["A"], ["B"], ["A"], ["C", "A"]), str(tmp_path))
+    assert sorted(made) == ["institution_pairs", "mapping_errors", "name_sets", "name_sets"]
+    lines = (row["value"] for row in spark.read.option("header", True).csv(f"{tmp_path}/institution_summary.csv").filter("metric = 'mapping_errors'").collect())
+    assert list(lines) == ["2"]
