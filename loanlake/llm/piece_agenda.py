@@ -5,10 +5,10 @@ they would form, then by place, and merges the best pair until none is left.  Sy
 without a piece fall back to their bytes.  Text is cut where no piece reaches across:
 before a run of spaces and around characters that no longer piece holds (the model is checked
 for this), so the pieces of a cut-out unit never depend on its neighbours, and units that
-were seen before are looked up in a bounded table of the task.
+were seen before are looked up in a bounded table of the worker, which its next tasks go on with.
 
-Every Arrow batch is checked against the sentencepiece library: each distinct part that the batch
-brings is encoded by the library too, and whole rows are, a share of them chosen by hash
+Every Arrow batch is checked against the sentencepiece library: each distinct part that the worker's
+table does not have yet is encoded by the library too, and whole rows are, a share of them chosen by hash
 (``check_share``) and all that hold runs of spaces; ids and decoded texts must be equal, or the task
 fails.
 
@@ -210,13 +210,13 @@ def _encoded(path: str, check_share: float, with_ids: bool):
                 columns.append(pa.array([sha(d) for _, _, d in rows], pa.string()))
                 names += ["ids_sha256", "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(columns, names)
-        model.seen.clear()  # workers live longer than tasks
 
     return run
 
 
 def _check(model: PieceModel, texts: list[str], rows: list[tuple[str, int, bytes]], share: float) -> None:
     def differs(text: str):
+        model.seen.clear()  # nothing of it is handed to a later task
         raise ValueError(f"The library encodes or decodes a text of {len(text)} characters differently")
 
     parts, model.fresh = model.fresh, []

@@ -4,6 +4,7 @@ import hashlib
 import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -127,3 +128,20 @@ def test_a_differing_library_fails_the_task(monkeypatch):
 def test_empty_tables(spark, documents):
     assert prefixes.prefix_token_counts(documents([]), VOCABULARY).collect() == []
     assert pieces.encode(documents([]), MODEL).collect() == []
+
+
+def test_later_tasks_look_up_the_words_of_earlier_ones(monkeypatch):
+    """A word is merged and confirmed once per worker, not once per task; a table that is wrong is not kept."""
+    model = pieces.load(MODEL)
+    model.seen.clear()
+    words = ["zebra", "crossing", "\nzebra", "quagga"]
+    batch = lambda *texts: pa.RecordBatch.from_pydict({"__text": list(texts)})
+    run = pieces._encoded(MODEL, 0.0, True)
+    first = [b.to_pydict() for b in run(iter([batch("zebra crossing", "zebra\nzebra quagga")]))]
+    assert set(words) == set(model.seen)
+    monkeypatch.setattr(pieces.PieceModel, "merge", lambda self, unit: pytest.fail(f"{unit} is merged again"))
+    assert [b.to_pydict() for b in run(iter([batch("zebra crossing", "zebra\nzebra quagga")]))] == first
+    model.seen["quagga"] = ("1,2", b" quagga")
+    with pytest.raises(ValueError, match="differently"):
+        list(pieces._encoded(MODEL, 1.0, True)(iter([batch("quagga")])))
+    assert not model.seen
