@@ -2,7 +2,7 @@
 
 import datetime
 
-from conftest import rows_of
+from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 
 from loanlake.operators.row_keys import running_numbers
@@ -41,3 +41,10 @@ def test_months_are_left_out_before_loans_are_numbered(spark, tmp_path):
     assert sorted(rows_of(got)) == sorted(rows_of(loans(spark, str(tmp_path), INDEX, YEAR, MONTH).filter(early)))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("1996")
+
+
+def test_orders_are_joined_last(spark):
+    """They bring the most text to a loan, and no later join deals it again."""
+    plan = loans(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "(l_" in line]
+    assert [key in line for key, line in zip(("o_orderkey", "p_partkey", "s_suppkey"), joins)] == [True] * 3
